@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators.extract import extract_count_columns, extract_values
 from ..operators.filters import filter_count_columns, filter_records, lower_unless_ipv4
+from ..operators.geo import enrich_geo, geo_counts
 from ..operators.records import distinct_records
 from .fixtures import fixture, with_fixtures
 
@@ -110,6 +111,71 @@ def q11_filter_counts(spark, sf_dir):
     )
 
 
+# --- geo enrichment ----------------------------------------------------------------------
+
+GEO_OUT = "city, cc, country, lat, long, asn, org"
+
+
+def _oracle_geo(src: str) -> str:
+    """DuckDB form of the enrichment over relation ``src`` (plain BETWEEN join)."""
+    priv = ("(s.addr LIKE '10.%' OR s.addr LIKE '192.168.%' OR "
+            "regexp_full_match(s.addr, '172\\.(1[6-9]|2[0-9]|3[01])\\..*'))")
+    ip = ("(CAST(split_part(s.addr, '.', 1) AS BIGINT) * 16777216 + CAST(split_part(s.addr, '.', 2) AS BIGINT) * 65536"
+          " + CAST(split_part(s.addr, '.', 3) AS BIGINT) * 256 + CAST(split_part(s.addr, '.', 4) AS BIGINT))")
+    asn_re = r"AS(\d+)\s+(.+)"
+    def pick(found_value, zero=False):
+        p = "'0.0'" if zero else "'RFC1918'"
+        u = "'0.0'" if zero else "'UNKNOWN'"
+        return (f"CASE WHEN j.addr IS NULL THEN NULL WHEN j.priv THEN {p} WHEN j.b_start IS NULL THEN {u} "
+                f"ELSE {found_value} END")
+    matched = f"regexp_full_match(j.org_raw, '{asn_re}')"
+    return f"""(SELECT j.* EXCLUDE (priv, b_start, b_city, b_cc, b_country, b_lat, b_long, org_raw),
+  {pick('upper(j.b_city)')} AS city, {pick('upper(j.b_cc)')} AS cc, {pick('upper(j.b_country)')} AS country,
+  {pick('upper(j.b_lat)', True)} AS lat, {pick('upper(j.b_long)', True)} AS long,
+  {pick(f"CASE WHEN {matched} THEN regexp_extract(j.org_raw, '^{asn_re}$', 1) END")} AS asn,
+  {pick(f"CASE WHEN {matched} THEN upper(regexp_extract(j.org_raw, '^{asn_re}$', 2)) ELSE upper(j.org_raw) END")} AS org
+ FROM (SELECT s.*, {priv} AS priv, b.start_ip AS b_start, b.city AS b_city, b.cc AS b_cc,
+         b.country AS b_country, b.lat AS b_lat, b.long AS b_long, b.org_raw
+       FROM {src} s LEFT JOIN blocks b
+         ON s.addr IS NOT NULL AND NOT {priv} AND {ip} BETWEEN b.start_ip AND b.end_ip) j)"""
+
+
+def _geo(spark, sf_dir, distinct: bool) -> DataFrame:
+    recs = rr(spark, sf_dir)
+    if distinct:
+        recs = distinct_records(recs)
+    return enrich_geo(recs, fixture(spark, sf_dir, "blocks"))
+
+
+@register(
+    "q12_geo",
+    f"SELECT name, addr, {GEO_OUT} FROM {_oracle_geo(f'(SELECT DISTINCT {RR_COLS_NO_TTL} FROM rr)')} g "
+    "WHERE addr IS NOT NULL",
+)
+def q12_geo(spark, sf_dir):
+    """Distinct A records with location and owner fields."""
+    return _geo(spark, sf_dir, distinct=True).where("addr IS NOT NULL").select(
+        "name", "addr", *GEO_OUT.split(", ")
+    )
+
+
+@register("q13_geo_by_country", f"SELECT cc, count(*) AS n FROM {_oracle_geo('rr')} g GROUP BY cc")
+def q13_geo_by_country(spark, sf_dir):
+    """Records per country code after enrichment (NULL = not an A record)."""
+    return geo_counts(_geo(spark, sf_dir, distinct=False), "cc")
+
+
+@register(
+    "q14_geo_passthrough",
+    f"SELECT {RR_COLS}, {GEO_OUT} FROM {_oracle_geo('(SELECT * FROM rr WHERE addr IS NOT NULL)')} g "
+    f"UNION ALL SELECT {RR_COLS}, NULL AS city, NULL AS cc, NULL AS country, NULL AS lat, NULL AS long, "
+    "NULL AS asn, NULL AS org FROM rr WHERE addr IS NULL",
+)
+def q14_geo_passthrough(spark, sf_dir):
+    """Whole enrichment output, duplicates kept: A records enriched, others unchanged."""
+    return _geo(spark, sf_dir, distinct=False)
+
+
 def spark_queries() -> dict[str, QueryFn]:
     return dict(_SPARK)
 
