@@ -10,10 +10,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.cells import cell_counts, edge_cells, event_cells, event_id, store_summary, value_stat_cells
 from ..operators.extract import extract_count_columns, extract_values
 from ..operators.filters import filter_count_columns, filter_records, lower_unless_ipv4
 from ..operators.geo import enrich_geo, geo_counts
-from ..operators.records import distinct_records
+from ..operators.records import distinct_records, records_to_json
 from .fixtures import fixture, with_fixtures
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -176,6 +177,111 @@ def q14_geo_passthrough(spark, sf_dir):
     return _geo(spark, sf_dir, distinct=False)
 
 
+# --- cells: events, edges, statistics --------------------------------------------------------
+
+RR_FIELDS_NO_TTL = RR_COLS_NO_TTL.split(", ")
+EVENT_TABLE, EDGE_TABLE, DATA_TYPE = "dns_events", "dns_edges", "dns"
+EDGES = "name:addr,name:target,target:name,name:alias,alias:alias"
+# The same configuration after adding reverse edges (each reverse not configured already).
+EDGES_DIRECTED = [("name", "addr"), ("addr", "name"), ("name", "target"), ("target", "name"),
+                  ("name", "alias"), ("alias", "name"), ("alias", "alias")]
+
+
+def _oracle_event_id(fields: list[str]) -> str:
+    parts = ", ".join(f"'{f}=' || CAST({f} AS VARCHAR)" for f in sorted(fields))
+    h = f"md5('{{' || concat_ws(', ', {parts}) || '}}')"
+    return (f"(substr({h}, 1, 12) || '3' || substr({h}, 14, 3) || "
+            f"translate(substr({h}, 17, 1), '0123456789abcdef', '89ab89ab89ab89ab') || substr({h}, 18, 15))")
+
+
+def _distinct_rr(spark, sf_dir) -> DataFrame:
+    return distinct_records(rr(spark, sf_dir))
+
+
+@register(
+    "q15_event_ids",
+    f"SELECT {_oracle_event_id(RR_FIELDS_NO_TTL)} AS event_id, {RR_COLS_NO_TTL} "
+    f"FROM (SELECT DISTINCT {RR_COLS_NO_TTL} FROM rr) d",
+)
+def q15_event_ids(spark, sf_dir):
+    d = _distinct_rr(spark, sf_dir)
+    return d.select(event_id(d).alias("event_id"), *d.columns)
+
+
+@register(
+    "q16_event_cells",
+    f"SELECT '{EVENT_TABLE}' AS table_name, event_id AS \"row\", '{DATA_TYPE}' AS cf, cq, value FROM "
+    f"(SELECT {_oracle_event_id(RR_FIELDS_NO_TTL)} AS event_id, * FROM (SELECT DISTINCT {RR_COLS_NO_TTL} FROM rr) d) e "
+    "CROSS JOIN LATERAL (VALUES "
+    + ", ".join(f"('{f.upper()}', CAST({f} AS VARCHAR))" for f in RR_FIELDS_NO_TTL)
+    + ") v(cq, value) WHERE value IS NOT NULL",
+)
+def q16_event_cells(spark, sf_dir):
+    return event_cells(_distinct_rr(spark, sf_dir), EVENT_TABLE, DATA_TYPE)
+
+
+def _oracle_edges(src: str) -> str:
+    rows = []
+    for a, b in EDGES_DIRECTED:
+        rows.append(
+            f"SELECT '{EDGE_TABLE}' AS table_name, lower(CAST({a} AS VARCHAR)) || chr(0) || '{a.upper()}' || chr(0) || "
+            f"'{b.upper()}' || chr(0) || lower(CAST({b} AS VARCHAR)) AS \"row\", 'e' || chr(0) || coalesce(type, 'UNKNOWN') AS cf, "
+            f"'{DATA_TYPE}' AS cq, '1' AS value FROM {src} WHERE {a} IS NOT NULL AND {b} IS NOT NULL"
+        )
+    return "\nUNION ALL\n".join(rows)
+
+
+@register("q17_edges", _oracle_edges(f"(SELECT DISTINCT {RR_COLS_NO_TTL} FROM rr)"))
+def q17_edges(spark, sf_dir):
+    """Edge cells with reverse edges; a configured reverse or self pair is not doubled."""
+    return edge_cells(_distinct_rr(spark, sf_dir), EDGE_TABLE, DATA_TYPE, EDGES, bidirectional=True, univariate=False)
+
+
+@register(
+    "q18_value_stats",
+    "SELECT table_name, \"row\", cf, cq, count(*) AS n FROM ("
+    + "\nUNION ALL\n".join(
+        f"SELECT '{EDGE_TABLE}' AS table_name, lower(CAST({f} AS VARCHAR)) AS \"row\", 's' || chr(0) || coalesce(type, 'UNKNOWN') AS cf, "
+        f"'{DATA_TYPE}' || chr(0) || '{f.upper()}' AS cq FROM rr WHERE {f} IS NOT NULL"
+        for f in RR_COLS.split(", ")
+    )
+    + ") s GROUP BY table_name, \"row\", cf, cq",
+)
+def q18_value_stats(spark, sf_dir):
+    """How often each value occurs per field and record type, over all records."""
+    return cell_counts(value_stat_cells(rr(spark, sf_dir), EDGE_TABLE, DATA_TYPE))
+
+
+@register(
+    "q19_edge_counts",
+    f"SELECT table_name, \"row\", cf, cq, count(*) AS n FROM ({_oracle_edges('rr')}) e GROUP BY table_name, \"row\", cf, cq",
+)
+def q19_edge_counts(spark, sf_dir):
+    """Edge frequencies over all records (duplicates count)."""
+    return cell_counts(edge_cells(rr(spark, sf_dir), EDGE_TABLE, DATA_TYPE, EDGES, univariate=False))
+
+
+def records_json(spark, sf_dir) -> DataFrame:
+    """JSON record lines: every record, every event's props (an ``error`` event's value
+    written as an explicit null), and every page URL (not JSON)."""
+    r = records_to_json(rr(spark, sf_dir))
+    ev = spark.table("events").select(
+        F.when(F.col("event_type") == "error", F.lit('{"k": null}')).otherwise(F.col("props")).alias("json"))
+    pg = spark.table("pages").select(F.col("url").alias("json"))
+    return r.unionByName(ev).unionByName(pg)
+
+
+@register(
+    "q27_store_summary",
+    """SELECT (SELECT count(*) FROM pages) AS bad_records,
+       (SELECT count(*) FROM rr) + (SELECT count(*) FROM events WHERE event_type IS DISTINCT FROM 'error') AS records_stored,
+       (SELECT count(*) FROM events WHERE event_type = 'error') AS failed_store,
+       (SELECT count(*) FROM rr) + (SELECT count(*) FROM events) AS total""",
+)
+def q27_store_summary(spark, sf_dir):
+    return store_summary(records_json(spark, sf_dir))
+
+
 def spark_queries() -> dict[str, QueryFn]:
     return dict(_SPARK)
 
