@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from ..operators.cells import cell_counts, edge_cells, event_cells, event_id, store_summary, value_stat_cells
 from ..operators.extract import extract_count_columns, extract_values
 from ..operators.filters import filter_count_columns, filter_records, lower_unless_ipv4
+from ..operators.requests import dedupe_requests, expand_requests
+from ..operators.resolve import lookup_summary, rcode_counts, resolve
 from ..operators.geo import enrich_geo, geo_counts
 from ..operators.records import distinct_records, records_to_json
 from .fixtures import fixture, with_fixtures
@@ -42,6 +44,76 @@ RR_COLS = "dclass, name, type, ttl, addr, addrv6, target, priority, alias, host"
 RR_COLS_NO_TTL = "dclass, name, type, addr, addrv6, target, priority, alias, host"
 
 
+# --- requests and resolving ----------------------------------------------------------------
+
+TRIM_RE = r"^[\x00-\x20]+|[\x00-\x20]+$"
+SUBDOMAINS = ["", "www", "m."]
+
+
+Q01_SQL = f"""
+SELECT d.domain, CASE WHEN d.n LIKE '%.' THEN d.n ELSE d.n || '.' END AS name, t.type, t.type_code,
+       'IN' AS dclass, 1 AS dclass_code
+FROM (SELECT domain, CASE WHEN s.sub = '' THEN tr WHEN s.sub LIKE '%.' THEN s.sub || tr ELSE s.sub || '.' || tr END AS n
+      FROM (SELECT domain, regexp_replace(domain, '{TRIM_RE}', '', 'g') AS tr FROM domains) x,
+           (VALUES (''), ('www'), ('m.')) s(sub)) d,
+     (VALUES ('A', 1), ('MX', 15)) t(type, type_code)"""
+
+
+@register("q01_requests", Q01_SQL)
+def q01_requests(spark, sf_dir):
+    """Every domain line x {A, MX} x {bare, www, m.}; duplicates kept."""
+    return expand_requests(fixture(spark, sf_dir, "domains"), types="A,MX", subdomains=SUBDOMAINS)
+
+
+@register(
+    "q02_request_dedupe",
+    f"SELECT DISTINCT name, type, type_code, dclass, dclass_code FROM ({Q01_SQL}) q",
+)
+def q02_request_dedupe(spark, sf_dir):
+    return dedupe_requests(q01_requests(spark, sf_dir))
+
+
+VALID_NAME_SQL = r"(r.name = '.' OR (regexp_full_match(r.name, '([^.]{1,63}\.)+') AND strlen(r.name) <= 254))"
+ATTEMPTS_SQL = f"""
+SELECT r.name, r.type, r.dclass, r.name || chr(9) || r.dclass || chr(9) || r.type AS question,
+  CASE WHEN NOT {VALID_NAME_SQL} THEN 'parse_failure' ELSE coalesce(a.outcome, 'timeout') END AS outcome,
+  CASE WHEN {VALID_NAME_SQL} AND a.outcome = 'ok' THEN a.rcode END AS rcode,
+  CASE WHEN {VALID_NAME_SQL} THEN a.ms END AS ms
+FROM requests r LEFT JOIN answers a ON r.name = a.name AND r.type = a.type AND r.dclass = a.dclass"""
+
+
+def _attempts(spark, sf_dir) -> DataFrame:
+    return resolve(fixture(spark, sf_dir, "requests"), spark.table("answers"))
+
+
+@register("q03_resolve", ATTEMPTS_SQL)
+def q03_resolve(spark, sf_dir):
+    """Requests resolved against recorded answers: one attempt row per request."""
+    return _attempts(spark, sf_dir)
+
+
+@register("q04_rcodes", f"SELECT rcode, count(*) AS n FROM ({ATTEMPTS_SQL}) x WHERE outcome = 'ok' GROUP BY rcode")
+def q04_rcodes(spark, sf_dir):
+    return rcode_counts(_attempts(spark, sf_dir))
+
+
+@register(
+    "q04_lookup_summary",
+    f"""
+SELECT count(*) AS num_requests, count(*) FILTER (WHERE outcome = 'ok') AS responses,
+  count(*) FILTER (WHERE outcome = 'failure') AS lookup_failures,
+  count(*) FILTER (WHERE outcome = 'timeout') AS request_timeouts,
+  count(*) FILTER (WHERE outcome = 'parse_failure') AS request_parse_failures,
+  CAST(0 AS BIGINT) AS construct_ms, CAST(coalesce(sum(ms), 0) AS BIGINT) AS perform_ms, CAST(0 AS BIGINT) AS parse_ms,
+  CAST(coalesce(sum(ms), 0) AS BIGINT) AS total_ms,
+  round(0 * 100.0 / sum(ms), 4) AS construct_pct, round(sum(ms) * 100.0 / sum(ms), 4) AS perform_pct,
+  round(0 * 100.0 / sum(ms), 4) AS parse_pct
+FROM ({ATTEMPTS_SQL}) x""",
+)
+def q04_lookup_summary(spark, sf_dir):
+    return lookup_summary(_attempts(spark, sf_dir))
+
+
 # --- deduplication -----------------------------------------------------------------------
 
 @register("q05_distinct", f"SELECT DISTINCT {RR_COLS_NO_TTL} FROM rr")
