@@ -77,6 +77,16 @@ FIXTURE_SQL: dict[str, str] = {
 }
 FIXTURE_ORDER = ["rr", "blocks", "requests", "answers", "domains"]
 
+# Spark forms where the shared text would plan a join against a literal list: the three
+# request types are an ``explode`` per name instead (narrow, no join).
+SPARK_FIXTURE_SQL: dict[str, str] = {
+    **FIXTURE_SQL,
+    "requests": """
+SELECT name, type, 'IN' AS dclass
+FROM (SELECT DISTINCT name FROM rr) n LATERAL VIEW explode(array('A', 'MX', 'TXT')) q AS type
+""",
+}
+
 
 def register_tables(spark: SparkSession, sf_dir: str, tables: list[str] | None = None) -> None:
     """Register the driver's parquet tables as temporary views (lazy; nothing is read)."""
@@ -87,7 +97,7 @@ def register_tables(spark: SparkSession, sf_dir: str, tables: list[str] | None =
 def register_fixtures(spark: SparkSession, sf_dir: str) -> None:
     register_tables(spark, sf_dir, ["lineitem", "nation", "pages", "events"])
     for name in FIXTURE_ORDER:
-        spark.sql(FIXTURE_SQL[name]).createOrReplaceTempView(name)
+        spark.sql(SPARK_FIXTURE_SQL[name]).createOrReplaceTempView(name)
 
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -99,4 +109,7 @@ def with_fixtures(sql: str, names: list[str] | None = None) -> str:
     """Prefix ``sql`` with the fixtures as CTEs, for engines without Spark's views."""
     names = names or FIXTURE_ORDER
     ctes = ",\n".join(f"{n} AS ({FIXTURE_SQL[n].strip()})" for n in FIXTURE_ORDER if n in names)
-    return f"WITH {ctes}\n{sql.strip()}"
+    body = sql.strip()
+    if body[:5].upper() == "WITH ":  # merge the query's own CTEs into the list
+        return f"WITH {ctes},\n{body[5:]}"
+    return f"WITH {ctes}\n{body}"

@@ -11,12 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.cells import cell_counts, edge_cells, event_cells, event_id, store_summary, value_stat_cells
+from ..operators.decode import decode_messages, decode_responses, parse_failures, section_size
 from ..operators.extract import extract_count_columns, extract_values
 from ..operators.filters import filter_count_columns, filter_records, lower_unless_ipv4
 from ..operators.requests import dedupe_requests, expand_requests
-from ..operators.resolve import lookup_summary, rcode_counts, resolve
+from ..operators.resolve import lookup_summary, rcode_counts, resolve, responses
 from ..operators.geo import enrich_geo, geo_counts
-from ..operators.records import distinct_records, records_to_json
+from ..operators.records import distinct_records, records_from_json, records_to_json
+from ..session import scratch_path
+from ..sinks.files import write_by_type
+from .wire_fixtures import answers_with_wire, record_messages
 from .fixtures import fixture, with_fixtures
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -354,6 +358,114 @@ def q27_store_summary(spark, sf_dir):
     return store_summary(records_json(spark, sf_dir))
 
 
+# --- raw responses: decode, message view, JSON, type partitions, whole chain ---------------------
+
+def _rr_messages(spark, sf_dir) -> DataFrame:
+    return record_messages(rr(spark, sf_dir))
+
+
+@register("q20_decode_roundtrip", f"SELECT DISTINCT {RR_COLS_NO_TTL} FROM rr")
+def q20_decode_roundtrip(spark, sf_dir):
+    """Records packed into wire messages (compression, three sections), decoded, deduped."""
+    recs = decode_responses(_rr_messages(spark, sf_dir))
+    return distinct_records(recs.select(*RR_FIELDS_NO_TTL))
+
+
+@register(
+    "q21_messages",
+    """SELECT rcode, count(*) AS messages, CAST(count(*) AS BIGINT) AS question_records,
+  CAST(count(*) FILTER (WHERE rcode = 'NOERROR') AS BIGINT) AS answer_records,
+  CAST(count(*) FILTER (WHERE rcode = 'NOERROR' AND type IN ('MX', 'NS')) AS BIGINT) AS additional_records,
+  CAST(count(*) FILTER (WHERE rcode = 'NXDOMAIN') AS BIGINT) AS authority_records
+FROM answers WHERE outcome = 'ok' GROUP BY rcode""",
+)
+def q21_messages(spark, sf_dir):
+    """Message view of the recorded responses: messages and records per section, per rcode."""
+    ans = answers_with_wire(fixture(spark, sf_dir, "answers")).where("wire IS NOT NULL")
+    msgs = decode_messages(ans.select(F.concat_ws("\t", "name", "dclass", "type").alias("question"), "wire"))
+    return msgs.where("error IS NULL").groupBy("rcode").agg(
+        F.count(F.lit(1)).alias("messages"),
+        F.sum(section_size("question")).cast("long").alias("question_records"),
+        F.sum(section_size("answers")).cast("long").alias("answer_records"),
+        F.sum(section_size("additional")).cast("long").alias("additional_records"),
+        F.sum(section_size("authority")).cast("long").alias("authority_records"),
+    )
+
+
+@register("q22_json_records", f"SELECT {RR_COLS} FROM rr")
+def q22_json_records(spark, sf_dir):
+    """Records -> JSON text (absent fields left out) -> records."""
+    js = records_to_json(rr(spark, sf_dir))
+    return records_from_json(js, "json", on_bad="fail").select(*RR_COLS.split(", "))
+
+
+@register(
+    "q23_foreign_json",
+    "SELECT DISTINCT CAST(CAST(json_extract(props, '$.k') AS INTEGER) AS VARCHAR) AS value FROM events "
+    "WHERE CAST(json_extract(props, '$.k') AS INTEGER) > 50",
+)
+def q23_foreign_json(spark, sf_dir):
+    """Foreign JSON (event properties) through Variant: filter ``k > 50``, extract ``k``."""
+    fixture(spark, sf_dir, "rr")  # registers the base tables
+    ev = spark.table("events").select(F.try_parse_json("props").alias("v"))
+    kept = filter_records(ev, "try_variant_get(v, '$.k', 'int') > 50")
+    return extract_values(kept, "try_variant_get(v, '$.k', 'int')")
+
+
+@register("q24_by_type", f"SELECT DISTINCT {RR_COLS_NO_TTL} FROM rr WHERE type = 'MX'")
+def q24_by_type(spark, sf_dir):
+    """Write records into one directory per type, read back only the MX directory."""
+    path = scratch_path(spark, "by_type")
+    write_by_type(distinct_records(rr(spark, sf_dir)), path)
+    return spark.read.parquet(path).where("type = 'MX'").select(*RR_FIELDS_NO_TTL)
+
+
+PIPELINE_FILTER = "type = 'A' AND NOT (cc <=> 'RFC1918')"
+PIPELINE_EXTRACT = "named_struct('addr', addr, 'cc', cc, 'country', country)"
+
+
+@register(
+    "q25_pipeline",
+    "SELECT DISTINCT CAST(json_object('addr', addr, 'cc', cc, 'country', country) AS VARCHAR) AS value FROM "
+    f"{_oracle_geo(f'(SELECT DISTINCT {RR_COLS_NO_TTL} FROM rr)')} g WHERE type = 'A' AND cc IS DISTINCT FROM 'RFC1918'",
+)
+def q25_pipeline(spark, sf_dir):
+    """Whole chain in one job: raw responses -> decode -> distinct -> geo -> filter -> extract."""
+    recs = distinct_records(decode_responses(_rr_messages(spark, sf_dir)).select(*RR_FIELDS_NO_TTL))
+    enriched = enrich_geo(recs, fixture(spark, sf_dir, "blocks"))
+    return extract_values(filter_records(enriched, PIPELINE_FILTER), PIPELINE_EXTRACT)
+
+
+DECODED_COLS = "dclass, name, type, addr, addrv6, target, priority, alias, host, admin, serial"
+
+
+@register(
+    "q26_resolve_decode",
+    f"""
+WITH ok AS (SELECT a.name, a.type, a.dclass, a.ms, a.rcode FROM requests r JOIN answers a
+            ON r.name = a.name AND r.type = a.type AND r.dclass = a.dclass
+            WHERE a.outcome = 'ok' AND {VALID_NAME_SQL}),
+recs AS (
+  SELECT dclass, name, type, '192.0.2.' || CAST(ms AS VARCHAR) AS addr, NULL AS target, NULL AS priority,
+         NULL AS host, NULL AS admin, NULL AS serial FROM ok WHERE rcode = 'NOERROR' AND type = 'A'
+  UNION ALL SELECT dclass, name, type, NULL, 'mail.' || name, CAST(ms AS INTEGER), NULL, NULL, NULL
+    FROM ok WHERE rcode = 'NOERROR' AND type = 'MX'
+  UNION ALL SELECT dclass, 'mail.' || name, 'A', '198.51.100.' || CAST(ms AS VARCHAR), NULL, NULL, NULL, NULL, NULL
+    FROM ok WHERE rcode = 'NOERROR' AND type = 'MX'
+  UNION ALL SELECT dclass, substr(name, strpos(name, '.') + 1), 'SOA', NULL, NULL, NULL,
+         'ns1.' || substr(name, strpos(name, '.') + 1), 'hostmaster.' || substr(name, strpos(name, '.') + 1), ms
+    FROM ok WHERE rcode = 'NXDOMAIN')
+SELECT DISTINCT dclass, name, type, addr, CAST(NULL AS VARCHAR) AS addrv6, target, CAST(priority AS INTEGER) AS priority,
+  CAST(NULL AS VARCHAR) AS alias, host, admin, CAST(serial AS BIGINT) AS serial FROM recs""",
+)
+def q26_resolve_decode(spark, sf_dir):
+    """Requests resolved against recorded responses, successful responses decoded, deduped."""
+    reqs = fixture(spark, sf_dir, "requests")
+    attempts = resolve(reqs, answers_with_wire(spark.table("answers")))
+    recs = decode_responses(responses(attempts))
+    return distinct_records(recs.select(*DECODED_COLS.split(", ")))
+
+
 def spark_queries() -> dict[str, QueryFn]:
     return dict(_SPARK)
 
