@@ -1,0 +1,77 @@
+"""DNS wire encoding as Spark SQL expressions (JVM side, no Python worker).
+
+Builds one response per record: header, the record's own question, and the record in the
+ANSWER section with its owner name compressed to a pointer at the question name (offset 12).
+The message is assembled as hex text and converted to bytes once. Used to derive
+raw-response inputs from record tables at full table size.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+from ..functions.codes import class_code_col, type_code_col
+
+
+def _hexu(c: Column, nbytes: int) -> Column:
+    """Big-endian unsigned integer of ``nbytes`` bytes, as hex text."""
+    return F.lpad(F.hex(c.cast("long")), 2 * nbytes, "0")
+
+
+def name_hex(name: Column) -> Column:
+    """Uncompressed wire form of a dotted name without escapes, as hex text
+    (root ``.`` -> ``00``)."""
+    labels = F.split(F.regexp_replace(name, r"\.$", ""), r"\.")
+    body = F.array_join(F.transform(labels, lambda l: F.concat(_hexu(F.octet_length(l), 1), F.hex(l))), "")
+    return F.when((name == ".") | (name == ""), F.lit("00")).otherwise(F.concat(body, F.lit("00")))
+
+
+def _ipv4_hex(addr: Column) -> Column:
+    parts = F.split(addr, r"\.")
+    return F.concat(*[_hexu(parts.getItem(i).cast("int"), 1) for i in range(4)])
+
+
+def _ipv6_hex(addr: Column) -> Column:
+    groups = F.split(addr, ":")
+    return F.concat(*[F.lpad(groups.getItem(i), 4, "0") for i in range(8)])
+
+
+def _pointer_or_name(name: Column, qname: Column) -> Column:
+    return F.when(name == qname, F.lit("C00C")).otherwise(name_hex(name))
+
+
+def rdata_hex(rtype: Column, qname: Column, cols: set[str]) -> Column:
+    def c(n: str) -> Column:
+        return F.col(n) if n in cols else F.lit(None).cast("string")
+
+    def u32(n: str) -> Column:
+        return F.coalesce(_hexu(c(n), 4), F.lit("00000000")) if n in cols else F.lit("00000000")
+
+    return (
+        F.when(rtype == "A", _ipv4_hex(c("addr")))
+        .when(rtype == "AAAA", _ipv6_hex(c("addrv6")))
+        .when(rtype.isin("NS", "PTR"), _pointer_or_name(c("target"), qname))
+        .when(rtype == "CNAME", _pointer_or_name(c("alias"), qname))
+        .when(rtype == "MX", F.concat(_hexu(F.coalesce(c("priority"), F.lit(0)), 2), _pointer_or_name(c("target"), qname)))
+        .when(rtype == "SOA", F.concat(name_hex(F.coalesce(c("host"), F.lit("."))), name_hex(F.coalesce(c("admin"), F.lit("."))),
+                                       u32("serial"), u32("refresh"), u32("retry"), u32("expire"), u32("min")))
+        .when(rtype == "TXT", F.concat(_hexu(F.octet_length(c("text")), 1), F.hex(c("text"))))
+        .otherwise(F.lit(""))
+    )
+
+
+def record_response_wire(cols: list[str]) -> Column:
+    """Wire bytes of a one-record response for the record in the current row."""
+    s = set(cols)
+    name, rtype = F.col("name"), F.col("type")
+    tcode = _hexu(type_code_col(rtype), 2)
+    ccode = _hexu(F.coalesce(class_code_col(F.col("dclass")), F.lit(1)), 2)
+    ttl = _hexu(F.coalesce(F.col("ttl"), F.lit(0)), 4) if "ttl" in s else F.lit("00000000")
+    rdata = rdata_hex(rtype, name, s)
+    msg_id = _hexu(F.pmod(F.xxhash64(name, rtype), F.lit(65536)), 2)
+    return F.unhex(F.concat(
+        msg_id, F.lit("8180"), F.lit("0001000100000000"),  # QR RD RA; 1 question, 1 answer
+        name_hex(name), tcode, ccode,
+        F.lit("C00C"), tcode, ccode, ttl, _hexu(F.length(rdata) / 2, 2), rdata,
+    ))

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from ..functions.wire import WireError, decode_message
 from ..schema import MESSAGE_SCHEMA, RR_FIELDS, RR_SCHEMA
+from ..session import spread_for_python
 
 EMIT_SECTIONS = ("answers", "additional", "authority")  # order records are emitted in
 
@@ -60,7 +61,7 @@ def decode_with_errors(df: DataFrame, wire_col: str = "wire", txt_mode: str = "r
     """Every record of every message, plus one row with ``__error`` set per bad message."""
     if txt_mode not in ("record", "rdata"):
         raise ValueError("txt_mode must be 'record' or 'rdata'")
-    return df.select(wire_col).mapInArrow(_decode_batches(wire_col, txt_mode), DECODED_SCHEMA)
+    return spread_for_python(df.select(wire_col)).mapInArrow(_decode_batches(wire_col, txt_mode), DECODED_SCHEMA)
 
 
 def decode_responses(
@@ -146,7 +147,7 @@ def decode_messages(df: DataFrame, key_col: str | None = "question", wire_col: s
     NULL when empty; ``error`` is set (and the rest NULL) for a message that does not parse."""
     cols = [wire_col] + ([key_col] if key_col and key_col in df.columns else [])
     kc = key_col if key_col and key_col in df.columns else None
-    return df.select(*cols).mapInArrow(_message_batches(kc, wire_col), MESSAGE_OUT_SCHEMA)
+    return spread_for_python(df.select(*cols)).mapInArrow(_message_batches(kc, wire_col), MESSAGE_OUT_SCHEMA)
 
 
 def section_size(c: str | Column) -> Column:

@@ -20,7 +20,7 @@ from ..operators.geo import enrich_geo, geo_counts
 from ..operators.records import distinct_records, records_from_json, records_to_json
 from ..session import scratch_path
 from ..sinks.files import write_by_type
-from .wire_fixtures import answers_with_wire, record_messages
+from .wire_fixtures import answers_with_wire, record_messages, record_responses
 from .fixtures import fixture, with_fixtures
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -361,12 +361,13 @@ def q27_store_summary(spark, sf_dir):
 # --- raw responses: decode, message view, JSON, type partitions, whole chain ---------------------
 
 def _rr_messages(spark, sf_dir) -> DataFrame:
-    return record_messages(rr(spark, sf_dir))
+    """Raw responses for every record (one message per record, built JVM-side)."""
+    return record_responses(rr(spark, sf_dir))
 
 
 @register("q20_decode_roundtrip", f"SELECT DISTINCT {RR_COLS_NO_TTL} FROM rr")
 def q20_decode_roundtrip(spark, sf_dir):
-    """Records packed into wire messages (compression, three sections), decoded, deduped."""
+    """Every record encoded as a wire response (compressed owner name), decoded, deduped."""
     recs = decode_responses(_rr_messages(spark, sf_dir))
     return distinct_records(recs.select(*RR_FIELDS_NO_TTL))
 

@@ -11,7 +11,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from ..functions.wire import encode_message, header_flags
+from ..functions.wire_sql import record_response_wire
+from pyspark.sql import functions as F
 from ..schema import RCODE_NAMES, class_code, type_code
+from ..session import spread_for_python
 
 RESPONSE_SCHEMA = T.StructType([T.StructField("question", T.StringType()), T.StructField("wire", T.BinaryType())])
 _RCODE = {v: k for k, v in RCODE_NAMES.items()}
@@ -47,7 +50,17 @@ def record_messages(records: DataFrame, per_message: int = 6) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(wires, pa.binary())],
                                              names=["question", "wire"])
 
-    return records.select(*cols).mapInArrow(run, RESPONSE_SCHEMA)
+    return spread_for_python(records.select(*cols)).mapInArrow(run, RESPONSE_SCHEMA)
+
+
+def record_responses(records: DataFrame) -> DataFrame:
+    """One response per record, built JVM-side: the record's own question and the record in
+    ANSWER, owner name compressed. Output ``question, wire``; narrow, no Python worker."""
+    cols = records.columns
+    return spread_for_python(records).select(
+        F.concat_ws("\t", "name", "dclass", "type").alias("question"),
+        record_response_wire(cols).alias("wire"),
+    )
 
 
 def parent_zone(name: str) -> str:

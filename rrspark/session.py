@@ -50,3 +50,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint dir for intermediate tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+
+
+def spread_for_python(df):
+    """Give a Python (Arrow) stage at least one partition per core. Large inputs already have
+    many partitions and pass through untouched; a small input held in one file or row group
+    is spread round-robin (no key, so no skew) instead of running as one task."""
+    spark = df.sparkSession
+    target = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
