@@ -24,7 +24,11 @@ from ..schema import ASN_PATTERN, GEO_FIELDS, PRIVATE_LABEL, UNKNOWN_LABEL, ZERO
 
 LOCATION_FIELDS = ["city", "cc", "country", "lat", "long"]
 DEFAULT_BUCKET_BITS = 16
-DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_ROWS = 1_000_000
+DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
+# Records without a lookup key are spread over this many negative keys in the shuffle path,
+# so they do not all land in the one partition of the NULL key.
+NULL_KEY_SPREAD = 1 << 20
 
 
 def _text(c: Column, dtype: T.DataType) -> Column:
@@ -54,17 +58,20 @@ def range_lookup(
     dedupe_keys: bool = True,
     start: str = "start_ip",
     end: str = "end_ip",
+    broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
 ) -> DataFrame:
     """Left range join: ``keys`` plus ``<prefix>found`` and ``<prefix><payload>`` columns.
 
-    ``ip_col`` is a long (NULL = no lookup). See the module text for the two paths."""
+    ``ip_col`` is a long (NULL = no lookup). See the module text for the two paths; the
+    broadcast one is taken only when the bucketed range table is measured to be at most
+    ``broadcast_rows`` rows and about ``broadcast_bytes`` bytes."""
     b = bucket_ranges(ranges, bucket_bits, start, end).select(
         F.col("__bucket").alias(f"{prefix}bucket"),
         F.col(start).alias(f"{prefix}start"),
         F.col(end).alias(f"{prefix}end"),
         *[F.col(p).alias(f"{prefix}{p}") for p in payload],
     )
-    small = b.limit(broadcast_rows + 1).count() <= broadcast_rows  # size check on the range side
+    small = _fits_broadcast(b, broadcast_rows, broadcast_bytes)
 
     def join(left: DataFrame, right: DataFrame) -> DataFrame:
         ip = F.col(ip_col)
@@ -81,17 +88,35 @@ def range_lookup(
     if not dedupe_keys:
         return join(keys, b)
     looked = join(keys.select(ip_col).where(F.col(ip_col).isNotNull()).distinct(), b)
-    return keys.join(looked, ip_col, "left").withColumn(
+    # Join back on the address. Rows without one get a distinct negative key that matches
+    # nothing, spread by a hash of the row (repeatable on retry), instead of one NULL key.
+    spread = F.lit(-1) - F.pmod(F.xxhash64(*[F.col(c) for c in keys.columns]), F.lit(NULL_KEY_SPREAD))
+    jk = f"{prefix}jk"
+    left = keys.withColumn(jk, F.coalesce(F.col(ip_col), spread))
+    right = looked.withColumnRenamed(ip_col, jk)
+    return left.join(right, jk, "left").drop(jk).withColumn(
         f"{prefix}found", F.coalesce(F.col(f"{prefix}found"), F.lit(False))
     )
 
 
+def _fits_broadcast(b: DataFrame, max_rows: int, max_bytes: int) -> bool:
+    """Measure the bucketed range table: row count and the bytes of its columns (one scan
+    of a reference table, stopped after ``max_rows + 1`` rows)."""
+    width = sum(
+        (F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)) if isinstance(f.dataType, (T.StringType, T.BinaryType)) else F.lit(8))
+        for f in b.schema.fields
+    )
+    m = b.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width + F.lit(16)).alias("bytes")).first()
+    return m["n"] <= max_rows and (m["bytes"] or 0) <= max_bytes
+
+
 def enrich_geo(
     df: DataFrame,
     blocks: DataFrame,
     asn: DataFrame | None = None,
     bucket_bits: int = DEFAULT_BUCKET_BITS,
     broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
 ) -> DataFrame:
     """Add ``city, cc, country, lat, long, asn, org`` to records that have ``addr``.
 
@@ -126,7 +151,8 @@ def enrich_geo(
     blocks_sel = blocks.select(
         "start_ip", "end_ip", *[_text(F.col(f), bfields[f]).alias(f) for f in loc_payload]
     )
-    j = range_lookup(keyed, "__ip", blocks_sel, loc_payload, "__g_", bucket_bits, broadcast_rows)
+    j = range_lookup(keyed, "__ip", blocks_sel, loc_payload, "__g_", bucket_bits, broadcast_rows,
+                     broadcast_bytes=broadcast_bytes)
 
     owner_col = None
     if owner_from_blocks:
@@ -135,7 +161,7 @@ def enrich_geo(
         # Owners are only looked up where a location was found.
         j = j.withColumn("__ip2", F.when(F.col("__g_found"), F.col("__ip")))
         j = range_lookup(j, "__ip2", asn.select("start_ip", "end_ip", F.col("org_raw").cast("string")),
-                         ["org_raw"], "__a_", bucket_bits, broadcast_rows)
+                         ["org_raw"], "__a_", bucket_bits, broadcast_rows, broadcast_bytes=broadcast_bytes)
         owner_col = F.col("__a_org_raw")
 
     is_none = addr.isNull()

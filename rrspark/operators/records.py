@@ -45,12 +45,15 @@ def records_from_json(
     if on_bad == "fail":
         parsed = F.from_json(F.col(column), schema, {"mode": "FAILFAST"})
         return df.select(parsed.alias("r")).select("r.*")
-    # Parse as a generic map first to tell malformed text from an object with no known keys.
-    ok = F.from_json(F.col(column), T.MapType(T.StringType(), T.StringType())).isNotNull()
-    out = df.select(F.from_json(F.col(column), schema).alias("r"), ok.alias("_ok"), F.col(column).alias("_corrupt"))
+    # One parse; malformed text lands in the corrupt-record field (or gives NULL).
+    with_corrupt = T.StructType(list(schema.fields) + [T.StructField("_corrupt", T.StringType())])
+    r = F.from_json(F.col(column), with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    out = df.select(r.alias("r"), F.col(column).alias("_text"))
+    bad = F.col("r").isNull() | F.col("r._corrupt").isNotNull()
+    fields = [F.col(f"r.{f.name}").alias(f.name) for f in schema.fields]
     if on_bad == "drop":
-        return out.where("_ok").select("r.*")
-    return out.select("r.*", F.when(~F.col("_ok"), F.col("_corrupt")).alias("_corrupt"))
+        return out.where(~bad).select(*fields)
+    return out.select(*fields, F.when(bad, F.col("_text")).alias("_corrupt"))
 
 
 def conform(df: DataFrame, schema: T.StructType = RR_SCHEMA) -> DataFrame:
