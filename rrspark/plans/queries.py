@@ -10,17 +10,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.cells import cell_counts, edge_cells, event_cells, event_id, store_summary, value_stat_cells
-from ..operators.decode import decode_messages, decode_responses, parse_failures, section_size
+from ..operators.cells import (
+    cell_counts, edge_cells, edge_generator, event_cells, event_generator, event_id, store_summary, value_stat_cells,
+)
+from ..operators.decode import decode_messages, decode_responses, parse_failures, response_text, section_size
 from ..operators.extract import extract_count_columns, extract_values
 from ..operators.filters import filter_count_columns, filter_records, lower_unless_ipv4
 from ..operators.requests import dedupe_requests, expand_requests
-from ..operators.resolve import lookup_summary, rcode_counts, resolve, responses
+from ..operators.resolve import lookup_summary, rcode_counts, resolve, resolve_with, responses
 from ..operators.geo import enrich_geo, geo_counts
 from ..operators.records import distinct_records, records_from_json, records_to_json
 from ..session import scratch_path
-from ..sinks.files import write_by_type
-from .wire_fixtures import answers_with_wire, record_messages, record_responses
+from ..sinks.files import store, write_by_type, write_cells, write_responses
+from ..sources.files import read_domains, read_responses
+from .wire_fixtures import answers_with_wire, record_messages, record_responses, synthetic_lookup_factory
 from .fixtures import fixture, with_fixtures
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -467,6 +470,110 @@ def q26_resolve_decode(spark, sf_dir):
     return distinct_records(recs.select(*DECODED_COLS.split(", ")))
 
 
+# --- views, counters, sources and sinks of the remaining operator groups --------------------------
+
+def _q28_oracle() -> str:
+    def rec(n: str, t: str, ttl: str) -> str:
+        head = "'{" + '"dclass":"IN","name":"' + "' || "
+        return head + n + " || '" + '","type":"' + t + '","ttl":' + ttl + "'"
+
+    q = rec("name", "' || type || '", "0") + """ || ',"rdata":""}'"""
+    a_ans = rec("name", "A", "300") + """ || ',"addr":"192.0.2.' || CAST(ms AS VARCHAR) || '"}'"""
+    mx_ans = rec("name", "MX", "300") + """ || ',"target":"mail.' || name || '","priority":' || CAST(ms AS VARCHAR) || '}'"""
+    mx_add = rec("'mail.' || name", "A", "300") + """ || ',"addr":"198.51.100.' || CAST(ms AS VARCHAR) || '"}'"""
+    zone = "substr(name, strpos(name, '.') + 1)"
+    soa = rec(zone, "SOA", "60") + (
+        """ || ',"admin":"hostmaster.' || """ + zone + """ || '","host":"ns1.' || """ + zone
+        + """ || '","expire":86400,"min":60,"refresh":3600,"retry":600,"serial":' || CAST(ms AS VARCHAR) || '}'""")
+    head = """'{"opcode":"QUERY","rcode":"' || rcode || '","flags":' || CASE WHEN rcode = 'NXDOMAIN'
+        THEN '["qr","aa","rd","ra"]' ELSE '["qr","rd","ra"]' END || ',"id":' || CAST(ms AS VARCHAR)"""
+    body = f"""CASE WHEN rcode = 'NXDOMAIN' THEN ',"authority":[' || {soa} || ']'
+        WHEN type = 'A' THEN ',"answers":[' || {a_ans} || ']'
+        ELSE ',"answers":[' || {mx_ans} || '],"additional":[' || {mx_add} || ']' END"""
+    return f"""
+SELECT name || chr(9) || dclass || chr(9) || type || ': ' || {head} || ',"question":[' || {q} || ']' || {body} || '}}' AS text
+FROM (SELECT a.name, a.type, a.dclass, a.ms, a.rcode FROM requests r JOIN answers a
+      ON r.name = a.name AND r.type = a.type AND r.dclass = a.dclass
+      WHERE a.outcome = 'ok' AND {VALID_NAME_SQL}) ok"""
+
+
+@register("q28_response_text", _q28_oracle())
+def q28_response_text(spark, sf_dir):
+    """Dump view: ``key: message`` text of every response received for the requests."""
+    attempts = resolve(fixture(spark, sf_dir, "requests"), answers_with_wire(spark.table("answers")))
+    return response_text(decode_messages(responses(attempts)))
+
+
+@register(
+    "q29_parse_failures",
+    "SELECT count(*) FILTER (WHERE type = 'CNAME') AS parse_failures, "
+    "count(*) FILTER (WHERE type IS DISTINCT FROM 'CNAME') AS records FROM rr",
+)
+def q29_parse_failures(spark, sf_dir):
+    """Responses of every record, those of CNAME records cut short by 3 bytes: each cut
+    message is one parse failure and yields no records."""
+    raw = _rr_messages(spark, sf_dir)
+    cut = F.when(F.col("question").endswith("\tCNAME"), F.expr("substring(wire, 1, length(wire) - 3)")).otherwise(F.col("wire"))
+    return parse_failures(raw.withColumn("wire", cut))
+
+
+@register("q32_sequence_files", f"SELECT DISTINCT {RR_COLS_NO_TTL} FROM rr")
+def q32_sequence_files(spark, sf_dir):
+    """Raw responses written as Hadoop SequenceFiles (Text, BytesWritable), read back,
+    decoded and deduplicated."""
+    path = scratch_path(spark, "responses_seq")
+    write_responses(_rr_messages(spark, sf_dir), path, format="sequence")
+    recs = decode_responses(read_responses(spark, path, format="sequence"))
+    return distinct_records(recs.select(*RR_FIELDS_NO_TTL))
+
+
+def _stat_union(src: str, fields: list[str]) -> str:
+    return "\nUNION ALL\n".join(f"SELECT '{EDGE_TABLE}' AS table_name FROM {src} WHERE {f} IS NOT NULL" for f in fields)
+
+
+@register(
+    "q33_store_cells",
+    "SELECT table_name, count(*) AS n FROM ("
+    "SELECT table_name FROM (SELECT '" + EVENT_TABLE + "' AS table_name FROM (SELECT DISTINCT " + RR_COLS_NO_TTL + " FROM rr) d CROSS JOIN LATERAL (VALUES "
+    + ", ".join(f"(CAST({f} AS VARCHAR))" for f in RR_FIELDS_NO_TTL)
+    + ") v(value) WHERE value IS NOT NULL) e UNION ALL SELECT table_name FROM ("
+    + _oracle_edges(f"(SELECT DISTINCT {RR_COLS_NO_TTL} FROM rr)") + ") g UNION ALL "
+    + _stat_union(f"(SELECT DISTINCT {RR_COLS_NO_TTL} FROM rr)", RR_FIELDS_NO_TTL)
+    + ") c GROUP BY table_name",
+)
+def q33_store_cells(spark, sf_dir):
+    """Storage step with two generators (events; edges with statistics) writing cells to one
+    directory per table; cells per table read back."""
+    path = scratch_path(spark, "cells")
+    gens = [event_generator(EVENT_TABLE, DATA_TYPE), edge_generator(EDGE_TABLE, DATA_TYPE, EDGES)]
+    store(_distinct_rr(spark, sf_dir), gens, sink=lambda cells: write_cells(cells, path, mode="overwrite"))
+    return spark.read.parquet(path).groupBy("table_name").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("q34_domain_files", Q01_SQL)
+def q34_domain_files(spark, sf_dir):
+    """Domain list written as plain text files and read back line by line (blank and padded
+    lines kept), then expanded as in q01."""
+    path = scratch_path(spark, "domains_txt")
+    fixture(spark, sf_dir, "domains").write.mode("overwrite").text(path)
+    return expand_requests(read_domains(spark, path), types="A,MX", subdomains=SUBDOMAINS)
+
+
+@register(
+    "q35_resolve_with",
+    """SELECT name, type, dclass, name || chr(9) || dclass || chr(9) || type AS question,
+  CASE WHEN type = 'TXT' THEN 'timeout' WHEN type = 'MX' AND strlen(name) % 2 = 1 THEN 'failure' ELSE 'ok' END AS outcome,
+  CASE WHEN type = 'TXT' OR (type = 'MX' AND strlen(name) % 2 = 1) THEN NULL
+       WHEN strlen(name) % 3 = 0 THEN 'NXDOMAIN' ELSE 'NOERROR' END AS rcode
+FROM requests""",
+)
+def q35_resolve_with(spark, sf_dir):
+    """Requests resolved through a lookup function (a rule-based stand-in for a name server:
+    TXT times out, some MX lookups fail, some names do not exist)."""
+    att = resolve_with(fixture(spark, sf_dir, "requests"), synthetic_lookup_factory, threads=8)
+    return att.select("name", "type", "dclass", "question", "outcome", "rcode")
+
+
 def spark_queries() -> dict[str, QueryFn]:
     return dict(_SPARK)
 

@@ -128,3 +128,19 @@ def answers_with_wire(answers: DataFrame) -> DataFrame:
             )
 
     return answers.select("name", "type", "dclass", "ms", "outcome", "rcode").mapInArrow(run, ANSWER_WIRE_SCHEMA)
+
+
+def synthetic_lookup_factory(timeout: float):
+    """A rule-based stand-in for a name server (no network): TXT lookups time out, MX
+    lookups of odd-length names fail, names whose length is a multiple of 3 do not exist,
+    everything else answers like a recorded NOERROR response with ``ms`` = name length."""
+
+    def lookup(name: str, rtype: str, dclass: str):
+        if rtype == "TXT":
+            raise TimeoutError(f"no answer within {timeout}s")
+        if rtype == "MX" and len(name.encode()) % 2 == 1:
+            raise OSError("connection refused")
+        rcode = "NXDOMAIN" if len(name.encode()) % 3 == 0 else "NOERROR"
+        return rcode, answer_message(name, rtype, dclass, len(name.encode()) % 97, rcode)
+
+    return lookup
