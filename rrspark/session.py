@@ -56,6 +56,8 @@ def spread_for_python(df):
     """Give a Python (Arrow) stage at least one partition per core. Large inputs already have
     many partitions and pass through untouched; a small input held in one file or row group
     is spread round-robin (no key, so no skew) instead of running as one task."""
+    if df.isStreaming:  # micro-batches keep the source's partitioning
+        return df
     spark = df.sparkSession
     target = spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < target:
