@@ -10,9 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from ..functions.wire import encode_message, header_flags
-from ..functions.wire_sql import record_response_wire
-from pyspark.sql import functions as F
+from ..functions.wire import encode_message, header_flags, record_response
 from ..schema import RCODE_NAMES, class_code, type_code
 from ..session import spread_for_python
 
@@ -54,13 +52,32 @@ def record_messages(records: DataFrame, per_message: int = 6) -> DataFrame:
 
 
 def record_responses(records: DataFrame) -> DataFrame:
-    """One response per record, built JVM-side: the record's own question and the record in
-    ANSWER, owner name compressed. Output ``question, wire``; narrow, no Python worker."""
+    """One response per record: the record's own question and the record in ANSWER, owner
+    name compressed. Output ``question, wire``; narrow (one Arrow pass per batch)."""
     cols = records.columns
-    return spread_for_python(records).select(
-        F.concat_ws("\t", "name", "dclass", "type").alias("question"),
-        record_response_wire(cols).alias("wire"),
-    )
+    tcodes: dict[str, int] = {}
+    ccodes: dict[str, int] = {}
+
+    def run(batches):
+        for batch in batches:
+            d = batch.to_pydict()
+            keys, wires = [], []
+            for i, vals in enumerate(zip(*[d[c] for c in cols])):
+                rec = dict(zip(cols, vals))
+                t = rec["type"]
+                tc = tcodes.get(t)
+                if tc is None:
+                    tc = tcodes[t] = type_code(t)
+                dc = rec.get("dclass") or "IN"
+                cc = ccodes.get(dc)
+                if cc is None:
+                    cc = ccodes[dc] = class_code(dc)
+                keys.append(f"{rec['name']}\t{dc}\t{t}")
+                wires.append(record_response(i, rec, tc, cc))
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(wires, pa.binary())],
+                                             names=["question", "wire"])
+
+    return spread_for_python(records.select(*cols)).mapInArrow(run, RESPONSE_SCHEMA)
 
 
 def parent_zone(name: str) -> str:

@@ -42,8 +42,17 @@ def write_responses(df: DataFrame, path: str, format: str = "parquet", mode: str
     if format == "parquet":
         df.select("question", "wire").write.mode(mode).parquet(path)
     elif format == "sequence":
-        df.select("question", "wire").rdd.map(lambda r: (r[0], bytearray(r[1]))).saveAsSequenceFile(
-            path, "org.apache.hadoop.io.compress.DefaultCodec"
+        # Key and value classes are given, so no pass is spent sampling the data for them.
+        df.select("question", "wire").rdd.map(lambda r: (r[0], bytearray(r[1]))).saveAsNewAPIHadoopFile(
+            path,
+            "org.apache.hadoop.mapreduce.lib.output.SequenceFileOutputFormat",
+            keyClass="org.apache.hadoop.io.Text",
+            valueClass="org.apache.hadoop.io.BytesWritable",
+            conf={
+                "mapreduce.output.fileoutputformat.compress": "true",
+                "mapreduce.output.fileoutputformat.compress.type": "BLOCK",
+                "mapreduce.output.fileoutputformat.compress.codec": "org.apache.hadoop.io.compress.DefaultCodec",
+            },
         )
     else:
         raise ValueError(f"unknown format {format!r}")
