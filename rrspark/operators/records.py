@@ -60,3 +60,10 @@ def conform(df: DataFrame, schema: T.StructType = RR_SCHEMA) -> DataFrame:
     """Add any missing record field as a typed NULL column, keeping the existing ones."""
     missing = {f.name: F.lit(None).cast(f.dataType) for f in schema.fields if f.name not in df.columns}
     return df.withColumns(missing) if missing else df
+
+
+def partition_sorted(df: DataFrame, cols: list[str], partitions: int | None = None) -> DataFrame:
+    """Hash-partition on ``cols`` and sort inside each partition (stage outputs sorted by key
+    per output file). Off by default: it costs a shuffle that no result needs."""
+    parted = df.repartition(partitions, *cols) if partitions else df.repartition(*cols)
+    return parted.sortWithinPartitions(*cols)
