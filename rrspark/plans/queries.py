@@ -89,8 +89,10 @@ SELECT r.name, r.type, r.dclass, r.name || chr(9) || r.dclass || chr(9) || r.typ
 FROM requests r LEFT JOIN answers a ON r.name = a.name AND r.type = a.type AND r.dclass = a.dclass"""
 
 
+# The recorded answers are one row per (name, type, class) by construction (GROUP BY), so
+# the queries tell ``resolve`` instead of letting it reduce them again.
 def _attempts(spark, sf_dir) -> DataFrame:
-    return resolve(fixture(spark, sf_dir, "requests"), spark.table("answers"))
+    return resolve(fixture(spark, sf_dir, "requests"), spark.table("answers"), answers_unique=True)
 
 
 @register("q03_resolve", ATTEMPTS_SQL)
@@ -465,7 +467,7 @@ SELECT DISTINCT dclass, name, type, addr, CAST(NULL AS VARCHAR) AS addrv6, targe
 def q26_resolve_decode(spark, sf_dir):
     """Requests resolved against recorded responses, successful responses decoded, deduped."""
     reqs = fixture(spark, sf_dir, "requests")
-    attempts = resolve(reqs, answers_with_wire(spark.table("answers")))
+    attempts = resolve(reqs, answers_with_wire(spark.table("answers")), answers_unique=True)
     recs = decode_responses(responses(attempts))
     return distinct_records(recs.select(*DECODED_COLS.split(", ")))
 
@@ -500,7 +502,7 @@ FROM (SELECT a.name, a.type, a.dclass, a.ms, a.rcode FROM requests r JOIN answer
 @register("q28_response_text", _q28_oracle())
 def q28_response_text(spark, sf_dir):
     """Dump view: ``key: message`` text of every response received for the requests."""
-    attempts = resolve(fixture(spark, sf_dir, "requests"), answers_with_wire(spark.table("answers")))
+    attempts = resolve(fixture(spark, sf_dir, "requests"), answers_with_wire(spark.table("answers")), answers_unique=True)
     return response_text(decode_messages(responses(attempts)))
 
 
