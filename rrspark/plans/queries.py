@@ -23,6 +23,7 @@ from ..operators.records import distinct_records, records_from_json, records_to_
 from ..session import scratch_path
 from ..sinks.files import store, write_by_type, write_cells, write_responses
 from ..sources.files import read_domains, read_responses
+from .pipeline import run_chain
 from .wire_fixtures import answers_with_wire, record_messages, record_responses, synthetic_lookup_factory
 from .fixtures import fixture, with_fixtures
 
@@ -437,9 +438,9 @@ PIPELINE_EXTRACT = "named_struct('addr', addr, 'cc', cc, 'country', country)"
 )
 def q25_pipeline(spark, sf_dir):
     """Whole chain in one job: raw responses -> decode -> distinct -> geo -> filter -> extract."""
-    recs = distinct_records(decode_responses(_rr_messages(spark, sf_dir)).select(*RR_FIELDS_NO_TTL))
-    enriched = enrich_geo(recs, fixture(spark, sf_dir, "blocks"))
-    return extract_values(filter_records(enriched, PIPELINE_FILTER), PIPELINE_EXTRACT)
+    chain = run_chain(_rr_messages(spark, sf_dir), fixture(spark, sf_dir, "blocks"), PIPELINE_FILTER,
+                      PIPELINE_EXTRACT, fields=RR_FIELDS_NO_TTL)
+    return chain.values
 
 
 DECODED_COLS = "dclass, name, type, addr, addrv6, target, priority, alias, host, admin, serial"
