@@ -23,6 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ship_package
+
 KEY = ["name", "type", "dclass"]
 OUTCOMES = ("ok", "timeout", "failure", "parse_failure")
 
@@ -155,6 +157,7 @@ def resolve_with(
     ``(rcode, wire)``; it raises ``TimeoutError`` for a timeout and ``OSError`` for a failed
     lookup. The factory runs once per task; up to ``threads`` lookups run at once per task.
     ``partitions`` spreads requests evenly first (round-robin, so no key can skew it)."""
+    ship_package(requests.sparkSession)
     df = requests.select("name", "type", "dclass").withColumn("__valid", valid_name("name"))
     if partitions:
         df = df.repartition(partitions)

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from ..functions.wire import encode_message, header_flags, record_response
 from ..schema import RCODE_NAMES, class_code, type_code
-from ..session import spread_for_python
+from ..session import ship_package, spread_for_python
 
 RESPONSE_SCHEMA = T.StructType([T.StructField("question", T.StringType()), T.StructField("wire", T.BinaryType())])
 _RCODE = {v: k for k, v in RCODE_NAMES.items()}
@@ -144,6 +144,7 @@ def answers_with_wire(answers: DataFrame) -> DataFrame:
                 names=[f.name for f in ANSWER_WIRE_SCHEMA.fields],
             )
 
+    ship_package(answers.sparkSession)
     return answers.select("name", "type", "dclass", "ms", "outcome", "rcode").mapInArrow(run, ANSWER_WIRE_SCHEMA)
 
 

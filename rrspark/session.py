@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+import io
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -53,13 +56,53 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def spread_for_python(df):
-    """Give a Python (Arrow) stage at least one partition per core. Large inputs already have
-    many partitions and pass through untouched; a small input held in one file or row group
-    is spread round-robin (no key, so no skew) instead of running as one task."""
+    """Prepare a Python (Arrow) stage: ship this package to the workers, and give the stage
+    at least one partition per core. Large inputs already have many partitions and pass
+    through untouched; a small input held in one file or row group is spread round-robin
+    (no key, so no skew) instead of running as one task."""
+    spark = df.sparkSession
+    ship_package(spark)
     if df.isStreaming:  # micro-batches keep the source's partitioning
         return df
-    spark = df.sparkSession
     target = spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
     return df
+
+
+_SHIPPED: set[tuple[str, str]] = set()
+PACKAGE_DIR = os.path.dirname(os.path.abspath(__file__))
+
+
+def _package_zip() -> tuple[bytes, str]:
+    buf = io.BytesIO()
+    root = os.path.dirname(PACKAGE_DIR)
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in sorted(os.walk(PACKAGE_DIR)):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    p = os.path.join(d, f)
+                    z.write(p, os.path.relpath(p, root))
+    data = buf.getvalue()
+    return data, hashlib.sha1(data).hexdigest()[:12]
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers (as ``--py-files`` would), once per
+    application. The zip is written where the driver keeps its own files: the checkpoint dir
+    when it is a local path, else next to the package; Spark then serves it to executors."""
+    sc = spark.sparkContext
+    data, digest = _package_zip()
+    key = (sc.applicationId, digest)
+    if key in _SHIPPED:
+        return
+    ckpt = spark.conf.get(CHECKPOINT_CONF, None) or ""
+    local_ckpt = ckpt.startswith("file:") or (ckpt and "://" not in ckpt)
+    base = ckpt.replace("file:", "", 1) if local_ckpt else os.path.join(os.path.dirname(PACKAGE_DIR), ".pyfiles")
+    os.makedirs(base, exist_ok=True)
+    path = os.path.join(base, f"rrspark-{digest}.zip")
+    if not os.path.exists(path):
+        with open(path, "wb") as fh:
+            fh.write(data)
+    sc.addPyFile(path)
+    _SHIPPED.add(key)
