@@ -7,7 +7,7 @@ domain-mining workflow:
     filter   EXPR IN OUT [--by-type]                                       (records -> subset)
     extract  EXPR IN OUT [--keep-quotes]                                   (records -> distinct values)
     store    IN OUT [--events TABLE:TYPE] [--edges TABLE:TYPE:a:b,c:d] [--no-reverse] [--no-stats]
-    dump     IN                                                            (responses -> text lines)
+    dump     IN OUT                                                        (responses -> text files)
 
 Expressions are Spark SQL. Every stage reads and writes Parquet unless told otherwise and
 prints its counters as one JSON line.
@@ -101,9 +101,8 @@ def cmd_store(spark: SparkSession, a) -> None:
 
 
 def cmd_dump(spark: SparkSession, a) -> None:
-    for row in response_text(decode_messages(read_responses(spark, a.input, a.in_format))).toLocalIterator():
-        print(row.text)
-        print("---")
+    """``key: message`` lines written as text files by the executors (not through the driver)."""
+    response_text(decode_messages(read_responses(spark, a.input, a.in_format))).write.mode("overwrite").text(a.out)
 
 
 def parser() -> argparse.ArgumentParser:
@@ -158,6 +157,7 @@ def parser() -> argparse.ArgumentParser:
 
     d = sub.add_parser("dump")
     d.add_argument("input")
+    d.add_argument("out")
     d.add_argument("--in-format", choices=["parquet", "sequence"], default="parquet")
     return p
 

@@ -22,6 +22,9 @@ def test_stage_jobs_chain(spark, sf_dir, capsys):
     assert totals["num_requests"] == 3 * spark.read.text(domains).count()
     assert totals["responses"] > 0 and totals["request_timeouts"] > 0
 
+    main(["dump", f"{base}/raw", f"{base}/dump"], spark)
+    first = spark.read.text(f"{base}/dump").first().value
+    assert "\t" in first and ': {"opcode":"QUERY"' in first
     main(["parse", f"{base}/raw", f"{base}/parsed"], spark)
     assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["parse_failures"] == 0
     main(["geo", f"{base}/parsed", f"{base}/geo", "--blocks", blocks], spark)
