@@ -94,10 +94,19 @@ def register_tables(spark: SparkSession, sf_dir: str, tables: list[str] | None =
         spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
 
 
+_REGISTERED: dict[tuple[int, str], str] = {}
+
+
 def register_fixtures(spark: SparkSession, sf_dir: str) -> None:
+    """Register base tables and fixtures as temporary views, once per session and directory
+    (file listing and footer reads are not repeated for every query)."""
+    key = (id(spark), spark.sparkContext.applicationId)
+    if _REGISTERED.get(key) == sf_dir and all(spark.catalog.tableExists(n) for n in FIXTURE_ORDER):
+        return
     register_tables(spark, sf_dir, ["lineitem", "nation", "pages", "events"])
     for name in FIXTURE_ORDER:
         spark.sql(SPARK_FIXTURE_SQL[name]).createOrReplaceTempView(name)
+    _REGISTERED[key] = sf_dir
 
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
