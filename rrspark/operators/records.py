@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import ENRICHED_SCHEMA, RR_SCHEMA
+from ..session import spread_small_input
 
 
 def drop_ttl(df: DataFrame) -> DataFrame:
@@ -24,7 +25,7 @@ def distinct_records(df: DataFrame, ignore_ttl: bool = True) -> DataFrame:
 
 def records_to_json(df: DataFrame, column: str = "json") -> DataFrame:
     """Each record as one JSON object; NULL fields are left out (absent key)."""
-    return df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias(column))
+    return spread_small_input(df).select(F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias(column))
 
 
 def records_from_json(

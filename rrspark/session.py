@@ -55,21 +55,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
 
 
-def spread_for_python(df):
-    """Prepare a Python (Arrow) stage: ship this package to the workers, and give the stage
-    at least one partition per core. Large inputs already have many partitions and pass
-    through untouched; a small input held in one file or row group is spread round-robin
-    (no key, so no skew) instead of running as one task."""
-    spark = df.sparkSession
-    ship_package(spark)
+def spread_small_input(df):
+    """Give a stage with heavy per-row work at least one partition per core. Large inputs
+    already have many partitions and pass through untouched (the check is planning only);
+    a small input held in one file or row group is spread round-robin (no key, so no skew)
+    instead of running as one task."""
     if df.isStreaming:  # micro-batches keep the source's partitioning
         return df
-    target = spark.sparkContext.defaultParallelism
+    target = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
     return df
 
 
+def spread_for_python(df):
+    """Prepare a Python (Arrow) stage: ship this package to the workers and spread a small
+    input over the cores."""
+    ship_package(df.sparkSession)
+    return spread_small_input(df)
+
+
 _SHIPPED: set[tuple[str, str]] = set()
 PACKAGE_DIR = os.path.dirname(os.path.abspath(__file__))
 
