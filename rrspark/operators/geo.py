@@ -21,7 +21,6 @@ from pyspark.sql import types as T
 
 from ..functions.columns import full_match, ipv4_to_long, is_private_ipv4
 from ..schema import ASN_PATTERN, GEO_FIELDS, PRIVATE_LABEL, UNKNOWN_LABEL, ZERO_COORD
-from ..session import spread_small_input
 
 LOCATION_FIELDS = ["city", "cc", "country", "lat", "long"]
 DEFAULT_BUCKET_BITS = 16
@@ -135,7 +134,7 @@ def enrich_geo(
     Duplicates are kept (no deduplication at this stage).
     """
     cols = df.columns
-    base = spread_small_input(df)
+    base = df
     for f in GEO_FIELDS:
         if f not in cols:
             base = base.withColumn(f, F.lit(None).cast("string"))

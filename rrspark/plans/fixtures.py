@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import spread_small_input
+
 BASE_TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -96,6 +98,11 @@ def register_tables(spark: SparkSession, sf_dir: str, tables: list[str] | None =
 
 _REGISTERED: dict[tuple[int, str], str] = {}
 
+# Fixtures that stand in for large input tables and are plain scans of one local file: when
+# that file gives fewer partitions than cores (one row group), they are spread, as the many
+# files of a real input would be. (Plain scans only, so the check runs nothing.)
+SCAN_FIXTURES = {"rr"}
+
 
 def register_fixtures(spark: SparkSession, sf_dir: str) -> None:
     """Register base tables and fixtures as temporary views, once per session and directory
@@ -105,7 +112,10 @@ def register_fixtures(spark: SparkSession, sf_dir: str) -> None:
         return
     register_tables(spark, sf_dir, ["lineitem", "nation", "pages", "events"])
     for name in FIXTURE_ORDER:
-        spark.sql(SPARK_FIXTURE_SQL[name]).createOrReplaceTempView(name)
+        df = spark.sql(SPARK_FIXTURE_SQL[name])
+        if name in SCAN_FIXTURES:
+            df = spread_small_input(df)
+        df.createOrReplaceTempView(name)
     _REGISTERED[key] = sf_dir
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from ..functions.wire import encode_message, header_flags, record_response
 from ..schema import RCODE_NAMES, class_code, type_code
-from ..session import ship_package, spread_for_python
+from ..session import ship_package
 
 RESPONSE_SCHEMA = T.StructType([T.StructField("question", T.StringType()), T.StructField("wire", T.BinaryType())])
 _RCODE = {v: k for k, v in RCODE_NAMES.items()}
@@ -48,7 +48,8 @@ def record_messages(records: DataFrame, per_message: int = 6) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(wires, pa.binary())],
                                              names=["question", "wire"])
 
-    return spread_for_python(records.select(*cols)).mapInArrow(run, RESPONSE_SCHEMA)
+    ship_package(records.sparkSession)
+    return records.select(*cols).mapInArrow(run, RESPONSE_SCHEMA)
 
 
 def record_responses(records: DataFrame) -> DataFrame:
@@ -77,7 +78,8 @@ def record_responses(records: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(wires, pa.binary())],
                                              names=["question", "wire"])
 
-    return spread_for_python(records.select(*cols)).mapInArrow(run, RESPONSE_SCHEMA)
+    ship_package(records.sparkSession)
+    return records.select(*cols).mapInArrow(run, RESPONSE_SCHEMA)
 
 
 def parent_zone(name: str) -> str:

@@ -56,10 +56,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def spread_small_input(df):
-    """Give a stage with heavy per-row work at least one partition per core. Large inputs
-    already have many partitions and pass through untouched (the check is planning only);
-    a small input held in one file or row group is spread round-robin (no key, so no skew)
-    instead of running as one task."""
+    """Spread a small scan over the cores: when a plain file scan yields fewer partitions than
+    cores (one file, one row group), repartition it round-robin (no key, so no skew). Inputs
+    of many files pass through untouched. Use it on scans only: on a plan with a shuffle,
+    asking for the partition count makes AQE run that shuffle first."""
     if df.isStreaming:  # micro-batches keep the source's partitioning
         return df
     target = df.sparkSession.sparkContext.defaultParallelism
@@ -68,13 +68,6 @@ def spread_small_input(df):
     return df
 
 
-def spread_for_python(df):
-    """Prepare a Python (Arrow) stage: ship this package to the workers and spread a small
-    input over the cores."""
-    ship_package(df.sparkSession)
-    return spread_small_input(df)
-
-
 _SHIPPED: set[tuple[str, str]] = set()
 PACKAGE_DIR = os.path.dirname(os.path.abspath(__file__))
 
