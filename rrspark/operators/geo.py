@@ -101,12 +101,12 @@ def range_lookup(
 
 def _fits_broadcast(b: DataFrame, max_rows: int, max_bytes: int) -> bool:
     """Measure the bucketed range table: row count and the bytes of its columns (one scan
-    of a reference table, stopped after ``max_rows + 1`` rows)."""
+    of the reference table, which is small next to the records)."""
     width = sum(
         (F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)) if isinstance(f.dataType, (T.StringType, T.BinaryType)) else F.lit(8))
         for f in b.schema.fields
     )
-    m = b.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width + F.lit(16)).alias("bytes")).first()
+    m = b.agg(F.count(F.lit(1)).alias("n"), F.sum(width + F.lit(16)).alias("bytes")).first()
     return m["n"] <= max_rows and (m["bytes"] or 0) <= max_bytes
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,16 +32,20 @@ def records_from_json(
     column: str = "json",
     schema: T.StructType | None = None,
     on_bad: str = "fail",
+    observation: Observation | None = None,
 ) -> DataFrame:
     """Parse JSON record text into the fixed record schema.
 
     ``on_bad="fail"`` raises on the first malformed line (geo/filter/extract behaviour);
-    ``"drop"`` skips such lines; ``"keep"`` keeps them with all fields NULL and a
-    ``_corrupt`` column holding the text.
+    ``"drop"`` skips such lines; ``"count"`` skips them and counts ``bad_records`` /
+    ``records`` into ``observation`` in the same pass (storage behaviour); ``"keep"`` keeps
+    them with all fields NULL and a ``_corrupt`` column holding the text.
     """
     schema = schema or ENRICHED_SCHEMA
-    if on_bad not in ("fail", "drop", "keep"):
-        raise ValueError("on_bad must be 'fail', 'drop' or 'keep'")
+    if on_bad not in ("fail", "drop", "count", "keep"):
+        raise ValueError("on_bad must be 'fail', 'drop', 'count' or 'keep'")
+    if on_bad == "count" and observation is None:
+        raise ValueError("on_bad='count' needs an Observation")
     if on_bad == "fail":
         parsed = F.from_json(F.col(column), schema, {"mode": "FAILFAST"})
         return df.select(parsed.alias("r")).select("r.*")
@@ -51,6 +55,10 @@ def records_from_json(
     out = df.select(r.alias("r"), F.col(column).alias("_text"))
     bad = F.col("r").isNull() | F.col("r._corrupt").isNotNull()
     fields = [F.col(f"r.{f.name}").alias(f.name) for f in schema.fields]
+    if on_bad == "count":
+        out = out.withColumn("__bad", bad).observe(
+            observation, F.count_if(F.col("__bad")).alias("bad_records"), F.count_if(~F.col("__bad")).alias("records"))
+        return out.where(~F.col("__bad")).select(*fields)
     if on_bad == "drop":
         return out.where(~bad).select(*fields)
     return out.select(*fields, F.when(bad, F.col("_text")).alias("_corrupt"))

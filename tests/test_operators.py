@@ -184,6 +184,9 @@ def test_t8_bad_json(spark):
     assert records_from_json(lines, on_bad="drop").count() == 2
     kept = records_from_json(lines, on_bad="keep").where("_corrupt IS NOT NULL").count()
     assert kept == 1
+    obs = Observation("json")
+    assert records_from_json(lines, on_bad="count", observation=obs).count() == 2
+    assert obs.get == {"bad_records": 1, "records": 2}
     s = store_summary(lines).first()
     assert (s.bad_records, s.records_stored, s.failed_store, s.total) == (1, 1, 1, 2)
 
