@@ -97,7 +97,10 @@ def ship_package(spark: SparkSession) -> None:
     ckpt = spark.conf.get(CHECKPOINT_CONF, None) or ""
     local_ckpt = ckpt.startswith("file:") or (ckpt and "://" not in ckpt)
     base = ckpt.replace("file:", "", 1) if local_ckpt else os.path.join(os.path.dirname(PACKAGE_DIR), ".pyfiles")
-    os.makedirs(base, exist_ok=True)
+    try:
+        os.makedirs(base, exist_ok=True)
+    except OSError:  # read-only code directory: a private folder, only the source for addPyFile
+        base = tempfile.mkdtemp(prefix="rrspark-pyfiles-")
     path = os.path.join(base, f"rrspark-{digest}.zip")
     if not os.path.exists(path):
         with open(path, "wb") as fh:
