@@ -28,30 +28,28 @@ DECODED_SCHEMA = T.StructType(list(RR_SCHEMA.fields) + [T.StructField("__error",
 def _decode_batches(wire_col: str, txt_mode: str):
     names = [n for n, _ in RR_FIELDS]
     types = [_ARROW[type(t)] for _, t in RR_FIELDS]
+    rdata_txt = txt_mode == "rdata"
 
     def run(batches):
         for batch in batches:
-            cols: dict[str, list] = {n: [] for n in names}
-            errors: list = []
+            recs: list[dict] = []
+            add = recs.append
             for wire in batch.column(wire_col).to_pylist():
                 try:
                     if wire is None:
                         raise WireError("no message")
                     msg = decode_message(wire)
                 except (WireError, ValueError, IndexError) as e:  # counted, not raised
-                    for n in names:
-                        cols[n].append(None)
-                    errors.append(str(e) or type(e).__name__)
+                    add({"__error": str(e) or type(e).__name__})
                     continue
                 for section in EMIT_SECTIONS:
                     for rec in msg[section]:
-                        if txt_mode == "rdata" and "__txt_rdata" in rec:
+                        if rdata_txt and "__txt_rdata" in rec:
                             rec["text"] = rec["__txt_rdata"]
-                        for n in names:
-                            cols[n].append(rec.get(n))
-                        errors.append(None)
-            arrays = [pa.array(cols[n], type=t) for n, t in zip(names, types)]
-            arrays.append(pa.array(errors, type=pa.string()))
+                        add(rec)
+            # one pass per field over the batch's records (absent field = NULL)
+            arrays = [pa.array([r.get(n) for r in recs], type=t) for n, t in zip(names, types)]
+            arrays.append(pa.array([r.get("__error") for r in recs], type=pa.string()))
             yield pa.RecordBatch.from_arrays(arrays, names=names + ["__error"])
 
     return run
