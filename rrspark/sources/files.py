@@ -26,10 +26,9 @@ def read_responses(spark: SparkSession, path: str, format: str = "parquet") -> D
     if format == "parquet":
         return spark.read.parquet(path).select("question", "wire")
     if format == "sequence":
-        rdd = spark.sparkContext.sequenceFile(
-            path, "org.apache.hadoop.io.Text", "org.apache.hadoop.io.BytesWritable"
-        ).map(lambda kv: (kv[0], bytes(kv[1])))
-        return spark.createDataFrame(rdd, RESPONSE_SCHEMA)
+        # Text and BytesWritable arrive as (str, bytearray) pairs, which fit the schema as they are.
+        rdd = spark.sparkContext.sequenceFile(path, "org.apache.hadoop.io.Text", "org.apache.hadoop.io.BytesWritable")
+        return spark.createDataFrame(rdd, RESPONSE_SCHEMA, verifySchema=False)
     raise ValueError(f"unknown format {format!r}")
 
 
