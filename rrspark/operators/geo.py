@@ -1,8 +1,10 @@
 """IPv4 location and owner enrichment (J1, J2, J4, P11, F6).
 
-Range lookup as an equi-join: every range is exploded to the fixed-width buckets it covers
-(``ip >> bucket_bits``), addresses join on their bucket, and ``BETWEEN`` picks the range.
-Spark then plans a hash join instead of a nested loop. Ranges must not overlap.
+Range lookup as an equi-join: every range is exploded to the fixed-width buckets it covers,
+addresses join on their bucket, and ``BETWEEN`` picks the range. Spark then plans a hash
+join instead of a nested loop. Ranges must not overlap. Two bucket levels keep the work per
+address small: ranges of a /16 or wider use /16 buckets (at most two meet a bucket),
+narrower ranges use /24 buckets.
 
 Two physical paths, chosen by the measured size of the bucketed range table:
 
@@ -24,6 +26,7 @@ from ..schema import ASN_PATTERN, GEO_FIELDS, PRIVATE_LABEL, UNKNOWN_LABEL, ZERO
 
 LOCATION_FIELDS = ["city", "cc", "country", "lat", "long"]
 DEFAULT_BUCKET_BITS = 16
+DEFAULT_FINE_BITS = 8
 DEFAULT_BROADCAST_ROWS = 1_000_000
 DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
 # Records without a lookup key are spread over this many negative keys in the shuffle path,
@@ -59,35 +62,55 @@ def range_lookup(
     start: str = "start_ip",
     end: str = "end_ip",
     broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
+    fine_bits: int | None = DEFAULT_FINE_BITS,
 ) -> DataFrame:
     """Left range join: ``keys`` plus ``<prefix>found`` and ``<prefix><payload>`` columns.
 
-    ``ip_col`` is a long (NULL = no lookup). See the module text for the two paths; the
-    broadcast one is taken only when the bucketed range table is measured to be at most
-    ``broadcast_rows`` rows and about ``broadcast_bytes`` bytes."""
-    b = bucket_ranges(ranges, bucket_bits, start, end).select(
-        F.col("__bucket").alias(f"{prefix}bucket"),
-        F.col(start).alias(f"{prefix}start"),
-        F.col(end).alias(f"{prefix}end"),
-        *[F.col(p).alias(f"{prefix}{p}") for p in payload],
-    )
-    small = _fits_broadcast(b, broadcast_rows, broadcast_bytes)
-
-    def join(left: DataFrame, right: DataFrame) -> DataFrame:
+    ``ip_col`` is a long (NULL = no lookup). Ranges at least ``2**bucket_bits`` wide are
+    bucketed by ``ip >> bucket_bits`` (at most two of them meet any bucket, since ranges do
+    not overlap); narrower ranges by ``ip >> fine_bits``, so a bucket dense with small ranges
+    costs a probe at most ``2**fine_bits`` candidates, not every small range of the coarse
+    bucket. ``fine_bits=None`` uses one level. See the module text for the two physical
+    paths; the broadcast one is taken only when the bucketed tables are measured to be at
+    most ``broadcast_rows`` rows and about ``broadcast_bytes`` bytes."""
+    r = ranges.select(F.col(start).alias("__s"), F.col(end).alias("__e"), *[F.col(p) for p in payload])
+    wide = (F.col("__e") - F.col("__s") + F.lit(1)) >= F.lit(1 << bucket_bits)
+    levels = [(bucket_bits, wide)] if fine_bits is None else [(bucket_bits, wide), (fine_bits, ~wide)]
+    tables = []
+    for i, (bits, cond) in enumerate(levels):
+        p = f"{prefix}{i}_"
+        tables.append((bits, p, bucket_ranges(r.where(cond), bits, "__s", "__e").select(
+            F.col("__bucket").alias(f"{p}bucket"), F.col("__s").alias(f"{p}start"), F.col("__e").alias(f"{p}end"),
+            *[F.col(x).alias(f"{p}{x}") for x in payload],
+        )))
+    small = _fits_broadcast(r, levels, broadcast_rows, broadcast_bytes)
+
+    def join(left: DataFrame, bits: int, p: str, right: DataFrame) -> DataFrame:
         ip = F.col(ip_col)
-        cond = (F.shiftright(ip, bucket_bits) == F.col(f"{prefix}bucket")) & ip.between(
-            F.col(f"{prefix}start"), F.col(f"{prefix}end")
-        )
+        cond = (F.shiftright(ip, bits) == F.col(f"{p}bucket")) & ip.between(F.col(f"{p}start"), F.col(f"{p}end"))
         out = left.join(right, cond, "left")
-        return out.withColumn(f"{prefix}found", F.col(f"{prefix}start").isNotNull()).drop(
-            f"{prefix}bucket", f"{prefix}start", f"{prefix}end"
-        )
+        return out.withColumn(f"{p}found", F.col(f"{p}start").isNotNull()).drop(f"{p}bucket", f"{p}start", f"{p}end")
+
+    def lookup(left: DataFrame, broadcast: bool) -> DataFrame:
+        for bits, p, t in tables:
+            left = join(left, bits, p, F.broadcast(t) if broadcast else t)
+        found = None
+        for _, p, _ in tables:
+            found = F.col(f"{p}found") if found is None else (found | F.col(f"{p}found"))
+        merged = {f"{prefix}found": found}
+        for x in payload:
+            v = None
+            for _, p, _ in reversed(tables):
+                v = F.col(f"{p}{x}") if v is None else F.when(F.col(f"{p}found"), F.col(f"{p}{x}")).otherwise(v)
+            merged[f"{prefix}{x}"] = v
+        temp = [f"{p}{x}" for _, p, _ in tables for x in payload + ["found"]]
+        return left.withColumns(merged).drop(*temp)
 
     if small:
-        return join(keys, F.broadcast(b))
+        return lookup(keys, broadcast=True)
     if not dedupe_keys:
-        return join(keys, b)
-    looked = join(keys.select(ip_col).where(F.col(ip_col).isNotNull()).distinct(), b)
+        return lookup(keys, broadcast=False)
+    looked = lookup(keys.select(ip_col).where(F.col(ip_col).isNotNull()).distinct(), broadcast=False)
     # Join back on the address. Rows without one get a distinct negative key that matches
     # nothing, spread by a hash of the row (repeatable on retry), instead of one NULL key.
     spread = F.lit(-1) - F.pmod(F.xxhash64(*[F.col(c) for c in keys.columns]), F.lit(NULL_KEY_SPREAD))
@@ -99,15 +122,19 @@ def range_lookup(
     )
 
 
-def _fits_broadcast(b: DataFrame, max_rows: int, max_bytes: int) -> bool:
-    """Measure the bucketed range table: row count and the bytes of its columns (one scan
-    of the reference table, which is small next to the records)."""
+def _fits_broadcast(r: DataFrame, levels, max_rows: int, max_bytes: int) -> bool:
+    """Measure what the bucketed tables would hold, in one pass over the range table and
+    without exploding it: rows = buckets touched per range, bytes = rows x row width."""
     width = sum(
         (F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)) if isinstance(f.dataType, (T.StringType, T.BinaryType)) else F.lit(8))
-        for f in b.schema.fields
-    )
-    m = b.agg(F.count(F.lit(1)).alias("n"), F.sum(width + F.lit(16)).alias("bytes")).first()
-    return m["n"] <= max_rows and (m["bytes"] or 0) <= max_bytes
+        for f in r.schema.fields
+    ) + F.lit(24)
+    rows = None
+    for bits, cond in levels:
+        n = F.when(cond, F.shiftright(F.col("__e"), bits) - F.shiftright(F.col("__s"), bits) + F.lit(1)).otherwise(F.lit(0))
+        rows = n if rows is None else rows + n
+    m = r.agg(F.sum(rows).alias("n"), F.sum(rows * width).alias("bytes")).first()
+    return (m["n"] or 0) <= max_rows and (m["bytes"] or 0) <= max_bytes
 
 
 def enrich_geo(

@@ -123,21 +123,28 @@ def test_geo_asn_table_and_owner_pattern(spark):
     assert (out["b."].asn, out["b."].org) == (None, None)
 
 
-def test_geo_bucketed_equals_nested_loop(spark):
+@pytest.mark.parametrize("broadcast_rows", [2_000_000, 0])
+def test_geo_bucketed_equals_nested_loop(spark, broadcast_rows):
     import random
 
     rnd = random.Random(7)
-    starts = sorted(rnd.sample(range(0, 2**32 - 2**20, 2**18), 60))
-    blocks = [(s, s + rnd.randint(0, 2**18 - 1), f"c{i}") for i, s in enumerate(starts)]
-    addrs = [".".join(str(rnd.randint(0, 255)) for _ in range(4)) for _ in range(400)]
+    # non-overlapping blocks of mixed widths: some span many /16s, some are a few addresses,
+    # several small ones share one /16 and one /24 (both bucket levels are used)
+    blocks, pos = [], 0
+    while pos < 2**32 - 2**22 and len(blocks) < 400:
+        width = rnd.choice([2**22, 2**16, 2**16 + 7, 300, 16, 1, 2**12])
+        blocks.append((pos, pos + width - 1, f"c{len(blocks)}"))
+        pos += width + rnd.choice([0, 0, 5, 2**14, 2**20])
+    addrs = [".".join(str(rnd.randint(0, 255)) for _ in range(4)) for _ in range(300)]
+    addrs += [".".join(str((s + k) >> sh & 255) for sh in (24, 16, 8, 0)) for s, e, _ in blocks[:150] for k in (0, e - s)]
     bdf = spark.createDataFrame(blocks, "start_ip long, end_ip long, cc string")
     df = records(spark, [{"name": f"n{i}.", "type": "A", "addr": a} for i, a in enumerate(addrs)])
-    got = {r.name: r.cc for r in enrich_geo(df, bdf, bucket_bits=12).collect()}
+    got = {r.name: r.cc for r in enrich_geo(df, bdf, broadcast_rows=broadcast_rows).collect()}
     priv = ("10.", "192.168.") + tuple(f"172.{n}." for n in range(16, 32))
     for i, a in enumerate(addrs):
         ip = sum(int(x) << s for x, s in zip(a.split("."), (24, 16, 8, 0)))
         want = "RFC1918" if a.startswith(priv) else next((c.upper() for s, e, c in blocks if s <= ip <= e), "UNKNOWN")
-        assert got[f"n{i}."] == want
+        assert got[f"n{i}."] == want, (a, want, got[f"n{i}."])
 
 
 # --- T6 case kept ----------------------------------------------------------------------------------
