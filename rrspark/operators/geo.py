@@ -76,14 +76,17 @@ def range_lookup(
     r = ranges.select(F.col(start).alias("__s"), F.col(end).alias("__e"), *[F.col(p) for p in payload])
     wide = (F.col("__e") - F.col("__s") + F.lit(1)) >= F.lit(1 << bucket_bits)
     levels = [(bucket_bits, wide)] if fine_bits is None else [(bucket_bits, wide), (fine_bits, ~wide)]
+    small, level_rows = _fits_broadcast(r, levels, broadcast_rows, broadcast_bytes)
+    # A level without ranges gets no join (one level is kept so the columns always exist).
+    keep = [i for i, n in enumerate(level_rows) if n > 0] or [0]
     tables = []
-    for i, (bits, cond) in enumerate(levels):
+    for i in keep:
+        bits, cond = levels[i]
         p = f"{prefix}{i}_"
         tables.append((bits, p, bucket_ranges(r.where(cond), bits, "__s", "__e").select(
             F.col("__bucket").alias(f"{p}bucket"), F.col("__s").alias(f"{p}start"), F.col("__e").alias(f"{p}end"),
             *[F.col(x).alias(f"{p}{x}") for x in payload],
         )))
-    small = _fits_broadcast(r, levels, broadcast_rows, broadcast_bytes)
 
     def join(left: DataFrame, bits: int, p: str, right: DataFrame) -> DataFrame:
         ip = F.col(ip_col)
@@ -122,19 +125,24 @@ def range_lookup(
     )
 
 
-def _fits_broadcast(r: DataFrame, levels, max_rows: int, max_bytes: int) -> bool:
+def _fits_broadcast(r: DataFrame, levels, max_rows: int, max_bytes: int) -> tuple[bool, list[int]]:
     """Measure what the bucketed tables would hold, in one pass over the range table and
-    without exploding it: rows = buckets touched per range, bytes = rows x row width."""
+    without exploding it: rows = buckets touched per range, bytes = rows x row width.
+    Returns (fits, rows per level)."""
     width = sum(
         (F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)) if isinstance(f.dataType, (T.StringType, T.BinaryType)) else F.lit(8))
         for f in r.schema.fields
     ) + F.lit(24)
-    rows = None
-    for bits, cond in levels:
-        n = F.when(cond, F.shiftright(F.col("__e"), bits) - F.shiftright(F.col("__s"), bits) + F.lit(1)).otherwise(F.lit(0))
-        rows = n if rows is None else rows + n
-    m = r.agg(F.sum(rows).alias("n"), F.sum(rows * width).alias("bytes")).first()
-    return (m["n"] or 0) <= max_rows and (m["bytes"] or 0) <= max_bytes
+    per_level = [
+        F.when(cond, F.shiftright(F.col("__e"), bits) - F.shiftright(F.col("__s"), bits) + F.lit(1)).otherwise(F.lit(0))
+        for bits, cond in levels
+    ]
+    rows = per_level[0]
+    for n in per_level[1:]:
+        rows = rows + n
+    m = r.agg(F.sum(rows * width).alias("bytes"), *[F.sum(n).alias(f"n{i}") for i, n in enumerate(per_level)]).first()
+    counts = [int(m[f"n{i}"] or 0) for i in range(len(levels))]
+    return sum(counts) <= max_rows and (m["bytes"] or 0) <= max_bytes, counts
 
 
 def enrich_geo(
