@@ -60,6 +60,8 @@ def json_scalar(c: ColumnOrName, data_type: str) -> Column:
         # Encode inside a one-field struct, then cut the wrapper: '{"v":' (5 chars) and '}'.
         wrapped = F.to_json(F.struct(c.alias("v")))
         return F.when(c.isNotNull(), F.substring(wrapped, F.lit(6), F.length(wrapped) - F.lit(6)))
+    if data_type == "variant":  # a JSON null inside the variant is no result, like a missing field
+        return F.when(~F.is_variant_null(c), F.to_json(c))
     if data_type.startswith(("array", "map", "struct")):
         return F.to_json(c)
     return c.cast("string")

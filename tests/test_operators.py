@@ -285,6 +285,10 @@ def test_extract_json_encode_then_strip(spark):
     assert {r.value for r in extract_values(df, "n").collect()} == {"10", "20", "30"}
     assert {r.value for r in extract_values(df, "array(n, 1)").collect()} == {"[10,1]", "[20,1]", "[30,1]"}
     assert {r.value for r in extract_values(df, "s", strip_outer_quotes=False).collect()} == {'"a\\"b"', '"\\"\\"x\\""'}
+    js = spark.createDataFrame([('{"k": "v\\"1", "n": 2, "z": null}',)], "j string").select(F.parse_json("j").alias("v"))
+    assert extract_values(js, "variant_get(v, '$.z')").count() == 0
+    assert {r.value for r in extract_values(js, "variant_get(v, '$.k')", strip_outer_quotes=False).collect()} == {'"v\\"1"'}
+    assert {r.value for r in extract_values(js, "variant_get(v, '$.n')").collect()} == {"2"}
     c = extract_counts(df, "s").first()
     assert (c.result, c.no_result) == (2, 1)
     once = extract_values(df, "s")
