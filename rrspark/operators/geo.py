@@ -77,6 +77,10 @@ def range_lookup(
     wide = (F.col("__e") - F.col("__s") + F.lit(1)) >= F.lit(1 << bucket_bits)
     levels = [(bucket_bits, wide)] if fine_bits is None else [(bucket_bits, wide), (fine_bits, ~wide)]
     small, level_rows = _fits_broadcast(r, levels, broadcast_rows, broadcast_bytes)
+    if keys.isStreaming and not small:
+        # the shuffle path deduplicates addresses, which on an unbounded input needs unbounded state
+        raise ValueError("range table too large to broadcast for a streaming lookup; "
+                         "raise broadcast_rows/broadcast_bytes if executors can hold it")
     # A level without ranges gets no join (one level is kept so the columns always exist).
     keep = [i for i, n in enumerate(level_rows) if n > 0] or [0]
     tables = []

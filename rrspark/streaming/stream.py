@@ -54,7 +54,7 @@ def record_stream(raw: DataFrame, blocks: DataFrame | None = None, filter_expr:
     """raw responses -> decoded -> deduplicated (within ``delay``) -> enriched -> filtered."""
     recs = dedupe_stream(decode_responses(raw, txt_mode=txt_mode), delay)
     if blocks is not None:
-        recs = enrich_geo(recs, blocks, broadcast_rows=10_000_000)
+        recs = enrich_geo(recs, blocks)  # static, broadcast side (raises if it is too large)
     if filter_expr:
         recs = filter_records(recs, filter_expr)
     return recs

@@ -41,3 +41,14 @@ def test_stream_cell_store(spark, sf_dir):
     q.awaitTermination(300)
     cells = spark.read.parquet(out)
     assert cells.count() > 0 and {r.cq for r in cells.select("cq").distinct().collect()} >= {"NAME", "TYPE", "TARGET"}
+
+
+def test_stream_geo_needs_broadcastable_ranges(spark, sf_dir):
+    import pytest
+    from rrspark.operators.geo import enrich_geo
+
+    src = scratch_path(spark, "stream-src3")
+    record_responses(fixture(spark, sf_dir, "rr").where("type = 'A'")).write.parquet(src)
+    recs = decode_responses(read_response_stream(spark, src))
+    with pytest.raises(ValueError):
+        enrich_geo(recs, fixture(spark, sf_dir, "blocks"), broadcast_rows=1)
