@@ -43,13 +43,15 @@ def valid_name(name: str | Column = "name") -> Column:
 
 
 def pick_nameserver(nameservers: Sequence[str], key: str | Column = "name") -> Column:
-    """Spread requests over nameservers by a hash of the key (repeatable on task retry,
-    unlike a random pick)."""
+    """Spread requests over nameservers by a hash of the key: the first 60 bits of the MD5 of
+    the key, modulo the number of servers. Repeatable on task retry (unlike a random pick)
+    and reproducible by any tool that has MD5."""
     if not nameservers:
         raise ValueError("no nameservers")
     k = F.col(key) if isinstance(key, str) else key
+    h = F.conv(F.substring(F.md5(k.cast("string")), 1, 15), 16, 10).cast("long")
     arr = F.array(*[F.lit(n) for n in nameservers])
-    return F.element_at(arr, (F.pmod(F.xxhash64(k), F.lit(len(nameservers))) + 1).cast("int"))
+    return F.element_at(arr, (F.pmod(h, F.lit(len(nameservers))) + 1).cast("int"))
 
 
 def resolve(requests: DataFrame, answers: DataFrame, answers_unique: bool = False) -> DataFrame:

@@ -17,7 +17,7 @@ from ..operators.decode import decode_messages, decode_responses, parse_failures
 from ..operators.extract import extract_count_columns, extract_values
 from ..operators.filters import filter_count_columns, filter_records, lower_unless_ipv4
 from ..operators.requests import dedupe_requests, expand_requests
-from ..operators.resolve import lookup_summary, rcode_counts, resolve, resolve_with, responses
+from ..operators.resolve import lookup_summary, pick_nameserver, question_key, rcode_counts, resolve, resolve_with, responses
 from ..operators.geo import enrich_geo, geo_counts
 from ..operators.records import distinct_records, records_from_json, records_to_json
 from ..session import scratch_path
@@ -577,6 +577,23 @@ def q35_resolve_with(spark, sf_dir):
     return att.select("name", "type", "dclass", "question", "outcome", "rcode")
 
 
+# Documentation addresses (RFC 5737) standing in for a list of name servers.
+NAMESERVERS = ["192.0.2.53", "198.51.100.53", "203.0.113.53"]
+
+
+@register(
+    "q36_nameserver_choice",
+    "SELECT name || chr(9) || dclass || chr(9) || type AS question, "
+    "CASE CAST(CAST(('0x' || substr(md5(name), 1, 15)) AS BIGINT) % 3 AS INTEGER) "
+    + " ".join(f"WHEN {i} THEN '{ns}'" for i, ns in enumerate(NAMESERVERS))
+    + " END AS nameserver FROM requests",
+)
+def q36_nameserver_choice(spark, sf_dir):
+    """The name server each request goes to (hash of the name, repeatable on retry)."""
+    reqs = fixture(spark, sf_dir, "requests")
+    return reqs.select(question_key().alias("question"), pick_nameserver(NAMESERVERS, "name").alias("nameserver"))
+
+
 def spark_queries() -> dict[str, QueryFn]:
     return dict(_SPARK)
 
