@@ -9,12 +9,14 @@ counted as a parse failure.
 
 from __future__ import annotations
 
+import struct
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.wire import WireError, decode_message
+from ..functions.wire import WireError, decode_message, decode_records
 from ..schema import MESSAGE_SCHEMA, RR_FIELDS, RR_SCHEMA
 from ..session import ship_package
 
@@ -38,15 +40,14 @@ def _decode_batches(wire_col: str, txt_mode: str):
                 try:
                     if wire is None:
                         raise WireError("no message")
-                    msg = decode_message(wire)
-                except (WireError, ValueError, IndexError) as e:  # counted, not raised
+                    found = decode_records(wire)
+                except (WireError, ValueError, IndexError, struct.error) as e:  # counted, not raised
                     add({"__error": str(e) or type(e).__name__})
                     continue
-                for section in EMIT_SECTIONS:
-                    for rec in msg[section]:
-                        if rdata_txt and "__txt_rdata" in rec:
-                            rec["text"] = rec["__txt_rdata"]
-                        add(rec)
+                for rec in found:
+                    if rdata_txt and "__txt_rdata" in rec:
+                        rec["text"] = rec["__txt_rdata"]
+                    add(rec)
             # one pass per field over the batch's records (absent field = NULL)
             arrays = [pa.array([r.get(n) for r in recs], type=t) for n, t in zip(names, types)]
             arrays.append(pa.array([r.get("__error") for r in recs], type=pa.string()))
@@ -127,7 +128,7 @@ def _message_batches(key_col: str | None, wire_col: str):
                     if wire is None:
                         raise WireError("no message")
                     m = decode_message(wire)
-                except (WireError, ValueError, IndexError) as e:
+                except (WireError, ValueError, IndexError, struct.error) as e:
                     rows.append({"question_key": key, "error": str(e) or type(e).__name__})
                     continue
                 row = {"question_key": key, "opcode": m["opcode"], "rcode": m["rcode"], "flags": m["flags"],
