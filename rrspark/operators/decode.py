@@ -20,7 +20,6 @@ from ..functions.wire import WireError, decode_message, decode_records
 from ..schema import MESSAGE_SCHEMA, RR_FIELDS, RR_SCHEMA
 from ..session import ship_package
 
-EMIT_SECTIONS = ("answers", "additional", "authority")  # order records are emitted in
 
 _ARROW = {T.StringType: pa.string(), T.LongType: pa.int64(), T.IntegerType: pa.int32()}
 RR_ARROW = pa.struct([pa.field(n, _ARROW[type(t)]) for n, t in RR_FIELDS])

@@ -24,7 +24,7 @@ from ..session import scratch_path
 from ..sinks.files import store, write_by_type, write_cells, write_responses
 from ..sources.files import read_domains, read_responses
 from .pipeline import run_chain
-from .wire_fixtures import answers_with_wire, record_messages, record_responses, synthetic_lookup_factory
+from .wire_fixtures import answers_with_wire, record_responses, synthetic_lookup_factory
 from .fixtures import fixture, with_fixtures
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
