@@ -49,3 +49,16 @@ def test_type_partitions_prune_and_push_down(spark, sf_dir):
     p = plan(df)
     assert "PartitionFilters: [isnotnull(type" in p and "PushedFilters: [IsNotNull(priority), EqualTo(priority,10)]" in p
     assert "ReadSchema: struct<target:string,priority:int>" in p
+
+
+def test_several_generators_read_records_once(spark, sf_dir):
+    from rrspark.operators.cells import edge_generator, event_generator, generate_cells
+
+    prev = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        d = distinct_records(fixture(spark, sf_dir, "rr"))
+        p = plan(generate_cells(d, [event_generator("ev", "dns"), edge_generator("eg", "dns", "name:addr")]))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", prev)
+    assert p.count("FileScan") == 1 and p.count("Generate") == 1 and "Union" not in p
