@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rrspark.llm import langid, simhash, toxicity
+from rrspark.llm import langid, merkle, packing, sharding, simhash, toxicity
 from rrspark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.compare_edits(table(spark, sf_dir, "documents"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -20,6 +24,14 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_digest(table(spark, sf_dir, "documents"))
+
+
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_digest(table(spark, sf_dir, "documents"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_digest(table(spark, sf_dir, "documents"))
 
@@ -27,7 +39,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict[str, Query]:
     return {
         f.__name__: f for f in (
-            op5_toxicity, op6_language_id, op10_simhash,
+            op4_fingerprints, op5_toxicity, op6_language_id, op8_packing, op9_sharding, op10_simhash,
         )
     }
 
