@@ -6,12 +6,35 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rrspark.llm import langid, merkle, packing, sharding, simhash, toxicity
+from rrspark.llm import langid, merkle, packing, sharding, simhash, topk, toxicity
 from rrspark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, topk.query_set(vectors))
+
+
+OP3_SQL = """
+WITH whole AS (
+  SELECT CAST(vec_id AS BIGINT) AS id,
+         list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.id AS query_id, c.id AS vec_id,
+         CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
+  FROM whole q JOIN whole c ON q.id % 100 = 0 AND c.id <> q.id AND len(c.v) = len(q.v)
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM scored
+)
+SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM ranked WHERE r <= 10
+"""
+
+
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.compare_edits(table(spark, sf_dir, "documents"))
 
@@ -39,10 +62,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict[str, Query]:
     return {
         f.__name__: f for f in (
-            op4_fingerprints, op5_toxicity, op6_language_id, op8_packing, op9_sharding, op10_simhash,
+            op3_topk, op4_fingerprints, op5_toxicity, op6_language_id, op8_packing, op9_sharding, op10_simhash,
         )
     }
 
 
 def llm_oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_topk": OP3_SQL}
