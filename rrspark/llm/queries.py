@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rrspark.llm import langid, merkle, packing, sharding, simhash, topk, toxicity
+from rrspark.llm import langid, merkle, packing, sharding, simhash, topk, toxicity, warc
 from rrspark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,23 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip_digest(table(spark, sf_dir, "pages"))
+
+
+OP7_SQL = """
+WITH payloads AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), firsts AS (
+  SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM payloads
+)
+SELECT CAST(page_id AS BIGINT) AS page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id > first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id > first_id THEN CAST(first_id AS BIGINT) END AS refers_to
+FROM firsts
+"""
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_digest(table(spark, sf_dir, "documents"))
 
@@ -62,10 +79,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict[str, Query]:
     return {
         f.__name__: f for f in (
-            op3_topk, op4_fingerprints, op5_toxicity, op6_language_id, op8_packing, op9_sharding, op10_simhash,
+            op3_topk, op4_fingerprints, op5_toxicity, op6_language_id, op7_warc, op8_packing, op9_sharding, op10_simhash,
         )
     }
 
 
 def llm_oracle_sql() -> dict[str, str]:
-    return {"op3_topk": OP3_SQL}
+    return {"op3_topk": OP3_SQL, "op7_warc": OP7_SQL}
