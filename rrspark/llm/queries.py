@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rrspark.llm import langid, merkle, packing, pii, sharding, simhash, topk, toxicity, warc
+from rrspark.llm import langid, merkle, packing, pii, sentencepiece_dropout, sharding, simhash, topk, toxicity, warc
 from rrspark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_dropout.round_trip_digest(table(spark, sf_dir, "documents"))
+
+
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymised(table(spark, sf_dir, "documents"))
 
@@ -83,7 +87,8 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict[str, Query]:
     return {
         f.__name__: f for f in (
-            op2_pii, op3_topk, op4_fingerprints, op5_toxicity, op6_language_id, op7_warc, op8_packing, op9_sharding, op10_simhash,
+            op1_sentencepiece, op2_pii, op3_topk, op4_fingerprints,
+            op5_toxicity, op6_language_id, op7_warc, op8_packing, op9_sharding, op10_simhash,
         )
     }
 
