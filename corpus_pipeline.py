@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rrspark.llm import langid, simhash, toxicity
+from rrspark.llm import langid, packing, pii, simhash, toxicity
 from rrspark.llm.common import stage, table
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, fitted on the kept rows and their labels, calls toxic go."""
+    """Documents that the classifier, fitted on these rows and their labels, calls toxic go."""
     return toxicity.keep_clean(docs, table(spark, sf_dir, "labels"))
 
 
@@ -23,10 +24,24 @@ def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return simhash.keep_one(docs)
 
 
+def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data becomes pseudonyms; n_chars follows the new text (null texts keep theirs)."""
+    out = pii.pseudonymise(docs)
+    chars = F.coalesce(F.length("text").cast(docs.schema["n_chars"].dataType), F.col("n_chars"))
+    return out.withColumn("n_chars", chars).select(*docs.columns)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The sequences, as op8 returns them."""
+    return packing.packed_digest(docs)
+
+
 STAGES = [
     ("toxicity", toxicity_stage),
     ("language_id", language_stage),
     ("simhash_dedup", simhash_stage),
+    ("pii", pii_stage),
+    ("packing", packing_stage),
 ]
 
 ORACLE_SQL = None  # trained models, XXH64 and byte-pair encoding are beyond SQL; see tests/llm
