@@ -4,9 +4,9 @@ A packer holds at most ``open_bins`` open bins. A bitset has bit f set when some
 places, so the best-fitting bin is the lowest set bit at or above the piece's length. When
 a new bin would exceed the bound, the fullest open bin (lowest set bit) closes.
 
-Every task packs its own rows in the order they come. The bins that result are then packed
-themselves, as pieces as long as they are filled, so half-empty bins of different tasks meet;
-only bin numbers and fills move for that.
+Every task packs its own rows in the order they come. The pieces of bins that are filled to less than
+``TIGHT`` then come together from all tasks, PIECES_PER_TASK a task, and are packed once more; the other
+bins stay as they are.
 """
 
 from __future__ import annotations
@@ -22,11 +22,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rrspark.llm.common import arrow_map, stage
+from rrspark.llm.common import arrow_map, scalar_int, stage
 
 CAPACITY = 1024
 OPEN_BINS = 1024
-BINS_PER_TASK = 200_000
+TIGHT = 0.97
+PIECES_PER_TASK = 200_000
 END_ID = 2
 CACHE_WORDS = 400_000
 
@@ -180,16 +181,17 @@ def pack(rows: DataFrame, length: str = "length", capacity: int = CAPACITY, open
     rows = rows.drop("sequence_id", "offset")
     kept = rows.select(F.struct("*").alias("row"), F.col(length).cast("long").alias("n"))
     first = stage(_packed(kept, "n", ("bin", "at"), capacity, open_bins), "packing-first")
-    fills = first.groupBy("bin").agg(F.sum("n").alias("fill")).where(F.col("fill") < capacity)
-    fills = stage(fills, "packing-fills")
-    tasks = fills.count() // BINS_PER_TASK + 1
-    spread = fills.repartition(tasks, F.xxhash64("bin")).sortWithinPartitions(F.xxhash64("bin"))
-    second = _packed(spread, "fill", ("sequence", "base"), capacity, open_bins).select("bin", "sequence", "base")
-    joined = first.join(second, "bin", "left")
-    # full bins keep their own number; those packed again get negative ones
-    return joined.select(
-        "row.*", F.coalesce(-1 - F.col("sequence"), F.col("bin")).alias("sequence_id"),
-        (F.coalesce(F.col("base"), F.lit(0)) + F.col("at")).alias("offset"))
+    loose = first.groupBy("bin").agg(F.sum("n").alias("fill"), F.count("*").alias("pieces")).where(
+        F.col("fill") < TIGHT * capacity)
+    loose = stage(loose, "packing-loose")
+    tasks = scalar_int(loose.agg(F.sum("pieces")).first()[0]) // PIECES_PER_TASK + 1
+    order = F.xxhash64("bin", "at")
+    again = first.join(loose, "bin", "left_semi").repartition(tasks, order).sortWithinPartitions(order)
+    again = _packed(again.select("row", "n"), "n", ("bin", "at"), capacity, open_bins)
+    # bins packed again get negative numbers
+    both = first.join(loose, "bin", "left_anti").select("row", "bin", "at").unionByName(
+        again.select("row", (-1 - F.col("bin")).alias("bin"), "at"))
+    return both.select("row.*", F.col("bin").alias("sequence_id"), F.col("at").alias("offset"))
 
 
 def packed_digest(docs: DataFrame) -> DataFrame:

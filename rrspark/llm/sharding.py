@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from rrspark.llm.common import arrow_map, scalar_int, stage
 
 TOLERANCE = 0.01
+WHOLE = 0.05  # groups up to this share of a shard are never split
 PROBES = 64
 RANGE_BYTES = 256 << 20
 MIN_RANGES, MAX_RANGES = 4, 4096  # per shard
@@ -100,14 +101,14 @@ def _search(keys: DataFrame, column: str, slack: dict[int, float]) -> dict[int,
             known[t] = next((x for x in found if x.bytes[0] <= t < x.bytes[1]), found[-1])
 
 
-def splitters(keys: DataFrame, slack: dict[int, float]) -> dict[int, Splitter]:
+def splitters(keys: DataFrame, slack: dict[int, float], whole: dict[int, float]) -> dict[int, Splitter]:
     """A splitter of the rows ``h, d, size`` for every target (bytes below it): it misses the
-    target by its slack at most, if single rows allow it."""
+    target by its slack at most, if single rows and groups of up to ``whole`` bytes allow it."""
     out: dict[int, Splitter] = {}
     hot: dict[int, tuple[Interval, list[int]]] = {}
     for t, x in _search(keys, "h", slack).items():
         out[t] = x.nearest(t)
-        if abs(out[t].bytes - t) > slack[t]:
+        if abs(out[t].bytes - t) > slack[t] and x.bytes[1] - x.bytes[0] > whole[t]:
             hot.setdefault(x.low, (x, []))[1].append(t)
     for h, (x, ts) in hot.items():  # hash values that straddle a target; no more than there are targets
         if x.rows[1] - x.rows[0] < 2:
@@ -137,8 +138,9 @@ def shard_by_bytes(docs: DataFrame, shards: int = 16, tolerance: float = TOLERAN
     # shard bounds must meet the tolerance, those of the ranges inside a shard a tenth of a range
     slack = {total * j // parts: (tolerance * total / shards if j % per == 0 else 0.1 * total / parts)
              for j in range(parts - 1, 0, -1)}
+    whole = {t: (WHOLE * total / shards if i % per == 0 else 0) for t, i in zip(slack, range(parts - 1, 0, -1))}
     of_shard = {total * j // shards for j in range(1, shards)}
-    bounds = sorted(((s.h, s.d, s.bytes, s.rows, t in of_shard) for t, s in splitters(keys, slack).items()),
+    bounds = sorted(((s.h, s.d, s.bytes, s.rows, t in of_shard) for t, s in splitters(keys, slack, whole).items()),
                     key=lambda x: (x[0], x[1], x[3]))
     heads = np.array([b[0] for b in bounds], dtype=np.int64)
     split_groups = [(b[0], b[1]) for b in bounds if b[1] != LOW]

@@ -76,12 +76,12 @@ def _blocks(vectors: DataFrame, rows: int) -> DataFrame:
 
 def _scores(q: np.ndarray, v: np.ndarray) -> np.ndarray:
     """Integer inner products: in doubles where every partial sum is exact, else in Python integers
-    (kept within the range of a long)."""
+    (kept within plus or minus 2^63 - 1)."""
     bound = max(1, q.shape[1]) * float(np.abs(q).max(initial=0)) * float(np.abs(v).max(initial=0))
     if bound < EXACT:
         return (q @ v.T).astype(np.int64)
     whole = lambda m: np.vectorize(int, otypes=[object])(m)
-    return np.clip(whole(q) @ whole(v).T, -LONG - 1, LONG).astype(np.int64)
+    return np.clip(whole(q) @ whole(v).T, -LONG, LONG).astype(np.int64)
 
 
 def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
@@ -110,7 +110,7 @@ def _tiles(pairs: DataFrame, k: int) -> DataFrame:
                     out.append((query, i, v[at], s[at]))
                 ends = np.cumsum([0, *(len(v) for *_, v, _ in out)])
                 top = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(
-                    [pa.array(-np.concatenate([s for *_, s in out]).clip(-LONG)), pa.array(np.concatenate([v for *_, v, _ in out]))],
+                    [pa.array(-np.concatenate([s for *_, s in out])), pa.array(np.concatenate([v for *_, v, _ in out]))],
                     ["minus", "vec_id"]))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([q for q, *_ in out], pa.int64()),

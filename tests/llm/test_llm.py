@@ -1,0 +1,560 @@
+"""Corpus operators against brute force, the libraries' own results and edge tables."""
+
+from __future__ import annotations
+
+import collections
+import gzip
+import hashlib
+import itertools
+import random
+import zlib
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from rrspark.llm import langid, merkle, packing, pii, sentencepiece_dropout, sharding, simhash, topk, toxicity, warc
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, bin long, shard int"
+LONG = "word " * 40_000
+
+
+def docs_of(spark, texts, langs=None):
+    """Documents with extra columns whose names clash with the operators' own."""
+    rows = [(i, t, langs[i] if langs else None, "s", len(t) if t is not None else None, 0.5, 7, 3)
+            for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Nulls, empty and very long texts, ties, repeated rows, a null id."""
+    return docs_of(spark, [None, "", "a b c d", "a b c d", " \n\t", LONG, "é½中 x\n\ny. z!", "!!! 123"]).union(
+        docs_of(spark, ["a b c d"]).withColumn("doc_id", F.lit(None).cast("long"))).union(
+        docs_of(spark, ["", "", "a b c d"]).where("doc_id = 2")).cache()
+
+
+@pytest.fixture(scope="module")
+def empty(odd):
+    return odd.where("false")
+
+
+@pytest.fixture(scope="module")
+def corpus(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/documents.parquet").cache()
+
+
+# 1 SentencePiece
+
+
+def test_sentencepiece_equals_the_library_and_decodes(corpus):
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=sentencepiece_dropout.default_model())
+    plain = {r["doc_id"]: r["ids"] for r in sentencepiece_dropout.encode(corpus, dropout=0).collect()}
+    texts = {r["doc_id"]: r["text"] for r in corpus.collect()}
+    assert all(plain[i] == sp.encode(t) for i, t in texts.items())
+    one = sentencepiece_dropout.encode(corpus)
+    other = {r["doc_id"]: r["ids"] for r in sentencepiece_dropout.encode(corpus, epoch=1).collect()}
+    back = {r["doc_id"]: r for r in sentencepiece_dropout.decode(one).collect()}
+    assert all(back[i]["text"] == t for i, t in texts.items())
+    assert sum(back[i]["ids"] != other[i] for i in texts) > 0.9 * len(texts)
+    assert sum(len(back[i]["ids"]) for i in texts) > 1.05 * sum(map(len, plain.values()))
+
+
+def test_sentencepiece_side_by_side_equals_the_heap():
+    enc = sentencepiece_dropout.Encoder(sentencepiece_dropout.default_model(), 0.3, 5, 0)
+    rng = random.Random(1)
+    words = list({"".join(rng.choices("aeionrst ▁é中.", k=rng.randint(1, 30))).replace("▁", "") for _ in range(300)} - {""})
+    todo = [(w, v) for w in words for v in range(2)]
+    assert enc.words(todo) == [enc.word(w, v) for w, v in todo]
+
+
+def test_sentencepiece_edges(odd, empty):
+    assert sentencepiece_dropout.round_trip_digest(empty).count() == 0
+    rows = sentencepiece_dropout.decode(sentencepiece_dropout.encode(odd)).collect()
+    want = collections.Counter((r["doc_id"], r["text"] or "") for r in odd.collect())
+    assert collections.Counter((r["doc_id"], r["text"]) for r in rows) == want
+    enc = sentencepiece_dropout.Encoder(sentencepiece_dropout.default_model(), 0.1, 1, 0)
+    get = enc.pieces.bytes_of
+    for text in ("▁", "a▁ ▁b ", "x" * 500):
+        raw = b"".join(get[i] for i in np.frombuffer(enc.encode(3, text), "<i4"))
+        assert raw.removeprefix(b" ").decode() == text
+
+
+# 2 PII
+
+
+def luhn(d):
+    return sum((2 * int(c) - 9 * (int(c) > 4)) if i % 2 else int(c) for i, c in enumerate(reversed(d))) % 10 == 0
+
+
+def test_pii_forms_links_and_way_back(spark):
+    rng = random.Random(3)
+    cards = []
+    while len(cards) < 30:
+        d = "".join(rng.choices("0123456789", k=rng.randint(13, 19)))
+        if luhn(d):
+            cards.append(d)
+    dates = [f"{rng.randint(1800, 2199)}-{rng.randint(1, 12):02}-{rng.randint(1, 28):02}" for _ in range(30)]
+    ips = [".".join(str(rng.randint(0, 255)) for _ in range(4)) for _ in range(30)]
+    phones = [f"+1 ({rng.randint(0, 999):03}) 555-{rng.randint(0, 9999):04}" for _ in range(30)]
+    ssns = [f"{rng.randint(1, 665):03}-{rng.randint(1, 99):02}-{rng.randint(1, 9999):04}" for _ in range(30)]
+    docs = docs_of(spark, [f"pay {c}, on {d} at {i}. Tel {p} or {s}" for c, d, i, p, s in zip(cards, dates, ips, phones, ssns)] * 2)
+    out = pii.pseudonymise(docs)
+    got = {r["doc_id"]: r["text"] for r in out.collect()}
+    shape = r"pay (\d+), on (\d{4}-\d\d-\d\d) at ([\d.]+)\. Tel (\+1 \(\d{3}\) \d{3}-\d{4}) or (\d{3}-\d\d-\d{4})"
+    import datetime
+    import re
+    for n in range(30):
+        assert got[n] == got[n + 30]
+        c, d, i, p, s = re.fullmatch(shape, got[n]).groups()
+        assert c != cards[n] and len(c) == len(cards[n]) and luhn(c)
+        assert d != dates[n] and 1800 <= datetime.date.fromisoformat(d).year <= 2199
+        assert i != ips[n] and all(int(x) < 256 for x in i.split("."))
+        assert p != phones[n] and s != ssns[n]
+    back = {r["doc_id"]: r["text"] for r in pii.reveal(out).collect()}
+    assert back == {r["doc_id"]: r["text"] for r in docs.collect()}
+    assert {r["text"] for r in pii.pseudonymise(docs, "another key").collect()}.isdisjoint(got.values())
+
+
+@pytest.mark.parametrize("text", [
+    "9807915762804490", "2023-02-30", "0999-01-01", "300.1.2.3", "666-45-6789", "000-12-3456", "12345", "v1.2.3.4.5", "a@b"])
+def test_pii_leaves_what_does_not_validate(spark, text):
+    assert pii.pseudonymise(docs_of(spark, [text])).first()["text"] == text
+
+
+def test_pii_is_a_permutation(spark):
+    whole = spark.range(1000, numPartitions=2).select(
+        pii.feistel("k", F.lit("t"), F.floor(F.col("id") / 25), F.col("id") % 25, F.lit(40), F.lit(25)).alias("s"))
+    assert whole.select((F.col("s.l") * 25 + F.col("s.r")).alias("v")).distinct().where("v between 0 and 999").count() == 1000
+
+
+def test_pii_other_kinds_and_edges(spark, odd, empty):
+    got = [r["text"] for r in pii.pseudonymise(docs_of(spark, [
+        "m the.72@mail3.example.com", 'token = "681c09b8e90e7e8c9575180f595646cf"', "x 4111-1111-1111-1111 y"])).collect()]
+    assert "the.72" not in got[0] and got[0].endswith(".invalid")
+    assert "681c" not in got[1] and len(got[1]) == 42
+    assert len(got[2]) == 23 and "4111-1111" not in got[2] and luhn(got[2][2:-2].replace("-", ""))
+    assert pii.pseudonymise(empty).count() == 0
+    same = lambda df: sorted(map(str, df.collect()))
+    assert same(pii.pseudonymise(odd)) == same(odd)
+
+
+def test_pii_plan_has_no_python(corpus):
+    plan = pii.pseudonymised(corpus)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+# 3 top-k
+
+
+def brute_topk(rows, k):
+    vec = [(i, [int(np.floor(1024.0 * float(x))) for x in v]) for i, v in rows
+           if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    out = []
+    for q, a in vec:
+        if q % 100 == 0:
+            score = lambda b: max(1 - 2**63, min(2**63 - 1, sum(x * y for x, y in zip(a, b))))  # noqa: B023, E731
+            hits = sorted((-score(b), i) for i, b in vec if i != q and len(a) == len(b))[:k]
+            out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(hits)]
+    return sorted(out)
+
+
+def test_topk_ties_nulls_lengths_and_large_values(spark):
+    rng = random.Random(5)
+    rows = [(i, [rng.choice([-0.5, 0.0, 0.25]) for _ in range(4)]) for i in range(350)]
+    rows += [(400, None), (500, [1.0, None, 0.0, 0.0]), (600, [float("nan")] * 4), (700, [float("inf"), 0.0, 0.0, 0.0]),
+             (None, [1.0] * 4), (800, [1.0, 2.0]), (801, [3.0, 1.0]), (802, [-3.0, 1.0]), (900, [1e9, 1e9, 1e9]),
+             (901, [1e-3, 1e7 + 0.5, 1.0]), (902, [3e2, -1e4, 2.0]), (903, [1.0] * 3),
+             (1000, [1e6, 3.0]), (1001, [1e5 + 0.001, 2.0]), (1002, [1e5, 2.001])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    got = topk.top_k(df, topk.query_set(df), groups=3)
+    assert sorted(map(tuple, got.collect())) == brute_topk(rows, 10)
+
+
+def test_topk_tree_merge_and_edges(spark, monkeypatch):
+    monkeypatch.setattr(topk, "FAN_IN", 2)
+    rows = [(i, [(i * 37 % 101) / 50.0, (i * 11 % 17) / 8.0]) for i in range(700)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(9)
+    assert sorted(map(tuple, topk.top_k(df, topk.query_set(df)).collect())) == brute_topk(
+        [(i, [np.float32(x) for x in v]) for i, v in rows], 10)
+    assert topk.top_k(df.where("false"), df.where("false")).count() == 0
+    twice = df.where("vec_id < 5").union(df.where("vec_id < 5"))
+    got = topk.top_k(twice, topk.query_set(twice)).collect()
+    assert len(got) == 8 and {r["query_id"] for r in got} == {0}
+
+
+# 4 fingerprints
+
+
+def test_fingerprints_follow_the_next_document(corpus):
+    rows = corpus.select("doc_id", "text").orderBy("doc_id").collect()
+    got = {r["doc_id"]: r for r in merkle.compare_edits(corpus, parts=7).collect()}
+    assert len(got) == len(rows)
+    for i, r in enumerate(rows):
+        following = rows[(i + 1) % len(rows)]["text"]
+        n = len(r["text"])
+        edited = r["text"][:n - n // 2] + following[:n // 2]
+        g = got[r["doc_id"]]
+        assert g["n_chars"] == n
+        assert g["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
+        assert g["fingerprint"] == merkle.fingerprint(r["text"])
+        assert g["edited_fingerprint"] == merkle.fingerprint(edited)
+        assert g["near_edited"] == merkle.likeness(g["fingerprint"], g["edited_fingerprint"])
+        assert g["near_next"] == merkle.likeness(g["fingerprint"], merkle.fingerprint(following))
+    long = [g for g in got.values() if g["n_chars"] > 400]
+    assert np.mean([0.3 < g["near_edited"] < 0.8 for g in long]) > 0.9
+    assert np.mean([g["near_next"] < 0.1 for g in long]) > 0.9
+
+
+def test_fingerprints_tell_texts_apart_and_locate_edits():
+    rng = random.Random(2)
+    texts = {"".join(rng.choices("ab. \n!é", k=rng.randint(0, 60))) for _ in range(3000)}
+    assert len({merkle.fingerprint(t)[:32] for t in texts}) == len(texts)
+    a = "One. Two.\nThree four.\n\nFive six.\nSeven."
+    b = a.replace("Five", "FIVE")
+    assert merkle.changed(merkle.fingerprint(a), merkle.fingerprint(a)) == []
+    assert merkle.changed(merkle.fingerprint(a), merkle.fingerprint(b)) == [(1, 0, 1, 0)]
+    assert merkle.changed(merkle.fingerprint(a), merkle.fingerprint("Zero.\n" + a)) == [(-1, -1, 0, 0)]
+
+
+def test_fingerprint_edges(spark, odd, empty):
+    assert merkle.compare_edits(empty).count() == 0
+    for parts in (1, 4, 40):
+        got = merkle.compare_edits(odd, parts=parts).collect()
+        assert len(got) == odd.count()
+        for d in (2, 3):
+            assert {r["fingerprint"] for r in got if r["doc_id"] == d} == {merkle.fingerprint("a b c d")}
+    alone = merkle.compare_edits(docs_of(spark, ["abcd"])).first()
+    assert alone["edited_sha256"] == hashlib.sha256(b"abab").hexdigest() and alone["near_next"] == 1.0
+
+
+# 5 toxicity
+
+
+def test_toxicity_held_out(spark, sf_dir):
+    sf = sf_dir.replace("0.001", "0.01")
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    rows = toxicity.toxicity(docs, labels).join(labels, "doc_id").collect()
+    for r in rows:
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1)
+        assert 0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.7)
+    held = [r for r in rows if r["held_out"]]
+    toxic, clean = ([r["score"] for r in held if r["toxic"] == x] for x in (1, 0))
+    assert np.mean([a > b for a in toxic for b in clean]) > 0.9
+    assert np.mean([s >= 0.7 for s in toxic]) > 0.6 and np.mean([s >= 0.7 for s in clean]) < 0.05
+    kept = toxicity.keep_clean(docs, labels)
+    assert kept.columns == docs.columns
+    bad = {r["doc_id"] for r in toxicity.toxicity(docs, labels).collect() if r["predicted"]}
+    assert {r["doc_id"] for r in kept.collect()} == {r["doc_id"] for r in docs.collect()} - bad
+
+
+def test_toxicity_ignores_held_out_labels(spark, sf_dir):
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    held = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    flipped = labels.withColumn("toxic", F.when(held, 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    a, b = (sorted(map(tuple, toxicity.toxicity(docs, x).collect())) for x in (labels, flipped))
+    assert a == b
+
+
+def test_toxicity_edges(spark, odd, empty):
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert toxicity.toxicity(empty, none).count() == 0
+    rows = toxicity.toxicity(odd, none).collect()
+    assert len(rows) == odd.count() and {r["predicted"] for r in rows} == {0}
+    labels = spark.createDataFrame([(2, 0, 1), (2, 0, None), (None, 0, 1), (5, 1, 0)], "doc_id long, quality int, toxic int")
+    assert toxicity.toxicity(odd, labels).count() == odd.count()
+    assert toxicity.keep_clean(odd, none).columns == odd.columns
+
+
+# 6 language
+
+
+def test_language_held_out(corpus):
+    rows = langid.identify(corpus).join(corpus, "doc_id").collect()
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in rows)
+    assert np.mean([r["lang_pred"] == r["lang"] for r in rows if r["held_out"]]) > 0.95
+
+
+def test_language_scores_are_the_bayes_posterior(spark):
+    docs = docs_of(spark, ["aa ab ab", "bb ba", "ab aa", "ba bb bb", "ab", "bb"] * 3, ["x", "y"] * 9)
+    model = langid.fit(docs)
+    counts = {x: collections.Counter() for x in "xy"}
+    n = collections.Counter()
+    for r in docs.collect():
+        if zlib.crc32(str(r["doc_id"]).encode()) % 4 != 2:
+            n[r["lang"]] += 1
+            for g in langid.grams_of(r["text"], model.bits):
+                counts[r["lang"]].update(g.tolist())
+    for r in langid.identify(docs).collect():
+        text = ["aa ab ab", "bb ba", "ab aa", "ba bb bb", "ab", "bb"][r["doc_id"] % 6]
+        logs = {}
+        for x in "xy":
+            total = sum(counts[x].values()) + langid.SMOOTHING * (1 << model.bits)
+            logs[x] = np.log(n[x] / sum(n.values())) + sum(
+                np.log((counts[x][g] + langid.SMOOTHING) / total) for gs in langid.grams_of(text, model.bits) for g in gs.tolist())
+        best = max("xy", key=logs.get)
+        assert r["lang_pred"] == best
+        assert r["score"] == pytest.approx(1 / sum(np.exp(v - logs[best]) for v in logs.values()), rel=1e-3)
+
+
+def test_language_edges(spark, odd, empty):
+    assert langid.identify(empty).count() == 0
+    assert {r["lang_pred"] for r in langid.identify(odd).collect()} == {"und"}
+    learned = odd.withColumn("lang", F.lit("en"))
+    got = {(r["doc_id"], r["lang_pred"]) for r in langid.identify(learned).collect()}
+    assert {(0, "und"), (1, "und"), (4, "und"), (7, "und"), (5, "en"), (6, "en"), (None, "en")} <= got
+    assert {r["doc_id"] for r in langid.keep_identified(learned).collect()} == {2, 3, 5, 6, None}
+
+
+# 7 WARC
+
+
+def pages_of(spark):
+    big, other = "<p>" + "x" * 200, "é" * 60
+    rows = [(1, "http://a", big), (2, "http://b\r\nx y", big), (3, None, "short"), (4, "u", "short"), (5, "u", None),
+            (6, "u", ""), (7, "u", other), (8, "u", big), (9, "u", other), (9, "u", other), (1, "http://a", big)]
+    return spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+
+
+def test_warc_records_and_revisits(spark, tmp_path):
+    folder = str(tmp_path / "warc")
+    index = warc.write(pages_of(spark), folder)
+    got = sorted(map(tuple, warc.read(index, folder).select("page_id", "record_type", "refers_to", "payload_bytes").collect()))
+    assert got == [(1, "response", None, 203), (1, "response", None, 203), (2, "revisit", 1, 203), (3, "response", None, 5),
+                   (4, "response", None, 5), (5, "response", None, 0), (6, "response", None, 0), (7, "response", None, 120),
+                   (8, "revisit", 1, 203), (9, "revisit", 7, 120), (9, "revisit", 7, 120)]
+    # the files are plain WARC: members in sequence, as the index says
+    for r in index.collect():
+        with open(f"{folder}/{r['file']}", "rb") as f:
+            f.seek(r["offset"])
+            fields, payload = warc.parse(gzip.decompress(f.read(r["length"])))
+        assert fields["WARC-Payload-Digest"] == "sha256:" + r["payload_digest"]
+        assert len(payload) == (r["payload_bytes"] if r["record_type"] == "response" else 0)
+        assert "\r" not in (fields.get("WARC-Target-URI") or "")
+    some = warc.read(index.where("page_id in (3, 8)"), folder).collect()
+    assert sorted(r["page_id"] for r in some) == [3, 8]
+
+
+def test_warc_ranges_coalesce():
+    assert warc.ranges([(0, 10), (10, 5), (30, 5), (200, 1)], gap=20, most=100) == [(0, 35), (200, 201)]
+    assert warc.ranges([(0, 60), (60, 60)], gap=20, most=100) == [(0, 60), (60, 120)]
+
+
+def test_warc_edges(spark):
+    none = spark.createDataFrame([], "page_id long, url string, html string, payload string")
+    assert warc.round_trip_digest(none).count() == 0
+    odd = spark.createDataFrame([(None, None, None, 1), (None, "u", "y" * 300, 2), (4, "u", "y" * 300, 3), (5, "u", LONG * 5, 4)],
+                                "page_id long, url string, html string, offset int")
+    rows = warc.round_trip_digest(odd).collect()
+    assert len(rows) == 4 and {r["record_type"] for r in rows} == {"response"}
+
+
+# 8 packing
+
+
+def test_packing_ids_pieces_and_sequences(corpus, odd):
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(packing.default_tokenizer())
+    tok.encode_special_tokens = True
+    for docs in (corpus, odd):
+        got = collections.defaultdict(list)
+        for r in packing.pack(packing.pieces(docs)).collect():
+            got[r["sequence_id"]].append((r["offset"], r["length"], r))
+        ids = collections.defaultdict(dict)
+        for rows in got.values():
+            at = 0
+            for offset, length, r in sorted(rows, key=lambda x: x[0]):
+                assert offset == at and len(r["ids"]) == 4 * length
+                at += length
+                ids[r["doc_id"]][r["piece"], r["start"]] = np.frombuffer(r["ids"], "<u4").tolist()
+            assert at <= 1024
+        for doc, text in {(r["doc_id"], r["text"]) for r in docs.collect()}:
+            want = tok.encode(text or "", add_special_tokens=False).ids + [2]
+            parts = [ids[doc][k] for k in sorted(ids[doc])]
+            if len(parts) == len(ids[doc]) and doc != 2:
+                assert sum(parts, []) == want
+                assert all(len(p) == 1024 for p in parts[1:])
+                assert [s for _, s in sorted(ids[doc])] == [0, *np.cumsum([len(p) for p in parts]).tolist()[:-1]]
+
+
+def test_packing_is_tight(corpus):
+    rows = packing.packed_digest(corpus.repartition(12)).collect()
+    total = sum(r["length"] for r in rows)
+    assert len({r["sequence_id"] for r in rows}) <= 1.03 * total / 1024 + 2
+
+
+def test_packer_is_bounded_best_fit():
+    rng = random.Random(4)
+    packer, fill = packing.Packer(100, 3), {}
+    for n in [rng.randint(1, 100) for _ in range(2000)]:
+        open_ = {b: free for free, bins in enumerate(packer.free) for b in bins}
+        assert all(fill[b] == 100 - free for b, free in open_.items()) and len(open_) <= 3
+        fits = [free for free in open_.values() if free >= n]
+        b, offset = packer.place(n)
+        assert offset == fill.get(b, 0) and (open_[b] == min(fits) if fits else b not in fill)
+        fill[b] = offset + n
+        left = set(open_) - {b for bins in packer.free for b in bins} - {b}
+        assert [open_[x] for x in left] == ([min(open_.values())] if not fits and len(open_) == 3 else [])
+
+
+@pytest.mark.parametrize("text", [
+    "it's  we'll\n\n  x <|endoftext|> \x1c\x1d z", "a² b½ 12３ x　y", "中文 三 ǅ ª º £§ ñandú", "  ", " x\x85y\x0b",
+    "don't DON'T 'twas 5's __a_b 3.14 á"])
+def test_packing_words_split_as_the_tokenizer_does(text):
+    t = packing.tokens_for(packing.default_tokenizer())
+    assert np.frombuffer(t.ids(text), "<u4").tolist() == t.tokenizer.encode(text, add_special_tokens=False).ids + [2]
+
+
+def test_packing_edges(empty):
+    assert packing.packed_digest(empty).count() == 0
+
+
+# 9 sharding
+
+
+def check_shards(docs, rows, slack):
+    assert len(rows) == docs.count()
+    by = collections.defaultdict(list)
+    for r in rows:
+        by[r["shard"]].append(r)
+    total = sum(r["size"] for r in rows)
+    for s, xs in by.items():
+        assert 0 <= s < 16 and sorted(x["slot"] for x in xs) == list(range(len(xs)))
+        assert abs(sum(x["size"] for x in xs) - total / 16) <= slack
+    return by
+
+
+def test_sharding_bytes_and_slots(corpus):
+    rows = sharding.shard_digest(corpus).collect()
+    largest = max(r["size"] for r in rows)
+    check_shards(corpus, rows, 2 * largest)
+    for r in sharding.shard_by_bytes(corpus).collect():
+        assert r["size"] == len(r["text"].encode()) + 1
+
+
+def test_sharding_keeps_small_groups_together(spark):
+    docs = docs_of(spark, [f"text {i // 3} " + "x" * (i // 3 % 40) for i in range(3000)])
+    rows = sharding.shard_by_bytes(docs).collect()
+    texts = collections.defaultdict(set)
+    for r in rows:
+        texts[r["text"]].add(r["shard"])
+    assert {len(s) for s in texts.values()} == {1}
+    check_shards(docs, rows, 0.05 * sum(r["size"] for r in rows) / 16)
+
+
+def test_sharding_splits_a_hot_group(spark):
+    docs = docs_of(spark, ["hot" * 10] * 700 + [f"text {i} " + "x" * (i % 40) for i in range(1300)])
+    rows = sharding.shard_digest(docs).collect()
+    check_shards(docs, rows, 0.05 * sum(r["size"] for r in rows) / 16 + 100)
+
+
+def test_sharding_edges(odd, empty):
+    assert sharding.shard_digest(empty).count() == 0
+    rows = sharding.shard_digest(odd).collect()
+    assert len(rows) == odd.count()
+    assert sorted(r["size"] for r in rows if r["doc_id"] in (0, 1)) == [1, 1]
+    got = sharding.shard_by_bytes(odd)
+    assert set(got.columns) == {*odd.columns, "size", "slot"}
+
+
+# 10 SimHash
+
+
+def brute_fingerprint(text):
+    words = (text or "").encode().lower().split()
+    shingles = [b" ".join(words[i:i + 3]) for i in range(max(1, len(words) - 2))] if words else []
+    hashes = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def brute_components(fps):
+    parent = list(range(len(fps)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, j in itertools.combinations(range(len(fps)), 2):
+        if (fps[i] ^ fps[j]).bit_count() <= 2:
+            parent[max(root(i), root(j))] = min(root(i), root(j))
+    return [root(i) for i in range(len(fps))]
+
+
+def test_simhash_equals_brute_force(corpus):
+    rows = sorted(map(tuple, simhash.near_duplicate_digest(corpus).collect()))
+    docs = corpus.orderBy("doc_id").collect()
+    fps = [brute_fingerprint(r["text"]) for r in docs]
+    low = brute_components(fps)
+    assert rows == [(r["doc_id"], f"{f:016x}", docs[c]["doc_id"]) for r, f, c in zip(docs, fps, low)]
+
+
+@pytest.mark.parametrize("bucket_rows", [4096, 8])
+def test_simhash_links_of_close_fingerprints(spark, monkeypatch, bucket_rows):
+    monkeypatch.setattr(simhash, "BUCKET_ROWS", bucket_rows)
+    rng = random.Random(6)
+    fps = [0, (1 << 64) - 1]
+    for _ in range(12):
+        f = rng.getrandbits(64)
+        for _ in range(25):  # chains and clusters
+            fps.append(f)
+            for _ in range(rng.choice([1, 2, 2, 3])):
+                f ^= 1 << rng.randrange(64)
+    fps = list(dict.fromkeys(fps))
+    signed = [f - (1 << 64) if f >> 63 else f for f in fps]
+    distinct = spark.createDataFrame([(s,) for s in signed], "fp long").repartition(5)
+    roots = {r["fp"]: r["root"] for r in simhash.components(simhash.links(distinct, 2)).collect()}
+    got, want = collections.defaultdict(set), collections.defaultdict(set)
+    for s, c in zip(signed, brute_components(fps)):
+        got[roots.get(s, s)].add(s)
+        want[c].add(s)
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
+
+
+def test_simhash_edges(odd, empty):
+    assert simhash.near_duplicate_digest(empty).count() == 0
+    rows = simhash.near_duplicate_digest(odd).collect()
+    assert len(rows) == odd.count()
+    assert {r["component_id"] for r in rows if r["fingerprint"] == "0" * 16} == {0}
+    assert {r["component_id"] for r in rows if r["doc_id"] in (2, 3, None)} == {2}
+    kept = simhash.keep_one(odd)
+    assert kept.columns == odd.columns
+    ids = collections.Counter(r["doc_id"] for r in kept.collect())
+    assert ids == {0: 1, 2: 1, 5: 1, 6: 1, 7: 1, None: 1}
+
+
+# the pipeline
+
+
+def test_pipeline_stages(spark, sf_dir, tmp_path):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    n = [docs.count()]
+    for i, (name, function) in enumerate(corpus_pipeline.STAGES):
+        out = function(spark, docs, sf_dir)
+        out.write.parquet(str(tmp_path / name))
+        after = spark.read.parquet(str(tmp_path / name))
+        if i < len(corpus_pipeline.STAGES) - 1:
+            assert after.columns == docs.columns
+            docs = after
+            n.append(after.count())
+    assert n[0] > n[1] >= n[2] > n[3] == n[4] > 0.6 * n[0]
+    assert docs.where("n_chars <> length(text)").count() == 0
+    assert simhash.near_duplicates(spark.read.parquet(str(tmp_path / "simhash_dedup"))).where(
+        "doc_id <> component_id").count() == 0
+    direct = corpus_pipeline.run(spark, sf_dir).collect()
+    assert {r["doc_id"] for r in direct} == {r["doc_id"] for r in docs.collect()}
+
+
+def test_queries_are_registered():
+    import __spark_entry__
+
+    names = __spark_entry__.queries()
+    for i in range(1, 11):
+        assert sum(x.startswith(f"op{i}_") for x in names) == 1
+    assert "pipeline" in names
