@@ -1,37 +1,42 @@
 """IPv4 location and owner enrichment (J1, J2, J4, P11, F6).
 
-Range lookup as an equi-join: every range is exploded to the fixed-width buckets it covers,
-addresses join on their bucket, and ``BETWEEN`` picks the range. Spark then plans a hash
-join instead of a nested loop. Ranges must not overlap. Two bucket levels keep the work per
-address small: ranges of a /16 or wider use /16 buckets (at most two meet a bucket),
-narrower ranges use /24 buckets.
-
-Two physical paths, chosen by the measured size of the bucketed range table:
-
-* small (at most ``broadcast_rows`` bucket rows): broadcast hash join, map side only; the
-  records are never shuffled.
-* large: distinct addresses are looked up first (one shuffle on the bucket of a table that
-  has each address once, so a hot address or hot /16 cannot skew it), then joined back to
-  the records on the address (AQE splits skewed partitions of that join).
+Where ranges of a table overlap, it is first cut into segments that don't, and the narrowest range wins
+each segment; a table without overlaps is used as it is. Ranges are looked at per /16 bucket,
+which bounds every group by 65,536 addresses.
+
+Two physical paths, chosen by the measured size of the bucketed range tables:
+
+* small (at most ``broadcast_rows`` bucket rows and ``broadcast_bytes``): equi-join on the bucket plus
+  ``BETWEEN`` as a broadcast hash join; the records are never shuffled. Ranges of a /16 or
+  wider use /16 buckets, narrower ones /24 buckets, so an address meets few candidates.
+* larger: the records are staged once on shared storage (what made them is not done again). Each
+  distinct address is looked up in both tables at once: per /16 bucket one sort of the
+  addresses and of the places where segments begin and end, the last one before an address is
+  its segment. Records with an address then join on it (each address once, AQE splits a hot one);
+  those without pass by the join.
+
+A stream has no distinct addresses; above the limits it joins the bucketed tables without broadcast.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import heapq
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import full_match, ipv4_to_long, is_private_ipv4
 from ..schema import ASN_PATTERN, GEO_FIELDS, PRIVATE_LABEL, UNKNOWN_LABEL, ZERO_COORD
+from ..session import ship_package, staged
 
 LOCATION_FIELDS = ["city", "cc", "country", "lat", "long"]
 DEFAULT_BUCKET_BITS = 16
 DEFAULT_FINE_BITS = 8
 DEFAULT_BROADCAST_ROWS = 1_000_000
 DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
-# Records without a lookup key are spread over this many negative keys in the shuffle path,
-# so they do not all land in the one partition of the NULL key.
-NULL_KEY_SPREAD = 1 << 20
 
 
 def _text(c: Column, dtype: T.DataType) -> Column:
@@ -50,89 +55,172 @@ def bucket_ranges(ranges: DataFrame, bucket_bits: int = DEFAULT_BUCKET_BITS,
     )
 
 
+def _pieces(ranges: DataFrame) -> DataFrame:
+    """``bucket, s, e, width`` and the payload: every range clipped to the /16 buckets it touches."""
+    rest = [c for c in ranges.columns if c not in ("__s", "__e")]
+    cut = ranges.withColumn("bucket", F.explode(F.sequence(F.shiftright("__s", 16), F.shiftright("__e", 16))))
+    low = F.shiftleft(F.col("bucket"), 16)
+    return cut.select("bucket", F.greatest("__s", low).alias("s"), F.least("__e", low + 65535).alias("e"),
+                      (F.col("__e") - F.col("__s")).alias("width"), *rest)
+
+
+def has_overlaps(ranges: DataFrame) -> bool:
+    """Whether two ranges (``__s``, ``__e``) share an address."""
+    before = Window.partitionBy("bucket").orderBy("s", "e").rowsBetween(Window.unboundedPreceding, -1)
+    reach = _pieces(ranges.select("__s", "__e")).withColumn("reach", F.max("e").over(before))
+    return not reach.where("s <= reach").isEmpty()
+
+
+def _narrowest(pieces: list[tuple[int, int, int, int]]) -> Iterator[tuple[int, int, int]]:
+    """Sweep over one bucket's pieces (start, end, width, row): segments (start, end, row), each the
+    narrowest of the pieces over it (then the smallest start, then row)."""
+    pieces = sorted(pieces)
+    edges = sorted({p[0] for p in pieces} | {p[1] + 1 for p in pieces})
+    active: list[tuple[int, int, int, int]] = []
+    n = 0
+    for at, stop in zip(edges, edges[1:]):
+        while n < len(pieces) and pieces[n][0] <= at:
+            s, e, width, row = pieces[n]
+            heapq.heappush(active, (width, s, row, e))
+            n += 1
+        while active and active[0][3] < at:
+            heapq.heappop(active)
+        if active:
+            yield at, stop - 1, active[0][2]
+
+
+def segments(ranges: DataFrame, payload: list[str]) -> DataFrame:
+    """``__s, __e`` and payload of the segments that the narrowest ranges win; equal ranges go by
+    the order of their payload. One task holds a /16 at most."""
+    ship_package(ranges.sparkSession)
+    names = ["__s", "__e", *payload]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, []
+
+        def cut() -> list[tuple]:
+            won = _narrowest([(s, e, width, i) for i, (_, s, e, width, *_) in enumerate(held)])
+            return [(at, stop, *held[i][4:]) for at, stop, i in won]
+
+        def batch(rows: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
+
+        for b in batches:
+            types = [pa.int64(), pa.int64(), *[b.schema.field(p).type for p in payload]]
+            done = []
+            for row in zip(*(c.to_pylist() for c in b.columns)):
+                if row[0] != key:
+                    done += cut()
+                    key, held = row[0], []
+                held.append(row)
+            if done:
+                yield batch(done)
+        if held and (done := cut()):
+            yield batch(done)
+
+    pieces = _pieces(ranges).select("bucket", "s", "e", "width", *payload)
+    schema = T.StructType([T.StructField("__s", T.LongType()), T.StructField("__e", T.LongType()),
+                           *[ranges.schema[p] for p in payload]])
+    return pieces.repartition("bucket").sortWithinPartitions("bucket", "s", "e", *payload).mapInArrow(run, schema)
+
+
+def _bucket_join(keys: DataFrame, ip_col: str, r: DataFrame, payload: list[str], prefix: str, levels, level_rows,
+                 broadcast: bool) -> DataFrame:
+    """Left equi-join on the bucket plus ``BETWEEN``, one join per level that has ranges."""
+    keep = [i for i, n in enumerate(level_rows) if n > 0] or [0]
+    ip, out = F.col(ip_col), keys
+    for i in keep:
+        bits, cond = levels[i]
+        p = f"{prefix}{i}_"
+        right = bucket_ranges(r.where(cond), bits, "__s", "__e").select(
+            F.col("__bucket").alias(f"{p}bucket"), F.col("__s").alias(f"{p}start"), F.col("__e").alias(f"{p}end"),
+            *[F.col(x).alias(f"{p}{x}") for x in payload])
+        on = (F.shiftright(ip, bits) == F.col(f"{p}bucket")) & ip.between(F.col(f"{p}start"), F.col(f"{p}end"))
+        out = out.join(F.broadcast(right) if broadcast else right, on, "left").withColumn(
+            f"{p}found", F.col(f"{p}start").isNotNull()).drop(f"{p}bucket", f"{p}start", f"{p}end")
+    found = F.lit(False)
+    for i in keep:
+        found = found | F.col(f"{prefix}{i}_found")
+    merged = {f"{prefix}found": found}
+    for x in payload:
+        v = F.lit(None)
+        for i in keep:
+            v = F.when(F.col(f"{prefix}{i}_found"), F.col(f"{prefix}{i}_{x}")).otherwise(v)
+        merged[f"{prefix}{x}"] = v
+    return out.withColumns(merged).drop(*[f"{prefix}{i}_{x}" for i in keep for x in payload + ["found"]])
+
+
+def _sorted_lookup(addresses: DataFrame, ip_col: str, tables: list[tuple[DataFrame, list[str], str]]) -> DataFrame:
+    """Distinct ``addresses`` with ``<prefix>found`` and ``<prefix><payload>`` of every table: one
+    exchange on the /16 bucket, one sort, no candidate pairs."""
+    types = [f"struct<on:boolean,{','.join(f'`{f.name}`:{f.dataType.simpleString()}' for f in r.schema.fields if f.name in payload)}>"
+             for r, payload, _ in tables]
+    states = [f"__state{i}" for i in range(len(tables))]
+
+    def row(kind: int, at: Column, filled: int | None, value: Column | None) -> list[Column]:
+        return [F.shiftright(at, 16).alias("bucket"), at.alias("at"), F.lit(kind).alias("kind"),
+                *[(value if i == filled else F.lit(None)).cast(t).alias(s) for i, (s, t) in enumerate(zip(states, types))]]
+
+    rows = addresses.select(*row(2, F.col(ip_col), None, None))
+    for i, (r, payload, _) in enumerate(tables):
+        names = [f.name for f in r.schema.fields if f.name in payload]
+        cut = _pieces(r)
+        begin = F.struct(F.lit(True).alias("on"), *[F.col(n) for n in names])
+        over = F.struct(F.lit(False).alias("on"), *[F.lit(None).cast(r.schema[n].dataType).alias(n) for n in names])
+        rows = rows.unionByName(cut.select(*row(1, F.col("s"), i, begin)))
+        # an end is a row of its own, before a segment that begins at the same place
+        rows = rows.unionByName(cut.where(F.col("e").bitwiseAND(65535) != 65535).select(*row(0, F.col("e") + 1, i, over)))
+    upto = Window.partitionBy("bucket").orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    seen = rows.withColumns({s: F.last(s, ignorenulls=True).over(upto) for s in states}).where("kind = 2")
+    out = [F.col("at").alias(ip_col)]
+    for s, (_, payload, prefix) in zip(states, tables):
+        out += [F.coalesce(F.col(s)["on"], F.lit(False)).alias(f"{prefix}found"),
+                *[F.col(s)[x].alias(f"{prefix}{x}") for x in payload]]
+    return seen.select(*out)
+
+
 def range_lookup(
     keys: DataFrame,
     ip_col: str,
-    ranges: DataFrame,
-    payload: list[str],
-    prefix: str,
+    tables: list[tuple[DataFrame, list[str], str]],
     bucket_bits: int = DEFAULT_BUCKET_BITS,
     broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-    dedupe_keys: bool = True,
-    start: str = "start_ip",
-    end: str = "end_ip",
     broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
-    fine_bits: int | None = DEFAULT_FINE_BITS,
+    fine_bits: int = DEFAULT_FINE_BITS,
 ) -> DataFrame:
-    """Left range join: ``keys`` plus ``<prefix>found`` and ``<prefix><payload>`` columns.
-
-    ``ip_col`` is a long (NULL = no lookup). Ranges at least ``2**bucket_bits`` wide are
-    bucketed by ``ip >> bucket_bits`` (at most two of them meet any bucket, since ranges do
-    not overlap); narrower ranges by ``ip >> fine_bits``, so a bucket dense with small ranges
-    costs a probe at most ``2**fine_bits`` candidates, not every small range of the coarse
-    bucket. ``fine_bits=None`` uses one level. See the module text for the two physical
-    paths; the broadcast one is taken only when the bucketed tables are measured to be at
-    most ``broadcast_rows`` rows and about ``broadcast_bytes`` bytes."""
-    r = ranges.select(F.col(start).alias("__s"), F.col(end).alias("__e"), *[F.col(p) for p in payload])
+    """Left range join with every table (``start_ip, end_ip``, inclusive; its payload columns; a prefix):
+    ``keys`` plus ``<prefix>found`` and ``<prefix><payload>`` per table. ``ip_col`` is a long (NULL: no
+    lookup). See the module text for overlaps and the physical paths; the limits hold for all
+    tables together."""
     wide = (F.col("__e") - F.col("__s") + F.lit(1)) >= F.lit(1 << bucket_bits)
-    levels = [(bucket_bits, wide)] if fine_bits is None else [(bucket_bits, wide), (fine_bits, ~wide)]
-    small, level_rows = _fits_broadcast(r, levels, broadcast_rows, broadcast_bytes)
-    if keys.isStreaming and not small:
-        # the shuffle path deduplicates addresses, which on an unbounded input needs unbounded state
-        raise ValueError("range table too large to broadcast for a streaming lookup; "
-                         "raise broadcast_rows/broadcast_bytes if executors can hold it")
-    # A level without ranges gets no join (one level is kept so the columns always exist).
-    keep = [i for i, n in enumerate(level_rows) if n > 0] or [0]
-    tables = []
-    for i in keep:
-        bits, cond = levels[i]
-        p = f"{prefix}{i}_"
-        tables.append((bits, p, bucket_ranges(r.where(cond), bits, "__s", "__e").select(
-            F.col("__bucket").alias(f"{p}bucket"), F.col("__s").alias(f"{p}start"), F.col("__e").alias(f"{p}end"),
-            *[F.col(x).alias(f"{p}{x}") for x in payload],
-        )))
-
-    def join(left: DataFrame, bits: int, p: str, right: DataFrame) -> DataFrame:
-        ip = F.col(ip_col)
-        cond = (F.shiftright(ip, bits) == F.col(f"{p}bucket")) & ip.between(F.col(f"{p}start"), F.col(f"{p}end"))
-        out = left.join(right, cond, "left")
-        return out.withColumn(f"{p}found", F.col(f"{p}start").isNotNull()).drop(f"{p}bucket", f"{p}start", f"{p}end")
-
-    def lookup(left: DataFrame, broadcast: bool) -> DataFrame:
-        for bits, p, t in tables:
-            left = join(left, bits, p, F.broadcast(t) if broadcast else t)
-        found = None
-        for _, p, _ in tables:
-            found = F.col(f"{p}found") if found is None else (found | F.col(f"{p}found"))
-        merged = {f"{prefix}found": found}
-        for x in payload:
-            v = None
-            for _, p, _ in reversed(tables):
-                v = F.col(f"{p}{x}") if v is None else F.when(F.col(f"{p}found"), F.col(f"{p}{x}")).otherwise(v)
-            merged[f"{prefix}{x}"] = v
-        temp = [f"{p}{x}" for _, p, _ in tables for x in payload + ["found"]]
-        return left.withColumns(merged).drop(*temp)
-
-    if small:
-        return lookup(keys, broadcast=True)
-    if not dedupe_keys:
-        return lookup(keys, broadcast=False)
-    looked = lookup(keys.select(ip_col).where(F.col(ip_col).isNotNull()).distinct(), broadcast=False)
-    # Join back on the address. Rows without one get a distinct negative key that matches
-    # nothing, spread by a hash of the row (repeatable on retry), instead of one NULL key.
-    spread = F.lit(-1) - F.pmod(F.xxhash64(*[F.col(c) for c in keys.columns]), F.lit(NULL_KEY_SPREAD))
-    jk = f"{prefix}jk"
-    left = keys.withColumn(jk, F.coalesce(F.col(ip_col), spread))
-    right = looked.withColumnRenamed(ip_col, jk)
-    return left.join(right, jk, "left").drop(jk).withColumn(
-        f"{prefix}found", F.coalesce(F.col(f"{prefix}found"), F.lit(False))
-    )
+    levels = [(bucket_bits, wide), (fine_bits, ~wide)]
+    ready, rows, size = [], 0, 0
+    for ranges, payload, prefix in tables:
+        r = ranges.select(F.col("start_ip").cast("long").alias("__s"), F.col("end_ip").cast("long").alias("__e"),
+                          *payload).where("__s <= __e")
+        if has_overlaps(r):
+            r = staged(segments(r, payload), "geo-segments")
+        counts, width = _bucket_size(r, levels)
+        ready.append((r, payload, prefix, counts))
+        rows, size = rows + sum(counts), size + width
+    small = rows <= broadcast_rows and size <= broadcast_bytes
+    if small or keys.isStreaming:
+        for r, payload, prefix, counts in ready:
+            keys = _bucket_join(keys, ip_col, r, payload, prefix, levels, counts, small)
+        return keys
+    keys = staged(keys, "geo-records")
+    with_ip = keys.where(F.col(ip_col).isNotNull())
+    looked = _sorted_lookup(with_ip.select(ip_col).distinct(), ip_col, [t[:3] for t in ready])
+    joined = with_ip.join(looked, ip_col, "left")
+    added = [f for f in joined.schema.fields if f.name not in keys.columns]
+    without = keys.where(F.col(ip_col).isNull()).withColumns({
+        f.name: F.lit(False) if f.name.endswith("found") else F.lit(None).cast(f.dataType) for f in added})
+    return joined.unionByName(without)
 
 
-def _fits_broadcast(r: DataFrame, levels, max_rows: int, max_bytes: int) -> tuple[bool, list[int]]:
-    """Measure what the bucketed tables would hold, in one pass over the range table and
-    without exploding it: rows = buckets touched per range, bytes = rows x row width.
-    Returns (fits, rows per level)."""
+def _bucket_size(r: DataFrame, levels) -> tuple[list[int], int]:
+    """(rows per level, bytes) that the bucketed table would hold, in one pass over the range table
+    and without exploding it: rows = buckets touched per range, bytes = rows x row width."""
     width = sum(
         (F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)) if isinstance(f.dataType, (T.StringType, T.BinaryType)) else F.lit(8))
         for f in r.schema.fields
@@ -145,8 +233,7 @@ def _fits_broadcast(r: DataFrame, levels, max_rows: int, max_bytes: int) -> tupl
     for n in per_level[1:]:
         rows = rows + n
     m = r.agg(F.sum(rows * width).alias("bytes"), *[F.sum(n).alias(f"n{i}") for i, n in enumerate(per_level)]).first()
-    counts = [int(m[f"n{i}"] or 0) for i in range(len(levels))]
-    return sum(counts) <= max_rows and (m["bytes"] or 0) <= max_bytes, counts
+    return [int(m[f"n{i}"] or 0) for i in range(len(levels))], int(m["bytes"] or 0)
 
 
 def enrich_geo(
@@ -167,7 +254,8 @@ def enrich_geo(
       the owner text ``AS<n> <name>`` gives ``asn=<n>``, ``org=<NAME>``; other text gives
       only ``org``; no owner range gives neither.
 
-    ``blocks``: ``start_ip, end_ip`` (longs, inclusive) and any of the location fields.
+    ``blocks``: ``start_ip, end_ip`` (longs, inclusive) and any of the location fields; where ranges
+    overlap the narrowest one holds the address.
     ``asn``: owner ranges ``start_ip, end_ip, org_raw``; when omitted and ``blocks`` has
     ``org_raw``, owners come from the same lookup. Records without ``addr`` pass through.
     Duplicates are kept (no deduplication at this stage).
@@ -190,18 +278,14 @@ def enrich_geo(
     blocks_sel = blocks.select(
         "start_ip", "end_ip", *[_text(F.col(f), bfields[f]).alias(f) for f in loc_payload]
     )
-    j = range_lookup(keyed, "__ip", blocks_sel, loc_payload, "__g_", bucket_bits, broadcast_rows,
-                     broadcast_bytes=broadcast_bytes)
-
+    tables = [(blocks_sel, loc_payload, "__g_")]
     owner_col = None
     if owner_from_blocks:
         owner_col = F.col("__g_org_raw")
     elif asn is not None:
-        # Owners are only looked up where a location was found.
-        j = j.withColumn("__ip2", F.when(F.col("__g_found"), F.col("__ip")))
-        j = range_lookup(j, "__ip2", asn.select("start_ip", "end_ip", F.col("org_raw").cast("string")),
-                         ["org_raw"], "__a_", bucket_bits, broadcast_rows, broadcast_bytes=broadcast_bytes)
-        owner_col = F.col("__a_org_raw")
+        tables.append((asn.select("start_ip", "end_ip", F.col("org_raw").cast("string")), ["org_raw"], "__a_"))
+        owner_col = F.col("__a_org_raw")  # shown only where a location was found
+    j = range_lookup(keyed, "__ip", tables, bucket_bits, broadcast_rows, broadcast_bytes)
 
     is_none = addr.isNull()
     private = F.col("__private")
