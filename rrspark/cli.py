@@ -6,11 +6,11 @@ domain-mining workflow:
     geo      IN OUT --blocks PATH [--asn PATH]                             (records -> enriched)
     filter   EXPR IN OUT [--by-type]                                       (records -> subset)
     extract  EXPR IN OUT [--keep-quotes]                                   (records -> distinct values)
-    store    IN OUT [--events TABLE:TYPE] [--edges TABLE:TYPE:a:b,c:d] [--no-reverse] [--no-stats]
+    store    IN OUT [--events TABLE:TYPE] [--edges TABLE:TYPE:a:b,c:d] [--no-reverse] [--no-stats] [--in-format json]
     dump     IN OUT                                                        (responses -> text files)
 
-Expressions are Spark SQL. Every stage reads and writes Parquet unless told otherwise and
-prints its counters as one JSON line.
+Expressions are Spark SQL. Every stage reads and writes Parquet unless told otherwise; all but geo
+and dump, which count nothing, print their counters as one JSON line.
 """
 
 from __future__ import annotations
@@ -21,18 +21,19 @@ import json
 import sys
 
 from pyspark.sql import Observation, SparkSession
+from pyspark.sql import functions as F
 
-from .operators.cells import edge_generator, event_generator
+from .operators.cells import edge_generator, event_generator, map_edge_generator, map_event_generator
 from .operators.decode import decode_messages, decode_responses, response_text
 from .operators.extract import extract_count_columns, extract_values
 from .operators.filters import observe_filter
 from .operators.geo import enrich_geo
 from .operators.records import distinct_records
 from .operators.requests import expand_requests
-from .operators.resolve import lookup_summary, resolve, resolve_with, responses
+from .operators.resolve import lookup_summary, rcode_counts, resolve, resolve_with, responses
 from .session import ensure_checkpoint_dir
-from .sinks.files import write_by_type, write_cells, write_records, write_responses
-from .sources.files import read_domains, read_ranges, read_records, read_responses
+from .sinks.files import store, store_json, write_by_type, write_cells, write_records, write_responses
+from .sources.files import read_domains, read_json_lines, read_ranges, read_records, read_responses
 
 
 def _emit(counters: dict) -> None:
@@ -47,12 +48,15 @@ def cmd_collect(spark: SparkSession, a) -> None:
     else:
         module, _, name = a.lookup.partition(":")
         factory = getattr(importlib.import_module(module), name)
-        attempts = resolve_with(reqs, factory, threads=a.threads, timeout=a.timeout, partitions=a.partitions)
+        servers = a.nameservers.split(",") if a.nameservers else None
+        attempts = resolve_with(reqs, factory, threads=a.threads, timeout=a.timeout, partitions=a.partitions,
+                                nameservers=servers)
     path_attempts = a.out.rstrip("/") + "_attempts"
     write_records(attempts, path_attempts)  # materialised once; responses and totals read it back
     done = spark.read.parquet(path_attempts)
     write_responses(responses(done), a.out)
-    _emit(lookup_summary(done).first().asDict())
+    codes = {r["rcode"]: r["n"] for r in rcode_counts(done).collect()}  # one row per response code
+    _emit(lookup_summary(done).first().asDict() | {"rcodes": codes})
 
 
 def cmd_parse(spark: SparkSession, a) -> None:
@@ -86,18 +90,27 @@ def cmd_extract(spark: SparkSession, a) -> None:
 
 
 def cmd_store(spark: SparkSession, a) -> None:
+    any_keys = a.in_format != "parquet"
+    event, edge = (map_event_generator, map_edge_generator) if any_keys else (event_generator, edge_generator)
     gens = []
     for spec in a.events or []:
         table, dtype = spec.split(":", 1)
-        gens.append(event_generator(table, dtype))
+        gens.append(event(table, dtype))
     for spec in a.edges or []:
         table, dtype, edges = spec.split(":", 2)
-        gens.append(edge_generator(table, dtype, edges, bidirectional=not a.no_reverse, univariate=not a.no_stats))
+        gens.append(edge(table, dtype, edges, bidirectional=not a.no_reverse, univariate=not a.no_stats))
     if not gens:
         raise SystemExit("store: give --events and/or --edges")
-    from .sinks.files import store
 
-    store(read_records(spark, a.input), gens, sink=lambda cells: write_cells(cells, a.out))
+    def sink(cells):
+        write_cells(cells, a.out)
+
+    if any_keys:
+        _emit(store_json(read_json_lines(spark, a.input, a.in_format), gens, sink))
+        return
+    obs = Observation("store")
+    store(spark.read.parquet(a.input).observe(obs, F.count(F.lit(1)).alias("records_stored")), gens, sink=sink)
+    _emit({"bad_records": 0, "failed_store": 0, **obs.get, "total": obs.get["records_stored"]})
 
 
 def cmd_dump(spark: SparkSession, a) -> None:
@@ -121,6 +134,7 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--threads", type=int, default=50)
     c.add_argument("--timeout", type=float, default=5.0)
     c.add_argument("--partitions", type=int)
+    c.add_argument("--nameservers", help="comma-separated; one per name is handed to the lookup")
 
     pr = sub.add_parser("parse")
     pr.add_argument("input")
@@ -154,6 +168,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--edges", action="append")
     s.add_argument("--no-reverse", action="store_true")
     s.add_argument("--no-stats", action="store_true")
+    s.add_argument("--in-format", choices=["parquet", "json", "sequence"], default="parquet")
 
     d = sub.add_parser("dump")
     d.add_argument("input")

@@ -26,11 +26,20 @@ RR_ARROW = pa.struct([pa.field(n, _ARROW[type(t)]) for n, t in RR_FIELDS])
 DECODED_SCHEMA = T.StructType(list(RR_SCHEMA.fields) + [T.StructField("__error", T.StringType())])
 
 
-def _decode_batches(wire_col: str, txt_mode: str):
-    names = [n for n, _ in RR_FIELDS]
-    types = [_ARROW[type(t)] for _, t in RR_FIELDS]
+FLUSH_RECORDS = 5000
+
+
+def _decode_batches(wire_col: str, txt_mode: str, fields: list[str]):
+    kinds = dict(RR_FIELDS)
+    types = [_ARROW[type(kinds[n])] for n in fields]
     rdata_txt = txt_mode == "rdata"
 
+    def batch_of(recs: list[dict]) -> pa.RecordBatch:
+        # one pass per wanted field over the records (absent field = NULL)
+        arrays = [pa.array([r.get(n) for r in recs], type=t) for n, t in zip(fields, types)]
+        arrays.append(pa.array([r.get("__error") for r in recs], type=pa.string()))
+        return pa.RecordBatch.from_arrays(arrays, names=fields + ["__error"])
+
     def run(batches):
         for batch in batches:
             recs: list[dict] = []
@@ -47,20 +56,24 @@ def _decode_batches(wire_col: str, txt_mode: str):
                     if rdata_txt and "__txt_rdata" in rec:
                         rec["text"] = rec["__txt_rdata"]
                     add(rec)
-            # one pass per field over the batch's records (absent field = NULL)
-            arrays = [pa.array([r.get(n) for r in recs], type=t) for n, t in zip(names, types)]
-            arrays.append(pa.array([r.get("__error") for r in recs], type=pa.string()))
-            yield pa.RecordBatch.from_arrays(arrays, names=names + ["__error"])
+                if len(recs) >= FLUSH_RECORDS:  # a batch of large messages makes many records
+                    yield batch_of(recs)
+                    recs.clear()
+            yield batch_of(recs)
 
     return run
 
 
-def decode_with_errors(df: DataFrame, wire_col: str = "wire", txt_mode: str = "record") -> DataFrame:
-    """Every record of every message, plus one row with ``__error`` set per bad message."""
+def decode_with_errors(df: DataFrame, wire_col: str = "wire", txt_mode: str = "record",
+                       fields: list[str] | None = None) -> DataFrame:
+    """Every record of every message, plus one row with ``__error`` set per bad message. Only
+    ``fields`` (default all) are built."""
     if txt_mode not in ("record", "rdata"):
         raise ValueError("txt_mode must be 'record' or 'rdata'")
     ship_package(df.sparkSession)
-    return df.select(wire_col).mapInArrow(_decode_batches(wire_col, txt_mode), DECODED_SCHEMA)
+    fields = list(fields or RR_SCHEMA.fieldNames())
+    schema = T.StructType([*(RR_SCHEMA[n] for n in fields), DECODED_SCHEMA["__error"]])
+    return df.select(wire_col).mapInArrow(_decode_batches(wire_col, txt_mode, fields), schema)
 
 
 def decode_responses(
@@ -69,14 +82,15 @@ def decode_responses(
     txt_mode: str = "record",
     wire_col: str = "wire",
     observation: Observation | None = None,
+    fields: list[str] | None = None,
 ) -> DataFrame:
-    """Raw responses (``wire`` binary) -> records with the fixed record schema.
+    """Raw responses (``wire`` binary) -> records with the fixed record schema, or only ``fields``.
 
     ``ignore_ttl`` drops ``ttl`` (default, as the reference's parse job). ``txt_mode="record"``
     keeps TXT ``text`` as the whole presentation line (TTL included); ``"rdata"`` keeps only
     the quoted strings. Pass an ``Observation`` to collect ``parse_failures`` and ``records``
     in the same pass."""
-    out = decode_with_errors(df, wire_col, txt_mode)
+    out = decode_with_errors(df, wire_col, txt_mode, fields)
     if observation is not None:
         err = F.col("__error").isNotNull()
         out = out.observe(observation, F.count_if(err).alias("parse_failures"), F.count_if(~err).alias("records"))
@@ -85,10 +99,29 @@ def decode_responses(
 
 
 def parse_failures(df: DataFrame, wire_col: str = "wire") -> DataFrame:
-    """One row: messages that failed to parse and records decoded from the others."""
-    d = decode_with_errors(df, wire_col)
-    err = F.col("__error").isNotNull()
-    return d.agg(F.count_if(err).alias("parse_failures"), F.count_if(~err).alias("records"))
+    """One row: messages that failed to parse, records decoded from the others, and messages with the
+    TC bit of which only the records before the break were kept. Per message only its counts
+    leave Python."""
+
+    def run(batches):
+        for batch in batches:
+            counts = []
+            for wire in batch.column(0).to_pylist():
+                try:
+                    if wire is None:
+                        raise WireError("no message")
+                    found = len(decode_records(wire))
+                    promised = sum(struct.unpack_from("!3H", wire, 6))
+                    counts.append((0, found, int(found < promised)))
+                except (WireError, ValueError, IndexError, struct.error):
+                    counts.append((1, 0, 0))
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*counts)] or [pa.array([], pa.int64())] * 3,
+                                             names=["failed", "records", "cut"])
+
+    ship_package(df.sparkSession)
+    d = df.select(wire_col).mapInArrow(run, "failed long, records long, cut long")
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    return d.agg(total("failed").alias("parse_failures"), total("records").alias("records"), total("cut").alias("truncated_messages"))
 
 
 # --- message view -------------------------------------------------------------------------------

@@ -46,9 +46,6 @@ def records_from_json(
         raise ValueError("on_bad must be 'fail', 'drop', 'count' or 'keep'")
     if on_bad == "count" and observation is None:
         raise ValueError("on_bad='count' needs an Observation")
-    if on_bad == "fail":
-        parsed = F.from_json(F.col(column), schema, {"mode": "FAILFAST"})
-        return df.select(parsed.alias("r")).select("r.*")
     # One parse; malformed text lands in the corrupt-record field (or gives NULL).
     with_corrupt = T.StructType(list(schema.fields) + [T.StructField("_corrupt", T.StringType())])
     r = F.from_json(F.col(column), with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
@@ -61,6 +58,9 @@ def records_from_json(
         return out.where(~F.col("__bad")).select(*fields)
     if on_bad == "drop":
         return out.where(~bad).select(*fields)
+    if on_bad == "fail":  # a filter, so the check stays even where no field is used
+        refuse = F.raise_error(F.concat(F.lit("malformed record: "), F.substring("_text", 1, 200))).cast("boolean")
+        return out.where(F.when(bad, refuse).otherwise(F.lit(True))).select(*fields)
     return out.select(*fields, F.when(bad, F.col("_text")).alias("_corrupt"))
 
 
@@ -70,6 +70,14 @@ def conform(df: DataFrame, schema: T.StructType = RR_SCHEMA) -> DataFrame:
     return df.withColumns(missing) if missing else df
 
 
+def fields_from_json(lines: DataFrame, column: str = "json") -> DataFrame:
+    """Records with any keys: ``fields map<string,string>`` per line (NULL for a line that is no JSON
+    object) and ``failed``, an object with an explicit null, which no store can print."""
+    m = F.from_json(F.col(column), T.MapType(T.StringType(), T.StringType()))
+    out = lines.select(m.alias("fields"))
+    return out.withColumn("failed", F.coalesce(F.exists(F.map_values("fields"), lambda v: v.isNull()), F.lit(False)))
+
+
 def partition_sorted(df: DataFrame, cols: list[str], partitions: int | None = None) -> DataFrame:
     """Hash-partition on ``cols`` and sort inside each partition (stage outputs sorted by key
     per output file). Off by default: it costs a shuffle that no result needs."""

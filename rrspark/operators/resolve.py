@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..schema import RCODE_NAMES
 from ..session import ship_package
 
 KEY = ["name", "type", "dclass"]
@@ -36,10 +37,13 @@ def question_key(name: str | Column = "name", dclass: str | Column = "dclass", r
 
 
 def valid_name(name: str | Column = "name") -> Column:
-    """A name that can be put on the wire: labels of 1-63 characters, each ending in a dot,
-    or the root ``.``; at most 255 bytes in wire form."""
+    """A name that can be put on the wire: labels of 1-63 bytes, each ending in a dot, or the root
+    ``.``; at most 255 bytes in wire form. ``\\.`` and ``\\DDD`` are one byte of a label."""
     c = F.col(name) if isinstance(name, str) else name
-    return (c == ".") | (c.rlike(r"^([^.]{1,63}\.)+$") & (F.octet_length(c) <= 254))
+    # one Latin-1 character per byte, escapes (and the dots they hold) as one plain character
+    raw = F.decode(F.encode(c, "UTF-8"), "ISO-8859-1")
+    raw = F.regexp_replace(raw, r"\\(?:[0-9]{3}|[^0-9])", "x")
+    return (c == ".") | (raw.rlike(r"(?s)^([^.\\]{1,63}\.)+$") & (F.length(raw) <= 254))
 
 
 def pick_nameserver(nameservers: Sequence[str], key: str | Column = "name") -> Column:
@@ -54,21 +58,37 @@ def pick_nameserver(nameservers: Sequence[str], key: str | Column = "name") -> C
     return F.element_at(arr, (F.pmod(h, F.lit(len(nameservers))) + 1).cast("int"))
 
 
+def answer_rank(columns: Sequence[str]) -> Column:
+    """Which of several answers to one question counts: a response before any failure, a failure before
+    a timeout; then the smaller response code, then the faster one."""
+    outcome = F.array_position(F.array(*[F.lit(o) for o in ("ok", "failure", "timeout")]), F.col("outcome"))
+    parts = [F.when(outcome > 0, outcome).otherwise(9).alias("outcome")]
+    if "rcode" in columns:
+        codes = F.create_map(*[F.lit(x) for code, name in RCODE_NAMES.items() for x in (name, code)])
+        parts.append(F.coalesce(F.try_element_at(codes, F.col("rcode")), F.lit(1 << 16)).alias("code"))
+    if "ms" in columns:
+        parts.append(F.col("ms").cast("long").alias("ms"))
+    return F.struct(*parts)
+
+
 def resolve(requests: DataFrame, answers: DataFrame, answers_unique: bool = False) -> DataFrame:
-    """Attempt per request: ``name, type, dclass, question, outcome, rcode, ms`` (+ ``wire``
-    when the answers carry it). A request whose key has no recorded answer counts as a
-    timeout. With several answers for one key the smallest (outcome, rcode, ms) is used,
-    so each request gets at most one response."""
+    """Attempt per request: ``name, type, dclass, question, outcome, rcode, ms`` (+ ``wire`` when the
+    answers carry it). A request whose key has no recorded answer counts as a timeout. With
+    several answers for one key the best by ``answer_rank`` is used, so each request gets at most
+    one response. ``answers_unique`` promises one answer per key and skips their reduction; a key
+    that breaks the promise raises."""
     payload = [c for c in ("outcome", "rcode", "ms", "wire") if c in answers.columns]
+    kept = F.struct(*[F.col(c) for c in payload])
     if answers_unique:
-        ans = answers.select(*KEY, *[F.col(c).alias(f"__a_{c}") for c in payload])
+        best = F.first(kept)
+        many = F.count(F.lit(1)) > 1
+        reduced = answers.groupBy(*KEY).agg(F.when(many, F.raise_error(F.lit("several answers for one key"))).otherwise(
+            best).alias("__best"))
     else:
         # Aggregating on the join key leaves the answers hash-partitioned on it, so the join
         # below reuses that partitioning instead of shuffling the answers again.
-        best = F.min(F.struct(*[F.col(c) for c in payload])).alias("__best")
-        ans = answers.groupBy(*KEY).agg(best).select(
-            *KEY, *[F.col(f"__best.{c}").alias(f"__a_{c}") for c in payload]
-        )
+        reduced = answers.groupBy(*KEY).agg(F.min_by(kept, F.struct(answer_rank(payload), kept)).alias("__best"))
+    ans = reduced.select(*KEY, *[F.col(f"__best.{c}").alias(f"__a_{c}") for c in payload])
     req = requests.withColumn("__valid", valid_name("name"))
     j = req.join(ans, KEY, "left")
     outcome = (
@@ -142,10 +162,13 @@ ATTEMPT_SCHEMA = T.StructType(
         T.StructField("rcode", T.StringType()),
         T.StructField("ms", T.LongType()),
         T.StructField("wire", T.BinaryType()),
+        T.StructField("construct_ms", T.LongType()),
+        T.StructField("total_ms", T.LongType()),
+        T.StructField("nameserver", T.StringType()),
     ]
 )
 
-Lookup = Callable[[str, str, str], tuple[str | None, bytes | None]]
+Lookup = Callable[..., tuple[str | None, bytes | None]]
 
 
 def resolve_with(
@@ -154,13 +177,17 @@ def resolve_with(
     threads: int = 50,
     timeout: float = 5.0,
     partitions: int | None = None,
+    nameservers: Sequence[str] | None = None,
 ) -> DataFrame:
     """Resolve with ``lookup_factory(timeout)`` -> ``lookup(name, type, dclass)`` returning
     ``(rcode, wire)``; it raises ``TimeoutError`` for a timeout and ``OSError`` for a failed
     lookup. The factory runs once per task; up to ``threads`` lookups run at once per task.
+    With ``nameservers`` the one that ``pick_nameserver`` gives the name is handed on as a fourth
+    argument. ``construct_ms`` is the time from taking up a request to its lookup, ``ms`` the lookup's.
     ``partitions`` spreads requests evenly first (round-robin, so no key can skew it)."""
     ship_package(requests.sparkSession)
-    df = requests.select("name", "type", "dclass").withColumn("__valid", valid_name("name"))
+    chosen = pick_nameserver(nameservers, "name") if nameservers else F.lit(None).cast("string")
+    df = requests.select("name", "type", "dclass").withColumns({"__valid": valid_name("name"), "__ns": chosen})
     if partitions:
         df = df.repartition(partitions)
 
@@ -168,25 +195,28 @@ def resolve_with(
         lookup = lookup_factory(timeout)
 
         def one(args):
-            name, rtype, dclass, ok = args
+            taken = time.monotonic()
+            name, rtype, dclass, ok, server = args
             q = f"{name}\t{dclass}\t{rtype}"
             if not ok:
-                return (name, rtype, dclass, q, "parse_failure", None, None, None)
+                return (name, rtype, dclass, q, "parse_failure", None, None, None, 0, 0, server)
+            call = (name, rtype, dclass, server) if server is not None else (name, rtype, dclass)
             t0 = time.monotonic()
             try:
-                rcode, wire = lookup(name, rtype, dclass)
+                rcode, wire = lookup(*call)
                 outcome = "ok"
             except TimeoutError:
                 rcode, wire, outcome = None, None, "timeout"
             except OSError:
                 rcode, wire, outcome = None, None, "failure"
-            ms = int((time.monotonic() - t0) * 1000)
-            return (name, rtype, dclass, q, outcome, rcode, ms, wire)
+            end = time.monotonic()
+            return (name, rtype, dclass, q, outcome, rcode, int((end - t0) * 1000), wire,
+                    int((t0 - taken) * 1000), int((end - taken) * 1000), server)
 
         with ThreadPoolExecutor(max_workers=threads) as pool:
             for batch in batches:
                 d = batch.to_pydict()
-                rows = list(pool.map(one, zip(d["name"], d["type"], d["dclass"], d["__valid"])))
+                rows = list(pool.map(one, zip(d["name"], d["type"], d["dclass"], d["__valid"], d["__ns"])))
                 cols = list(zip(*rows)) if rows else [[] for _ in ATTEMPT_SCHEMA.fields]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(list(c), type=t) for c, t in zip(cols, _ARROW_TYPES)],
@@ -196,4 +226,5 @@ def resolve_with(
     return df.mapInArrow(run, ATTEMPT_SCHEMA)
 
 
-_ARROW_TYPES = [pa.string(), pa.string(), pa.string(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.binary()]
+_ARROW_TYPES = [pa.string(), pa.string(), pa.string(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.binary(),
+                pa.int64(), pa.int64(), pa.string()]

@@ -7,9 +7,11 @@ text as CTEs.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import spread_small_input
+from ..session import staged
 
 BASE_TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -19,16 +21,18 @@ BASE_TABLES = [
 # Records: one per lineitem row; the line number picks the record type.
 RR_SQL = """
 SELECT 'IN' AS dclass,
-  'h' || CAST(l_partkey % 200 AS STRING) || '.example.com.' AS name, t AS type,
+  'h' || CAST(l_partkey AS STRING) || '.example.com.' AS name, t AS type,
   CAST(l_quantity AS BIGINT) * 60 AS ttl,
   CASE WHEN t='A' THEN CAST(l_partkey % 40 + 1 AS STRING) || '.' || CAST(l_suppkey % 256 AS STRING) || '.' ||
        CAST(l_linenumber AS STRING) || '.' || CAST(l_partkey % 250 AS STRING) END AS addr,
-  CASE WHEN t='AAAA' THEN '2001:db8:0:0:0:0:0:' || CAST(l_suppkey % 10 AS STRING) END AS addrv6,
-  CASE WHEN t='MX' AND l_suppkey % 5 = 0 THEN '192.0.2.' || CAST(l_suppkey % 250 AS STRING) || '.'
-       WHEN t IN ('MX','NS') THEN 'MX' || CAST(l_suppkey % 30 AS STRING) || '.Example.NET.' END AS target,
+  CASE WHEN t='AAAA' THEN '2001:db8:0:0:0:0:' || CAST(l_partkey % 10000 AS STRING) || ':' ||
+       CAST(l_suppkey % 10000 AS STRING) END AS addrv6,
+  CASE WHEN t IN ('MX','NS') AND l_suppkey % 5 = 0 THEN '192.0.2.' || CAST(l_suppkey % 250 AS STRING) || '.'
+       WHEN t IN ('MX','NS') THEN 'MX' || CAST(l_suppkey AS STRING) || '.Example.NET.' END AS target,
   CASE WHEN t='MX' THEN CAST(l_suppkey % 3 * 10 AS INT) END AS priority,
-  CASE WHEN t='CNAME' THEN 'h' || CAST(l_suppkey % 20 AS STRING) || '.example.com.' END AS alias,
-  CASE WHEN t='SOA' THEN 'NS1.Example.ORG.' END AS host
+  CASE WHEN t='CNAME' THEN 'h' || CAST(l_suppkey AS STRING) || '.example.com.' END AS alias,
+  CASE WHEN t='SOA' AND l_suppkey % 6 = 0 THEN '192.0.2.' || CAST(l_suppkey % 250 AS STRING) || '.'
+       WHEN t='SOA' THEN 'NS' || CAST(l_suppkey AS STRING) || '.Example.ORG.' END AS host
 FROM (SELECT *, CASE l_linenumber WHEN 1 THEN 'A' WHEN 2 THEN 'A' WHEN 3 THEN 'AAAA' WHEN 4 THEN 'MX'
       WHEN 5 THEN 'NS' WHEN 6 THEN 'CNAME' ELSE 'SOA' END AS t FROM lineitem) x
 """
@@ -60,6 +64,39 @@ SELECT name, type, dclass, k % 97 AS ms,
 FROM (SELECT name, type, dclass, COUNT(*) AS k FROM rr GROUP BY name, type, dclass) g
 """
 
+# Recorded lookups with several answers per key: one per record that was seen, so a key has
+# timeouts, failures and responses side by side.
+REPEATED_ANSWERS_SQL = """
+SELECT name, type, dclass, ttl % 89 AS ms,
+  CASE WHEN ttl % 420 = 0 THEN 'timeout' WHEN ttl % 300 = 0 THEN 'failure' ELSE 'ok' END AS outcome,
+  CASE WHEN ttl % 420 = 0 OR ttl % 300 = 0 THEN NULL WHEN ttl % 240 = 0 THEN 'NXDOMAIN'
+       WHEN ttl % 180 = 0 THEN 'SERVFAIL' ELSE 'NOERROR' END AS rcode
+FROM rr
+"""
+
+# Location ranges that overlap: per customer a /24, a quarter of one or a whole /16, with
+# floating coordinates; owner ranges per supplier, /16 or /12.
+CITY_RANGES_SQL = """
+SELECT start_ip, start_ip + width - 1 AS end_ip, city, cc, country, lat, long
+FROM (SELECT (c_custkey % 40 + 1) * 16777216 + (c_custkey * 31 % 256) * 65536
+         + CASE WHEN c_custkey % 10 = 0 THEN 0 ELSE (c_custkey % 7 + 1) * 256 END AS start_ip,
+       CAST(CASE c_custkey % 10 WHEN 0 THEN 65536 WHEN 5 THEN 64 ELSE 256 END AS BIGINT) AS width,
+       'City ' || CAST(c_custkey AS STRING) AS city, 'n' || CAST(c_nationkey AS STRING) AS cc,
+       CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE 'Land ' || CAST(c_nationkey AS STRING) END AS country,
+       CAST(c_custkey % 180 - 90 AS DOUBLE) + 0.25 AS lat, CAST(c_custkey % 360 - 180 AS DOUBLE) + 0.5 AS long
+      FROM customer) c
+"""
+
+OWNER_RANGES_SQL = """
+SELECT start_ip, start_ip + width - 1 AS end_ip, org_raw
+FROM (SELECT (s_suppkey % 40 + 1) * 16777216 + CASE WHEN s_suppkey % 3 = 0 THEN (s_suppkey * 7 % 16) * 1048576
+         ELSE (s_suppkey * 7 % 256) * 65536 END AS start_ip,
+       CAST(CASE WHEN s_suppkey % 3 = 0 THEN 1048576 ELSE 65536 END AS BIGINT) AS width,
+       CASE WHEN s_suppkey % 4 = 0 THEN 'Plain ' || s_name
+            ELSE 'AS' || CAST(64500 + s_suppkey AS STRING) || ' Org ' || s_name END AS org_raw
+      FROM supplier) s
+"""
+
 # Domain-list lines: the host of every page URL. Every third line is padded with blanks and
 # tabs, and pages with a query string add one blank line each, so trimming and blank-line
 # handling are exercised on data that grows with the table.
@@ -76,8 +113,11 @@ FIXTURE_SQL: dict[str, str] = {
     "requests": REQUESTS_SQL,
     "answers": ANSWERS_SQL,
     "domains": DOMAINS_SQL,
+    "repeated_answers": REPEATED_ANSWERS_SQL,
+    "city_ranges": CITY_RANGES_SQL,
+    "owner_ranges": OWNER_RANGES_SQL,
 }
-FIXTURE_ORDER = ["rr", "blocks", "requests", "answers", "domains"]
+FIXTURE_ORDER = ["rr", "blocks", "requests", "answers", "domains", "repeated_answers", "city_ranges", "owner_ranges"]
 
 # Spark forms where the shared text would plan a join against a literal list: the three
 # request types are an ``explode`` per name instead (narrow, no join).
@@ -97,11 +137,20 @@ def register_tables(spark: SparkSession, sf_dir: str, tables: list[str] | None =
 
 
 _REGISTERED: dict[tuple[int, str], str] = {}
+_STAGED: dict[tuple[str, str, str], DataFrame] = {}
+
+# Fixtures that stand in for large stored inputs. The driver's file is one row group, so they are
+# written once per session as a table of many files, which the queries then scan.
+STORED_FIXTURES = {"rr"}
+
 
-# Fixtures that stand in for large input tables and are plain scans of one local file: when
-# that file gives fewer partitions than cores (one row group), they are spread, as the many
-# files of a real input would be. (Plain scans only, so the check runs nothing.)
-SCAN_FIXTURES = {"rr"}
+def stored(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """The table that ``make`` gives, written once per session and directory in as many files as
+    there are cores."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _STAGED:
+        _STAGED[key] = staged(make().repartition(spark.sparkContext.defaultParallelism), f"fixture-{name}")
+    return _STAGED[key]
 
 
 def register_fixtures(spark: SparkSession, sf_dir: str) -> None:
@@ -110,11 +159,11 @@ def register_fixtures(spark: SparkSession, sf_dir: str) -> None:
     key = (id(spark), spark.sparkContext.applicationId)
     if _REGISTERED.get(key) == sf_dir and all(spark.catalog.tableExists(n) for n in FIXTURE_ORDER):
         return
-    register_tables(spark, sf_dir, ["lineitem", "nation", "pages", "events"])
+    register_tables(spark, sf_dir, ["lineitem", "nation", "pages", "events", "customer", "supplier"])
     for name in FIXTURE_ORDER:
         df = spark.sql(SPARK_FIXTURE_SQL[name])
-        if name in SCAN_FIXTURES:
-            df = spread_small_input(df)
+        if name in STORED_FIXTURES:
+            df = stored(spark, sf_dir, name, lambda df=df: df)
         df.createOrReplaceTempView(name)
     _REGISTERED[key] = sf_dir
 

@@ -34,9 +34,7 @@ def run_chain(
     txt_mode: str = "record",
 ) -> Chain:
     """``fields`` keeps only those record fields before deduplication (all by default)."""
-    decoded = decode_responses(raw, ignore_ttl=ignore_ttl, txt_mode=txt_mode)
-    if fields:
-        decoded = decoded.select(*fields)
+    decoded = decode_responses(raw, ignore_ttl=ignore_ttl, txt_mode=txt_mode, fields=fields)
     records = distinct_records(decoded, ignore_ttl=ignore_ttl)
     enriched = enrich_geo(records, blocks, asn=asn)
     filtered = filter_records(enriched, filter_expr)

@@ -7,30 +7,30 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.cells import (
-    cell_counts, edge_cells, edge_generator, event_cells, event_generator, event_id, store_summary, value_stat_cells,
+    cell_counts, edge_cells, edge_generator, event_cells, event_generator, event_id, map_edge_generator,
+    map_event_generator, store_summary, value_stat_cells,
 )
 from ..operators.decode import decode_messages, decode_responses, parse_failures, response_text, section_size
 from ..operators.extract import extract_count_columns, extract_values
 from ..operators.filters import filter_count_columns, filter_records, lower_unless_ipv4
-from ..operators.requests import dedupe_requests, expand_requests
-from ..operators.resolve import lookup_summary, pick_nameserver, question_key, rcode_counts, resolve, resolve_with, responses
+from ..operators.requests import dedupe_requests, expand_requests, order_requests
+from ..operators.resolve import lookup_summary, pick_nameserver, question_key, rcode_counts, resolve, responses
 from ..operators.geo import enrich_geo, geo_counts
-from ..operators.records import distinct_records, records_from_json, records_to_json
+from ..operators.records import distinct_records, partition_sorted, records_from_json, records_to_json
 from ..session import scratch_path
-from ..sinks.files import store, write_by_type, write_cells, write_responses
-from ..sources.files import read_domains, read_responses
+from ..sinks.files import store, store_json, write_by_type, write_cells, write_responses
+from ..sources.files import read_domains, read_ranges, read_responses
+from ..schema import IPV4_NAME_PATTERN as IPV4_NAME_RE
 from .pipeline import run_chain
-from .wire_fixtures import answers_with_wire, record_responses, synthetic_lookup_factory
-from .fixtures import fixture, with_fixtures
+from .wire_fixtures import answers_with_wire, record_responses
+from .fixtures import fixture, stored, with_fixtures
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
-IPV4_NAME_RE = r"^\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}\.$"
-
 _SPARK: dict[str, QueryFn] = {}
 _ORACLE: dict[str, str] = {}
 
@@ -102,6 +102,18 @@ def q03_resolve(spark, sf_dir):
     return _attempts(spark, sf_dir)
 
 
+BEST_SQL = """(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY name, type, dclass ORDER BY
+    CASE outcome WHEN 'ok' THEN 1 WHEN 'failure' THEN 2 ELSE 3 END,
+    CASE rcode WHEN 'NOERROR' THEN 0 WHEN 'SERVFAIL' THEN 2 WHEN 'NXDOMAIN' THEN 3 ELSE 65536 END, ms) AS place
+  FROM repeated_answers) x WHERE place = 1)"""
+
+
+@register("q37_resolve_repeated", ATTEMPTS_SQL.replace("answers a ON", f"{BEST_SQL} a ON"))
+def q37_resolve_repeated(spark, sf_dir):
+    """Several recorded answers per question, responses and failures mixed: the best one counts."""
+    return resolve(fixture(spark, sf_dir, "requests"), spark.table("repeated_answers"))
+
+
 @register("q04_rcodes", f"SELECT rcode, count(*) AS n FROM ({ATTEMPTS_SQL}) x WHERE outcome = 'ok' GROUP BY rcode")
 def q04_rcodes(spark, sf_dir):
     return rcode_counts(_attempts(spark, sf_dir))
@@ -199,7 +211,7 @@ def q11_filter_counts(spark, sf_dir):
 GEO_OUT = "city, cc, country, lat, long, asn, org"
 
 
-def _oracle_geo(src: str) -> str:
+def _oracle_geo(src: str, blocks: str = "blocks") -> str:
     """DuckDB form of the enrichment over relation ``src`` (plain BETWEEN join)."""
     priv = ("(s.addr LIKE '10.%' OR s.addr LIKE '192.168.%' OR "
             "regexp_full_match(s.addr, '172\\.(1[6-9]|2[0-9]|3[01])\\..*'))")
@@ -219,7 +231,7 @@ def _oracle_geo(src: str) -> str:
   {pick(f"CASE WHEN {matched} THEN upper(regexp_extract(j.org_raw, '^{asn_re}$', 2)) ELSE upper(j.org_raw) END")} AS org
  FROM (SELECT s.*, {priv} AS priv, b.start_ip AS b_start, b.city AS b_city, b.cc AS b_cc,
          b.country AS b_country, b.lat AS b_lat, b.long AS b_long, b.org_raw
-       FROM {src} s LEFT JOIN blocks b
+       FROM {src} s LEFT JOIN {blocks} b
          ON s.addr IS NOT NULL AND NOT {priv} AND {ip} BETWEEN b.start_ip AND b.end_ip) j)"""
 
 
@@ -259,6 +271,47 @@ def q14_geo_passthrough(spark, sf_dir):
     return _geo(spark, sf_dir, distinct=False)
 
 
+def _oracle_geo_ranges() -> str:
+    """Location and owner of every distinct address by the narrowest range over it, as one-address
+    blocks for ``_oracle_geo``; coordinates print as 32-bit floats."""
+    ip = ("(CAST(split_part(addr, '.', 1) AS BIGINT) * 16777216 + CAST(split_part(addr, '.', 2) AS BIGINT) * 65536"
+          " + CAST(split_part(addr, '.', 3) AS BIGINT) * 256 + CAST(split_part(addr, '.', 4) AS BIGINT))")
+
+    def best(table: str, order: str) -> str:
+        return (f"(SELECT * FROM (SELECT i.ip, t.*, row_number() OVER (PARTITION BY i.ip ORDER BY t.end_ip - t.start_ip, "
+                f"t.start_ip, {order}) AS place FROM ips i JOIN {table} t ON i.ip BETWEEN t.start_ip AND t.end_ip) b "
+                "WHERE place = 1)")
+    return f"""
+WITH ips AS (SELECT DISTINCT {ip} AS ip FROM rr WHERE addr IS NOT NULL),
+found AS (SELECT l.ip AS start_ip, l.ip AS end_ip, l.city, l.cc, l.country, CAST(CAST(l.lat AS FLOAT) AS VARCHAR) AS lat,
+            CAST(CAST(l.long AS FLOAT) AS VARCHAR) AS long, o.org_raw
+          FROM {best('city_ranges', 't.city')} l LEFT JOIN {best('owner_ranges', 't.org_raw')} o ON l.ip = o.ip)
+SELECT {RR_COLS}, {GEO_OUT} FROM {_oracle_geo('(SELECT * FROM rr WHERE addr IS NOT NULL)', 'found')} g
+UNION ALL SELECT {RR_COLS}, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM rr WHERE addr IS NULL"""
+
+
+def _geo_ranges(spark, sf_dir, **limits) -> DataFrame:
+    recs = rr(spark, sf_dir)
+    tables = []
+    for name in ("city_ranges", "owner_ranges"):
+        path = scratch_path(spark, name)
+        fixture(spark, sf_dir, name).write.parquet(path)
+        tables.append(read_ranges(spark, path))
+    return enrich_geo(recs, tables[0], asn=tables[1], **limits)
+
+
+@register("q38_geo_ranges", _oracle_geo_ranges())
+def q38_geo_ranges(spark, sf_dir):
+    """Overlapping location ranges and a separate owner table, both small enough to broadcast."""
+    return _geo_ranges(spark, sf_dir)
+
+
+@register("q39_geo_ranges_sorted", _oracle_geo_ranges())
+def q39_geo_ranges_sorted(spark, sf_dir):
+    """The same by the path for tables too large to broadcast."""
+    return _geo_ranges(spark, sf_dir, broadcast_rows=0)
+
+
 # --- cells: events, edges, statistics --------------------------------------------------------
 
 RR_FIELDS_NO_TTL = RR_COLS_NO_TTL.split(", ")
@@ -367,15 +420,15 @@ def q27_store_summary(spark, sf_dir):
 # --- raw responses: decode, message view, JSON, type partitions, whole chain ---------------------
 
 def _rr_messages(spark, sf_dir) -> DataFrame:
-    """Raw responses for every record (one message per record, built JVM-side)."""
-    return record_responses(rr(spark, sf_dir))
+    """Raw responses, one message per record: a stored input table, made once per session."""
+    recs = rr(spark, sf_dir)
+    return stored(spark, sf_dir, "messages", lambda: record_responses(recs))
 
 
 @register("q20_decode_roundtrip", f"SELECT DISTINCT {RR_COLS_NO_TTL} FROM rr")
 def q20_decode_roundtrip(spark, sf_dir):
     """Every record encoded as a wire response (compressed owner name), decoded, deduped."""
-    recs = decode_responses(_rr_messages(spark, sf_dir))
-    return distinct_records(recs.select(*RR_FIELDS_NO_TTL))
+    return distinct_records(decode_responses(_rr_messages(spark, sf_dir), fields=RR_FIELDS_NO_TTL))
 
 
 @register(
@@ -510,7 +563,7 @@ def q28_response_text(spark, sf_dir):
 @register(
     "q29_parse_failures",
     "SELECT count(*) FILTER (WHERE type = 'CNAME') AS parse_failures, "
-    "count(*) FILTER (WHERE type IS DISTINCT FROM 'CNAME') AS records FROM rr",
+    "count(*) FILTER (WHERE type IS DISTINCT FROM 'CNAME') AS records, CAST(0 AS BIGINT) AS truncated_messages FROM rr",
 )
 def q29_parse_failures(spark, sf_dir):
     """Responses of every record, those of CNAME records cut short by 3 bytes: each cut
@@ -526,8 +579,7 @@ def q32_sequence_files(spark, sf_dir):
     decoded and deduplicated."""
     path = scratch_path(spark, "responses_seq")
     write_responses(_rr_messages(spark, sf_dir), path, format="sequence")
-    recs = decode_responses(read_responses(spark, path, format="sequence"))
-    return distinct_records(recs.select(*RR_FIELDS_NO_TTL))
+    return distinct_records(decode_responses(read_responses(spark, path, format="sequence"), fields=RR_FIELDS_NO_TTL))
 
 
 def _stat_union(src: str, fields: list[str]) -> str:
@@ -559,22 +611,7 @@ def q34_domain_files(spark, sf_dir):
     lines kept), then expanded as in q01."""
     path = scratch_path(spark, "domains_txt")
     fixture(spark, sf_dir, "domains").write.mode("overwrite").text(path)
-    return expand_requests(read_domains(spark, path), types="A,MX", subdomains=SUBDOMAINS)
-
-
-@register(
-    "q35_resolve_with",
-    """SELECT name, type, dclass, name || chr(9) || dclass || chr(9) || type AS question,
-  CASE WHEN type = 'TXT' THEN 'timeout' WHEN type = 'MX' AND strlen(name) % 2 = 1 THEN 'failure' ELSE 'ok' END AS outcome,
-  CASE WHEN type = 'TXT' OR (type = 'MX' AND strlen(name) % 2 = 1) THEN NULL
-       WHEN strlen(name) % 3 = 0 THEN 'NXDOMAIN' ELSE 'NOERROR' END AS rcode
-FROM requests""",
-)
-def q35_resolve_with(spark, sf_dir):
-    """Requests resolved through a lookup function (a rule-based stand-in for a name server:
-    TXT times out, some MX lookups fail, some names do not exist)."""
-    att = resolve_with(fixture(spark, sf_dir, "requests"), synthetic_lookup_factory, threads=8)
-    return att.select("name", "type", "dclass", "question", "outcome", "rcode")
+    return expand_requests(read_domains(spark, path, glob="*.txt"), types="A,MX", subdomains=SUBDOMAINS)
 
 
 # Documentation addresses (RFC 5737) standing in for a list of name servers.
@@ -594,6 +631,59 @@ def q36_nameserver_choice(spark, sf_dir):
     return reqs.select(question_key().alias("question"), pick_nameserver(NAMESERVERS, "name").alias("nameserver"))
 
 
+# --- orders, non-boolean filters, records with any keys --------------------------------------------
+
+@register("q40_filter_not_boolean", f"SELECT {RR_COLS} FROM rr WHERE false")
+def q40_filter_not_boolean(spark, sf_dir):
+    """A filter whose result is no boolean matches nothing (``strict=False``)."""
+    return filter_records(rr(spark, sf_dir), "lower(name)", strict=False)
+
+
+def _breaks(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Rows, and neighbours within a partition that are out of order."""
+    placed = df.select(*cols).withColumns({"part": F.spark_partition_id(), "place": F.monotonically_increasing_id()})
+    key = F.struct(*cols)
+    before = F.lag(key).over(Window.partitionBy("part").orderBy("place"))
+    return placed.withColumn("broken", before > key).agg(F.count(F.lit(1)).alias("n"), F.count_if("broken").alias("breaks"))
+
+
+@register("q41_sorted_records", "SELECT count(*) AS n, CAST(0 AS BIGINT) AS breaks FROM rr")
+def q41_sorted_records(spark, sf_dir):
+    """Stage output sorted by name and type within each partition."""
+    return _breaks(partition_sorted(rr(spark, sf_dir), ["name", "type"], 8), ["name", "type"])
+
+
+@register("q42_sorted_requests", f"SELECT count(*) AS n, CAST(0 AS BIGINT) AS breaks FROM ({Q01_SQL}) q")
+def q42_sorted_requests(spark, sf_dir):
+    """Requests in their natural order: name, type code, class code."""
+    return _breaks(order_requests(q01_requests(spark, sf_dir)), ["name", "type_code", "dclass_code"])
+
+
+@register(
+    "q43_store_json",
+    f"""SELECT table_name, count(*) AS n, (SELECT count(*) FROM orders) AS bad_records,
+  (SELECT count(*) FROM orders WHERE o_orderkey % 7 = 0) AS failed_store FROM (
+  SELECT 'ev.foreign' AS table_name FROM orders WHERE o_orderkey % 7 <> 0
+  UNION ALL SELECT 'ev.foreign' FROM orders WHERE o_orderkey % 7 <> 0
+  UNION ALL SELECT 'eg.foreign' FROM orders, (VALUES (1), (2), (3), (4)) v(x) WHERE o_orderkey % 7 <> 0) c
+GROUP BY table_name""",
+)
+def q43_store_json(spark, sf_dir):
+    """Storage step over JSON lines with keys of their own, explicit nulls and lines that are no
+    JSON, to tables with a dot in their names; run twice, which must change nothing."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    good = orders.select(F.concat(F.lit('{"order.id":"o'), F.col("o_orderkey").cast("string"), F.lit('","status":'), F.when(
+        F.col("o_orderkey") % 7 == 0, F.lit("null")).otherwise(F.concat(F.lit('"'), F.col("o_orderstatus"), F.lit('"'))),
+        F.lit("}")).alias("json"))
+    lines = good.unionByName(orders.select(F.lit("no json").alias("json")))
+    path = scratch_path(spark, "foreign_cells")
+    made = [map_event_generator("ev.foreign", "o"), map_edge_generator("eg.foreign", "o", "order.id:status")]
+    for _ in range(2):
+        counted = store_json(lines, made, sink=lambda cells: write_cells(cells, path))
+    tables = spark.read.parquet(path).groupBy("table_name").agg(F.count(F.lit(1)).alias("n"))
+    return tables.withColumns({c: F.lit(counted[c]).cast("long") for c in ("bad_records", "failed_store")})
+
+
 def spark_queries() -> dict[str, QueryFn]:
     return dict(_SPARK)
 

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import atexit
 import hashlib
 import io
 import os
+import re
+import shutil
 import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -39,33 +42,37 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local tests) a private temporary folder is set.
+    Only where the setting is absent in local mode (tests) a private temporary folder is set; on a
+    cluster that would be a folder other machines don't see, so it is an error.
     """
     path = spark.conf.get(CHECKPOINT_CONF, None)
     if not path:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share (master {master})")
         path = tempfile.mkdtemp(prefix="rrspark-ckpt-")
+        atexit.register(shutil.rmtree, path, ignore_errors=True)
         spark.conf.set(CHECKPOINT_CONF, path)
-    spark.sparkContext.setCheckpointDir(path)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(path)
     return path
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint dir for intermediate tables."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
-
-
-def spread_small_input(df):
-    """Spread a small scan over the cores: when a plain file scan yields fewer partitions than
-    cores (one file, one row group), repartition it round-robin (no key, so no skew). Inputs
-    of many files pass through untouched. Use it on scans only: on a plan with a shuffle,
-    asking for the partition count makes AQE run that shuffle first."""
-    if df.isStreaming:  # micro-batches keep the source's partitioning
-        return df
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    return named_path(spark, f"{name}-{uuid.uuid4().hex}")
+
+
+def named_path(spark: SparkSession, name: str) -> str:
+    """The folder of this name under the shared checkpoint dir, the same in every run."""
+    return os.path.join(ensure_checkpoint_dir(spark), name)
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to shared scratch and read back, so what it took is never done twice."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 _SHIPPED: set[tuple[str, str]] = set()

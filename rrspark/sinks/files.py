@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.cells import Generator, generate_cells
-from ..operators.records import records_to_json
+from ..operators.cells import Generator, generate_cells, map_cells
+from ..operators.records import fields_from_json, records_to_json
 
 
 def write_records(df: DataFrame, path: str, mode: str = "overwrite", compression: str = "zstd") -> None:
@@ -24,11 +24,11 @@ def write_records(df: DataFrame, path: str, mode: str = "overwrite", compression
 def write_by_type(df: DataFrame, path: str, types: Sequence[str] | None = None, mode: str = "overwrite") -> None:
     """One directory per record type (``type=MX/`` ...) in one pass instead of one filter job
     per type; readers then prune whole directories. ``types`` limits the output to those.
-    No repartition by type: one type can hold a third of all records, and each task
-    already writes its own file per type it holds."""
+    Rows are rebalanced by type first, so a type's rows meet in few files; AQE splits a type that holds
+    many of the rows over as many tasks as its size needs."""
     if types:
         df = df.where(F.col("type").isin(list(types)))
-    df.write.mode(mode).partitionBy("type").parquet(path)
+    df.hint("rebalance", "type").write.mode(mode).partitionBy("type").parquet(path)
 
 
 def write_json_records(df: DataFrame, path: str, mode: str = "overwrite", compression: str = "gzip") -> None:
@@ -42,8 +42,10 @@ def write_responses(df: DataFrame, path: str, format: str = "parquet", mode: str
     if format == "parquet":
         df.select("question", "wire").write.mode(mode).parquet(path)
     elif format == "sequence":
+        if not _ready(df.sparkSession, path, mode):
+            return
         # Key and value classes are given, so no pass is spent sampling the data for them.
-        df.select("question", "wire").rdd.map(lambda r: (r[0], bytearray(r[1]))).saveAsNewAPIHadoopFile(
+        df.select("question", "wire").rdd.map(lambda r: (r[0], bytearray(r[1] or b""))).saveAsNewAPIHadoopFile(
             path,
             "org.apache.hadoop.mapreduce.lib.output.SequenceFileOutputFormat",
             keyClass="org.apache.hadoop.io.Text",
@@ -58,9 +60,41 @@ def write_responses(df: DataFrame, path: str, format: str = "parquet", mode: str
         raise ValueError(f"unknown format {format!r}")
 
 
-def write_cells(cells: DataFrame, path: str, mode: str = "append") -> None:
-    """Cells routed to one directory per destination table."""
-    cells.write.mode(mode).partitionBy("table_name").parquet(path)
+def _ready(spark: SparkSession, path: str, mode: str) -> bool:
+    """Apply a save mode to a path that a Hadoop output format will write; whether to write."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(where):
+        return True
+    if mode == "overwrite":
+        fs.delete(where, True)
+        return True
+    if mode == "ignore":
+        return False
+    raise FileExistsError(f"{path} exists; sequence output can't use mode {mode!r}")
+
+
+def write_cells(cells: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Cells routed to one directory per destination table, rebalanced by table (AQE splits large
+    ones). The directories of the tables at hand are replaced, so a second run of the same job changes
+    nothing; ``mode="append"`` adds to them."""
+    writer = cells.hint("rebalance", "table_name").write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("table_name").parquet(path)
+
+
+def store_json(lines: DataFrame, generators: Sequence[Callable[[DataFrame], DataFrame]],
+               sink: Callable[[DataFrame], None], column: str = "json") -> dict[str, int]:
+    """Storage step over JSON record text with any keys: cells of the map generators (``cells.
+    map_event_generator``, ``map_edge_generator``) of every record that can be stored go to ``sink``.
+    Returns the counters of that same pass: ``bad_records`` (no JSON object), ``failed_store`` (an explicit
+    null), ``records_stored`` and ``total`` (the last two together)."""
+    seen = Observation("store")
+    bad, failed = F.col("fields").isNull(), F.col("failed")
+    records = fields_from_json(lines, column).observe(
+        seen, F.count_if(bad).alias("bad_records"), F.count_if(failed).alias("failed_store"),
+        F.count_if(~bad & ~failed).alias("records_stored"), F.count_if(~bad).alias("total"))
+    sink(map_cells(records.where(~bad & ~failed).select("fields"), generators))
+    return dict(seen.get)
 
 
 def store(df: DataFrame, generators: Sequence[Generator], sink: Callable[[DataFrame], None] | None = None,

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.records import records_from_json
+from ..operators.records import conform, records_from_json
+from ..schema import ENRICHED_SCHEMA
 
 RESPONSE_SCHEMA = T.StructType([T.StructField("question", T.StringType()), T.StructField("wire", T.BinaryType())])
 
@@ -20,27 +21,44 @@ def read_domains(spark: SparkSession, path: str | list[str], glob: str | None =
     return reader.text(path).withColumnRenamed("value", "domain")
 
 
-def read_responses(spark: SparkSession, path: str, format: str = "parquet") -> DataFrame:
-    """Raw responses ``question string, wire binary``. ``format="sequence"`` reads Hadoop
-    SequenceFiles of (Text question, BytesWritable wire), the reference's storage form."""
+def read_responses(spark: SparkSession, path: str, format: str = "parquet", glob: str | None = None) -> DataFrame:
+    """Raw responses ``question string, wire binary``: a file, a directory or a path pattern, with
+    ``glob`` only the files whose names match. ``format="sequence"`` reads Hadoop SequenceFiles of
+    (Text question, BytesWritable wire), a one-time import."""
     if format == "parquet":
-        return spark.read.parquet(path).select("question", "wire")
+        reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
+        return reader.schema(RESPONSE_SCHEMA).parquet(path)
     if format == "sequence":
         # Text and BytesWritable arrive as (str, bytearray) pairs, which fit the schema as they are.
+        path = f"{path.rstrip('/')}/{glob}" if glob else path
         rdd = spark.sparkContext.sequenceFile(path, "org.apache.hadoop.io.Text", "org.apache.hadoop.io.BytesWritable")
         return spark.createDataFrame(rdd, RESPONSE_SCHEMA, verifySchema=False)
     raise ValueError(f"unknown format {format!r}")
 
 
-def read_records(spark: SparkSession, path: str, format: str = "parquet", on_bad: str = "fail") -> DataFrame:
-    """Records: Parquet (the engine's own form) or JSON text lines (one object per line)."""
-    if format == "parquet":
-        return spark.read.parquet(path)
+def read_json_lines(spark: SparkSession, path: str, format: str = "json") -> DataFrame:
+    """Column ``json``: text lines, or the values of SequenceFiles of (Text, Text)."""
     if format in ("json", "text"):
-        return records_from_json(spark.read.text(path).withColumnRenamed("value", "json"), "json", on_bad=on_bad)
+        return spark.read.text(path).withColumnRenamed("value", "json")
+    if format == "sequence":
+        text = "org.apache.hadoop.io.Text"
+        pairs = spark.sparkContext.sequenceFile(path, text, text)
+        return spark.createDataFrame(pairs, "key string, json string", verifySchema=False).select("json")
     raise ValueError(f"unknown format {format!r}")
 
 
+def read_records(spark: SparkSession, path: str, format: str = "parquet", on_bad: str = "fail",
+                 observation: Observation | None = None) -> DataFrame:
+    """Records: Parquet (the engine's own form), JSON text lines or JSON in SequenceFiles. Every field of
+    the record schema is there, NULL where the data lack it, also ``type`` of a ``type=MX``
+    directory. ``observation`` takes the counts of ``on_bad="count"``."""
+    if format == "parquet":
+        parent, _, last = path.rstrip("/").rpartition("/")
+        reader = spark.read.option("basePath", parent) if last.startswith("type=") else spark.read
+        return conform(reader.parquet(path), ENRICHED_SCHEMA)
+    return records_from_json(read_json_lines(spark, path, format), "json", on_bad=on_bad, observation=observation)
+
+
 def read_ranges(spark: SparkSession, path: str, format: str = "parquet", **options) -> DataFrame:
     """Location or owner range table (``start_ip``, ``end_ip`` as longs plus fields)."""
     df = spark.read.format(format).options(**options).load(path)

@@ -19,7 +19,7 @@ from ..operators.decode import decode_responses
 from ..operators.extract import extract_values
 from ..operators.filters import filter_records
 from ..operators.geo import enrich_geo
-from ..session import scratch_path
+from ..session import named_path
 from ..sources.files import RESPONSE_SCHEMA
 
 ARRIVAL = "arrival"
@@ -54,7 +54,7 @@ def record_stream(raw: DataFrame, blocks: DataFrame | None = None, filter_expr:
     """raw responses -> decoded -> deduplicated (within ``delay``) -> enriched -> filtered."""
     recs = dedupe_stream(decode_responses(raw, txt_mode=txt_mode), delay)
     if blocks is not None:
-        recs = enrich_geo(recs, blocks)  # static, broadcast side (raises if it is too large)
+        recs = enrich_geo(recs, blocks)  # static side
     if filter_expr:
         recs = filter_records(recs, filter_expr)
     return recs
@@ -69,10 +69,11 @@ def value_stream(records: DataFrame, expr: str, delay: str = "1 hour") -> DataFr
 
 def start_parquet_sink(stream: DataFrame, path: str, checkpoint: str | None = None,
                        available_now: bool = True, name: str = "rrspark") -> StreamingQuery:
-    """Append the stream to Parquet; progress is kept in ``checkpoint`` (by default a folder
-    under the session's shared checkpoint dir), so a restarted query resumes exactly."""
+    """Append the stream to Parquet; progress is kept in ``checkpoint`` (by default the folder of this
+    ``name`` under the session's shared checkpoint dir), so a restarted query resumes where it was.
+    Give every query a name of its own."""
     spark = stream.sparkSession
-    checkpoint = checkpoint or scratch_path(spark, f"stream-{name}")
+    checkpoint = checkpoint or named_path(spark, f"stream-{name}")
     w = stream.drop(ARRIVAL) if ARRIVAL in stream.columns else stream
     writer = w.writeStream.format("parquet").option("checkpointLocation", checkpoint).outputMode("append")
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
@@ -81,11 +82,11 @@ def start_parquet_sink(stream: DataFrame, path: str, checkpoint: str | None = No
 
 def start_cell_store(records: DataFrame, generators: Sequence[Generator],
                      sink: Callable[[DataFrame, int], None], checkpoint: str | None = None,
-                     available_now: bool = True) -> StreamingQuery:
+                     available_now: bool = True, name: str = "rrspark-cells") -> StreamingQuery:
     """Storage step on a stream: each micro-batch's cells go to ``sink(cells, batch_id)``
     (``foreachBatch``); make the sink idempotent per ``batch_id`` for exactly-once output."""
     spark = records.sparkSession
-    checkpoint = checkpoint or scratch_path(spark, "stream-cells")
+    checkpoint = checkpoint or named_path(spark, f"stream-{name}")
     recs = records.drop(ARRIVAL) if ARRIVAL in records.columns else records
 
     def each(batch: DataFrame, batch_id: int) -> None:

@@ -6,8 +6,10 @@ from collections import Counter
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from rrspark.plans.fixtures import BASE_TABLES
+from rrspark.plans.queries import oracle_queries as oracle_sql
+from rrspark.plans.queries import spark_queries as queries
 
 
 def _norm(v):

@@ -19,7 +19,7 @@ def test_stream_matches_batch(spark, sf_dir):
 
     raw = read_response_stream(spark, src, max_files_per_trigger=2)
     out = scratch_path(spark, "stream-out")
-    q = start_parquet_sink(record_stream(raw, blocks, "type = 'A'"), out)
+    q = start_parquet_sink(record_stream(raw, blocks, "type = 'A'"), out, name="matches-batch")
     q.awaitTermination(300)
     got = spark.read.parquet(out)
 
@@ -43,12 +43,28 @@ def test_stream_cell_store(spark, sf_dir):
     assert cells.count() > 0 and {r.cq for r in cells.select("cq").distinct().collect()} >= {"NAME", "TYPE", "TARGET"}
 
 
-def test_stream_geo_needs_broadcastable_ranges(spark, sf_dir):
-    import pytest
-    from rrspark.operators.geo import enrich_geo
-
+def test_stream_geo_above_the_broadcast_limit(spark, sf_dir):
     src = scratch_path(spark, "stream-src3")
     record_responses(fixture(spark, sf_dir, "rr").where("type = 'A'")).write.parquet(src)
-    recs = decode_responses(read_response_stream(spark, src))
-    with pytest.raises(ValueError):
-        enrich_geo(recs, fixture(spark, sf_dir, "blocks"), broadcast_rows=1)
+    blocks = fixture(spark, sf_dir, "blocks")
+    out = scratch_path(spark, "stream-out3")
+    streamed = enrich_geo(decode_responses(read_response_stream(spark, src)), blocks, broadcast_rows=1)
+    start_parquet_sink(streamed, out, name="above-the-limit").awaitTermination(300)
+    batch = enrich_geo(decode_responses(spark.read.parquet(src)), blocks)
+    assert sorted(map(str, spark.read.parquet(out).select(*batch.columns).collect())) == sorted(map(str, batch.collect()))
+
+
+def test_restarted_stream_writes_nothing_twice(spark, sf_dir):
+    src, out = scratch_path(spark, "stream-src4"), scratch_path(spark, "stream-out4")
+    raw = record_responses(fixture(spark, sf_dir, "rr").where("type = 'MX'"))
+    raw.limit(100).write.parquet(src)
+
+    def run():
+        stream = decode_responses(read_response_stream(spark, src))
+        start_parquet_sink(stream, out, name="restarted").awaitTermination(300)
+        return spark.read.parquet(out).count()
+
+    assert run() == 100
+    assert run() == 100
+    raw.limit(10).write.mode("append").parquet(src)
+    assert run() == 110
