@@ -8,13 +8,18 @@ from itertools import chain
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..schema import CLASS_CODES, RCODE_NAMES, TYPE_CODES
+from ..schema import CLASS_CODES, CLASS_NAMES, RCODE_NAMES, TYPE_CODES, TYPE_NAMES
 
 
 def _map(d: dict) -> Column:
     return F.create_map(*[F.lit(x) for x in chain.from_iterable(d.items())])
 
 
+def mapped_name(names: dict[int, str], code: Column, other: str) -> Column:
+    """The name of a code, or ``other`` followed by the code."""
+    return F.coalesce(F.try_element_at(_map(names), code), F.concat(F.lit(other), code.cast("string")))
+
+
 def type_code_col(c: str | Column) -> Column:
     c = F.upper(F.col(c) if isinstance(c, str) else c)
     generic = F.when(c.rlike(r"^TYPE\d{1,5}$"), F.substring(c, 5, 5).try_cast("int"))
@@ -29,16 +34,14 @@ def class_code_col(c: str | Column) -> Column:
 
 def type_name_col(c: str | Column) -> Column:
     c = F.col(c) if isinstance(c, str) else c
-    names = {v: k for k, v in TYPE_CODES.items()}
-    return F.coalesce(F.try_element_at(_map(names), c), F.concat(F.lit("TYPE"), c.cast("string")))
+    return mapped_name(TYPE_NAMES, c, "TYPE")
 
 
 def class_name_col(c: str | Column) -> Column:
     c = F.col(c) if isinstance(c, str) else c
-    names = {v: k for k, v in CLASS_CODES.items()}
-    return F.coalesce(F.try_element_at(_map(names), c), F.concat(F.lit("CLASS"), c.cast("string")))
+    return mapped_name(CLASS_NAMES, c, "CLASS")
 
 
 def rcode_name_col(c: str | Column) -> Column:
     c = F.col(c) if isinstance(c, str) else c
-    return F.coalesce(F.try_element_at(_map(RCODE_NAMES), c), F.concat(F.lit("RESERVED"), c.cast("string")))
+    return mapped_name(RCODE_NAMES, c, "RESERVED")

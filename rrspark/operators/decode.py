@@ -1,79 +1,82 @@
 """Decode raw responses into records (P6-P10, A6).
 
-``mapInArrow`` hands each task Arrow batches of ``wire`` bytes; the per-message parser
-(``functions.wire``) emits one row per record of the ANSWER, then ADDITIONAL, then AUTHORITY
-section. The stage is narrow (no shuffle); deduplication afterwards is one hash aggregate.
-A message that cannot be parsed yields no records (all or nothing per message) and is
-counted as a parse failure.
+``mapInArrow`` walks each message (``functions.wire``: sections, names, bytes) and column expressions
+(``functions.rdata``) make the record fields of them, so a field nobody asks for costs nothing. Records
+come from the ANSWER, then ADDITIONAL, then AUTHORITY section. The stage is narrow; deduplication
+afterwards is one hash aggregate. A message that cannot be parsed yields no records (all
+or nothing per message) and is counted as a parse failure.
 """
 
 from __future__ import annotations
 
 import struct
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..functions.wire import WireError, decode_message, decode_records
+from ..functions.rdata import RAW_RECORD, flag_names, opcode_text, rcode_text, record_fields, record_struct
+from ..functions.wire import WireError, walk
 from ..schema import MESSAGE_SCHEMA, RR_FIELDS, RR_SCHEMA
 from ..session import ship_package
 
-
-_ARROW = {T.StringType: pa.string(), T.LongType: pa.int64(), T.IntegerType: pa.int32()}
-RR_ARROW = pa.struct([pa.field(n, _ARROW[type(t)]) for n, t in RR_FIELDS])
-DECODED_SCHEMA = T.StructType(list(RR_SCHEMA.fields) + [T.StructField("__error", T.StringType())])
-
-
 FLUSH_RECORDS = 5000
-
-
-def _decode_batches(wire_col: str, txt_mode: str, fields: list[str]):
-    kinds = dict(RR_FIELDS)
-    types = [_ARROW[type(kinds[n])] for n in fields]
-    rdata_txt = txt_mode == "rdata"
-
-    def batch_of(recs: list[dict]) -> pa.RecordBatch:
-        # one pass per wanted field over the records (absent field = NULL)
-        arrays = [pa.array([r.get(n) for r in recs], type=t) for n, t in zip(fields, types)]
-        arrays.append(pa.array([r.get("__error") for r in recs], type=pa.string()))
-        return pa.RecordBatch.from_arrays(arrays, names=fields + ["__error"])
-
-    def run(batches):
-        for batch in batches:
-            recs: list[dict] = []
-            add = recs.append
-            for wire in batch.column(wire_col).to_pylist():
-                try:
-                    if wire is None:
-                        raise WireError("no message")
-                    found = decode_records(wire)
-                except (WireError, ValueError, IndexError, struct.error) as e:  # counted, not raised
-                    add({"__error": str(e) or type(e).__name__})
-                    continue
-                for rec in found:
-                    if rdata_txt and "__txt_rdata" in rec:
-                        rec["text"] = rec["__txt_rdata"]
-                    add(rec)
-                if len(recs) >= FLUSH_RECORDS:  # a batch of large messages makes many records
-                    yield batch_of(recs)
-                    recs.clear()
-            yield batch_of(recs)
-
-    return run
+FLUSH_BYTES = 16 << 20
+_RAW_ARROW = [("name", pa.string()), ("tcode", pa.int32()), ("ccode", pa.int32()), ("ttl", pa.int64()), ("fixed", pa.binary()),
+              ("names", pa.list_(pa.string())), ("strings", pa.list_(pa.binary()))]
+_RAW_COLUMNS = RAW_RECORD[len("struct<"):-1].replace(":", " ")
+
+
+def _walked(wire: bytes | None) -> tuple[tuple | None, str | None]:
+    """(walked message, error)."""
+    try:
+        if wire is None:
+            raise WireError("no message")
+        return walk(wire), None
+    except (WireError, ValueError, IndexError, struct.error) as e:  # counted, not raised
+        return None, str(e) or type(e).__name__
+
+
+def _record_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Raw records of each message, or one row with its error; bounded output batches."""
+    names = [n for n, _ in _RAW_ARROW] + ["__error"]
+    types = [t for _, t in _RAW_ARROW] + [pa.string()]
+    rows: list[tuple] = []
+    size = 0
+
+    def flush() -> pa.RecordBatch:
+        columns = zip(*rows) if rows else [()] * len(types)
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+
+    for batch in batches:
+        for wire in batch.column(0):
+            wire = wire.as_py()
+            found, error = _walked(wire)
+            if found is None:
+                rows.append((None,) * len(_RAW_ARROW) + (error,))
+            else:
+                _, answers, authority, additional = found[2]
+                for section in (answers, additional, authority):
+                    rows += [(*r, None) for r in section]
+            size += len(wire or b"")
+            if len(rows) >= FLUSH_RECORDS or size >= FLUSH_BYTES:
+                yield flush()
+                rows.clear()
+                size = 0
+    yield flush()
 
 
 def decode_with_errors(df: DataFrame, wire_col: str = "wire", txt_mode: str = "record",
                        fields: list[str] | None = None) -> DataFrame:
-    """Every record of every message, plus one row with ``__error`` set per bad message. Only
-    ``fields`` (default all) are built."""
+    """Every record of every message, plus one row with ``__error`` set per bad message."""
     if txt_mode not in ("record", "rdata"):
         raise ValueError("txt_mode must be 'record' or 'rdata'")
     ship_package(df.sparkSession)
-    fields = list(fields or RR_SCHEMA.fieldNames())
-    schema = T.StructType([*(RR_SCHEMA[n] for n in fields), DECODED_SCHEMA["__error"]])
-    return df.select(wire_col).mapInArrow(_decode_batches(wire_col, txt_mode, fields), schema)
+    raw = df.select(wire_col).mapInArrow(_record_batches, f"{_RAW_COLUMNS.replace(',', ', ')}, __error string")
+    made = record_fields(F.col, txt_mode)
+    kinds = dict(RR_FIELDS)
+    return raw.select(*[made[n].cast(kinds[n]).alias(n) for n in fields or RR_SCHEMA.fieldNames()], "__error")
 
 
 def decode_responses(
@@ -107,14 +110,9 @@ def parse_failures(df: DataFrame, wire_col: str = "wire") -> DataFrame:
         for batch in batches:
             counts = []
             for wire in batch.column(0).to_pylist():
-                try:
-                    if wire is None:
-                        raise WireError("no message")
-                    found = len(decode_records(wire))
-                    promised = sum(struct.unpack_from("!3H", wire, 6))
-                    counts.append((0, found, int(found < promised)))
-                except (WireError, ValueError, IndexError, struct.error):
-                    counts.append((1, 0, 0))
+                found, _ = _walked(wire)
+                kept = sum(map(len, found[2][1:])) if found else 0
+                counts.append((int(found is None), kept, int(bool(found) and kept < sum(struct.unpack_from("!3H", wire, 6)))))
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*counts)] or [pa.array([], pa.int64())] * 3,
                                              names=["failed", "records", "cut"])
 
@@ -126,61 +124,50 @@ def parse_failures(df: DataFrame, wire_col: str = "wire") -> DataFrame:
 
 # --- message view -------------------------------------------------------------------------------
 
-MESSAGE_OUT_SCHEMA = T.StructType(
-    [T.StructField("question_key", T.StringType())] + list(MESSAGE_SCHEMA.fields) + [T.StructField("error", T.StringType())]
-)
-MESSAGE_ARROW = pa.schema(
-    [
-        pa.field("question_key", pa.string()),
-        pa.field("opcode", pa.string()),
-        pa.field("rcode", pa.string()),
-        pa.field("flags", pa.list_(pa.string())),
-        pa.field("id", pa.int32()),
-        pa.field("question", pa.list_(RR_ARROW)),
-        pa.field("answers", pa.list_(RR_ARROW)),
-        pa.field("additional", pa.list_(RR_ARROW)),
-        pa.field("authority", pa.list_(RR_ARROW)),
-        pa.field("error", pa.string()),
-    ]
-)
-
-
-def _message_batches(key_col: str | None, wire_col: str):
-    fields = [n for n, _ in RR_FIELDS]
-
-    def clean(rec: dict) -> dict:
-        return {k: rec.get(k) for k in fields}
+SECTIONS = ("question", "answers", "authority", "additional")  # wire order
+FLUSH_MESSAGES = 500
 
-    def run(batches):
-        for batch in batches:
-            keys = batch.column(key_col).to_pylist() if key_col else [None] * batch.num_rows
+
+def _message_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    raw = pa.struct(_RAW_ARROW)
+    schema = pa.schema([("question_key", pa.string()), ("id", pa.int32()), ("flags", pa.int32()),
+                        *[(s, pa.list_(raw)) for s in SECTIONS], ("error", pa.string())])
+    names = [n for n, _ in _RAW_ARROW]
+    for whole in batches:
+        for at in range(0, len(whole), FLUSH_MESSAGES):
             rows = []
-            for key, wire in zip(keys, batch.column(wire_col).to_pylist()):
-                try:
-                    if wire is None:
-                        raise WireError("no message")
-                    m = decode_message(wire)
-                except (WireError, ValueError, IndexError, struct.error) as e:
-                    rows.append({"question_key": key, "error": str(e) or type(e).__name__})
-                    continue
-                row = {"question_key": key, "opcode": m["opcode"], "rcode": m["rcode"], "flags": m["flags"],
-                       "id": m["id"], "error": None}
-                for s in ("question", "answers", "additional", "authority"):
-                    row[s] = [clean(r) for r in m[s]] or None  # an empty section is left out
+            batch = whole.slice(at, FLUSH_MESSAGES)
+            for key, wire in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                found, error = _walked(wire)
+                row = {"question_key": key, "error": error}
+                if found is not None:
+                    row["id"], row["flags"], sections = found
+                    # an empty section is left out
+                    row |= {s: [dict(zip(names, r)) for r in rs] or None for s, rs in zip(SECTIONS, sections)}
                 rows.append(row)
-            yield pa.RecordBatch.from_pylist(rows, schema=MESSAGE_ARROW)
+            yield pa.RecordBatch.from_pylist(rows, schema=schema)
+
 
-    return run
+def _record_of(section: str):
+    return lambda r: record_struct(r, question=section == "question")
 
 
 def decode_messages(df: DataFrame, key_col: str | None = "question", wire_col: str = "wire") -> DataFrame:
     """Whole-message view: ``question_key, opcode, rcode, flags, id, question, answers,
     additional, authority, error``; each section is an array of records (TTL included) or
     NULL when empty; ``error`` is set (and the rest NULL) for a message that does not parse."""
-    cols = [wire_col] + ([key_col] if key_col and key_col in df.columns else [])
-    kc = key_col if key_col and key_col in df.columns else None
     ship_package(df.sparkSession)
-    return df.select(*cols).mapInArrow(_message_batches(kc, wire_col), MESSAGE_OUT_SCHEMA)
+    key = F.col(key_col) if key_col and key_col in df.columns else F.lit(None).cast("string")
+    raw = df.select(key.cast("string").alias("question_key"), wire_col).mapInArrow(
+        _message_batches, "question_key string, id int, flags int, "
+        + ", ".join(f"{s} array<{RAW_RECORD}>" for s in SECTIONS) + ", error string")
+    flags = F.col("flags")
+    good = lambda c: F.when(F.col("error").isNull(), c)
+    sections = {s: F.transform(s, _record_of(s)) for s in SECTIONS}
+    return raw.select(
+        "question_key", good(opcode_text(flags)).alias("opcode"), good(rcode_text(flags)).alias("rcode"),
+        good(flag_names(flags)).alias("flags"), "id",
+        *[sections[s].alias(s) for s in ("question", "answers", "additional", "authority")], "error")
 
 
 def section_size(c: str | Column) -> Column:

@@ -97,6 +97,28 @@ FROM (SELECT (s_suppkey % 40 + 1) * 16777216 + CASE WHEN s_suppkey % 3 = 0 THEN
       FROM supplier) s
 """
 
+# Records of the other types, per order: what each must decode to, and ``raw``, the data of those types
+# that are written as bytes.
+TYPED_SQL = """
+SELECT 'IN' AS dclass, 'r' || CAST(o_orderkey AS STRING) || '.example.com.' AS name, type, o_custkey % 1000 AS ttl,
+  CASE WHEN type IN ('PTR', 'SRV') THEN 'h' || CAST(o_custkey AS STRING) || '.example.com.' END AS target,
+  CASE WHEN type = 'TXT' THEN 'order ' || CAST(o_orderkey AS STRING) END AS txt,
+  CASE WHEN type = 'SRV' THEN CAST(o_custkey % 100 AS INT) END AS priority,
+  CASE WHEN type = 'SRV' THEN CAST(o_custkey % 50 AS INT) END AS weight,
+  CASE WHEN type = 'SRV' THEN CAST(o_custkey % 60000 AS INT) END AS port,
+  CASE WHEN type = 'SOA' THEN 'ns' || CAST(o_custkey AS STRING) || '.example.com.' END AS host,
+  CASE WHEN type = 'SOA' THEN 'admin.example.com.' END AS admin,
+  CASE WHEN type = 'SOA' THEN CAST(o_orderkey AS BIGINT) END AS serial,
+  CASE WHEN type = 'SOA' THEN CAST(3600 + o_custkey AS BIGINT) END AS refresh,
+  CASE WHEN type = 'SOA' THEN CAST(600 + o_custkey AS BIGINT) END AS retry,
+  CASE WHEN type = 'SOA' THEN CAST(4000000000 + o_custkey % 1000 AS BIGINT) END AS expire,
+  CASE WHEN type = 'SOA' THEN CAST(60 AS BIGINT) END AS min,
+  CASE type WHEN 'TLSA' THEN '3 1 1 ' || digits WHEN 'TYPE65280' THEN chr(92) || '# 6 ' || digits END AS rdata,
+  CASE type WHEN 'TLSA' THEN chr(92) || '# 9 030101' || digits WHEN 'TYPE65280' THEN chr(92) || '# 6 ' || digits END AS raw
+FROM (SELECT *, lpad(CAST(o_orderkey AS STRING), 12, '0') AS digits, CASE o_orderkey % 6 WHEN 0 THEN 'PTR' WHEN 1 THEN 'TXT'
+        WHEN 2 THEN 'SRV' WHEN 3 THEN 'SOA' WHEN 4 THEN 'TLSA' ELSE 'TYPE65280' END AS type FROM orders) o
+"""
+
 # Domain-list lines: the host of every page URL. Every third line is padded with blanks and
 # tabs, and pages with a query string add one blank line each, so trimming and blank-line
 # handling are exercised on data that grows with the table.
@@ -116,8 +138,10 @@ FIXTURE_SQL: dict[str, str] = {
     "repeated_answers": REPEATED_ANSWERS_SQL,
     "city_ranges": CITY_RANGES_SQL,
     "owner_ranges": OWNER_RANGES_SQL,
+    "typed": TYPED_SQL,
 }
-FIXTURE_ORDER = ["rr", "blocks", "requests", "answers", "domains", "repeated_answers", "city_ranges", "owner_ranges"]
+FIXTURE_ORDER = ["rr", "blocks", "requests", "answers", "domains", "repeated_answers", "city_ranges", "owner_ranges",
+                 "typed"]
 
 # Spark forms where the shared text would plan a join against a literal list: the three
 # request types are an ``explode`` per name instead (narrow, no join).
@@ -159,7 +183,7 @@ def register_fixtures(spark: SparkSession, sf_dir: str) -> None:
     key = (id(spark), spark.sparkContext.applicationId)
     if _REGISTERED.get(key) == sf_dir and all(spark.catalog.tableExists(n) for n in FIXTURE_ORDER):
         return
-    register_tables(spark, sf_dir, ["lineitem", "nation", "pages", "events", "customer", "supplier"])
+    register_tables(spark, sf_dir, ["lineitem", "nation", "pages", "events", "customer", "supplier", "orders"])
     for name in FIXTURE_ORDER:
         df = spark.sql(SPARK_FIXTURE_SQL[name])
         if name in STORED_FIXTURES:

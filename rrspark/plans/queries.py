@@ -431,6 +431,29 @@ def q20_decode_roundtrip(spark, sf_dir):
     return distinct_records(decode_responses(_rr_messages(spark, sf_dir), fields=RR_FIELDS_NO_TTL))
 
 
+TYPED_COLS = "dclass, name, type, ttl, target, priority, weight, port, host, admin, serial, refresh, retry, expire, min, rdata"
+TXT_LINE = ("CASE WHEN type = 'TXT' THEN name || CASE WHEN length(name) < 16 THEN chr(9) ELSE '' END || chr(9) || "
+            "CAST(ttl AS VARCHAR) || chr(9) || 'IN' || chr(9) || 'TXT' || chr(9) || '\"' || txt || '\"' END")
+
+
+def _typed(spark, sf_dir, txt_mode: str) -> DataFrame:
+    typed = fixture(spark, sf_dir, "typed").withColumnRenamed("txt", "text").withColumn("rdata", F.col("raw")).drop("raw")
+    raw = stored(spark, sf_dir, "typed-messages", lambda: record_responses(typed))
+    return decode_responses(raw, ignore_ttl=False, txt_mode=txt_mode, fields=[*TYPED_COLS.split(", "), "text"])
+
+
+@register("q44_decode_types", f"SELECT {TYPED_COLS}, {TXT_LINE} AS text FROM typed")
+def q44_decode_types(spark, sf_dir):
+    """PTR, TXT, SRV, whole SOA, a type with presentation text and an unknown type, decoded."""
+    return _typed(spark, sf_dir, "record")
+
+
+@register("q45_decode_txt_rdata", f"SELECT {TYPED_COLS}, CASE WHEN type = 'TXT' THEN '\"' || txt || '\"' END AS text FROM typed")
+def q45_decode_txt_rdata(spark, sf_dir):
+    """The same with TXT as its quoted strings alone."""
+    return _typed(spark, sf_dir, "rdata")
+
+
 @register(
     "q21_messages",
     """SELECT rcode, count(*) AS messages, CAST(count(*) AS BIGINT) AS question_records,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rrspark.functions.columns import ipv4_to_long, java_trim
-from rrspark.functions.wire import encode_message, header_flags
+from rrspark.plans.wire_fixtures import encode_message, header_flags
 from rrspark.operators.cells import (
     cell_counts, directed_edges, edge_cells, event_cells, event_id, parse_edges, store_summary,
 )

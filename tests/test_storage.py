@@ -7,7 +7,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from rrspark.functions.wire import decode_records
+from rrspark.functions.wire import walk
 from rrspark.operators.cells import event_cells, event_generator, map_event_generator
 from rrspark.operators.resolve import resolve, resolve_with, valid_name
 from rrspark.session import ensure_checkpoint_dir, scratch_path
@@ -143,8 +143,8 @@ def test_names_behind_many_pointers_decode():
     body = b"\x00" + b"\x00\x0a\x00\x01" + b"\x00\x00\x00\x00" + len(chain).to_bytes(2, "big") + bytes(chain)
     tail = bytes([0xC0 | at >> 8, at & 255]) + b"\x00\x01\x00\x01\x00\x00\x00\x00\x00\x04\x01\x02\x03\x04"
     buf[6:8] = b"\x00\x02"
-    records = decode_records(bytes(buf) + body + tail)
-    assert records[1]["name"] == "a." and records[1]["addr"] == "1.2.3.4"
+    answers = walk(bytes(buf) + body + tail)[2][1]
+    assert answers[1][0] == "a." and answers[1][4] == b"\x01\x02\x03\x04"
 
 
 def test_a_cluster_needs_a_shared_checkpoint_folder():
