@@ -17,13 +17,13 @@ from ..operators.cells import (
 from ..operators.decode import decode_messages, decode_responses, parse_failures, response_text, section_size
 from ..operators.extract import extract_count_columns, extract_values
 from ..operators.filters import filter_count_columns, filter_records, lower_unless_ipv4
-from ..operators.requests import dedupe_requests, expand_requests, order_requests
+from ..operators.requests import dedupe_requests, expand_requests, order_requests, with_codes
 from ..operators.resolve import lookup_summary, pick_nameserver, question_key, rcode_counts, resolve, responses
 from ..operators.geo import enrich_geo, geo_counts
 from ..operators.records import distinct_records, partition_sorted, records_from_json, records_to_json
 from ..session import scratch_path
-from ..sinks.files import store, store_json, write_by_type, write_cells, write_responses
-from ..sources.files import read_domains, read_ranges, read_responses
+from ..sinks.files import store, store_json, write_by_type, write_cells, write_records, write_responses
+from ..sources.files import read_domains, read_ranges, read_records, read_responses
 from ..schema import IPV4_NAME_PATTERN as IPV4_NAME_RE
 from .pipeline import run_chain
 from .wire_fixtures import answers_with_wire, record_responses
@@ -707,6 +707,23 @@ def q43_store_json(spark, sf_dir):
     return tables.withColumns({c: F.lit(counted[c]).cast("long") for c in ("bad_records", "failed_store")})
 
 
+@register(
+    "q46_request_codes",
+    "SELECT name, type, dclass, CASE type WHEN 'A' THEN 1 WHEN 'MX' THEN 15 ELSE 16 END AS type_code, 1 AS dclass_code FROM requests",
+)
+def q46_request_codes(spark, sf_dir):
+    """Codes of requests that only carry mnemonics, as column expressions."""
+    return with_codes(fixture(spark, sf_dir, "requests"))
+
+
+@register("q47_stage_output", f"SELECT {RR_COLS}, NULL AS cc FROM rr WHERE type = 'MX'")
+def q47_stage_output(spark, sf_dir):
+    """Records written as a stage output and read back: every field is there, filters reach the scan."""
+    path = scratch_path(spark, "stage-output")
+    write_records(rr(spark, sf_dir), path)
+    return read_records(spark, path).where("type = 'MX' AND cc IS NULL").select(*RR_COLS.split(", "), "cc")
+
+
 def spark_queries() -> dict[str, QueryFn]:
     return dict(_SPARK)
 

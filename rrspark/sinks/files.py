@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.cells import Generator, generate_cells, map_cells
-from ..operators.records import fields_from_json, records_to_json
+from ..operators.records import fields_from_json
 
 
 def write_records(df: DataFrame, path: str, mode: str = "overwrite", compression: str = "zstd") -> None:
@@ -31,11 +31,6 @@ def write_by_type(df: DataFrame, path: str, types: Sequence[str] | None = None,
     df.hint("rebalance", "type").write.mode(mode).partitionBy("type").parquet(path)
 
 
-def write_json_records(df: DataFrame, path: str, mode: str = "overwrite", compression: str = "gzip") -> None:
-    """Records as JSON text lines, absent (NULL) fields left out."""
-    records_to_json(df, "value").write.mode(mode).option("compression", compression).text(path)
-
-
 def write_responses(df: DataFrame, path: str, format: str = "parquet", mode: str = "overwrite") -> None:
     """Raw responses ``question, wire``. ``format="sequence"`` writes Hadoop SequenceFiles of
     (Text, BytesWritable) for tools that expect them."""

@@ -16,7 +16,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.cells import Generator, generate_cells
 from ..operators.decode import decode_responses
-from ..operators.extract import extract_values
 from ..operators.filters import filter_records
 from ..operators.geo import enrich_geo
 from ..session import named_path
@@ -60,13 +59,6 @@ def record_stream(raw: DataFrame, blocks: DataFrame | None = None, filter_expr:
     return recs
 
 
-def value_stream(records: DataFrame, expr: str, delay: str = "1 hour") -> DataFrame:
-    """Extracted values, each emitted once within ``delay``."""
-    vals = extract_values(records, expr, distinct=False)
-    return vals.withColumn(ARRIVAL, F.current_timestamp()).withWatermark(ARRIVAL, delay) \
-        .dropDuplicatesWithinWatermark(["value"]).drop(ARRIVAL)
-
-
 def start_parquet_sink(stream: DataFrame, path: str, checkpoint: str | None = None,
                        available_now: bool = True, name: str = "rrspark") -> StreamingQuery:
     """Append the stream to Parquet; progress is kept in ``checkpoint`` (by default the folder of this
