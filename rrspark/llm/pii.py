@@ -1,6 +1,6 @@
 """PII: format-preserving Feistel pseudonyms, in DataFrame functions only.
 
-Found by one pattern, then validated: card numbers (13 to 19 digits, Luhn), dates (a calendar day of the
+Found by one pattern, then validated: card numbers (13 to 19 digits of an issuer's range, Luhn), dates (a calendar day of the
 years 1800 to 2199, as yyyy-mm-dd, d/m/yyyy or d.m.yyyy, month first where only that is a day), US social
 security numbers, IPv4 addresses, phone numbers. What doesn't validate stays. A validated value
 is permuted within its own format by a keyed Feistel network over two residues (a, b): digits
@@ -68,11 +68,11 @@ def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def _permute_digits(key: str, kind: str, digits: Column, back: bool) -> Column:
+def _permute_digits(key: str, kind: Column, digits: Column, back: bool) -> Column:
     n = F.length(digits)
     u = F.floor(n / 2).cast("int")
     power = lambda k: F.pow(F.lit(10.0), k)  # noqa: E731  exact: at most 10 digits a half
-    half = feistel(key, F.concat(F.lit(kind), n.cast("string")), _long(F.substring(digits, F.lit(1), u)),
+    half = feistel(key, F.concat(kind, n.cast("string")), _long(F.substring(digits, F.lit(1), u)),
                    _long(F.substring(digits, u + 1, n)), power(u), power(n - u), back)
     return _bind(half, lambda s: F.concat(F.lpad(s["l"].cast("string"), u, F.lit("0")),
                                           F.lpad(s["r"].cast("string"), n - u, F.lit("0"))))
@@ -103,10 +103,15 @@ def _check_digit(payload: Column) -> Column:
 
 
 def _card(key: str, m: Column, back: bool) -> Column:
+    """Issuer digits (3 to 6, or 2221 to 2720) stay, the check digit is made anew."""
     def of(d: Column) -> Column:
-        payload = F.substring(d, F.lit(1), F.length(d) - 1)
-        new = _bind(_permute_digits(key, "card", payload, back), lambda p: F.concat(p, _check_digit(p)))
-        return F.when(_check_digit(payload) == F.substring(d, F.length(d), F.lit(1)), _fill(m, new)).otherwise(m)
+        n = F.length(d)
+        kept = F.when(d.startswith("2"), F.lit(4)).otherwise(F.lit(1))
+        issuer, payload = F.substring(d, F.lit(1), kept), F.substring(d, F.lit(1), n - 1)
+        inner = _permute_digits(key, F.concat(F.lit("card"), issuer), F.substring(d, kept + 1, n - 1 - kept), back)
+        new = _bind(F.concat(issuer, inner), lambda p: F.concat(p, _check_digit(p)))
+        issued = d.substr(1, 1).between("3", "6") | d.substr(1, 4).between("2221", "2720")
+        return F.when(issued & (_check_digit(payload) == F.substring(d, n, F.lit(1))), _fill(m, new)).otherwise(m)
 
     return _bind(_digits(m), of)
 
@@ -114,7 +119,7 @@ def _card(key: str, m: Column, back: bool) -> Column:
 def _phone(key: str, m: Column, back: bool) -> Column:
     code = F.regexp_extract(m, r"^(\+\d{1,3}[ -]?)?", 0)
     rest = F.substring(m, F.length(code) + 1, F.length(m))
-    return F.concat(code, _fill(rest, _permute_digits(key, "phone", _digits(rest), back)))
+    return F.concat(code, _fill(rest, _permute_digits(key, F.lit("phone"), _digits(rest), back)))
 
 
 def _ssn(key: str, m: Column, back: bool) -> Column:
