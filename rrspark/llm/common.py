@@ -8,21 +8,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rrspark.session import scratch_path, ship_package
+from rrspark.session import ship_package
+from rrspark.session import staged as stage  # noqa: F401  used by the operators
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared scratch folder and read it back: cuts the lineage, and a
-    lost executor costs a reread instead of a recomputation."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def arrow_map(
     df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
 ) -> DataFrame:

@@ -76,14 +76,33 @@ def _sigmoid(z: np.ndarray | float) -> np.ndarray | float:
     return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
+CHUNK = 1 << 20
+
+
+def _chunks(rows: list[np.ndarray]) -> Iterator[np.ndarray]:
+    """The rows' buckets, about CHUNK at a time."""
+    held, size = [], 0
+    for r in rows:
+        held.append(r)
+        size += len(r)
+        if size >= CHUNK:
+            yield np.concatenate(held)
+            held, size = [], 0
+    if held:
+        yield np.concatenate(held)
+
+
 def select(positive: list[np.ndarray], unlabelled: list[np.ndarray], features: int) -> np.ndarray:
     """The buckets that tell positives from unlabelled texts best: largest log-likelihood ratio among
     those over-represented in positives, present in 3 and in 1 % of the positives at least."""
     def share(rows: list[np.ndarray]) -> np.ndarray:
-        return np.bincount(np.concatenate([np.unique(r) for r in rows]).astype(np.int64), minlength=1 << BITS)
+        total = np.zeros(1 << BITS, dtype=np.int64)
+        for c in _chunks(rows):
+            total += np.bincount(c, minlength=1 << BITS)
+        return total.astype(float)
 
     n, m = len(positive), len(unlabelled)
-    p, u = share(positive).astype(float), share(unlabelled).astype(float)
+    p, u = share(positive), share(unlabelled)
     pooled = np.clip((p + u) / (n + m), 1e-12, 1 - 1e-12)
 
     def loglik(k: np.ndarray, n: int) -> np.ndarray:
@@ -100,7 +119,7 @@ class _Rows:
     """Sparse presence rows over the selected buckets."""
 
     def __init__(self, rows: list[np.ndarray], column: np.ndarray) -> None:
-        parts = [np.unique(column[r][column[r] >= 0]) for r in rows]
+        parts = [c[c >= 0] for c in (column[r] for r in rows)]
         self.size = np.array([len(p) for p in parts], dtype=np.int64)
         self.idx = np.concatenate(parts)
         self.row = np.repeat(np.arange(len(parts)), self.size)
@@ -114,8 +133,8 @@ class _Rows:
 
 def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, features: int = 2048,
           rounds: int = 300, rate: float = 0.05, l2: float = 3e-4) -> Model:
-    """Fit by full-batch Adam on the nnPU risk of the logistic loss. Without a positive or
-    unlabelled row every text scores 0."""
+    """Fit by full-batch Adam on the nnPU risk of the logistic loss; a row is the distinct buckets of a
+    text. Without a positive or unlabelled row every text scores 0."""
     if not positive or not unlabelled or prior <= 0:
         return Model({}, -500.0)
     kept = select(positive, unlabelled, features)
@@ -145,7 +164,7 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
 def _features(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [np.array([x for w in words_of(t.as_py()) for x in buckets_of(w)], dtype="<i4").tobytes()
+            rows = [np.array(sorted({x for w in words_of(t.as_py()) for x in buckets_of(w)}), dtype="<i4").tobytes()
                     for t in b.column(0)]
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()), b.column(1)], ["buckets", "positive"])
 
@@ -165,10 +184,11 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = 4000, unlabelled: i
     others = docs.select("doc_id").where(F.col("doc_id").isNotNull() & learn).distinct().orderBy(
         order, "doc_id").limit(unlabelled).withColumn("positive", F.lit(False))
     sample = F.broadcast(ids.unionByName(others))  # at most positives + unlabelled ids
-    rows = _features(docs.select("doc_id", "text").join(sample, "doc_id")).toArrow()
-    flags = rows.column("positive").to_pylist()
-    buckets = [np.frombuffer(x, dtype="<i4") for x in rows.column("buckets").to_pylist()]
-    return train([x for x, f in zip(buckets, flags) if f], [x for x, f in zip(buckets, flags) if not f], float(share))
+    rows: dict[bool, list[np.ndarray]] = {True: [], False: []}
+    for batch in _features(docs.select("doc_id", "text").join(sample, "doc_id")).toArrow().to_batches():
+        for x, positive in zip(batch.column("buckets"), batch.column("positive").to_pylist()):
+            rows[positive].append(np.frombuffer(x.as_buffer(), dtype="<i4"))  # views, not copies
+    return train(rows[True], rows[False], float(share))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, **sample: int) -> DataFrame:
