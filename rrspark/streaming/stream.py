@@ -8,6 +8,7 @@ dropped within a watermark delay, which bounds the state kept per key.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -61,11 +62,12 @@ def record_stream(raw: DataFrame, blocks: DataFrame | None = None, filter_expr:
 
 def start_parquet_sink(stream: DataFrame, path: str, checkpoint: str | None = None,
                        available_now: bool = True, name: str = "rrspark") -> StreamingQuery:
-    """Append the stream to Parquet; progress is kept in ``checkpoint`` (by default the folder of this
-    ``name`` under the session's shared checkpoint dir), so a restarted query resumes where it was.
-    Give every query a name of its own."""
+    """Append the stream to Parquet; progress is kept in ``checkpoint`` (by default a folder of
+    this ``name`` and output path under the session's shared checkpoint dir), so a restarted query
+    resumes where it was."""
     spark = stream.sparkSession
-    checkpoint = checkpoint or named_path(spark, f"stream-{name}")
+    place = hashlib.sha1(path.encode()).hexdigest()[:12]
+    checkpoint = checkpoint or named_path(spark, f"stream-{name}-{place}")
     w = stream.drop(ARRIVAL) if ARRIVAL in stream.columns else stream
     writer = w.writeStream.format("parquet").option("checkpointLocation", checkpoint).outputMode("append")
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
@@ -76,7 +78,8 @@ def start_cell_store(records: DataFrame, generators: Sequence[Generator],
                      sink: Callable[[DataFrame, int], None], checkpoint: str | None = None,
                      available_now: bool = True, name: str = "rrspark-cells") -> StreamingQuery:
     """Storage step on a stream: each micro-batch's cells go to ``sink(cells, batch_id)``
-    (``foreachBatch``); make the sink idempotent per ``batch_id`` for exactly-once output."""
+    (``foreachBatch``); make the sink idempotent per ``batch_id`` for exactly-once output. Progress
+    is kept by ``name``, which must be the query's own."""
     spark = records.sparkSession
     checkpoint = checkpoint or named_path(spark, f"stream-{name}")
     recs = records.drop(ARRIVAL) if ARRIVAL in records.columns else records

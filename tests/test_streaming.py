@@ -1,5 +1,7 @@
 """Streaming forms give the batch results on the same input."""
 
+import os
+
 from pyspark.sql import functions as F
 
 from rrspark.operators.cells import event_generator
@@ -37,7 +39,8 @@ def test_stream_cell_store(spark, sf_dir):
     def sink(cells, batch_id):
         cells.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(out)
 
-    q = start_cell_store(record_stream(read_response_stream(spark, src)), [event_generator("ev", "dns")], sink)
+    q = start_cell_store(record_stream(read_response_stream(spark, src)), [event_generator("ev", "dns")], sink,
+                         name=os.path.basename(out))
     q.awaitTermination(300)
     cells = spark.read.parquet(out)
     assert cells.count() > 0 and {r.cq for r in cells.select("cq").distinct().collect()} >= {"NAME", "TYPE", "TARGET"}
