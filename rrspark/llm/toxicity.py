@@ -27,7 +27,7 @@ from rrspark.llm.common import arrow_map, id_crc
 
 BITS = 18
 THRESHOLD = 0.7
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 PREFIXES, SUFFIXES = (3, 4, 5, 6), (4, 5)
 
 _BLANKED = bytes(
