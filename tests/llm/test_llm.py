@@ -71,6 +71,18 @@ def test_sentencepiece_side_by_side_equals_the_heap():
     assert enc.words(todo) == [enc.word(w, v) for w, v in todo]
 
 
+def test_sentencepiece_draws_every_occurrence():
+    enc = sentencepiece_dropout.Encoder(sentencepiece_dropout.default_model(), 0.1, 5, 0)
+    # one merge: skipped at a tenth of the places, however often the word occurs
+    ids = [np.frombuffer(enc.encode(d, "of" + " a" * 3000), "<i4") for d in range(4)]
+    rates = [(len(x) - 3001) / 3000 for x in ids]
+    assert all(0.08 < r < 0.12 for r in rates) and len({x.tobytes() for x in ids}) == 4
+    # many merges: far more than a few segmentations, and those that working off the agenda gives
+    keys = enc._keys(9, 3000).tolist()
+    found = enc.words([(" international", k) for k in keys])
+    assert found == [enc.word(" international", k) for k in keys] and len(set(found)) > 20
+
+
 def test_sentencepiece_edges(odd, empty):
     assert sentencepiece_dropout.round_trip_digest(empty).count() == 0
     rows = sentencepiece_dropout.decode(sentencepiece_dropout.encode(odd)).collect()
