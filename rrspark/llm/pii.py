@@ -1,15 +1,19 @@
 """PII: format-preserving Feistel pseudonyms, in DataFrame functions only.
 
-Found by one pattern, then validated: card numbers (13 to 19 digits of an issuer's range, Luhn), dates (a calendar day of the
-years 1800 to 2199, as yyyy-mm-dd, d/m/yyyy or d.m.yyyy, month first where only that is a day), US social
-security numbers, IPv4 addresses, phone numbers. What doesn't validate stays. A validated value
+Two passes. First card numbers: in every run of digits, blanks and hyphens the leftmost and there the longest
+sequence of digit groups that has 13 to 19 digits, an issuer's range and the Luhn digit; other groups of the run
+stay for the second pass. It finds the other kinds by one pattern and validates them: dates (a calendar day of the
+years 1800 to 2199, as yyyy-mm-dd, d/m/yyyy or d.m.yyyy, month first where only that is a day; a time may follow after T), US social
+security numbers, IPv4 addresses, phone numbers (international ones with +, and 3-3-4 digits with separators; ten bare
+digits are left as any number is). What doesn't validate stays. A validated value
 is permuted within its own format by a keyed Feistel network over two residues (a, b): digits
 over (10^u, 10^v), days of 400 years over (773, 189), addresses over (2^16, 2^16), and so on. A card number
 gets its check digit anew. Separators, the country code and padding stay. As the network is a
 permutation, equal values get equal pseudonyms in all documents and different values
-different ones; ``reveal`` is the same network backwards.
+different ones; ``reveal`` is the same network backwards, in the reverse order of passes. Where digit groups stand
+right beside a card, its pseudonym may by chance pass as a longer or earlier card, which isn't revealed.
 
-E-mail addresses and secrets (``token = "..."`` and the like) are no numbers: they become keyed
+E-mail addresses and secrets (``token = "..."``, ``"api-key": '...'``, bare values of 8 characters with a digit) are no numbers: they become keyed
 hashes in the form of their kind. Everything runs in the JVM: no Python on the executors.
 """
 
@@ -26,13 +30,20 @@ KEY = "rrspark"
 # each kind by its whole form; tried in this order
 KINDS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}",
-    "secret": r"\b(?:token|secret|password|api_key) = \"[A-Za-z0-9_-]{16,256}\"",
-    "phone": r"(?<![\w+])(?:\+\d{1,3}[ -]?)?\(\d{3}\) ?\d{3}-\d{4}(?!\w)|(?<![\w+.-])(?:\+\d{1,3}[ -])?\d{3}-\d{3}-\d{4}(?![\w-])",
+    "secret": r"(?i:(?<![A-Za-z0-9])(?:passw(?:or)?d|pwd|passphrase|token|secret|api[_-]?key|(?:secret|private|access)[_-]?key)"
+              r"[\"']?\s{0,8}[=:]\s{0,8}(?:\"[^\"\s]{6,}\"|'[^'\s]{6,}'|(?=[a-z_+/=.~-]*[0-9])[a-z0-9_+/=.~-]{8,}))",
+    "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?|1[ .-])?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{4}(?!\w)"
+             r"|(?<![\w+])\+\d(?:[ .-]?\d){6,14}(?![\w-]|\.\d)"
+             r"|(?<![\w+.-])(?:1[ .-])?\d{3}[ .-]\d{3}[ .-]\d{4}(?![\w-]|\.\d)",
     "ssn": r"(?<![\w+.-])\d{3}-\d{2}-\d{4}(?![\w-])",
-    "date": r"(?<![\w/.-])\d{4}-\d{2}-\d{2}(?![\w-])|(?<![\w/.-])\d{1,2}([/.])\d{1,2}\1\d{4}(?![\w/-])",
+    "date": r"(?<![\w/.-])\d{4}-\d{2}-\d{2}(?:(?=[Tt]\d)|(?![\w-]))|(?<![\w/.-])\d{1,2}([/.])\d{1,2}\1\d{4}(?![\w/-])",
     "ipv4": r"(?<![\w.-])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?![\w-]|\.\d)",
-    "card": r"(?<![\w+.-])\d(?:[ -]?\d){12,18}(?![\w-]|[ .]\d)",
 }
+# what card numbers are looked for in, and its digit groups, each with the separator after it
+RUN = r"(?<![\w+.-])\d[\d -]{11,}\d(?![\w@-]|\.\d)"
+GROUP = r"\d+[ -]?|[ -]"
+COUNTRY = (r"^(?:\+(?:\d{1,3}(?=[ .(-])|[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})[ .-]?"
+           r"|1[ .-])?")
 ANY = "|".join(f"(?:{p})" for p in KINDS.values())
 
 
@@ -102,22 +113,65 @@ def _check_digit(payload: Column) -> Column:
     return ((F.lit(10) - total % 10) % 10).cast("string")
 
 
+def _kept(d: Column) -> Column:
+    """How many issuer digits stay."""
+    return F.when(d.startswith("2"), F.lit(4)).otherwise(F.lit(1))
+
+
+def _is_card(d: Column) -> Column:
+    """13 to 19 digits, issuer digits 3 to 6 or 2221 to 2720, Luhn."""
+    n = F.length(d)
+    issued = d.substr(1, 1).between("3", "6") | d.substr(1, 4).between("2221", "2720")
+    return F.when(n.between(13, 19) & issued, _check_digit(F.substring(d, F.lit(1), n - 1)) == F.substring(d, n, F.lit(1))
+                  ).otherwise(F.lit(False))
+
+
 def _card(key: str, m: Column, back: bool) -> Column:
-    """Issuer digits (3 to 6, or 2221 to 2720) stay, the check digit is made anew."""
+    """Issuer digits stay, the check digit is made anew."""
     def of(d: Column) -> Column:
-        n = F.length(d)
-        kept = F.when(d.startswith("2"), F.lit(4)).otherwise(F.lit(1))
-        issuer, payload = F.substring(d, F.lit(1), kept), F.substring(d, F.lit(1), n - 1)
+        n, kept = F.length(d), _kept(d)
+        issuer = F.substring(d, F.lit(1), kept)
         inner = _permute_digits(key, F.concat(F.lit("card"), issuer), F.substring(d, kept + 1, n - 1 - kept), back)
-        new = _bind(F.concat(issuer, inner), lambda p: F.concat(p, _check_digit(p)))
-        issued = d.substr(1, 1).between("3", "6") | d.substr(1, 4).between("2221", "2720")
-        return F.when(issued & (_check_digit(payload) == F.substring(d, n, F.lit(1))), _fill(m, new)).otherwise(m)
+        return _fill(m, _bind(F.concat(issuer, inner), lambda p: F.concat(p, _check_digit(p))))
 
     return _bind(_digits(m), of)
 
 
+def _cards(key: str, run: Column, back: bool) -> Column:
+    """A run with its card numbers replaced: from the left, at each group the longest sequence that is one."""
+    def within(groups: Column) -> Column:
+        def longest(i: Column) -> Column:
+            """Groups of the longest card from group i on, 0 if there is none."""
+            def of(g: Column) -> Column:
+                ends = F.filter(F.sequence(F.size(g), F.lit(1), F.lit(-1)), lambda k: F.when(
+                    F.length(F.array_join(F.slice(g, F.lit(1), k), "")) < 13, F.lit(False)).otherwise(
+                    F.forall(F.slice(g, F.lit(1), k), lambda x: x.rlike("^[0-9]"))
+                    & _bind(_digits(F.array_join(F.slice(g, F.lit(1), k), "")), _is_card)))
+                return F.coalesce(F.get(ends, F.lit(0)), F.lit(0))
+
+            begins = F.element_at(groups, i).rlike("^[2-6]")
+            return F.when(begins, _bind(F.slice(groups, i, F.lit(19)), of)).otherwise(F.lit(0))
+
+        found = F.filter(F.transform(F.sequence(F.lit(1), F.size(groups)), lambda i: F.struct(
+            i.alias("i"), longest(i).alias("k"))), lambda p: p["k"] > 0)
+
+        def text(start: Column, n: Column) -> Column:
+            return F.array_join(F.slice(groups, start, n), "")
+
+        def take(s: Column, p: Column) -> Column:
+            replaced = F.struct((p["i"] + p["k"] - 1).alias("end"), F.concat(s["out"], F.array(
+                text(s["end"] + 1, p["i"] - s["end"] - 1), _card(key, text(p["i"], p["k"]), back))).alias("out"))
+            return F.when(p["i"] > s["end"], replaced).otherwise(s)
+
+        start = F.struct(F.lit(0).alias("end"), F.array().cast("array<string>").alias("out"))
+        return F.aggregate(found, start, take, lambda s: F.concat(
+            F.array_join(s["out"], ""), text(s["end"] + 1, F.size(groups) - s["end"])))
+
+    return _bind(F.regexp_extract_all(run, F.lit(GROUP), F.lit(0)), within)
+
+
 def _phone(key: str, m: Column, back: bool) -> Column:
-    code = F.regexp_extract(m, r"^(\+\d{1,3}[ -]?)?", 0)
+    code = F.regexp_extract(m, COUNTRY, 0)
     rest = F.substring(m, F.length(code) + 1, F.length(m))
     return F.concat(code, _fill(rest, _permute_digits(key, F.lit("phone"), _digits(rest), back)))
 
@@ -179,24 +233,29 @@ def _email(key: str, m: Column) -> Column:
 
 
 def _secret(key: str, m: Column) -> Column:
-    value = F.regexp_extract(m, '"(.*)"', 1)
-    digest = F.concat(*[_hex(key, f"secret{i}", value) for i in range(4)])
-    return F.concat(F.substring_index(m, '"', 1), F.lit('"'), F.substring(digest, F.lit(1), F.length(value)), F.lit('"'))
+    part = lambda i: F.regexp_extract(m, r"^([^=:]*[=:]\s*[\"']?)(.*?)([\"']?)$", i)
+
+    def of(value: Column) -> Column:
+        digest = F.concat(*[_hex(key, f"secret{i}", value) for i in range(4)])
+        n = F.length(value)
+        return F.substring(F.repeat(digest, (n / 256).cast("int") + 1), F.lit(1), n)
+
+    return F.concat(part(1), _bind(part(2), of), part(3))
 
 
 def _replaced(key: str, m: Column, back: bool) -> Column:
     whole = lambda kind: m.rlike(f"^(?:{KINDS[kind]})$")
-    out = F.when(m.contains("@"), m if back else _email(key, m)).when(m.endswith('"'), m if back else _secret(key, m))
+    out = F.when(whole("secret"), m if back else _secret(key, m)).when(m.contains("@"), m if back else _email(key, m))
     for kind, of in (("phone", _phone), ("ssn", _ssn), ("date", _date), ("ipv4", _ipv4)):
         out = out.when(whole(kind), of(key, m, back))
-    return out.otherwise(_card(key, m, back))
+    return out.otherwise(m)
 
 
-def _spans(column: str, key: str, back: bool) -> tuple[Column, Column]:
-    """The text between the matches, and per match (as found, as replaced)."""
-    text = F.col(column)
-    found = F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
-    return F.split(text, ANY, -1), F.transform(found, lambda m: F.struct(m.alias("was"), _replaced(key, m, back).alias("now")))
+def _pass(text: Column, pattern: str, replaced: Callable[[Column], Column]) -> Column:
+    """``text`` with every match of the pattern replaced."""
+    found = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), replaced)
+    joined = F.array_join(F.zip_with(F.split(text, pattern, -1), found, lambda t, f: F.concat(t, F.coalesce(f, F.lit("")))), "")
+    return F.when(text.rlike("[0-9@\"':=]") & text.rlike(pattern), joined).otherwise(text)
 
 
 def pseudonymise(docs: DataFrame, key: str = KEY, column: str = "text", back: bool = False) -> DataFrame:
@@ -204,10 +263,10 @@ def pseudonymise(docs: DataFrame, key: str = KEY, column: str = "text", back: bo
 
     Null texts stay null, texts without personal data stay as they are. Repeated rows are treated alike.
     """
-    text = F.col(column)
-    between, found = _spans(column, key, back)
-    joined = F.array_join(F.zip_with(between, found, lambda t, f: F.concat(t, F.coalesce(f["now"], F.lit("")))), "")
-    return docs.withColumn(column, F.when(text.rlike("[0-9@\"]") & text.rlike(ANY), joined).otherwise(text))
+    passes = [(RUN, lambda m: _cards(key, m, back)), (ANY, lambda m: _replaced(key, m, back))]
+    for pattern, replaced in reversed(passes) if back else passes:
+        docs = docs.withColumn(column, _pass(F.col(column), pattern, replaced))
+    return docs
 
 
 def reveal(docs: DataFrame, key: str = KEY, column: str = "text") -> DataFrame:

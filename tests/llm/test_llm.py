@@ -154,6 +154,42 @@ def test_pii_other_kinds_and_edges(spark, odd, empty):
     assert same(pii.pseudonymise(odd)) == same(odd)
 
 
+def test_pii_cards_among_other_digits(spark):
+    card, other = "4111 1111 1111 1111", "5500 0000 0000 0004"
+    alone = pii.pseudonymise(docs_of(spark, [card, other])).orderBy("doc_id").collect()
+    new = {card: alone[0]["text"], other: alone[1]["text"]}
+    forms = [f"{card} 12/25", f"{card} 123", f"2 {card}", f"{card} {other}", f"7 8  {card}-99 {other}", f"{card} 1.2.3",
+             f"{card} 12th", "7 8 " * 3000 + card, f"{card} " * 500]
+    got = [r["text"] for r in pii.pseudonymise(docs_of(spark, forms)).orderBy("doc_id").collect()]
+    assert got == [f.replace(card, new[card]).replace(other, new[other]) for f in forms]
+    assert new[card] != card and luhn(new[card].replace(" ", ""))
+    # the groups of a run that are no card are looked at for the other kinds
+    mixed = pii.pseudonymise(docs_of(spark, ["7 2024-03-05 2024-03-06"])).first()["text"]
+    assert "2024-03-05" not in mixed and "2024-03-06" not in mixed
+
+
+def test_pii_wider_forms(spark):
+    import re
+    numbers = ["+1 555 123 4567", "555 123 4567", "555.123.4567", "1-555-123-4567", "(555)123-4567", "+15551234567",
+               "+44 20 7946 0958", "2024-03-05T10:11:12Z"]
+    docs = docs_of(spark, [f"at {n}, yes" for n in numbers])
+    out = pii.pseudonymise(docs)
+    got = [r["text"] for r in out.orderBy("doc_id").collect()]
+    shape = lambda t: re.sub(r"\d", "0", t)
+    assert all(g != f"at {n}, yes" and shape(g) == shape(f"at {n}, yes") for n, g in zip(numbers, got))
+    assert got[-1].endswith("T10:11:12Z, yes") and got[5].startswith("at +1") and got[6].startswith("at +44 ")
+    same = {"".join(re.findall(r"\d", g))[-10:] for g in got[:6]}
+    assert len(same) == 1  # one number, however it is written
+    assert [r["text"] for r in pii.reveal(out).orderBy("doc_id").collect()] == [f"at {n}, yes" for n in numbers]
+    secrets = ["password = 'hunter2!'", 'x {"api-key": "abcdef"} y', "API_KEY=a1b2c3d4e5", 'secret_key: "' + "k" * 700 + '"',
+               "my_token: 'p@ssw0rd.com'"]
+    for s, r in zip(secrets, pii.pseudonymise(docs_of(spark, secrets)).orderBy("doc_id").collect()):
+        value = re.search(r"[=:] ?[\"']?([^\"']+)[\"']?[^\"']*$", s).group(1)
+        assert value not in r["text"] and len(r["text"]) == len(s) and r["text"].startswith(s[:s.index(value)])
+    prose = "the token: something else, a secret = nothing"
+    assert pii.pseudonymise(docs_of(spark, [prose])).first()["text"] == prose
+
+
 def test_pii_plan_has_no_python(corpus):
     plan = pii.pseudonymised(corpus)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
