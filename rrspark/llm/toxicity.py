@@ -5,17 +5,22 @@ toxic ones among them included. With class prior pi the risk is
 ``pi * Rp(+) + max(0, Ru(-) - pi * Rp(-))``; where the second part falls below zero its gradient is
 reversed (Kiryo et al. 2017). The class prior is the toxic share of the labelled training rows.
 
-Features: hashed lower-case words (ASCII punctuation and digits are blanks) with their prefixes and
-suffixes, present or not;
+Features: hashed lower-case words (runs of Unicode letters and marks) with their prefixes and suffixes, and every
+n-gram inside words of scripts written without blanks (1 to 4 code points) or of more than ``LONG`` code points
+(4 to 6), present or not;
 the log-likelihood ratio of positives to unlabelled texts selects them. The model is fitted in numpy on a bounded, hash-ordered sample of ``positives`` and ``unlabelled`` training rows;
 the features are made on the executors, only they reach the driver. Scoring reads every whole text.
 """
 
 from __future__ import annotations
 
+import re
+import sys
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,21 +35,59 @@ THRESHOLD = 0.7
 CACHE_WORDS = 200_000
 PREFIXES, SUFFIXES = (3, 4, 5, 6), (4, 5)
 
-_BLANKED = bytes(
-    c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
+LONG = 16
+INNER, INNER_LONG = (1, 2, 3, 4), (4, 5, 6)
+# Thai to Myanmar, Khmer, Tai, kana, Han and their like: no blanks between words
+_UNSPACED = re.compile("[\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u1950-\u19df\u1a20-\u1aaf\u2e80-\u31ff\u3400-\u4dbf"
+                       "\u4e00-\ua4cf\ua9e0-\ua9ff\uaa60-\uaadf\uf900-\ufaff\uff66-\uff9f\U0001b000-\U0001b16f\U00020000-\U0003ffff]")
 
 
-def words_of(text: str | None) -> set[bytes]:
-    return set((text or "").encode("utf-8", "replace").translate(_BLANKED).split())
+@lru_cache(maxsize=1)
+def _word() -> re.Pattern:
+    """Runs of letters and marks, whatever the script."""
+    flags = np.fromiter((unicodedata.category(chr(i))[0] in "LM" for i in range(sys.maxunicode + 1)), bool)
+    edges = np.flatnonzero(np.diff(flags.astype(np.int8), prepend=0, append=0)).tolist()
+    return re.compile("[" + "".join(f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in zip(edges[::2], edges[1::2])) + "]+")
 
 
-def buckets_of(word: bytes) -> list[int]:
+def words_of(text: str | None) -> set[str]:
+    return set(_word().findall((text or "").lower()))
+
+
+def buckets_of(word: str) -> list[int]:
     """Buckets of a word, its prefixes (3 to 6 bytes) and its suffixes (4 and 5 bytes)."""
-    n = len(word)
-    parts = [b"=" + word, *(b"^" + word[:k] for k in PREFIXES if n >= k), *(b"$" + word[-k:] for k in SUFFIXES if n >= k)]
+    raw = word.encode("utf-8", "replace")
+    n = len(raw)
+    parts = [b"=" + raw, *(b"^" + raw[:k] for k in PREFIXES if n >= k), *(b"$" + raw[-k:] for k in SUFFIXES if n >= k)]
     return [zlib.crc32(p) & ((1 << BITS) - 1) for p in parts]
 
 
+def _grams(words: list[str], orders: tuple[int, ...]) -> Iterator[np.ndarray]:
+    codes = np.frombuffer(" ".join(words).encode("utf-32-le", "replace"), dtype="<u4")
+    divide = np.append(0, np.cumsum(codes == 32))
+    for n in orders:
+        if (size := len(codes) - n + 1) > 0:
+            h = np.full(size, 0x9E3779B1 * (n + 8) & 0xFFFFFFFF, dtype=np.uint32)
+            for i in range(n):
+                h = (h ^ codes[i:i + size]) * np.uint32(0x85EBCA6B)
+                h ^= h >> np.uint32(15)
+            yield (h & np.uint32((1 << BITS) - 1)).astype(np.int64)[divide[n:] == divide[:-n]]
+
+
+def inner_buckets(words: set[str]) -> np.ndarray:
+    """Distinct buckets of the n-grams inside unspaced and long words."""
+    unspaced = [w for w in words if not w.isascii() and _UNSPACED.search(w)]
+    long = [w for w in words if len(w) > LONG and (w.isascii() or not _UNSPACED.search(w))]
+    found = [g for part, orders in ((unspaced, INNER), (long, INNER_LONG)) if part for g in _grams(part, orders)]
+    return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+
+
+def row_of(text: str | None) -> np.ndarray:
+    """The distinct buckets of a text, sorted."""
+    words = words_of(text)
+    return np.union1d(np.array([x for w in words for x in buckets_of(w)], dtype=np.int64), inner_buckets(words))
+
+
 @dataclass
 class Model:
     """A linear model over the presence of the selected buckets."""
@@ -55,17 +98,25 @@ class Model:
     def scorer(self):
         model = self
 
+        known = np.zeros(1 << BITS, dtype=bool)
+        known[list(model.weights)] = True
+
         class Hits(dict):
-            def __missing__(self, word: bytes) -> tuple[int, ...]:
-                if len(self) >= CACHE_WORDS:
-                    self.clear()
-                self[word] = hits = tuple(b for b in buckets_of(word) if b in model.weights)
+            def __missing__(self, word: str) -> tuple[int, ...]:
+                hits = tuple(b for b in buckets_of(word) if b in model.weights)
+                if len(word) <= LONG:  # longer ones would fill the memory
+                    if len(self) >= CACHE_WORDS:
+                        self.clear()
+                    self[word] = hits
                 return hits
 
         cache = Hits()
 
         def score(text: str | None) -> float:
-            found = {b for hits in map(cache.__getitem__, words_of(text)) for b in hits}
+            words = words_of(text)
+            found = {b for hits in map(cache.__getitem__, words) for b in hits}
+            inner = inner_buckets(words)
+            found.update(inner[known[inner]].tolist())
             z = self.bias + sum(self.weights[b] for b in sorted(found))
             return float(_sigmoid(z))
 
@@ -164,8 +215,7 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
 def _features(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [np.array(sorted({x for w in words_of(t.as_py()) for x in buckets_of(w)}), dtype="<i4").tobytes()
-                    for t in b.column(0)]
+            rows = [row_of(t.as_py()).astype("<i4").tobytes() for t in b.column(0)]
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()), b.column(1)], ["buckets", "positive"])
 
     return arrow_map(docs.select("text", "positive"), run, "buckets binary, positive boolean")

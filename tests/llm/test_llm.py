@@ -317,6 +317,25 @@ def test_toxicity_edges(spark, odd, empty):
     assert toxicity.keep_clean(odd, none).columns == odd.columns
 
 
+def test_toxicity_sees_every_part_of_a_text(spark):
+    assert toxicity.words_of("\u201cVile\u201d don\u2019t\u2014stop\u00a0\u00c9t\u00e9 a1b") == {"vile", "don", "t", "stop", "\u00e9t\u00e9", "a", "b"}
+    assert toxicity.words_of("\u0e44\u0e17\u0e22\u0e14\u0e35") == {"\u0e44\u0e17\u0e22\u0e14\u0e35"}  # marks are part of a word
+    rng = random.Random(4)
+    han = [chr(c) for c in range(0x4e00, 0x4e00 + 400)]
+    latin = "abcdefghij"
+    texts, toxic = [], []
+    for i in range(600):
+        slur, chars, n = ("\u9a6c\u9e7f\u9e1f", han, 60) if i % 2 else ("zqxvk", latin, 40)
+        body = "".join(rng.choices(chars, k=n))
+        toxic.append(int(rng.random() < 0.3))
+        at = rng.randint(10, n - 10)  # far inside one unbroken word
+        texts.append(body[:at] + slur + body[at:] if toxic[-1] else body)
+    docs = docs_of(spark, texts)
+    labels = spark.createDataFrame([(i, 0, t) for i, t in enumerate(toxic)], "doc_id long, quality int, toxic int")
+    held = [r for r in toxicity.toxicity(docs, labels).collect() if r["held_out"]]
+    assert np.mean([r["predicted"] == toxic[r["doc_id"]] for r in held]) > 0.95
+
+
 # 6 language
 
 
