@@ -8,8 +8,10 @@ reversed (Kiryo et al. 2017). The class prior is the toxic share of the labelled
 Features: hashed lower-case words (runs of Unicode letters and marks) with their prefixes and suffixes, and every
 n-gram inside words of scripts written without blanks (1 to 4 code points) or of more than ``LONG`` code points
 (4 to 6), present or not;
-the log-likelihood ratio of positives to unlabelled texts selects them. The model is fitted in numpy on a bounded, hash-ordered sample of ``positives`` and ``unlabelled`` training rows;
-the features are made on the executors, only they reach the driver. Scoring reads every whole text.
+the log-likelihood ratio of positives to unlabelled texts selects them, by exact counts over all training
+rows that Spark adds up. The weights are fitted in numpy on a bounded, hash-ordered sample of ``positives`` and
+``unlabelled`` training rows; the features are made on the executors, only the selected ones of these rows reach the
+driver. Scoring reads every whole text.
 """
 
 from __future__ import annotations
@@ -35,6 +37,8 @@ THRESHOLD = 0.7
 CACHE_WORDS = 200_000
 PREFIXES, SUFFIXES = (3, 4, 5, 6), (4, 5)
 
+LEAST_ROWS = 3  # positives with a selected bucket, at any size
+BROADCAST_IDS = 1_000_000
 LONG = 16
 INNER, INNER_LONG = (1, 2, 3, 4), (4, 5, 6)
 # Thai to Myanmar, Khmer, Tai, kana, Han and their like: no blanks between words
@@ -127,33 +131,10 @@ def _sigmoid(z: np.ndarray | float) -> np.ndarray | float:
     return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
-CHUNK = 1 << 20
-
-
-def _chunks(rows: list[np.ndarray]) -> Iterator[np.ndarray]:
-    """The rows' buckets, about CHUNK at a time."""
-    held, size = [], 0
-    for r in rows:
-        held.append(r)
-        size += len(r)
-        if size >= CHUNK:
-            yield np.concatenate(held)
-            held, size = [], 0
-    if held:
-        yield np.concatenate(held)
-
-
-def select(positive: list[np.ndarray], unlabelled: list[np.ndarray], features: int) -> np.ndarray:
-    """The buckets that tell positives from unlabelled texts best: largest log-likelihood ratio among
-    those over-represented in positives, present in 3 and in 1 % of the positives at least."""
-    def share(rows: list[np.ndarray]) -> np.ndarray:
-        total = np.zeros(1 << BITS, dtype=np.int64)
-        for c in _chunks(rows):
-            total += np.bincount(c, minlength=1 << BITS)
-        return total.astype(float)
-
-    n, m = len(positive), len(unlabelled)
-    p, u = share(positive), share(unlabelled)
+def select(p: np.ndarray, u: np.ndarray, n: int, m: int) -> np.ndarray:
+    """The buckets that tell positives from unlabelled texts: over-represented in positives, in LEAST_ROWS of
+    them at least, with a log-likelihood ratio above 0. ``p`` of ``n`` positives and ``u`` of ``m`` unlabelled texts
+    have a bucket."""
     pooled = np.clip((p + u) / (n + m), 1e-12, 1 - 1e-12)
 
     def loglik(k: np.ndarray, n: int) -> np.ndarray:
@@ -161,9 +142,7 @@ def select(positive: list[np.ndarray], unlabelled: list[np.ndarray], features: i
         return k * np.log(q / pooled) + (n - k) * np.log((1 - q) / (1 - pooled))
 
     gain = loglik(p, n) + loglik(u, m)
-    gain[(p < max(3, 0.01 * n)) | (p / n <= 2 * u / m)] = 0
-    best = np.lexsort((np.arange(len(gain)), -gain))[:features]
-    return np.sort(best[gain[best] > 0])
+    return np.flatnonzero((p >= LEAST_ROWS) & (p / n > 2 * u / m) & (gain > 0))
 
 
 class _Rows:
@@ -182,13 +161,12 @@ class _Rows:
         return np.bincount(self.idx, weights=g[self.row], minlength=n)
 
 
-def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, features: int = 2048,
+def train(kept: np.ndarray, positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
           rounds: int = 300, rate: float = 0.05, l2: float = 3e-4) -> Model:
     """Fit by full-batch Adam on the nnPU risk of the logistic loss; a row is the distinct buckets of a
-    text. Without a positive or unlabelled row every text scores 0."""
+    text, of those ``kept``. Without a positive or unlabelled row every text scores 0."""
     if not positive or not unlabelled or prior <= 0:
         return Model({}, -500.0)
-    kept = select(positive, unlabelled, features)
     column = np.full(1 << BITS, -1, np.int64)
     column[kept] = np.arange(len(kept))
     n = len(kept)
@@ -212,10 +190,39 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
     return Model({int(k): float(x) for k, x in zip(kept, w[:n])}, float(w[n]))
 
 
-def _features(docs: DataFrame) -> DataFrame:
+def _counts(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, int, int]:
+    """Rows of ``docs`` (text, positive) with each bucket: positives, all; and how many these are."""
+    width = 1 << BITS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((2, width + 1), dtype=np.int64)  # the last place counts the rows
+        for b in batches:
+            for text, positive in zip(b.column(0), b.column(1).to_pylist()):
+                row = row_of(text.as_py())
+                for k in range(1 + bool(positive)):
+                    sums[k, row] += 1
+                    sums[k, width] += 1
+        at = np.flatnonzero(sums[0])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(at.astype(np.int32)), pa.array(sums[1, at]), pa.array(sums[0, at])], ["bucket", "p", "u"])
+
+    got = arrow_map(docs.select("text", "positive"), run, "bucket int, p long, u long").groupBy("bucket").agg(
+        F.sum("p").alias("p"), F.sum("u").alias("u")).toArrow()  # at most 2^BITS + 1 rows
+    sums = np.zeros((2, width + 1), dtype=np.int64)
+    for k, name in enumerate("pu"):
+        sums[k, got.column("bucket").to_numpy()] = got.column(name).to_numpy()
+    return sums[0, :width], sums[1, :width], int(sums[0, width]), int(sums[1, width])
+
+
+def _features(docs: DataFrame, kept: np.ndarray) -> DataFrame:
+    known = np.zeros(1 << BITS, dtype=bool)
+    known[kept] = True
+    shared = docs.sparkSession.sparkContext.broadcast(known)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [row_of(t.as_py()).astype("<i4").tobytes() for t in b.column(0)]
+            found = [row_of(t.as_py()) for t in b.column(0)]
+            rows = [r[shared.value[r]].astype("<i4").tobytes() for r in found]
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()), b.column(1)], ["buckets", "positive"])
 
     return arrow_map(docs.select("text", "positive"), run, "buckets binary, positive boolean")
@@ -223,22 +230,31 @@ def _features(docs: DataFrame) -> DataFrame:
 
 def fit(docs: DataFrame, labels: DataFrame, positives: int = 4000, unlabelled: int = 12000) -> Model:
     """Learn from rows whose crc32(doc_id) mod 3 is not 1. A document labelled more than once is
-    toxic if any of its labels is; null labels and ids are ignored."""
+    toxic if any of its labels is; null labels and ids are ignored. Labels without a document count for the
+    class prior alone."""
     learn = id_crc() % 3 != 1
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & learn).groupBy("doc_id").agg(
         F.max("toxic").alias("toxic"))
-    share = known.agg(F.avg((F.col("toxic") == 1).cast("double"))).first()[0] or 0.0
+    share, toxic = known.agg(F.avg((F.col("toxic") == 1).cast("double")), F.count(F.when(F.col("toxic") == 1, 1))).first()
+    if not toxic:
+        return train(np.zeros(0, np.int64), [], [], 0.0)
+    ids = known.where("toxic = 1").select("doc_id", F.lit(True).alias("positive"))
+    rows = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull() & learn)
+    marked = rows.join(F.broadcast(ids) if toxic <= BROADCAST_IDS else ids, "doc_id", "left")
+    p, u, n, m = _counts(marked)
+    if not n:
+        return train(np.zeros(0, np.int64), [], [], 0.0)
+    kept = select(p, u, n, m)
     order = F.xxhash64(F.col("doc_id"), F.lit("sample"))
-    ids = known.where("toxic = 1").select("doc_id").orderBy(order, "doc_id").limit(positives).withColumn(
-        "positive", F.lit(True))
-    others = docs.select("doc_id").where(F.col("doc_id").isNotNull() & learn).distinct().orderBy(
-        order, "doc_id").limit(unlabelled).withColumn("positive", F.lit(False))
-    sample = F.broadcast(ids.unionByName(others))  # at most positives + unlabelled ids
-    rows: dict[bool, list[np.ndarray]] = {True: [], False: []}
-    for batch in _features(docs.select("doc_id", "text").join(sample, "doc_id")).toArrow().to_batches():
+    here = rows.select("doc_id").distinct()
+    chosen = ids.join(here, "doc_id", "left_semi").orderBy(order, "doc_id").limit(positives)
+    others = here.orderBy(order, "doc_id").limit(unlabelled).withColumn("positive", F.lit(False))
+    sample = F.broadcast(chosen.unionByName(others))  # at most positives + unlabelled ids
+    found: dict[bool, list[np.ndarray]] = {True: [], False: []}
+    for batch in _features(rows.join(sample, "doc_id"), kept).toArrow().to_batches():
         for x, positive in zip(batch.column("buckets"), batch.column("positive").to_pylist()):
-            rows[positive].append(np.frombuffer(x.as_buffer(), dtype="<i4"))  # views, not copies
-    return train(rows[True], rows[False], float(share))
+            found[positive].append(np.frombuffer(x.as_buffer(), dtype="<i4"))  # views, not copies
+    return train(kept, found[True], found[False], float(share))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, **sample: int) -> DataFrame:

@@ -336,6 +336,27 @@ def test_toxicity_sees_every_part_of_a_text(spark):
     assert np.mean([r["predicted"] == toxic[r["doc_id"]] for r in held]) > 0.95
 
 
+def test_toxicity_learns_rare_terms_from_all_rows(spark):
+    rng = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    word = lambda n: "".join(rng.choices(letters, k=n))
+    common, slurs = [word(7) for _ in range(300)], [word(8) for _ in range(150)]  # each slur in under 1 % of the toxic
+    toxic = [int(i % 3 == 0) for i in range(9000)]
+    texts = [" ".join(rng.choices(common, k=20) + ([rng.choice(slurs)] if t else [])) for t in toxic]
+    docs = docs_of(spark, texts).cache()
+    labels = spark.createDataFrame([(i, 0, t) for i, t in enumerate(toxic)], "doc_id long, quality int, toxic int")
+    held = [r for r in toxicity.toxicity(docs, labels).collect() if r["held_out"]]
+    assert np.mean([r["predicted"] == toxic[r["doc_id"]] for r in held]) > 0.9
+    # counts come from all rows whatever the sample is, and positives from those that have a document
+    train = [i for i in range(9000) if zlib.crc32(str(i).encode()) % 3 != 1]
+    marked = docs.where(F.col("doc_id").isin(train)).withColumn("positive", F.col("doc_id") % 3 == 0)
+    p, u, n, m = toxicity._counts(marked)
+    want = collections.Counter(b for i in train for b in toxicity.row_of(texts[i]).tolist())
+    assert (n, m) == (sum(toxic[i] for i in train), len(train)) and {int(b): int(u[b]) for b in np.flatnonzero(u)} == want
+    part = toxicity.fit(docs.where("doc_id >= 6000"), labels, positives=500)
+    assert part.weights
+
+
 # 6 language
 
 
