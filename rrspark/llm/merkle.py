@@ -1,12 +1,13 @@
 """Document fingerprints: a Merkle tree over sections, paragraphs and short spans.
 
 Sections are divided by blank lines, paragraphs by line ends, and a paragraph is cut into spans after
-sentence ends or ``SPAN`` code points. Every node's digest covers its children's digests, the
+sentence ends; where none comes, after the first place from ``LEAST`` code points on at which a hash of the last
+``WINDOW`` code points says so, at ``SPAN`` code points at the latest. So an edit moves the cuts near it alone. Every node's digest covers its children's digests, the
 children cover the text without gaps: equal roots mean equal texts, and where two trees differ,
 the branches with differing digests locate the edit (``changed``).
 
 A fingerprint is text: the root (32 hex digits), then per section ``/`` and its digest (8), per
-paragraph ``,`` and its digest (8), ``:`` and 4 digits per span. Likeness is the Dice
+paragraph ``,`` and its digest (8), ``:`` and 8 digits per span. Likeness is the Dice
 coefficient of two fingerprints' spans.
 """
 
@@ -18,6 +19,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -25,9 +27,34 @@ from pyspark.sql import functions as F
 
 from rrspark.llm.common import arrow_map, parallelism
 
-SPAN = 32
+SPAN, LEAST, WINDOW, ONE_IN = 64, 16, 4, 16
+DIGITS = 8  # of a span's digest in a fingerprint: 32 bits
 _PARAGRAPH = re.compile(r"[^\n]*\n+|[^\n]+")
-_SPANS = re.compile(rf"[^.!?]{{1,{SPAN}}}[.!?]*\s*|[.!?]+\s*")
+# over the classes of the code points: s sentence end, w blank, c place to cut after, x other
+_SPANS = re.compile(rf"(?:[wcx]{{1,{LEAST - 1}}}[wx]{{0,{SPAN - LEAST}}}c?s*|s+)w*")
+_CLASS = np.full(0x3002, ord("x"), dtype=np.uint8)
+_CLASS[[i for i in range(len(_CLASS)) if chr(i).isspace()]] = ord("w")
+_CLASS[[ord(c) for c in ".!?"]] = ord("s")
+
+
+def _classes(text: str) -> str:
+    """One letter per code point, see _SPANS."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    out = _CLASS[np.minimum(codes, len(_CLASS) - 1)]
+    if len(codes) >= WINDOW:
+        h = np.zeros(len(codes) - WINDOW + 1, dtype=np.uint32)
+        for i in range(WINDOW):
+            h = (h ^ codes[i:len(codes) - WINDOW + 1 + i]) * np.uint32(0x85EBCA6B)
+            h ^= h >> np.uint32(15)
+        at = np.flatnonzero(h % np.uint32(ONE_IN) == 0) + WINDOW - 1
+        out[at[out[at] == ord("x")]] = ord("c")
+    return out.tobytes().decode("ascii")
+
+
+def spans(text: str, classes: str, start: int, end: int) -> list[str]:
+    """The spans of a paragraph, text[start:end]. A cut depends on code points of its own span alone, as
+    LEAST is over WINDOW."""
+    return [text[m.start():m.end()] for m in _SPANS.finditer(classes, start, end)]
 
 
 def _node(children: list[bytes]) -> bytes:
@@ -44,13 +71,16 @@ def _sections(text: str) -> list[str]:
 def fingerprint(text: str | None) -> str:
     leaf = xxhash.xxh3_128_digest
     sections, shown = [], []
-    for section in _sections(text or ""):
+    text, at = text or "", 0
+    classes = _classes(text)
+    for section in _sections(text):
         paragraphs, parts = [], []
         for paragraph in _PARAGRAPH.findall(section):
-            spans = [leaf(s.encode("utf-8", "surrogatepass")) for s in _SPANS.findall(paragraph)]
-            digest = _node(spans)
+            leaves = [leaf(s.encode("utf-8", "surrogatepass")) for s in spans(text, classes, at, at + len(paragraph))]
+            at += len(paragraph)
+            digest = _node(leaves)
             paragraphs.append(digest)
-            parts.append("," + digest[:4].hex() + ":" + b"".join([s[:2] for s in spans]).hex())
+            parts.append("," + digest[:4].hex() + ":" + b"".join([s[:DIGITS // 2] for s in leaves]).hex())
         digest = _node(paragraphs)
         sections.append(digest)
         shown.append("/" + digest[:4].hex() + "".join(parts))
@@ -64,7 +94,7 @@ def _tree(fp: str) -> list[tuple[str, list[str]]]:
 
 def spans_of(fp: str) -> Counter:
     shown = [p.partition(":")[2] for _, paragraphs in _tree(fp) for p in paragraphs]
-    return Counter(x[i:i + 4] for x in shown for i in range(0, len(x), 4))
+    return Counter(x[i:i + DIGITS] for x in shown for i in range(0, len(x), DIGITS))
 
 
 def _likeness(a: Counter, b: Counter) -> float:

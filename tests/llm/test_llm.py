@@ -268,6 +268,29 @@ def test_fingerprints_tell_texts_apart_and_locate_edits():
     assert merkle.changed(merkle.fingerprint(a), merkle.fingerprint("Zero.\n" + a)) == [(-1, -1, 0, 0)]
 
 
+def test_fingerprints_of_long_texts():
+    rng = random.Random(6)
+    for chars in ("abcdefgh ", [chr(c) for c in range(0x4e00, 0x5200)]):
+        a, b = ("".join(rng.choices(chars, k=500_000)) for _ in range(2))
+        assert merkle.likeness(merkle.fingerprint(a), merkle.fingerprint(b)) < 0.01
+        # a paragraph without sentence ends and one character put in: only spans near it differ
+        short = a[:20_000]
+        for at in (0, 5, 7000):
+            assert merkle.likeness(merkle.fingerprint(short), merkle.fingerprint(short[:at] + "x" + short[at:])) > 0.95
+
+
+def test_spans_cover_the_text():
+    rng = random.Random(7)
+    for _ in range(500):
+        text = "".join(rng.choices("ab. !?\t\u3000\u00e9\ud800\U0001f600z", k=rng.randint(1, 300)))
+        spans = merkle.spans(text, merkle._classes(text), 0, len(text))
+        assert "".join(spans) == text and all(len(s.rstrip(" \t\u3000").rstrip(".!?")) <= merkle.SPAN for s in spans)
+    # the same paragraph has the same spans wherever it stands
+    p = "".join(rng.choices("abcdef ", k=500))
+    text = "xyz\n" + p
+    assert merkle.spans(text, merkle._classes(text), 4, len(text)) == merkle.spans(p, merkle._classes(p), 0, len(p))
+
+
 def test_fingerprint_edges(spark, odd, empty):
     assert merkle.compare_edits(empty).count() == 0
     for parts in (1, 4, 40):
