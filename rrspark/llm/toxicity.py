@@ -17,6 +17,7 @@ driver. Scoring reads every whole text.
 from __future__ import annotations
 
 import re
+import struct
 import sys
 import unicodedata
 import zlib
@@ -46,24 +47,27 @@ _UNSPACED = re.compile("[\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u1950-\u19df\u1
                        "\u4e00-\ua4cf\ua9e0-\ua9ff\uaa60-\uaadf\uf900-\ufaff\uff66-\uff9f\U0001b000-\U0001b16f\U00020000-\U0003ffff]")
 
 
+_WHOLE, _PREFIX, _SUFFIX = (zlib.crc32(c) for c in (b"=", b"^", b"$"))
+
+
 @lru_cache(maxsize=1)
-def _word() -> re.Pattern:
-    """Runs of letters and marks, whatever the script."""
-    flags = np.fromiter((unicodedata.category(chr(i))[0] in "LM" for i in range(sys.maxunicode + 1)), bool)
-    edges = np.flatnonzero(np.diff(flags.astype(np.int8), prepend=0, append=0)).tolist()
-    return re.compile("[" + "".join(f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in zip(edges[::2], edges[1::2])) + "]+")
+def _letters() -> np.ndarray:
+    """Every code point: letters and marks of all scripts as they are, others as blanks."""
+    return np.fromiter((i if unicodedata.category(chr(i))[0] in "LM" else 32 for i in range(sys.maxunicode + 1)), "<u4")
 
 
 def words_of(text: str | None) -> set[str]:
-    return set(_word().findall((text or "").lower()))
+    codes = np.frombuffer((text or "").lower().encode("utf-32-le", "replace"), dtype="<u4")
+    return set(_letters()[codes].tobytes().decode("utf-32-le").split())
 
 
 def buckets_of(word: str) -> list[int]:
     """Buckets of a word, its prefixes (3 to 6 bytes) and its suffixes (4 and 5 bytes)."""
     raw = word.encode("utf-8", "replace")
     n = len(raw)
-    parts = [b"=" + raw, *(b"^" + raw[:k] for k in PREFIXES if n >= k), *(b"$" + raw[-k:] for k in SUFFIXES if n >= k)]
-    return [zlib.crc32(p) & ((1 << BITS) - 1) for p in parts]
+    hashes = [zlib.crc32(raw, _WHOLE), *[zlib.crc32(raw[:k], _PREFIX) for k in PREFIXES if n >= k],
+              *[zlib.crc32(raw[-k:], _SUFFIX) for k in SUFFIXES if n >= k]]
+    return [h & ((1 << BITS) - 1) for h in hashes]
 
 
 def _grams(words: list[str], orders: tuple[int, ...]) -> Iterator[np.ndarray]:
@@ -86,10 +90,27 @@ def inner_buckets(words: set[str]) -> np.ndarray:
     return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
 
 
+class _Packed(dict):
+    """Buckets of words as bytes; bounded."""
+
+    def __missing__(self, word: str) -> bytes:
+        found = buckets_of(word)
+        packed = struct.pack(f"<{len(found)}i", *found)
+        if len(word) <= LONG:  # longer ones would fill the memory
+            if len(self) >= CACHE_WORDS:
+                self.clear()
+            self[word] = packed
+        return packed
+
+
+_packed = _Packed()
+
+
 def row_of(text: str | None) -> np.ndarray:
     """The distinct buckets of a text, sorted."""
     words = words_of(text)
-    return np.union1d(np.array([x for w in words for x in buckets_of(w)], dtype=np.int64), inner_buckets(words))
+    found = np.frombuffer(b"".join(map(_packed.__getitem__, words)), dtype="<i4")
+    return np.unique(np.concatenate((found.astype(np.int64), inner_buckets(words))))
 
 
 @dataclass
