@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rrspark.llm import langid, merkle, packing, pii, sentencepiece_dropout, sharding, simhash, topk, toxicity, warc
+from rrspark.llm import (
+    langid, merkle, packing, pii, ranking, sentencepiece_dropout, sharding, simhash, topk, toxicity, warc,
+)
 from rrspark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,14 +86,48 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_digest(table(spark, sf_dir, "documents"))
 
 
+def op13_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_TERMS = (
+    "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')")
+OP13_SQL = f"""
+WITH texts AS (
+  SELECT row_number() OVER () AS place, doc_id, {_TERMS} AS terms FROM documents WHERE text IS NOT NULL
+), whole AS (SELECT * FROM texts WHERE len(terms) > 0),
+corpus AS (SELECT CAST(count(*) AS BIGINT) AS n_all, CAST(sum(len(terms)) AS BIGINT) AS l_all FROM whole),
+asked AS (
+  SELECT item_id, term, count(*) AS times
+  FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark WHERE text IS NOT NULL) GROUP BY ALL
+), held AS (
+  SELECT place, doc_id, n, term, count(*) AS tf
+  FROM (SELECT place, doc_id, len(terms) AS n, unnest(terms) AS term FROM whole)
+  WHERE term IN (SELECT term FROM asked) GROUP BY ALL
+), weighed AS (
+  SELECT term, CAST(floor(1000 * ln((2 * n_all + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM held, corpus GROUP BY term, n_all
+), scored AS (
+  SELECT item_id, place, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (
+    1000 * tf + 12 * (100 - 25 + ((25 * n * n_all) // l_all))))) AS BIGINT) AS score
+  FROM held JOIN weighed USING (term) JOIN asked USING (term), corpus GROUP BY item_id, place, doc_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS r
+  FROM scored WHERE score > 0 AND doc_id IS NOT NULL
+)
+SELECT item_id, CAST(r AS INTEGER) AS rank, doc_id, score FROM ranked WHERE r <= 20
+"""
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         f.__name__: f for f in (
             op1_sentencepiece, op2_pii, op3_topk, op4_fingerprints,
-            op5_toxicity, op6_language_id, op7_warc, op8_packing, op9_sharding, op10_simhash,
+            op5_toxicity, op6_language_id, op7_warc, op8_packing, op9_sharding, op10_simhash, op13_ranking,
         )
     }
 
 
 def llm_oracle_sql() -> dict[str, str]:
-    return {"op3_topk": OP3_SQL, "op7_warc": OP7_SQL}
+    return {"op3_topk": OP3_SQL, "op7_warc": OP7_SQL, "op13_ranking": OP13_SQL}
