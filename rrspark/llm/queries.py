@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from rrspark.llm import (
-    langid, merkle, packing, pii, ranking, sentencepiece_dropout, sharding, simhash, topk, toxicity, warc,
+    chat, langid, merkle, packing, pii, ranking, sentencepiece_dropout, sharding, simhash, topk, toxicity, warc,
 )
 from rrspark.llm.common import table
 
@@ -86,6 +86,43 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_digest(table(spark, sf_dir, "documents"))
 
 
+def op12_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = chat.with_probe(table(spark, sf_dir, "conversations"))
+    return chat.read_back_digest(chat.conversations(rows))
+
+
+_MARKS = ["<<SYS>>", "<</SYS>>", "[INST]", "[/INST]", "<s>", "</s>", "[ROLE]", "[/ROLE]", "[/TURN]"]
+
+
+def _escaped_length(column: str) -> str:
+    """Code points of a text once it is escaped: itself, its backslashes again, one more a control string."""
+    marks = " + ".join(f"(length({column}) - length(replace({column}, '{m}', ''))) // {len(m)}" for m in _MARKS)
+    return f"(2 * length({column}) - length(replace({column}, '\\', '')) + {marks})"
+
+
+OP12_SQL = f"""
+WITH turns AS (
+  SELECT CAST(conv_id AS BIGINT) AS conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')
+), stepped AS (
+  SELECT *, lag(role, 1, '') OVER here AS before, row_number() OVER here AS place
+  FROM turns WINDOW here AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+), judged AS (
+  SELECT *, {_escaped_length("text")} + CASE role WHEN 'system' THEN 15 WHEN 'user' THEN 13 WHEN 'assistant' THEN 7
+         ELSE 20 + {_escaped_length("role")} END AS chars,
+         CASE WHEN place = 1 THEN role IN ('system', 'user')
+              ELSE role = 'user' AND before IN ('system', 'assistant') OR role = 'assistant' AND before = 'user' END AS legal
+  FROM stepped
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(chars) AS BIGINT) AS formatted_chars, bool_and(legal) AS valid
+FROM judged GROUP BY conv_id
+"""
+
+
 def op13_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -124,10 +161,10 @@ def llm_queries() -> dict[str, Query]:
     return {
         f.__name__: f for f in (
             op1_sentencepiece, op2_pii, op3_topk, op4_fingerprints,
-            op5_toxicity, op6_language_id, op7_warc, op8_packing, op9_sharding, op10_simhash, op13_ranking,
+            op5_toxicity, op6_language_id, op7_warc, op8_packing, op9_sharding, op10_simhash, op12_chat, op13_ranking,
         )
     }
 
 
 def llm_oracle_sql() -> dict[str, str]:
-    return {"op3_topk": OP3_SQL, "op7_warc": OP7_SQL, "op13_ranking": OP13_SQL}
+    return {"op3_topk": OP3_SQL, "op7_warc": OP7_SQL, "op12_chat": OP12_SQL, "op13_ranking": OP13_SQL}
