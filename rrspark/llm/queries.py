@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from rrspark.llm import (
-    chat, langid, merkle, packing, pii, ranking, sentencepiece_dropout, sharding, simhash, topk, toxicity, warc,
+    alignment, chat, langid, merkle, packing, pii, ranking, sentencepiece_dropout, sharding, simhash, topk, toxicity, warc,
 )
 from rrspark.llm.common import table
 
@@ -86,6 +86,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_digest(table(spark, sf_dir, "documents"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment_digest(table(spark, sf_dir, "documents"))
+
+
 def op12_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = chat.with_probe(table(spark, sf_dir, "conversations"))
     return chat.read_back_digest(chat.conversations(rows))
@@ -161,7 +165,8 @@ def llm_queries() -> dict[str, Query]:
     return {
         f.__name__: f for f in (
             op1_sentencepiece, op2_pii, op3_topk, op4_fingerprints,
-            op5_toxicity, op6_language_id, op7_warc, op8_packing, op9_sharding, op10_simhash, op12_chat, op13_ranking,
+            op5_toxicity, op6_language_id, op7_warc, op8_packing, op9_sharding, op10_simhash, op11_alignment,
+            op12_chat, op13_ranking,
         )
     }
 
