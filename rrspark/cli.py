@@ -7,6 +7,7 @@ domain-mining workflow:
     filter   EXPR IN OUT [--by-type]                                       (records -> subset)
     extract  EXPR IN OUT [--keep-quotes]                                   (records -> distinct values)
     store    IN OUT [--events TABLE:TYPE] [--edges TABLE:TYPE:a:b,c:d] [--no-reverse] [--no-stats] [--in-format json]
+             [--run ID] [--keyed [--compact]] (the same input with the same settings changes nothing when stored again)
     dump     IN OUT                                                        (responses -> text files)
 
 Expressions are Spark SQL. Every stage reads and writes Parquet unless told otherwise; all but geo
@@ -16,6 +17,7 @@ and dump, which count nothing, print their counters as one JSON line.
 from __future__ import annotations
 
 import argparse
+import hashlib
 import importlib
 import json
 import sys
@@ -23,7 +25,7 @@ import sys
 from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
-from .operators.cells import edge_generator, event_generator, map_edge_generator, map_event_generator
+from .operators.cells import edge_generator, event_generator, generate_cells, map_edge_generator, map_event_generator
 from .operators.decode import decode_messages, decode_responses, response_text
 from .operators.extract import extract_count_columns, extract_values
 from .operators.filters import observe_filter
@@ -32,7 +34,11 @@ from .operators.records import distinct_records
 from .operators.requests import expand_requests
 from .operators.resolve import lookup_summary, rcode_counts, resolve, resolve_with, responses
 from .session import ensure_checkpoint_dir
-from .sinks.files import store, store_json, write_by_type, write_cells, write_records, write_responses
+from .sinks.files import (
+    store, store_json, store_json_run, write_by_type, write_cells, write_records, write_responses,
+)
+from .sinks.hadoop import Folder
+from .sinks.store import BUCKETS, CellStore
 from .sources.files import read_domains, read_json_lines, read_ranges, read_records, read_responses
 
 
@@ -102,15 +108,42 @@ def cmd_store(spark: SparkSession, a) -> None:
     if not gens:
         raise SystemExit("store: give --events and/or --edges")
 
-    def sink(cells):
-        write_cells(cells, a.out)
+    lines = read_json_lines(spark, a.input, a.in_format) if any_keys else spark.read.parquet(a.input)
+    run = a.run or _input_id(spark, lines, [a.events, a.edges, a.no_reverse, a.no_stats])
+    if a.keyed:
+        _store_keyed(spark, a, lines, gens, run, any_keys)
+    elif any_keys:
+        _emit({"run": run, **store_json(lines, gens, lambda cells: write_cells(cells, a.out, run))})
+    else:
+        obs = Observation("store")
+        store(_counted(lines, obs), gens, sink=lambda cells: write_cells(cells, a.out, run))
+        _emit({"run": run, **_all_stored(obs)})
+
+
+def _counted(records, obs: Observation):
+    return records.observe(obs, F.count(F.lit(1)).alias("records_stored"))
+
+
+def _all_stored(obs: Observation) -> dict:
+    return {"bad_records": 0, "failed_store": 0, **obs.get, "total": obs.get["records_stored"]}
 
+
+def _store_keyed(spark: SparkSession, a, lines, gens, run: str, any_keys: bool) -> None:
+    into = CellStore(spark, a.out, a.buckets)
     if any_keys:
-        _emit(store_json(read_json_lines(spark, a.input, a.in_format), gens, sink))
-        return
-    obs = Observation("store")
-    store(spark.read.parquet(a.input).observe(obs, F.count(F.lit(1)).alias("records_stored")), gens, sink=sink)
-    _emit({"bad_records": 0, "failed_store": 0, **obs.get, "total": obs.get["records_stored"]})
+        store_json_run(lines, gens, into, run)
+    else:
+        obs = Observation("store")
+        into.add(generate_cells(_counted(lines, obs), gens), run, lambda: _all_stored(obs))
+    _emit({"run": run, **into.counters(run)})
+    if a.compact:
+        into.compact()
+
+
+def _input_id(spark: SparkSession, df, settings: list) -> str:
+    """The same for the same input files (names and sizes) and settings, so storing them again is the same run."""
+    files = sorted((f, Folder(spark, f).size()) for f in df.inputFiles())
+    return hashlib.sha1(repr((files, settings)).encode()).hexdigest()
 
 
 def cmd_dump(spark: SparkSession, a) -> None:
@@ -170,6 +203,11 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--no-stats", action="store_true")
     s.add_argument("--in-format", choices=["parquet", "json", "sequence"], default="parquet")
 
+    s.add_argument("--run", help="id of this data set; by default made of the input files and settings")
+    s.add_argument("--keyed", action="store_true", help="OUT is a keyed store: one cell per key, counts over all runs")
+    s.add_argument("--buckets", type=int, default=BUCKETS, help="buckets of a new keyed store")
+    s.add_argument("--compact", action="store_true", help="merge the runs of the keyed store afterwards")
+
     d = sub.add_parser("dump")
     d.add_argument("input")
     d.add_argument("out")

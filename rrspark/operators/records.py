@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -70,11 +70,20 @@ def conform(df: DataFrame, schema: T.StructType = RR_SCHEMA) -> DataFrame:
     return df.withColumns(missing) if missing else df
 
 
+def last_of_each_key(fields: Column) -> Column:
+    """A map read from JSON, in which a repeated key keeps its last value only."""
+    keys = F.array_distinct(F.map_keys(fields))
+    backwards = F.reverse(F.map_entries(fields))
+    last = F.transform(keys, lambda k: F.struct(k.alias("key"), F.filter(backwards, lambda e: e["key"] == k)[0]["value"].alias("value")))
+    return F.when(F.size(keys) < F.size(fields), F.map_from_entries(last)).otherwise(fields)
+
+
 def fields_from_json(lines: DataFrame, column: str = "json") -> DataFrame:
     """Records with any keys: ``fields map<string,string>`` per line (NULL for a line that is no JSON
-    object) and ``failed``, an object with an explicit null, which no store can print."""
+    object; of a repeated key the last value counts) and ``failed``, an object with an explicit null, which
+    no store can print."""
     m = F.from_json(F.col(column), T.MapType(T.StringType(), T.StringType()))
-    out = lines.select(m.alias("fields"))
+    out = lines.select(m.alias("fields")).select(last_of_each_key(F.col("fields")).alias("fields"))
     return out.withColumn("failed", F.coalesce(F.exists(F.map_values("fields"), lambda v: v.isNull()), F.lit(False)))
 
 

@@ -7,12 +7,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.cells import (
-    cell_counts, edge_cells, edge_generator, event_cells, event_generator, event_id, map_edge_generator,
-    map_event_generator, store_summary, value_stat_cells,
+    cell_counts, edge_cells, edge_generator, event_cells, event_generator, event_id, generate_cells,
+    map_edge_generator, map_event_generator, store_summary, value_stat_cells,
 )
 from ..operators.decode import decode_messages, decode_responses, parse_failures, response_text, section_size
 from ..operators.extract import extract_count_columns, extract_values
@@ -23,6 +24,8 @@ from ..operators.geo import enrich_geo, geo_counts
 from ..operators.records import distinct_records, partition_sorted, records_from_json, records_to_json
 from ..session import scratch_path
 from ..sinks.files import store, store_json, write_by_type, write_cells, write_records, write_responses
+from ..sinks.module import COUNTERS, ParquetFactory, store_records
+from ..sinks.store import CellStore
 from ..sources.files import read_domains, read_ranges, read_records, read_responses
 from ..schema import IPV4_NAME_PATTERN as IPV4_NAME_RE
 from .pipeline import run_chain
@@ -624,10 +627,82 @@ def q33_store_cells(spark, sf_dir):
     directory per table; cells per table read back."""
     path = scratch_path(spark, "cells")
     gens = [event_generator(EVENT_TABLE, DATA_TYPE), edge_generator(EDGE_TABLE, DATA_TYPE, EDGES)]
-    store(_distinct_rr(spark, sf_dir), gens, sink=lambda cells: write_cells(cells, path, mode="overwrite"))
+    store(_distinct_rr(spark, sf_dir), gens, sink=lambda cells: write_cells(cells, path))
     return spark.read.parquet(path).groupBy("table_name").agg(F.count(F.lit(1)).alias("n"))
 
 
+# Two data sets that share record types; a store takes one, the other, and the first again.
+STORE_SETS = {"first": "type IN ('A', 'MX', 'NS')", "second": "type IN ('MX', 'NS', 'CNAME', 'SOA')"}
+
+
+def _event_cell_sql(src: str) -> str:
+    return (f"SELECT '{EVENT_TABLE}' AS table_name, event_id AS \"row\", '{DATA_TYPE}' AS cf, cq, value FROM "
+            f"(SELECT {_oracle_event_id(RR_FIELDS_NO_TTL)} AS event_id, * FROM {src}) e CROSS JOIN LATERAL (VALUES "
+            + ", ".join(f"('{f.upper()}', CAST({f} AS VARCHAR))" for f in RR_FIELDS_NO_TTL) + ") v(cq, value) WHERE value IS NOT NULL")
+
+
+def _filled_store(spark, sf_dir, generators, again: str) -> CellStore:
+    """A store that takes the first data set, compacts, takes the second, and the first once more under ``again``."""
+    into = CellStore(spark, scratch_path(spark, "cell-store"))
+    recs = rr(spark, sf_dir).drop("ttl")
+
+    def add(data_set: str, run: str) -> None:
+        into.add(generate_cells(recs.where(STORE_SETS[data_set]), generators), run)
+
+    add("first", "first")
+    into.compact()
+    add("second", "second")
+    add("first", again)
+    return into
+
+
+@register(
+    "q48_cell_store",
+    "SELECT DISTINCT * FROM (" + "\nUNION ALL\n".join(
+        f"{_event_cell_sql(src)} UNION ALL {_oracle_edges(src)}"
+        for src in [f"(SELECT {RR_COLS_NO_TTL} FROM rr WHERE {w})" for w in STORE_SETS.values()]) + ") c",
+)
+def q48_cell_store(spark, sf_dir):
+    """Two data sets in one keyed store, the first of them stored twice: one cell per key, of both sets."""
+    gens = [event_generator(EVENT_TABLE, DATA_TYPE), edge_generator(EDGE_TABLE, DATA_TYPE, EDGES, univariate=False)]
+    return _filled_store(spark, sf_dir, gens, again="first, once more").cells()
+
+
+def _stat_cell_sql(src: str) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{EDGE_TABLE}' AS table_name, lower(CAST({f} AS VARCHAR)) AS \"row\", 's' || chr(0) || coalesce(type, 'UNKNOWN') AS cf, "
+        f"'{DATA_TYPE}' || chr(0) || '{f.upper()}' AS cq FROM {src} WHERE {f} IS NOT NULL" for f in RR_FIELDS_NO_TTL)
+
+
+@register(
+    "q49_cell_counts",
+    "SELECT table_name, \"row\", cf, cq, count(*) AS n FROM (" + "\nUNION ALL\n".join(
+        f"SELECT table_name, \"row\", cf, cq FROM ({_oracle_edges(src)}) e UNION ALL {_stat_cell_sql(src)}"
+        for src in [f"(SELECT {RR_COLS_NO_TTL} FROM rr WHERE {w})" for w in STORE_SETS.values()])
+    + ") c GROUP BY table_name, \"row\", cf, cq",
+)
+def q49_cell_counts(spark, sf_dir):
+    """Edge and value frequencies over two loads and a repeated load: every run counts once."""
+    into = _filled_store(spark, sf_dir, [edge_generator(EDGE_TABLE, DATA_TYPE, EDGES)], again="first")
+    into.compact()
+    return into.counts()
+
+
+@register(
+    "q50_storage_module",
+    "SELECT count(*) FILTER (WHERE target IS NOT NULL) AS records_stored, count(*) FILTER (WHERE target IS NULL) AS failed_store, "
+    "count(DISTINCT target) AS targets, count(target) AS n FROM rr",
+)
+def q50_storage_module(spark, sf_dir):
+    """Records handed to a storage module that refuses those without a target; what is read back, and the
+    counters committed with it."""
+    schema = pa.schema([pa.field("name", pa.string()), pa.field("target", pa.string(), nullable=False)])
+    path = scratch_path(spark, "module")
+    counted = store_records(rr(spark, sf_dir).select("name", "target"), ParquetFactory(schema), {"path": path})
+    found = spark.read.parquet(path).agg(F.countDistinct("target").alias("targets"), F.count("target").alias("n"))
+    return found.withColumns({c: F.lit(counted[c]).cast("long") for c in COUNTERS})
+
+
 @register("q34_domain_files", Q01_SQL)
 def q34_domain_files(spark, sf_dir):
     """Domain list written as plain text files and read back line by line (blank and padded

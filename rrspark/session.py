@@ -75,6 +75,19 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def arrow_filesystem(uri: str):
+    """pyarrow's file system for a folder that Spark names, and its path there. Tasks use it for files that Spark's
+    writers don't make; ``s3a`` and ``s3n`` are Hadoop's names for what pyarrow calls ``s3``."""
+    from pyarrow import fs
+
+    scheme, found, rest = uri.partition(":")
+    if not found or "/" in scheme:
+        return fs.LocalFileSystem(), os.path.abspath(uri)
+    if scheme == "file":
+        return fs.LocalFileSystem(), "/" + rest.lstrip("/")
+    return fs.FileSystem.from_uri(f"{'s3' if scheme in ('s3a', 's3n') else scheme}:{rest}")
+
+
 _SHIPPED: set[tuple[str, str]] = set()
 PACKAGE_DIR = os.path.dirname(os.path.abspath(__file__))
 

@@ -1,5 +1,5 @@
 """Sinks (K1-K5): compressed columnar output, per-type directories, JSON text, SequenceFiles,
-cells by table, and a pluggable store step.
+cells by table and run, and a pluggable store step (``store.py``: the keyed store, ``module.py``: modules).
 
 Writes are whole-DataFrame jobs committed by Spark's output committer, so a lost executor
 only re-runs its tasks; nothing is written from the driver.
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..operators.cells import Generator, generate_cells, map_cells
 from ..operators.records import fields_from_json
+from .store import CellStore
 
 
 def write_records(df: DataFrame, path: str, mode: str = "overwrite", compression: str = "zstd") -> None:
@@ -69,12 +70,12 @@ def _ready(spark: SparkSession, path: str, mode: str) -> bool:
     raise FileExistsError(f"{path} exists; sequence output can't use mode {mode!r}")
 
 
-def write_cells(cells: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Cells routed to one directory per destination table, rebalanced by table (AQE splits large
-    ones). The directories of the tables at hand are replaced, so a second run of the same job changes
-    nothing; ``mode="append"`` adds to them."""
-    writer = cells.hint("rebalance", "table_name").write.mode(mode).option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("table_name").parquet(path)
+def write_cells(cells: DataFrame, path: str, run: str = "0") -> None:
+    """Cells as they are, one directory per destination table and run; ``CellStore`` keeps one a key. Writing a
+    run again replaces that run's directories and nothing else, so a repeated job changes nothing and other data
+    sets stay. Every task writes what it has, so a hot table spreads over all of them."""
+    writer = cells.withColumn("run", F.lit(run)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.option("compression", "zstd").partitionBy("table_name", "run").parquet(path)
 
 
 def store_json(lines: DataFrame, generators: Sequence[Callable[[DataFrame], DataFrame]],
@@ -83,13 +84,29 @@ def store_json(lines: DataFrame, generators: Sequence[Callable[[DataFrame], Data
     map_event_generator``, ``map_edge_generator``) of every record that can be stored go to ``sink``.
     Returns the counters of that same pass: ``bad_records`` (no JSON object), ``failed_store`` (an explicit
     null), ``records_stored`` and ``total`` (the last two together)."""
+    cells, seen = _observed_cells(lines, generators, column)
+    sink(cells)
+    return dict(seen.get)
+
+
+def _observed_cells(lines: DataFrame, generators: Sequence[Callable[[DataFrame], DataFrame]],
+                    column: str) -> tuple[DataFrame, Observation]:
     seen = Observation("store")
     bad, failed = F.col("fields").isNull(), F.col("failed")
     records = fields_from_json(lines, column).observe(
         seen, F.count_if(bad).alias("bad_records"), F.count_if(failed).alias("failed_store"),
         F.count_if(~bad & ~failed).alias("records_stored"), F.count_if(~bad).alias("total"))
-    sink(map_cells(records.where(~bad & ~failed).select("fields"), generators))
-    return dict(seen.get)
+    return map_cells(records.where(~bad & ~failed).select("fields"), generators), seen
+
+
+def store_json_run(lines: DataFrame, generators: Sequence[Callable[[DataFrame], DataFrame]], into: CellStore, run: str,
+                   column: str = "json") -> dict[str, int]:
+    """``store_json`` into a keyed store as one run, its counters committed with its cells. A run that is
+    stored already is neither read nor counted again; its counters are returned."""
+    if not into.has(run):
+        cells, seen = _observed_cells(lines, generators, column)
+        into.add(cells, run, counters=lambda: dict(seen.get))
+    return into.counters(run)
 
 
 def store(df: DataFrame, generators: Sequence[Generator], sink: Callable[[DataFrame], None] | None = None,

@@ -20,6 +20,7 @@ from ..operators.decode import decode_responses
 from ..operators.filters import filter_records
 from ..operators.geo import enrich_geo
 from ..session import named_path
+from ..sinks.store import CellStore
 from ..sources.files import RESPONSE_SCHEMA
 
 ARRIVAL = "arrival"
@@ -74,12 +75,22 @@ def start_parquet_sink(stream: DataFrame, path: str, checkpoint: str | None = No
     return writer.start(path)
 
 
+def run_sink(store: CellStore, name: str, compact_every: int = 0) -> Callable[[DataFrame, int], None]:
+    """A sink for ``start_cell_store``: each micro-batch is a run of the keyed store, so a batch that is
+    repeated after a restart is stored and counted once. Compacts after every ``compact_every`` batches."""
+    def sink(cells: DataFrame, batch_id: int) -> None:
+        store.add(cells, f"{name}-{batch_id}")
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            store.compact()
+    return sink
+
+
 def start_cell_store(records: DataFrame, generators: Sequence[Generator],
                      sink: Callable[[DataFrame, int], None], checkpoint: str | None = None,
                      available_now: bool = True, name: str = "rrspark-cells") -> StreamingQuery:
     """Storage step on a stream: each micro-batch's cells go to ``sink(cells, batch_id)``
-    (``foreachBatch``); make the sink idempotent per ``batch_id`` for exactly-once output. Progress
-    is kept by ``name``, which must be the query's own."""
+    (``foreachBatch``); make the sink idempotent per ``batch_id`` for exactly-once output, as
+    ``run_sink`` is. Progress is kept by ``name``, which must be the query's own."""
     spark = records.sparkSession
     checkpoint = checkpoint or named_path(spark, f"stream-{name}")
     recs = records.drop(ARRIVAL) if ARRIVAL in records.columns else records
