@@ -3,15 +3,20 @@
 Positives are texts confirmed toxic in the training fold; every other training text is unlabelled,
 toxic ones among them included. With class prior pi the risk is
 ``pi * Rp(+) + max(0, Ru(-) - pi * Rp(-))``; where the second part falls below zero its gradient is
-reversed (Kiryo et al. 2017). The class prior is the toxic share of the labelled training rows.
+reversed (Kiryo et al. 2017). The class prior is an argument, or is estimated from positives and unlabelled
+rows alone: classifiers that tell one from the other, fitted on all folds of the sample but one, score that one, and the
+prior is the share of unlabelled texts over the share of positives above the cut where this quotient with its
+confidence bound is least (the best-bin estimate of Garg et al. 2021). What else the labels
+say doesn't count, so labels of positives alone, or of mostly positives, are as good as any.
 
 Features: hashed lower-case words (runs of Unicode letters and marks) with their prefixes and suffixes, and every
 n-gram inside words of scripts written without blanks (1 to 4 code points) or of more than ``LONG`` code points
 (4 to 6), present or not;
-the log-likelihood ratio of positives to unlabelled texts selects them, by exact counts over all training
-rows that Spark adds up. The weights are fitted in numpy on a bounded, hash-ordered sample of ``positives`` and
+the log-likelihood ratio of positives to the other texts selects them, words of either side, by exact counts over all
+training rows that Spark adds up. The weights are fitted in numpy on a bounded, hash-ordered sample of ``positives`` and
 ``unlabelled`` training rows; the features are made on the executors, only the selected ones of these rows reach the
-driver. Scoring reads every whole text.
+driver. Scoring reads every whole text, in windows of two blocks of ``BLOCK`` words that overlap by one: the score is that
+of the worst window, so a text isn't toxic for being long.
 """
 
 from __future__ import annotations
@@ -38,7 +43,11 @@ THRESHOLD = 0.7
 CACHE_WORDS = 200_000
 PREFIXES, SUFFIXES = (3, 4, 5, 6), (4, 5)
 
-LEAST_ROWS = 3  # positives with a selected bucket, at any size
+LEAST_ROWS = 3  # positives, or others, with a selected bucket, at any size
+GAIN = 8.0  # log-likelihood ratio from which on a bucket counts even if it is not twice as frequent in positives
+APART_L2 = 0.05  # strong, as few positives may have to tell many buckets apart
+FOLDS, PRIOR_ROWS = 8, (2000, 6000)
+BLOCK, PIECE, OVERLAP = 128, 1024, 8
 BROADCAST_IDS = 1_000_000
 LONG = 16
 INNER, INNER_LONG = (1, 2, 3, 4), (4, 5, 6)
@@ -56,9 +65,21 @@ def _letters() -> np.ndarray:
     return np.fromiter((i if unicodedata.category(chr(i))[0] in "LM" else 32 for i in range(sys.maxunicode + 1)), "<u4")
 
 
-def words_of(text: str | None) -> set[str]:
+def word_list(text: str | None) -> list[str]:
     codes = np.frombuffer((text or "").lower().encode("utf-32-le", "replace"), dtype="<u4")
-    return set(_letters()[codes].tobytes().decode("utf-32-le").split())
+    return _letters()[codes].tobytes().decode("utf-32-le").split()
+
+
+def words_of(text: str | None) -> set[str]:
+    return set(word_list(text))
+
+
+def blocks_of(text: str | None) -> list[set[str]]:
+    """The distinct words of every BLOCK words in turn; words of over PIECE code points in pieces that overlap."""
+    words = word_list(text)
+    if any(len(w) > PIECE for w in words):
+        words = [w[i:i + PIECE] for w in words for i in range(0, max(1, len(w) - OVERLAP), PIECE - OVERLAP)]
+    return [set(words[i:i + BLOCK]) for i in range(0, len(words), BLOCK)]
 
 
 def buckets_of(word: str) -> list[int]:
@@ -137,13 +158,16 @@ class Model:
 
         cache = Hits()
 
-        def score(text: str | None) -> float:
-            words = words_of(text)
+        def hits_of(words: set[str]) -> set[int]:
             found = {b for hits in map(cache.__getitem__, words) for b in hits}
             inner = inner_buckets(words)
             found.update(inner[known[inner]].tolist())
-            z = self.bias + sum(self.weights[b] for b in sorted(found))
-            return float(_sigmoid(z))
+            return found
+
+        def score(text: str | None) -> float:
+            blocks = [hits_of(words) for words in blocks_of(text)] or [set()]
+            windows = [a | b for a, b in zip(blocks, blocks[1:])] or blocks
+            return float(_sigmoid(self.bias + max(sum(self.weights[b] for b in sorted(w)) for w in windows)))
 
         return score
 
@@ -153,17 +177,20 @@ def _sigmoid(z: np.ndarray | float) -> np.ndarray | float:
 
 
 def select(p: np.ndarray, u: np.ndarray, n: int, m: int) -> np.ndarray:
-    """The buckets that tell positives from unlabelled texts: over-represented in positives, in LEAST_ROWS of
-    them at least, with a log-likelihood ratio above 0. ``p`` of ``n`` positives and ``u`` of ``m`` unlabelled texts
-    have a bucket."""
-    pooled = np.clip((p + u) / (n + m), 1e-12, 1 - 1e-12)
+    """The buckets that tell positives from the other rows. Of positives: more frequent in them, in LEAST_ROWS of
+    them at least, and twice as frequent or with a log-likelihood ratio over GAIN; of the others: less frequent
+    in positives, with that ratio. ``p`` of the ``n`` positives and ``u`` of all ``m`` rows have a bucket."""
+    others, rest = u - p, max(1, m - n)
+    pooled = np.clip(u / m, 1e-12, 1 - 1e-12)
 
     def loglik(k: np.ndarray, n: int) -> np.ndarray:
         q = np.clip(k / n, 1e-12, 1 - 1e-12)
         return k * np.log(q / pooled) + (n - k) * np.log((1 - q) / (1 - pooled))
 
-    gain = loglik(p, n) + loglik(u, m)
-    return np.flatnonzero((p >= LEAST_ROWS) & (p / n > 2 * u / m) & (gain > 0))
+    gain = loglik(p, n) + loglik(others, rest)
+    more = p / n > others / rest
+    toxic = more & (p >= LEAST_ROWS) & ((gain > GAIN) | ((p / n > 2 * others / rest) & (gain > 0)))
+    return np.flatnonzero(toxic | (~more & (others >= LEAST_ROWS) & (gain > GAIN)))
 
 
 class _Rows:
@@ -172,7 +199,7 @@ class _Rows:
     def __init__(self, rows: list[np.ndarray], column: np.ndarray) -> None:
         parts = [c[c >= 0] for c in (column[r] for r in rows)]
         self.size = np.array([len(p) for p in parts], dtype=np.int64)
-        self.idx = np.concatenate(parts)
+        self.idx = np.concatenate([np.zeros(0, np.int64), *parts])
         self.row = np.repeat(np.arange(len(parts)), self.size)
 
     def dot(self, w: np.ndarray) -> np.ndarray:
@@ -182,32 +209,80 @@ class _Rows:
         return np.bincount(self.idx, weights=g[self.row], minlength=n)
 
 
-def train(kept: np.ndarray, positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
-          rounds: int = 300, rate: float = 0.05, l2: float = 3e-4) -> Model:
-    """Fit by full-batch Adam on the nnPU risk of the logistic loss; a row is the distinct buckets of a
-    text, of those ``kept``. Without a positive or unlabelled row every text scores 0."""
+def risk(z_p: np.ndarray, z_u: np.ndarray, prior: float) -> tuple[float, float]:
+    """The two parts of the PU risk of the logistic loss: of positives, and of negatives before it is cut at 0."""
+    # losses: log(1 + e^-z) for the label +1, log(1 + e^z) for -1
+    return prior * np.logaddexp(0, -z_p).mean(), np.logaddexp(0, z_u).mean() - prior * np.logaddexp(0, z_p).mean()
+
+
+def step(z_p: np.ndarray, z_u: np.ndarray, prior: float) -> tuple[np.ndarray, np.ndarray]:
+    """The nnPU direction by the scores: the gradient of the risk, or, where its negative part is
+    below 0, that part's gradient reversed."""
+    plus, minus = -(1 - _sigmoid(z_p)) / len(z_p), _sigmoid(z_p) / len(z_p)
+    unlabelled = _sigmoid(z_u) / len(z_u)
+    if risk(z_p, z_u, prior)[1] >= 0:
+        return prior * plus - prior * minus, unlabelled
+    return prior * minus, -unlabelled
+
+
+def apart(z_p: np.ndarray, z_u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Gradient by the scores of the logistic loss that tells positives from unlabelled rows, either side a half."""
+    return -(1 - _sigmoid(z_p)) / len(z_p) / 2, _sigmoid(z_u) / len(z_u) / 2
+
+
+def _descend(p: _Rows, u: _Rows, n: int, bias: float, direction, l2: float, rounds: int = 300, rate: float = 0.05) -> np.ndarray:
+    """Full-batch Adam; ``n`` weights and the bias."""
+    w = np.append(np.zeros(n), bias)
+    m, v = np.zeros(n + 1), np.zeros(n + 1)
+    for t in range(1, rounds + 1):
+        gp, gu = direction(p.dot(w[:n]) + w[n], u.dot(w[:n]) + w[n])
+        grad = np.append(p.gradient(gp, n) + u.gradient(gu, n) + l2 * w[:n], gp.sum() + gu.sum())
+        m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
+        w = w - rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+    return w
+
+
+def best_bin(z_p: np.ndarray, z_u: np.ndarray, delta: float = 0.1, gamma: float = 0.01) -> float:
+    """Share of positives among the unlabelled by the scores of both: the share of unlabelled over that of positives
+    above a cut, at the cut where this and its confidence bound are least."""
+    z_p, z_u = np.sort(z_p), np.sort(z_u)
+    cuts = np.unique(np.concatenate((z_p, z_u)))
+    cuts = cuts[cuts <= z_p[-1]]
+    above = lambda z: 1 - np.searchsorted(z, cuts) / len(z)
+    q_p, q_u = above(z_p), above(z_u)
+    width = sum(np.sqrt(np.log(4 / delta) / 2 / len(z)) for z in (z_p, z_u))
+    return float((q_u / q_p)[np.argmin(q_u / q_p + (1 + gamma) * width / q_p)])
+
+
+def estimate_prior(kept: np.ndarray, positive: list[tuple[int, np.ndarray]], unlabelled: list[tuple[int, np.ndarray]],
+                   least: float) -> float:
+    """The class prior by ``best_bin`` over scores that each row gets from a classifier fitted on the other folds (rows come
+    with their fold; a document's are all in one); ``least``, the share of known positives, where a fold leaves
+    nothing to fit, and never below it."""
+    column = np.full(1 << BITS, -1, np.int64)
+    column[kept] = np.arange(len(kept))
+    n = len(kept)
+    scores: tuple[list[np.ndarray], list[np.ndarray]] = ([], [])
+    for fold in range(FOLDS):
+        others = [[r for f, r in rows if f != fold] for rows in (positive, unlabelled)]
+        if not all(others):
+            return least
+        w = _descend(*(_Rows(rows, column) for rows in others), n, 0.0, apart, APART_L2, rounds=100)
+        for held, rows in zip(scores, (positive, unlabelled)):
+            held.append(_Rows([r for f, r in rows if f == fold], column).dot(w[:n]) + w[n])
+    return min(0.99, max(least, best_bin(*map(np.concatenate, scores))))
+
+
+def train(kept: np.ndarray, positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, l2: float = 1e-3) -> Model:
+    """Fit on the nnPU risk; a row is the distinct buckets of a text, of those ``kept``. Without a positive or
+    unlabelled row every text scores 0."""
     if not positive or not unlabelled or prior <= 0:
         return Model({}, -500.0)
     column = np.full(1 << BITS, -1, np.int64)
     column[kept] = np.arange(len(kept))
     n = len(kept)
-    p, u = _Rows(positive, column), _Rows(unlabelled, column)
-    w = np.zeros(n + 1)
-    w[n] = np.log(prior / (1 - prior)) if prior < 1 else 0.0
-    m, v = np.zeros(n + 1), np.zeros(n + 1)
-    for t in range(1, rounds + 1):
-        zp, zu = p.dot(w[:n]) + w[n], u.dot(w[:n]) + w[n]
-        # losses: log(1 + e^-z) for the label +1, log(1 + e^z) for -1
-        negative = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
-        gp_plus, gp_minus = -(1 - _sigmoid(zp)) / len(zp), _sigmoid(zp) / len(zp)
-        gu_minus = _sigmoid(zu) / len(zu)
-        if negative >= 0:
-            gp, gu = prior * gp_plus - prior * gp_minus, gu_minus
-        else:
-            gp, gu = prior * gp_minus, -gu_minus
-        grad = np.append(p.gradient(gp, n) + u.gradient(gu, n) + l2 * prior * w[:n], gp.sum() + gu.sum())
-        m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
-        w = w - rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+    bias = np.log(prior / (1 - prior)) if prior < 1 else 0.0
+    w = _descend(_Rows(positive, column), _Rows(unlabelled, column), n, bias, lambda p, u: step(p, u, prior), l2 * prior)
     return Model({int(k): float(x) for k, x in zip(kept, w[:n])}, float(w[n]))
 
 
@@ -244,22 +319,22 @@ def _features(docs: DataFrame, kept: np.ndarray) -> DataFrame:
         for b in batches:
             found = [row_of(t.as_py()) for t in b.column(0)]
             rows = [r[shared.value[r]].astype("<i4").tobytes() for r in found]
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()), b.column(1)], ["buckets", "positive"])
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()), *b.columns[1:]], ["buckets", "positive", "place"])
 
-    return arrow_map(docs.select("text", "positive"), run, "buckets binary, positive boolean")
+    return arrow_map(docs.select("text", "positive", "place"), run, "buckets binary, positive boolean, place long")
 
 
-def fit(docs: DataFrame, labels: DataFrame, positives: int = 4000, unlabelled: int = 12000) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, positives: int = 4000, unlabelled: int = 12000, prior: float | None = None) -> Model:
     """Learn from rows whose crc32(doc_id) mod 3 is not 1. A document labelled more than once is
-    toxic if any of its labels is; null labels and ids are ignored. Labels without a document count for the
-    class prior alone."""
+    toxic if any of its labels is; null labels and ids are ignored, and so is whether other documents are labelled.
+    ``prior``: the toxic share of the documents; estimated where it is None."""
     learn = id_crc() % 3 != 1
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & learn).groupBy("doc_id").agg(
-        F.max("toxic").alias("toxic"))
-    share, toxic = known.agg(F.avg((F.col("toxic") == 1).cast("double")), F.count(F.when(F.col("toxic") == 1, 1))).first()
+        F.max("toxic").alias("toxic")).where("toxic = 1")
+    toxic = known.count()
     if not toxic:
         return train(np.zeros(0, np.int64), [], [], 0.0)
-    ids = known.where("toxic = 1").select("doc_id", F.lit(True).alias("positive"))
+    ids = known.select("doc_id", F.lit(True).alias("positive"))
     rows = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull() & learn)
     marked = rows.join(F.broadcast(ids) if toxic <= BROADCAST_IDS else ids, "doc_id", "left")
     p, u, n, m = _counts(marked)
@@ -270,21 +345,24 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = 4000, unlabelled: i
     here = rows.select("doc_id").distinct()
     chosen = ids.join(here, "doc_id", "left_semi").orderBy(order, "doc_id").limit(positives)
     others = here.orderBy(order, "doc_id").limit(unlabelled).withColumn("positive", F.lit(False))
-    sample = F.broadcast(chosen.unionByName(others))  # at most positives + unlabelled ids
-    found: dict[bool, list[np.ndarray]] = {True: [], False: []}
+    sample = F.broadcast(chosen.unionByName(others).withColumn("place", order))  # at most positives + unlabelled ids
+    found: dict[bool, list[tuple[int, bytes]]] = {True: [], False: []}
     for batch in _features(rows.join(sample, "doc_id"), kept).toArrow().to_batches():
-        for x, positive in zip(batch.column("buckets"), batch.column("positive").to_pylist()):
-            found[positive].append(np.frombuffer(x.as_buffer(), dtype="<i4"))  # views, not copies
-    return train(kept, found[True], found[False], float(share))
+        for x, positive, place in zip(*(batch.column(c).to_pylist() for c in ("buckets", "positive", "place"))):
+            found[positive].append((place, x))
+    pos, unl = ([(place % FOLDS, np.frombuffer(x, dtype="<i4")) for place, x in sorted(found[k])] for k in (True, False))
+    if prior is None:  # on less of the sample, as it takes a fit a fold
+        prior = estimate_prior(kept, pos[:PRIOR_ROWS[0]], unl[:PRIOR_ROWS[1]], n / m)
+    return train(kept, [r for _, r in pos], [r for _, r in unl], prior)
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, **sample: int) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, **how: float) -> DataFrame:
     """``doc_id, held_out, score, predicted`` per document.
 
     Null and empty texts are scored by the bias alone. A null doc_id is never learned from
     and not held out. Empty tables: no rows, or (no labels) every score 0.
     """
-    model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, **sample))
+    model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, **how))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = model.value.scorer()
@@ -299,9 +377,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, **sample: int) -> DataFrame:
                      "doc_id long, held_out boolean, score double, predicted int")
 
 
-def keep_clean(docs: DataFrame, labels: DataFrame, **sample: int) -> DataFrame:
+def keep_clean(docs: DataFrame, labels: DataFrame, **how: float) -> DataFrame:
     """The documents, all columns, that score under the threshold."""
-    model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, **sample))
+    model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, **how))
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

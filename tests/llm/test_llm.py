@@ -322,6 +322,83 @@ def test_toxicity_held_out(spark, sf_dir):
     assert {r["doc_id"] for r in kept.collect()} == {r["doc_id"] for r in docs.collect()} - bad
 
 
+def held_out_rates(docs, labels, truth):
+    """Shares of held-out toxic and clean documents called toxic, and of all documents."""
+    rows = toxicity.toxicity(docs, labels).join(truth.select("doc_id", "toxic"), "doc_id", "left").collect()
+    rate = lambda x: np.mean([r["predicted"] for r in rows if r["held_out"] and r["toxic"] == x])
+    return rate(1), rate(0), np.mean([r["predicted"] for r in rows])
+
+
+def test_toxicity_learns_from_positives_alone_and_from_mostly_positive_labels(spark, sf_dir):
+    sf = sf_dir.replace("0.001", "0.1")
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    toxic = labels.where("toxic = 1")
+    mostly = toxic.union(labels.where("toxic = 0").orderBy("doc_id").limit(toxic.count() // 4))
+    for known in (labels, toxic, mostly):
+        caught, wrong, share = held_out_rates(docs, known, labels)
+        assert caught > 0.8 and wrong < 0.03 and 0.05 < share < 0.2
+
+
+def test_toxicity_when_most_documents_are_toxic(spark):
+    rng = random.Random(8)
+    word = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=n))
+    common, bad, good = [word(6) for _ in range(200)], [word(7) for _ in range(40)], [word(7) for _ in range(40)]
+    toxic = [int(rng.random() < 0.8) for _ in range(3000)]
+    texts = [" ".join(rng.choices(common, k=30) + rng.choices(bad if t else good, k=3)) for t in toxic]
+    docs = docs_of(spark, texts).cache()
+    truth = spark.createDataFrame([(i, 0, t) for i, t in enumerate(toxic)], "doc_id long, quality int, toxic int")
+    for known in (truth, truth.where("toxic = 1 and doc_id % 2 = 0")):  # all labels; half of the positives alone
+        caught, wrong, share = held_out_rates(docs, known, truth)
+        assert caught > 0.9 and wrong < 0.1 and 0.7 < share < 0.9
+    stated = toxicity.fit(docs, truth, prior=0.8)
+    assert abs(stated.bias - toxicity.fit(docs, truth).bias) < 1.5
+
+
+def test_toxicity_of_long_clean_texts(spark, sf_dir):
+    sf = sf_dir.replace("0.001", "0.01")
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    score = toxicity.fit(docs, labels).scorer()
+    clean = [r["text"] for r in docs.join(labels.where("toxic = 0"), "doc_id").select("text").orderBy("doc_id").collect()]
+    clean = [t for t in clean if score(t) < 0.3]
+    rng = random.Random(6)
+    called = {n: np.mean([score("\n".join(rng.choices(clean, k=n))) >= 0.7 for _ in range(40)]) for n in (10, 20, 50)}
+    assert max(called.values()) <= 0.05
+    bad = next(r["text"] for r in docs.join(labels.where("toxic = 1"), "doc_id").select("text").orderBy("doc_id").collect()
+               if score(r["text"]) > 0.9 and len(r["text"]) > 500)
+    assert score("\n".join([*clean[:20], bad, *clean[20:40]])) >= 0.7  # a toxic passage in a long clean text counts
+
+
+def test_toxicity_risk_against_finite_differences():
+    rng = np.random.default_rng(3)
+    for prior in (0.1, 0.5, 0.9):
+        for shift in (0.0, 4.0):  # with the larger one the negative part is below zero
+            zp, zu = rng.normal(shift, 1, 7), rng.normal(-shift / 4, 1, 11)
+            positive, negative = toxicity.risk(zp, zu, prior)
+            part = (lambda a, b: -toxicity.risk(a, b, prior)[1]) if negative < 0 else (lambda a, b: sum(toxicity.risk(a, b, prior)))
+            for z, g, put in ((zp, toxicity.step(zp, zu, prior)[0], lambda x: (x, zu)), (zu, toxicity.step(zp, zu, prior)[1], lambda x: (zp, x))):
+                for i in range(len(z)):
+                    d = np.zeros(len(z))
+                    d[i] = 1e-6
+                    assert abs((part(*put(z + d)) - part(*put(z - d))) / 2e-6 - g[i]) < 1e-6
+    apart = lambda a, b: np.logaddexp(0, -a).mean() / 2 + np.logaddexp(0, b).mean() / 2
+    d = np.eye(7)[2] * 1e-6
+    assert abs((apart(zp + d, zu) - apart(zp - d, zu)) / 2e-6 - toxicity.apart(zp, zu)[0][2]) < 1e-6
+    # the best bin finds a known share
+    for share in (0.05, 0.3, 0.8):
+        mixed = np.concatenate((rng.normal(4, 1, int(20_000 * share)), rng.normal(0, 1, int(20_000 * (1 - share)))))
+        assert abs(toxicity.best_bin(rng.normal(4, 1, 4000), mixed) - share) < 0.03
+
+
+def test_toxicity_windows_see_every_word():
+    words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}" for i in range(1000)]
+    blocks = toxicity.blocks_of(" ".join(words))
+    assert [len(b) for b in blocks] == [128] * 7 + [104] and set().union(*blocks) == set(words)
+    assert toxicity.blocks_of("") == [] == toxicity.blocks_of(None)
+    long = "".join(chr(0x4e00 + i) for i in range(3000))
+    pieces = toxicity.blocks_of(long + " x")[0] - {"x"}
+    assert all(any(long[i:i + 8] in p for p in pieces) for i in range(2993)) and max(map(len, pieces)) == 1024
+
+
 def test_toxicity_ignores_held_out_labels(spark, sf_dir):
     docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
     held = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
