@@ -26,7 +26,7 @@ def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data becomes pseudonyms; n_chars follows the new text (null texts keep theirs)."""
-    out = pii.pseudonymise(docs)
+    out = pii.pseudonymise(docs, pii.session_key(spark))
     chars = F.coalesce(F.length("text").cast(docs.schema["n_chars"].dataType), F.col("n_chars"))
     return out.withColumn("n_chars", chars).select(*docs.columns)
 

@@ -19,7 +19,7 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.pseudonymised(table(spark, sf_dir, "documents"))
+    return pii.pseudonymised(table(spark, sf_dir, "documents"), pii.session_key(spark))
 
 
 def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
