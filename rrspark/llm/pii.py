@@ -322,7 +322,7 @@ def _pass(text: Column, pattern: str, replaced: Callable[[Column], Column]) -> C
     """``text`` with every match of the pattern replaced."""
     found = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), replaced)
     joined = F.array_join(F.zip_with(F.split(text, pattern, -1), found, lambda t, f: F.concat(t, F.coalesce(f, F.lit("")))), "")
-    return F.when(text.rlike("[0-9@\"':=]") & text.rlike(pattern), joined).otherwise(text)
+    return F.when(text.rlike("[0-9@\"':=]|sk-|xox") & text.rlike(pattern), joined).otherwise(text)
 
 
 def pseudonymise(docs: DataFrame, key: str, column: str = "text", back: bool = False) -> DataFrame:

@@ -44,9 +44,11 @@ CACHE_WORDS = 200_000
 PREFIXES, SUFFIXES = (3, 4, 5, 6), (4, 5)
 
 LEAST_ROWS = 3  # positives, or others, with a selected bucket, at any size
-GAIN = 8.0  # log-likelihood ratio from which on a bucket counts even if it is not twice as frequent in positives
+# a bucket that isn't twice as frequent in positives counts if it is in a fiftieth of the rows at most, a quarter
+# more frequent on one side, and its log-likelihood ratio is over GAIN (longer texts alone raise all a little)
+GAIN, RARE, RATIO = 8.0, 0.02, 1.25
 APART_L2 = 0.05  # strong, as few positives may have to tell many buckets apart
-FOLDS, PRIOR_ROWS = 8, (2000, 6000)
+FOLDS, PRIOR_ROWS, LEAST_POSITIVES = 8, (2000, 6000), 20
 BLOCK, PIECE, OVERLAP = 128, 1024, 8
 BROADCAST_IDS = 1_000_000
 LONG = 16
@@ -77,7 +79,7 @@ def words_of(text: str | None) -> set[str]:
 def blocks_of(text: str | None) -> list[set[str]]:
     """The distinct words of every BLOCK words in turn; words of over PIECE code points in pieces that overlap."""
     words = word_list(text)
-    if any(len(w) > PIECE for w in words):
+    if max(map(len, words), default=0) > PIECE:
         words = [w[i:i + PIECE] for w in words for i in range(0, max(1, len(w) - OVERLAP), PIECE - OVERLAP)]
     return [set(words[i:i + BLOCK]) for i in range(0, len(words), BLOCK)]
 
@@ -167,7 +169,7 @@ class Model:
         def score(text: str | None) -> float:
             blocks = [hits_of(words) for words in blocks_of(text)] or [set()]
             windows = [a | b for a, b in zip(blocks, blocks[1:])] or blocks
-            return float(_sigmoid(self.bias + max(sum(self.weights[b] for b in sorted(w)) for w in windows)))
+            return float(_sigmoid(self.bias + max(sum(map(self.weights.__getitem__, sorted(w))) for w in windows)))
 
         return score
 
@@ -177,9 +179,9 @@ def _sigmoid(z: np.ndarray | float) -> np.ndarray | float:
 
 
 def select(p: np.ndarray, u: np.ndarray, n: int, m: int) -> np.ndarray:
-    """The buckets that tell positives from the other rows. Of positives: more frequent in them, in LEAST_ROWS of
-    them at least, and twice as frequent or with a log-likelihood ratio over GAIN; of the others: less frequent
-    in positives, with that ratio. ``p`` of the ``n`` positives and ``u`` of all ``m`` rows have a bucket."""
+    """The buckets that tell positives from the other rows. Of positives: in LEAST_ROWS of them at least, and twice as
+    frequent as in the others, or more frequent by GAIN, RARE and RATIO; of the others: more frequent in them by
+    these three. ``p`` of the ``n`` positives and ``u`` of all ``m`` rows have a bucket."""
     others, rest = u - p, max(1, m - n)
     pooled = np.clip(u / m, 1e-12, 1 - 1e-12)
 
@@ -188,9 +190,10 @@ def select(p: np.ndarray, u: np.ndarray, n: int, m: int) -> np.ndarray:
         return k * np.log(q / pooled) + (n - k) * np.log((1 - q) / (1 - pooled))
 
     gain = loglik(p, n) + loglik(others, rest)
-    more = p / n > others / rest
-    toxic = more & (p >= LEAST_ROWS) & ((gain > GAIN) | ((p / n > 2 * others / rest) & (gain > 0)))
-    return np.flatnonzero(toxic | (~more & (others >= LEAST_ROWS) & (gain > GAIN)))
+    a, b = p / n, others / rest
+    clear = (gain > GAIN) & (u <= RARE * m)
+    toxic = (p >= LEAST_ROWS) & (((a > 2 * b) & (gain > 0)) | ((a > RATIO * b) & clear))
+    return np.flatnonzero(toxic | ((others >= LEAST_ROWS) & (b > RATIO * a) & clear))
 
 
 class _Rows:
@@ -257,11 +260,13 @@ def best_bin(z_p: np.ndarray, z_u: np.ndarray, delta: float = 0.1, gamma: float
 def estimate_prior(kept: np.ndarray, positive: list[tuple[int, np.ndarray]], unlabelled: list[tuple[int, np.ndarray]],
                    least: float) -> float:
     """The class prior by ``best_bin`` over scores that each row gets from a classifier fitted on the other folds (rows come
-    with their fold; a document's are all in one); ``least``, the share of known positives, where a fold leaves
-    nothing to fit, and never below it."""
+    with their fold; a document's are all in one). Never below ``least``, the share of known positives, which is also taken
+    where there are fewer than LEAST_POSITIVES: so few say nothing about a share, and the bound alone would be near 1."""
     column = np.full(1 << BITS, -1, np.int64)
     column[kept] = np.arange(len(kept))
     n = len(kept)
+    if len(positive) < LEAST_POSITIVES:
+        return least
     scores: tuple[list[np.ndarray], list[np.ndarray]] = ([], [])
     for fold in range(FOLDS):
         others = [[r for f, r in rows if f != fold] for rows in (positive, unlabelled)]
