@@ -56,7 +56,7 @@ def cmd_collect(spark: SparkSession, a) -> None:
         factory = getattr(importlib.import_module(module), name)
         servers = a.nameservers.split(",") if a.nameservers else None
         attempts = resolve_with(reqs, factory, threads=a.threads, timeout=a.timeout, partitions=a.partitions,
-                                nameservers=servers)
+                                nameservers=servers, outstanding=a.outstanding)
     path_attempts = a.out.rstrip("/") + "_attempts"
     write_records(attempts, path_attempts)  # materialised once; responses and totals read it back
     done = spark.read.parquet(path_attempts)
@@ -166,6 +166,7 @@ def parser() -> argparse.ArgumentParser:
     src.add_argument("--lookup", help="module:factory; factory(timeout) -> lookup(name, type, dclass)")
     c.add_argument("--threads", type=int, default=50)
     c.add_argument("--timeout", type=float, default=5.0)
+    c.add_argument("--outstanding", type=int, default=5000, help="requests of a task that may be unanswered at once")
     c.add_argument("--partitions", type=int)
     c.add_argument("--nameservers", help="comma-separated; one per name is handed to the lookup")
 

@@ -5,7 +5,7 @@ Two forms:
 * ``resolve(requests, answers)``: recorded answers, a left equi-join on (name, type, class).
   Both sides are hash-partitioned on the key once; AQE splits a skewed key's partition.
 * ``resolve_with(requests, lookup_factory)``: a caller-supplied lookup function, run inside
-  ``mapInArrow`` with a thread pool per task to overlap network waits.
+  ``mapInArrow`` with a window of outstanding lookups per task to overlap network waits.
 
 Both give one attempt row per request: ``outcome`` is ``ok`` (a response, error codes such
 as NXDOMAIN included), ``timeout``, ``failure`` or ``parse_failure`` (a name that cannot be
@@ -14,9 +14,11 @@ sent). Only ``ok`` attempts produce a response.
 
 from __future__ import annotations
 
+import itertools
+import queue
+import threading
 import time
-from collections.abc import Callable, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -75,8 +77,8 @@ def resolve(requests: DataFrame, answers: DataFrame, answers_unique: bool = Fals
     """Attempt per request: ``name, type, dclass, question, outcome, rcode, ms`` (+ ``wire`` when the
     answers carry it). A request whose key has no recorded answer counts as a timeout. With
     several answers for one key the best by ``answer_rank`` is used, so each request gets at most
-    one response. ``answers_unique`` promises one answer per key and skips their reduction; a key
-    that breaks the promise raises."""
+    one response. ``answers_unique`` promises one answer per key: nothing is ranked then, and a key
+    that breaks the promise raises (the check is a count in the aggregate whose partitioning the join uses)."""
     payload = [c for c in ("outcome", "rcode", "ms", "wire") if c in answers.columns]
     kept = F.struct(*[F.col(c) for c in payload])
     if answers_unique:
@@ -178,13 +180,18 @@ def resolve_with(
     timeout: float = 5.0,
     partitions: int | None = None,
     nameservers: Sequence[str] | None = None,
+    outstanding: int = 5000,
 ) -> DataFrame:
     """Resolve with ``lookup_factory(timeout)`` -> ``lookup(name, type, dclass)`` returning
     ``(rcode, wire)``; it raises ``TimeoutError`` for a timeout and ``OSError`` for a failed
     lookup. The factory runs once per task; up to ``threads`` lookups run at once per task.
     With ``nameservers`` the one that ``pick_nameserver`` gives the name is handed on as a fourth
     argument. ``construct_ms`` is the time from taking up a request to its lookup, ``ms`` the lookup's.
-    ``partitions`` spreads requests evenly first (round-robin, so no key can skew it)."""
+    ``partitions`` spreads requests evenly first (round-robin, so no key can skew it).
+
+    At most ``outstanding`` requests of a task are taken and not yet answered, over all batches: requests are taken from
+    the input only as answers go out, in the order they come. A lookup still running after ``timeout``
+    counts as a timeout, whatever becomes of it; another thread takes its place."""
     ship_package(requests.sparkSession)
     chosen = pick_nameserver(nameservers, "name") if nameservers else F.lit(None).cast("string")
     df = requests.select("name", "type", "dclass").withColumns({"__valid": valid_name("name"), "__ns": chosen})
@@ -192,38 +199,125 @@ def resolve_with(
         df = df.repartition(partitions)
 
     def run(batches):
-        lookup = lookup_factory(timeout)
+        rows = (r for b in batches for r in zip(*(b.column(i).to_pylist() for i in range(5))))
+        done = LookupWindow(lookup_factory(timeout), threads, timeout, outstanding).results(rows)
+        held, sent = [], time.monotonic()
+        for attempt in done:
+            if attempt is not None:
+                held.append(attempt)
+            if len(held) >= SEND_ROWS or (held and time.monotonic() - sent > SEND_SECONDS):
+                yield _attempt_batch(held)
+                held, sent = [], time.monotonic()
+        yield _attempt_batch(held)
+
+    return df.mapInArrow(run, ATTEMPT_SCHEMA)
+
+
+SEND_ROWS, SEND_SECONDS = 1000, 1.0
+LOST_THREADS = 1000  # lookups of a task that may hang for good before the task gives up
+
+
+class LookupWindow:
+    """Lookups of one task: ``threads`` at once, ``outstanding`` taken at most, each with a deadline."""
 
-        def one(args):
-            taken = time.monotonic()
-            name, rtype, dclass, ok, server = args
-            q = f"{name}\t{dclass}\t{rtype}"
+    def __init__(self, lookup: Lookup, threads: int, timeout: float, outstanding: int) -> None:
+        self.lookup, self.timeout, self.outstanding = lookup, timeout, max(1, outstanding)
+        self.threads = min(threads, self.outstanding)
+        self.todo: queue.SimpleQueue = queue.SimpleQueue()
+        self.done: queue.SimpleQueue = queue.SimpleQueue()
+        self.lock = threading.Lock()
+        self.running: dict[int, tuple[float, tuple]] = {}  # by number: when the lookup began, the request
+        self.lost = 0
+
+    def _work(self) -> None:
+        while (item := self.todo.get()) is not None:
+            number, taken, request = item
+            name, rtype, dclass, ok, server = request
             if not ok:
-                return (name, rtype, dclass, q, "parse_failure", None, None, None, 0, 0, server)
+                self.done.put((number, _attempt(request, "parse_failure", ms=None)))
+                continue
             call = (name, rtype, dclass, server) if server is not None else (name, rtype, dclass)
-            t0 = time.monotonic()
+            began = time.monotonic()
+            with self.lock:
+                self.running[number] = began, request
+            rcode, wire, error = None, None, None
             try:
-                rcode, wire = lookup(*call)
+                rcode, wire = self.lookup(*call)
                 outcome = "ok"
             except TimeoutError:
-                rcode, wire, outcome = None, None, "timeout"
+                outcome = "timeout"
             except OSError:
-                rcode, wire, outcome = None, None, "failure"
+                outcome = "failure"
+            except BaseException as e:  # noqa: BLE001  an error of the lookup's own fails the task
+                outcome, error = "failure", e
             end = time.monotonic()
-            return (name, rtype, dclass, q, outcome, rcode, int((end - t0) * 1000), wire,
-                    int((t0 - taken) * 1000), int((end - taken) * 1000), server)
-
-        with ThreadPoolExecutor(max_workers=threads) as pool:
-            for batch in batches:
-                d = batch.to_pydict()
-                rows = list(pool.map(one, zip(d["name"], d["type"], d["dclass"], d["__valid"], d["__ns"])))
-                cols = list(zip(*rows)) if rows else [[] for _ in ATTEMPT_SCHEMA.fields]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(c), type=t) for c, t in zip(cols, _ARROW_TYPES)],
-                    names=[f.name for f in ATTEMPT_SCHEMA.fields],
-                )
-
-    return df.mapInArrow(run, ATTEMPT_SCHEMA)
+            with self.lock:
+                if self.running.pop(number, None) is None:
+                    return  # given up meanwhile, and replaced
+            if error is None and end - began > self.timeout:
+                rcode, wire, outcome = None, None, "timeout"
+            self.done.put((number, error or _attempt(
+                request, outcome, rcode, wire, int((end - began) * 1000), int((began - taken) * 1000), int((end - taken) * 1000))))
+
+    def _start(self) -> None:
+        threading.Thread(target=self._work, daemon=True).start()
+
+    def _give_up(self) -> Iterator[tuple]:
+        """Attempts of the lookups past their deadline."""
+        now = time.monotonic()
+        with self.lock:
+            late = [n for n, (began, _) in self.running.items() if now - began > self.timeout]
+            gone = [(self.running.pop(n)) for n in late]
+        for began, request in gone:
+            self.lost += 1
+            if self.lost > LOST_THREADS:
+                raise RuntimeError(f"{self.lost} lookups never came back")
+            self._start()
+            ms = int((now - began) * 1000)
+            yield _attempt(request, "timeout", ms=ms, total_ms=ms)
+
+    def results(self, requests: Iterator[tuple]) -> Iterator[tuple | None]:
+        """An attempt per request, in the order they come; None now and then while there is none."""
+        for _ in range(self.threads):
+            self._start()
+        left, numbers, ended = 0, itertools.count(), False
+        while left or not ended:
+            while left < self.outstanding and not ended:
+                request = next(requests, None)
+                ended = request is None
+                if not ended:
+                    self.todo.put((next(numbers), time.monotonic(), request))
+                    left += 1
+                    if not self.done.empty():
+                        break
+            try:
+                _, attempt = self.done.get(timeout=min(0.05, self.timeout)) if left else (0, None)
+            except queue.Empty:
+                attempt = None
+            if isinstance(attempt, BaseException):
+                raise attempt
+            if attempt is not None:
+                left -= 1
+                yield attempt
+            for attempt in self._give_up():
+                left -= 1
+                yield attempt
+            if attempt is None:
+                yield None
+        for _ in range(self.threads):
+            self.todo.put(None)
+
+
+def _attempt(request: tuple, outcome: str, rcode: str | None = None, wire: bytes | None = None, ms: int | None = 0,
+             construct_ms: int = 0, total_ms: int = 0) -> tuple:
+    name, rtype, dclass, _, server = request
+    return name, rtype, dclass, f"{name}\t{dclass}\t{rtype}", outcome, rcode, ms, wire, construct_ms, total_ms, server
+
+
+def _attempt_batch(rows: list[tuple]) -> pa.RecordBatch:
+    cols = list(zip(*rows)) if rows else [[] for _ in ATTEMPT_SCHEMA.fields]
+    return pa.RecordBatch.from_arrays([pa.array(list(c), type=t) for c, t in zip(cols, _ARROW_TYPES)],
+                                      names=[f.name for f in ATTEMPT_SCHEMA.fields])
 
 
 _ARROW_TYPES = [pa.string(), pa.string(), pa.string(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.binary(),

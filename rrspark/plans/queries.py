@@ -139,6 +139,26 @@ def q04_lookup_summary(spark, sf_dir):
     return lookup_summary(_attempts(spark, sf_dir))
 
 
+@register(
+    "q51_lookup_times",
+    f"""
+SELECT count(*) AS num_requests, count(*) FILTER (WHERE outcome = 'ok') AS responses,
+  count(*) FILTER (WHERE outcome = 'failure') AS lookup_failures,
+  count(*) FILTER (WHERE outcome = 'timeout') AS request_timeouts,
+  count(*) FILTER (WHERE outcome = 'parse_failure') AS request_parse_failures,
+  CAST(sum(length(name)) AS BIGINT) AS construct_ms, CAST(sum(ms) AS BIGINT) AS perform_ms, CAST(0 AS BIGINT) AS parse_ms,
+  CAST(sum(length(name) + coalesce(ms, 0) + 1) AS BIGINT) AS total_ms,
+  round(sum(length(name)) * 100.0 / sum(length(name) + coalesce(ms, 0) + 1), 4) AS construct_pct,
+  round(sum(ms) * 100.0 / sum(length(name) + coalesce(ms, 0) + 1), 4) AS perform_pct, CAST(0 AS DOUBLE) AS parse_pct
+FROM ({ATTEMPTS_SQL}) x""",
+)
+def q51_lookup_times(spark, sf_dir):
+    """Lookup totals and time shares of attempts that come with construction and total times."""
+    attempts = _attempts(spark, sf_dir).withColumn("construct_ms", F.length("name").cast("long"))
+    total = F.col("construct_ms") + F.coalesce("ms", F.lit(0)) + 1
+    return lookup_summary(attempts.withColumn("total_ms", total.cast("long")))
+
+
 # --- deduplication -----------------------------------------------------------------------
 
 @register("q05_distinct", f"SELECT DISTINCT {RR_COLS_NO_TTL} FROM rr")
