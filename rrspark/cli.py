@@ -10,7 +10,8 @@ domain-mining workflow:
              [--run ID] [--keyed [--compact]] (the same input with the same settings changes nothing when stored again)
     dump     IN OUT                                                        (responses -> text files)
 
-Expressions are Spark SQL. Every stage reads and writes Parquet unless told otherwise; all but geo
+geo, filter and extract take JSON records with any keys too (--in-format json or sequence); these stay one Variant
+column, and every key of theirs is still there after a stage. Expressions are Spark SQL. Every stage reads and writes Parquet unless told otherwise; all but geo
 and dump, which count nothing, print their counters as one JSON line.
 """
 
@@ -30,6 +31,7 @@ from .operators.decode import decode_messages, decode_responses, response_text
 from .operators.extract import extract_count_columns, extract_values
 from .operators.filters import observe_filter
 from .operators.geo import enrich_geo
+from .operators.open_records import RECORD, enrich_open, key, open_records, with_keys
 from .operators.records import distinct_records
 from .operators.requests import expand_requests
 from .operators.resolve import lookup_summary, rcode_counts, resolve, resolve_with, responses
@@ -73,13 +75,26 @@ def cmd_parse(spark: SparkSession, a) -> None:
     _emit(obs.get)
 
 
+def _records(spark: SparkSession, a):
+    """Records of columns, or open ones (one Variant column): JSON input, or what a stage made of it."""
+    if a.in_format != "parquet":
+        return open_records(read_json_lines(spark, a.input, a.in_format))
+    found = spark.read.parquet(a.input)
+    return found if found.columns == [RECORD] else read_records(spark, a.input)
+
+
 def cmd_geo(spark: SparkSession, a) -> None:
     asn = read_ranges(spark, a.asn) if a.asn else None
-    write_records(enrich_geo(read_records(spark, a.input), read_ranges(spark, a.blocks), asn=asn), a.out)
+    recs = _records(spark, a)
+    enrich = enrich_open if recs.columns == [RECORD] else enrich_geo
+    write_records(enrich(recs, read_ranges(spark, a.blocks), asn=asn), a.out)
 
 
 def cmd_filter(spark: SparkSession, a) -> None:
-    kept, obs = observe_filter(read_records(spark, a.input), a.expr)
+    recs = _records(spark, a)
+    kept, obs = observe_filter(with_keys(recs, a.expr, _key_types(a)) if recs.columns == [RECORD] else recs, a.expr)
+    if recs.columns == [RECORD]:
+        kept = kept.select(RECORD) if not a.by_type else kept.select(RECORD, key("type").alias("type"))
     if a.by_type:
         write_by_type(kept, a.out)
     else:
@@ -88,13 +103,18 @@ def cmd_filter(spark: SparkSession, a) -> None:
 
 
 def cmd_extract(spark: SparkSession, a) -> None:
-    recs = read_records(spark, a.input)
+    recs = _records(spark, a)
+    recs = with_keys(recs, a.expr, _key_types(a)) if recs.columns == [RECORD] else recs
     obs = Observation("extract")
     counted = recs.observe(obs, *extract_count_columns(a.expr))
     write_records(extract_values(counted, a.expr, strip_outer_quotes=not a.keep_quotes), a.out)
     _emit(obs.get)
 
 
+def _key_types(a) -> dict[str, str]:
+    return dict(k.rsplit(":", 1) for k in a.key or [])
+
+
 def cmd_store(spark: SparkSession, a) -> None:
     any_keys = a.in_format != "parquet"
     event, edge = (map_event_generator, map_edge_generator) if any_keys else (event_generator, edge_generator)
@@ -182,18 +202,23 @@ def parser() -> argparse.ArgumentParser:
     g.add_argument("out")
     g.add_argument("--blocks", required=True)
     g.add_argument("--asn")
+    g.add_argument("--in-format", choices=["parquet", "json", "sequence"], default="parquet")
 
     f = sub.add_parser("filter")
     f.add_argument("expr")
     f.add_argument("input")
     f.add_argument("out")
     f.add_argument("--by-type", action="store_true", help="write one directory per record type")
+    f.add_argument("--in-format", choices=["parquet", "json", "sequence"], default="parquet")
+    f.add_argument("--key", action="append", help="NAME:TYPE of a key outside the record schema; text otherwise")
 
     e = sub.add_parser("extract")
     e.add_argument("expr")
     e.add_argument("input")
     e.add_argument("out")
     e.add_argument("--keep-quotes", action="store_true")
+    e.add_argument("--in-format", choices=["parquet", "json", "sequence"], default="parquet")
+    e.add_argument("--key", action="append", help="NAME:TYPE of a key outside the record schema; text otherwise")
 
     s = sub.add_parser("store")
     s.add_argument("input")

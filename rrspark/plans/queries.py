@@ -18,6 +18,7 @@ from ..operators.cells import (
 from ..operators.decode import decode_messages, decode_responses, parse_failures, response_text, section_size
 from ..operators.extract import extract_count_columns, extract_values
 from ..operators.filters import filter_count_columns, filter_records, lower_unless_ipv4
+from ..operators.open_records import enrich_open, filter_open, key as open_key, open_records
 from ..operators.requests import dedupe_requests, expand_requests, order_requests, with_codes
 from ..operators.resolve import lookup_summary, pick_nameserver, question_key, rcode_counts, resolve, responses
 from ..operators.geo import enrich_geo, geo_counts
@@ -819,6 +820,25 @@ def q47_stage_output(spark, sf_dir):
     return read_records(spark, path).where("type = 'MX' AND cc IS NULL").select(*RR_COLS.split(", "), "cc")
 
 
+@register(
+    "q52_open_records",
+    f"""SELECT name, addr, coalesce(city, 'kept') AS city, cc, lat, length(name) AS "x-len", '["' || name || '",1]' AS more
+FROM {_oracle_geo("(SELECT * FROM rr WHERE type = 'A')")} g WHERE length(name) > 14 AND cc IS DISTINCT FROM 'RFC1918'
+UNION ALL SELECT name, NULL, 'kept', NULL, NULL, length(name), '["' || name || '",1]' FROM rr WHERE type = 'MX' AND length(name) > 14""",
+)
+def q52_open_records(spark, sf_dir):
+    """JSON lines with keys of their own through geo and a filter on such a key: these keys are still there, a key that
+    enrichment sets is overwritten where something was found."""
+    lines = rr(spark, sf_dir).select(F.to_json(F.struct(
+        "name", "type", "addr", F.lit("kept").alias("city"), F.length("name").alias("x-len"),
+        F.struct(F.array(F.col("name")).alias("names")).alias("more"))).alias("json"))
+    kept = filter_open(enrich_open(open_records(lines), fixture(spark, sf_dir, "blocks")),
+                       "`x-len` > 14 AND type IN ('A', 'MX') AND NOT (cc <=> 'RFC1918')", types={"x-len": "int"})
+    first = F.concat(F.lit('["'), F.try_variant_get("record", "$.more.names[0]", "string"), F.lit('",1]'))
+    return kept.select(*[open_key(c).alias(c) for c in ("name", "addr", "city", "cc", "lat")], open_key("x-len", "bigint").alias("x-len"),
+                       first.alias("more"))
+
+
 def spark_queries() -> dict[str, QueryFn]:
     return dict(_SPARK)
 
