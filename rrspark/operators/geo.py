@@ -71,27 +71,47 @@ def has_overlaps(ranges: DataFrame) -> bool:
     return not reach.where("s <= reach").isEmpty()
 
 
-def _narrowest(pieces: list[tuple[int, int, int, int]]) -> Iterator[tuple[int, int, int]]:
-    """Sweep over one bucket's pieces (start, end, width, row): segments (start, end, row), each the
-    narrowest of the pieces over it (then the smallest start, then row)."""
-    pieces = sorted(pieces)
-    edges = sorted({p[0] for p in pieces} | {p[1] + 1 for p in pieces})
-    active: list[tuple[int, int, int, int]] = []
+def _dyadic(pieces: DataFrame) -> DataFrame:
+    """Every piece (``bucket, s, e``) as the aligned blocks it consists of: ``level`` (2^level addresses) and ``node``,
+    the block's number at that level. At most two a level, 30 in all; a range of one CIDR block is a single one."""
+    low, high = F.col("s").bitwiseAND(65535), F.col("e").bitwiseAND(65535) + 1
+
+    def at(k: Column) -> Column:
+        # blocks of level k that lie within: from l to r - 1; those that fill no block of the next level are taken
+        size = F.pow(F.lit(2.0), k).cast("long")
+        left, right = F.floor((low + size - 1) / size).cast("long"), F.floor(high / size).cast("long")
+        odd = left.bitwiseAND(1)
+        return F.array(F.when((left < right) & (odd == 1), F.struct(k.alias("level"), left.alias("node"))),
+                       F.when((right.bitwiseAND(1) == 1) & (left + odd < right), F.struct(k.alias("level"), (right - 1).alias("node"))))
+
+    blocks = F.filter(F.flatten(F.transform(F.sequence(F.lit(0), F.lit(16)), at)), lambda x: x.isNotNull())
+    return pieces.withColumn("__block", F.explode(blocks)).select("*", "__block.level", "__block.node").drop("__block")
+
+
+def _sweep(blocks: list[tuple[int, int]]) -> Iterator[tuple[int, int, int]]:
+    """Over one bucket's blocks (start, end), best first: segments (start, end, place in the list), each the best of
+    the blocks over it. Neighbours of one block stay apart."""
+    order = sorted(range(len(blocks)), key=lambda i: blocks[i][0])
+    edges = sorted({b[0] for b in blocks} | {b[1] + 1 for b in blocks})
+    active: list[int] = []
     n = 0
     for at, stop in zip(edges, edges[1:]):
-        while n < len(pieces) and pieces[n][0] <= at:
-            s, e, width, row = pieces[n]
-            heapq.heappush(active, (width, s, row, e))
+        while n < len(order) and blocks[order[n]][0] <= at:
+            heapq.heappush(active, order[n])
             n += 1
-        while active and active[0][3] < at:
+        while active and blocks[active[0]][1] < at:
             heapq.heappop(active)
         if active:
-            yield at, stop - 1, active[0][2]
+            yield at, stop - 1, active[0]
 
 
 def segments(ranges: DataFrame, payload: list[str]) -> DataFrame:
-    """``__s, __e`` and payload of the segments that the narrowest ranges win; equal ranges go by
-    the order of their payload. One task holds a /16 at most."""
+    """``__s, __e`` and payload of the segments that the narrowest ranges win, of equally wide ones the one that
+    starts first; equal ranges go by the order of their payload.
+
+    Ranges are cut into aligned blocks and Spark keeps the best range of every block, with a partial step, so it
+    doesn't matter how many ranges lie in a /16: what is left of it are at most 131,071 blocks, whose
+    nesting one task then sweeps."""
     ship_package(ranges.sparkSession)
     names = ["__s", "__e", *payload]
 
@@ -99,8 +119,14 @@ def segments(ranges: DataFrame, payload: list[str]) -> DataFrame:
         key, held = None, []
 
         def cut() -> list[tuple]:
-            won = _narrowest([(s, e, width, i) for i, (_, s, e, width, *_) in enumerate(held)])
-            return [(at, stop, *held[i][4:]) for at, stop, i in won]
+            out: list[tuple] = []
+            for at, stop, i in _sweep([(s, e) for _, s, e, *_ in held]):
+                won = held[i][3:]  # where the range begins and its payload: neighbours of one range are one segment
+                if out and out[-1][1] + 1 == at and out[-1][2] == won:
+                    out[-1] = (out[-1][0], stop, won)
+                else:
+                    out.append((at, stop, won))
+            return [(s, e, *won[2:]) for s, e, won in out]
 
         def batch(rows: list[tuple]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
@@ -118,10 +144,15 @@ def segments(ranges: DataFrame, payload: list[str]) -> DataFrame:
         if held and (done := cut()):
             yield batch(done)
 
-    pieces = _pieces(ranges).select("bucket", "s", "e", "width", *payload)
+    pieces = _pieces(ranges.withColumn("__start", F.col("__s")))
+    best = _dyadic(pieces).groupBy("bucket", "level", "node").agg(F.min(F.struct("width", "__start", *payload)).alias("best"))
+    size = F.pow(F.lit(2.0), F.col("level")).cast("long")
+    low = F.shiftleft(F.col("bucket"), 16) + F.col("node") * size
+    rows = best.select("bucket", low.alias("s"), (low + size - 1).alias("e"), F.col("best.width").alias("width"),
+                       F.col("best.__start").alias("start"), *[F.col("best")[p].alias(p) for p in payload])
     schema = T.StructType([T.StructField("__s", T.LongType()), T.StructField("__e", T.LongType()),
                            *[ranges.schema[p] for p in payload]])
-    return pieces.repartition("bucket").sortWithinPartitions("bucket", "s", "e", *payload).mapInArrow(run, schema)
+    return rows.repartition("bucket").sortWithinPartitions("bucket", "width", "start", *payload).mapInArrow(run, schema)
 
 
 def _bucket_join(keys: DataFrame, ip_col: str, r: DataFrame, payload: list[str], prefix: str, levels, level_rows,

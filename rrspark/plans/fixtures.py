@@ -18,13 +18,14 @@ BASE_TABLES = [
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 ]
 
-# Records: one per lineitem row; the line number picks the record type.
+# Records: one per lineitem row; the line number picks the record type, a hash of part and supplier the address,
+# over the whole address space, so addresses grow with the table and repeat as its pairs do.
 RR_SQL = """
 SELECT 'IN' AS dclass,
   'h' || CAST(l_partkey AS STRING) || '.example.com.' AS name, t AS type,
   CAST(l_quantity AS BIGINT) * 60 AS ttl,
-  CASE WHEN t='A' THEN CAST(l_partkey % 40 + 1 AS STRING) || '.' || CAST(l_suppkey % 256 AS STRING) || '.' ||
-       CAST(l_linenumber AS STRING) || '.' || CAST(l_partkey % 250 AS STRING) END AS addr,
+  CASE WHEN t='A' THEN CAST(CAST(floor(ip / 16777216) AS BIGINT) AS STRING) || '.' || CAST(CAST(floor(ip / 65536) AS BIGINT) % 256 AS STRING)
+       || '.' || CAST(CAST(floor(ip / 256) AS BIGINT) % 256 AS STRING) || '.' || CAST(ip % 256 AS STRING) END AS addr,
   CASE WHEN t='AAAA' THEN '2001:db8:0:0:0:0:' || CAST(l_partkey % 10000 AS STRING) || ':' ||
        CAST(l_suppkey % 10000 AS STRING) END AS addrv6,
   CASE WHEN t IN ('MX','NS') AND l_suppkey % 5 = 0 THEN '192.0.2.' || CAST(l_suppkey % 250 AS STRING) || '.'
@@ -33,14 +34,15 @@ SELECT 'IN' AS dclass,
   CASE WHEN t='CNAME' THEN 'h' || CAST(l_suppkey AS STRING) || '.example.com.' END AS alias,
   CASE WHEN t='SOA' AND l_suppkey % 6 = 0 THEN '192.0.2.' || CAST(l_suppkey % 250 AS STRING) || '.'
        WHEN t='SOA' THEN 'NS' || CAST(l_suppkey AS STRING) || '.Example.ORG.' END AS host
-FROM (SELECT *, CASE l_linenumber WHEN 1 THEN 'A' WHEN 2 THEN 'A' WHEN 3 THEN 'AAAA' WHEN 4 THEN 'MX'
+FROM (SELECT *, (CAST(l_partkey AS BIGINT) * 7919 + l_suppkey) * 2654435761 % 4294967296 AS ip,
+      CASE l_linenumber WHEN 1 THEN 'A' WHEN 2 THEN 'A' WHEN 3 THEN 'AAAA' WHEN 4 THEN 'MX'
       WHEN 5 THEN 'NS' WHEN 6 THEN 'CNAME' ELSE 'SOA' END AS t FROM lineitem) x
 """
 
-# Location and owner ranges: 25 half-/8 blocks from nation, with gaps.
+# Location and owner ranges: 25 blocks of four /8 and a half from nation, with gaps.
 BLOCKS_SQL = """
-SELECT CAST(n_nationkey + 1 AS BIGINT) * 16777216 AS start_ip,
-  CAST(n_nationkey + 1 AS BIGINT) * 16777216 + 8388607 AS end_ip,
+SELECT CAST(n_nationkey * 10 + 1 AS BIGINT) * 16777216 AS start_ip,
+  CAST(n_nationkey * 10 + 5 AS BIGINT) * 16777216 + 8388607 AS end_ip,
   CASE WHEN n_nationkey % 4 = 0 THEN NULL ELSE 'City ' || n_name END AS city,
   'c' || CAST(n_nationkey AS STRING) AS cc, n_name AS country,
   CASE n_nationkey % 3 WHEN 0 THEN 'AS' || CAST(64500 + n_nationkey AS STRING) || ' Org ' || n_name
@@ -74,13 +76,13 @@ SELECT name, type, dclass, ttl % 89 AS ms,
 FROM rr
 """
 
-# Location ranges that overlap: per customer a /24, a quarter of one or a whole /16, with
-# floating coordinates; owner ranges per supplier, /16 or /12.
+# Location ranges that overlap: per customer a /12, /16, /18 or /24 at a place that a hash of the key gives, so
+# distinct ranges grow with the table, with floating coordinates; owner ranges per supplier, /8 or /12.
 CITY_RANGES_SQL = """
-SELECT start_ip, start_ip + width - 1 AS end_ip, city, cc, country, lat, long
-FROM (SELECT (c_custkey % 40 + 1) * 16777216 + (c_custkey * 31 % 256) * 65536
-         + CASE WHEN c_custkey % 10 = 0 THEN 0 ELSE (c_custkey % 7 + 1) * 256 END AS start_ip,
-       CAST(CASE c_custkey % 10 WHEN 0 THEN 65536 WHEN 5 THEN 64 ELSE 256 END AS BIGINT) AS width,
+SELECT place - place % width AS start_ip, place - place % width + width - 1 AS end_ip, city, cc, country, lat, long
+FROM (SELECT CAST(c_custkey AS BIGINT) * 2654435761 % 4294967296 AS place,
+       CAST(CASE WHEN c_custkey % 10 = 0 THEN 1048576 WHEN c_custkey % 10 = 5 THEN 256 WHEN c_custkey % 10 < 5 THEN 65536
+            ELSE 16384 END AS BIGINT) AS width,
        'City ' || CAST(c_custkey AS STRING) AS city, 'n' || CAST(c_nationkey AS STRING) AS cc,
        CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE 'Land ' || CAST(c_nationkey AS STRING) END AS country,
        CAST(c_custkey % 180 - 90 AS DOUBLE) + 0.25 AS lat, CAST(c_custkey % 360 - 180 AS DOUBLE) + 0.5 AS long
@@ -88,10 +90,9 @@ FROM (SELECT (c_custkey % 40 + 1) * 16777216 + (c_custkey * 31 % 256) * 65536
 """
 
 OWNER_RANGES_SQL = """
-SELECT start_ip, start_ip + width - 1 AS end_ip, org_raw
-FROM (SELECT (s_suppkey % 40 + 1) * 16777216 + CASE WHEN s_suppkey % 3 = 0 THEN (s_suppkey * 7 % 16) * 1048576
-         ELSE (s_suppkey * 7 % 256) * 65536 END AS start_ip,
-       CAST(CASE WHEN s_suppkey % 3 = 0 THEN 1048576 ELSE 65536 END AS BIGINT) AS width,
+SELECT place - place % width AS start_ip, place - place % width + width - 1 AS end_ip, org_raw
+FROM (SELECT CAST(s_suppkey AS BIGINT) * 2654435761 % 4294967296 AS place,
+       CAST(CASE WHEN s_suppkey % 3 = 0 THEN 16777216 ELSE 1048576 END AS BIGINT) AS width,
        CASE WHEN s_suppkey % 4 = 0 THEN 'Plain ' || s_name
             ELSE 'AS' || CAST(64500 + s_suppkey AS STRING) || ' Org ' || s_name END AS org_raw
       FROM supplier) s

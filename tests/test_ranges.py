@@ -5,26 +5,62 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from rrspark.operators.geo import _narrowest, enrich_geo, has_overlaps, segments
+from rrspark.operators.geo import _dyadic, _sweep, enrich_geo, has_overlaps, segments
 from rrspark.session import ship_package
 
 
-def test_narrowest_sweep_equals_brute_force():
+def test_sweep_equals_brute_force():
     rng = random.Random(1)
     for _ in range(200):
-        pieces = []
-        for i in range(rng.randint(0, 12)):
-            s = rng.randint(0, 40)
-            e = s + rng.randint(0, 15)
-            pieces.append((s, e, e - s, i))
+        blocks = []
+        for _ in range(rng.randint(0, 12)):
+            size = 1 << rng.randint(0, 4)
+            s = rng.randint(0, 40) // size * size
+            blocks.append((s, s + size - 1))
         got = {}
-        for s, e, row in _narrowest(pieces):
+        for s, e, i in _sweep(blocks):
             for x in range(s, e + 1):
                 assert x not in got
-                got[x] = row
+                got[x] = i
         for x in range(60):
-            over = [(w, s, row) for s, e, w, row in sorted(pieces) if s <= x <= e]
-            assert got.get(x) == (min(over)[2] if over else None)
+            assert got.get(x) == next((i for i, (s, e) in enumerate(blocks) if s <= x <= e), None)
+
+
+def test_ranges_are_the_blocks_they_consist_of(spark):
+    rng = random.Random(3)
+    rows = [(7, 0, 65535), (7, 0, 0), (7, 65535, 65535), (7, 1, 65534), (7, 256, 511)]
+    rows += [(7, *sorted((rng.randrange(65536), rng.randrange(65536)))) for _ in range(300)]
+    df = spark.createDataFrame([(i, b, (b << 16) + s, (b << 16) + e) for i, (b, s, e) in enumerate(rows)], "i int, bucket long, s long, e long")
+    found = {}
+    for r in _dyadic(df).collect():
+        found.setdefault(r["i"], []).append((r["node"] << r["level"], (r["node"] + 1 << r["level"]) - 1))
+    for i, (_, s, e) in enumerate(rows):
+        blocks = sorted(found[i])
+        assert blocks[0][0] == s and blocks[-1][1] == e and len(blocks) <= 30
+        assert all(a[1] + 1 == b[0] for a, b in zip(blocks, blocks[1:]))
+    assert len(found[0]) == len(found[4]) == 1
+
+
+def test_a_hot_bucket_spreads_over_tasks(spark):
+    """A third of a million ranges in one /16: the best of each block is found by all tasks, one gets its blocks."""
+    base = 20 << 24
+    h = F.xxhash64("id")
+    start = base + F.pmod(h, F.lit(65536))
+    ranges = spark.range(330_000, numPartitions=8).select(
+        start.alias("start_ip"), F.least(start + F.pmod(F.shiftright(h, 20), F.lit(3000)), F.lit(base + 65535)).alias("end_ip"),
+        F.concat(F.lit("c"), F.col("id").cast("string")).alias("city"))
+    r = ranges.select(F.col("start_ip").alias("__s"), F.col("end_ip").alias("__e"), "city").cache()
+    cut = segments(r, ["city"]).cache()
+    assert cut.count() <= 65536 and not has_overlaps(cut)
+    rows = [tuple(x) for x in r.collect()]
+    found = {s: (e, c) for s, e, c in map(tuple, cut.collect())}
+    starts = sorted(found)
+    import bisect
+    for x in random.Random(4).sample(range(base, base + 65536), 60):
+        at = starts[bisect.bisect(starts, x) - 1]
+        assert found[at][0] >= x and found[at][1] == min((e - s, s, c) for s, e, c in rows if s <= x <= e)[2]
+    plan = segments(r, ["city"])._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min" in plan
 
 
 @pytest.mark.parametrize("limit", [1_000_000, 0])
