@@ -22,7 +22,9 @@ from ..operators.open_records import enrich_open, filter_open, key as open_key,
 from ..operators.requests import dedupe_requests, expand_requests, order_requests, with_codes
 from ..operators.resolve import lookup_summary, pick_nameserver, question_key, rcode_counts, resolve, responses
 from ..operators.geo import enrich_geo, geo_counts
-from ..operators.records import distinct_records, partition_sorted, records_from_json, records_to_json
+from ..operators.geo_known import KnownAddresses, enrich_geo_known
+from ..operators.history import RecordHistory
+from ..operators.records import distinct_records, drop_ttl, partition_sorted, records_from_json, records_to_json
 from ..session import scratch_path
 from ..sinks.files import store, store_json, write_by_type, write_cells, write_records, write_responses
 from ..sinks.module import COUNTERS, ParquetFactory, store_records
@@ -172,6 +174,15 @@ def q06_distinct_ttl(spark, sf_dir):
     return distinct_records(rr(spark, sf_dir), ignore_ttl=False)
 
 
+@register("q54_distinct_history", f"SELECT DISTINCT {RR_COLS_NO_TTL} FROM rr")
+def q54_distinct_history(spark, sf_dir):
+    """Distinct records over three batches, each only against what the history holds; what all of them added."""
+    recs = rr(spark, sf_dir)
+    history = RecordHistory(spark, scratch_path(spark, "history"), drop_ttl(recs).schema, buckets=8)
+    added = [history.add(recs.where(w)) for w in ("type IN ('A', 'MX')", "type <> 'A'", "type = 'A'")]
+    return added[0].unionByName(added[1]).unionByName(added[2])
+
+
 # --- filter + extract --------------------------------------------------------------------
 
 def _extract_lower_unless_ip(spark, sf_dir, rtype: str, field: str) -> DataFrame:
@@ -336,6 +347,20 @@ def q39_geo_ranges_sorted(spark, sf_dir):
     return _geo_ranges(spark, sf_dir, broadcast_rows=0)
 
 
+@register(
+    "q53_geo_known",
+    f"SELECT {RR_COLS}, {GEO_OUT} FROM {_oracle_geo('(SELECT * FROM rr WHERE addr IS NOT NULL)')} g "
+    f"UNION ALL SELECT {RR_COLS}, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM rr WHERE addr IS NULL",
+)
+def q53_geo_known(spark, sf_dir):
+    """The enrichment in two batches, the second with the addresses that the first looked up."""
+    known = KnownAddresses(spark, scratch_path(spark, "known-addresses"))
+    recs, blocks = rr(spark, sf_dir), fixture(spark, sf_dir, "blocks")
+    second = F.coalesce(F.col("ttl") % 2 == 0, F.lit(False))
+    parts = [enrich_geo_known(recs.where(part), blocks, known) for part in (~second, second)]
+    return parts[0].unionByName(parts[1])
+
+
 # --- cells: events, edges, statistics --------------------------------------------------------
 
 RR_FIELDS_NO_TTL = RR_COLS_NO_TTL.split(", ")
