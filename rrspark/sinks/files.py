@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..operators.cells import Generator, generate_cells, map_cells
 from ..operators.records import fields_from_json
+from ..sources.sequence import write_sequence
 from .store import CellStore
 
 
@@ -40,18 +41,7 @@ def write_responses(df: DataFrame, path: str, format: str = "parquet", mode: str
     elif format == "sequence":
         if not _ready(df.sparkSession, path, mode):
             return
-        # Key and value classes are given, so no pass is spent sampling the data for them.
-        df.select("question", "wire").rdd.map(lambda r: (r[0], bytearray(r[1] or b""))).saveAsNewAPIHadoopFile(
-            path,
-            "org.apache.hadoop.mapreduce.lib.output.SequenceFileOutputFormat",
-            keyClass="org.apache.hadoop.io.Text",
-            valueClass="org.apache.hadoop.io.BytesWritable",
-            conf={
-                "mapreduce.output.fileoutputformat.compress": "true",
-                "mapreduce.output.fileoutputformat.compress.type": "BLOCK",
-                "mapreduce.output.fileoutputformat.compress.codec": "org.apache.hadoop.io.compress.DefaultCodec",
-            },
-        )
+        write_sequence(df.select("question", "wire"), path)
     else:
         raise ValueError(f"unknown format {format!r}")
 
