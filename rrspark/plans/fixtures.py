@@ -66,6 +66,20 @@ SELECT name, type, dclass, k % 97 AS ms,
 FROM (SELECT name, type, dclass, COUNT(*) AS k FROM rr GROUP BY name, type, dclass) g
 """
 
+# The records that each successful recorded lookup brings, by section of its message: those of the question, for
+# MX and NS the addresses of the name, and its SOA records where the name doesn't exist.
+ANSWER_RECORDS_SQL = """
+SELECT *, CAST(row_number() OVER (PARTITION BY q_name, q_type, q_dclass, section
+  ORDER BY ttl, addr, addrv6, target, priority, alias, host) AS INT) AS place
+FROM (SELECT DISTINCT a.name AS q_name, a.type AS q_type, a.dclass AS q_dclass,
+    CASE WHEN a.rcode = 'NOERROR' AND r.type = a.type THEN 'answers'
+         WHEN a.rcode = 'NOERROR' AND a.type IN ('MX', 'NS') AND r.type = 'A' THEN 'additional'
+         WHEN a.rcode = 'NXDOMAIN' AND r.type = 'SOA' THEN 'authority' END AS section,
+    r.dclass, r.name, r.type, r.ttl, r.addr, r.addrv6, r.target, r.priority, r.alias, r.host
+  FROM answers a JOIN rr r ON a.name = r.name AND a.dclass = r.dclass WHERE a.outcome = 'ok') x
+WHERE section IS NOT NULL
+"""
+
 # Recorded lookups with several answers per key: one per record that was seen, so a key has
 # timeouts, failures and responses side by side.
 REPEATED_ANSWERS_SQL = """
@@ -135,13 +149,14 @@ FIXTURE_SQL: dict[str, str] = {
     "blocks": BLOCKS_SQL,
     "requests": REQUESTS_SQL,
     "answers": ANSWERS_SQL,
+    "answer_records": ANSWER_RECORDS_SQL,
     "domains": DOMAINS_SQL,
     "repeated_answers": REPEATED_ANSWERS_SQL,
     "city_ranges": CITY_RANGES_SQL,
     "owner_ranges": OWNER_RANGES_SQL,
     "typed": TYPED_SQL,
 }
-FIXTURE_ORDER = ["rr", "blocks", "requests", "answers", "domains", "repeated_answers", "city_ranges", "owner_ranges",
+FIXTURE_ORDER = ["rr", "blocks", "requests", "answers", "answer_records", "domains", "repeated_answers", "city_ranges", "owner_ranges",
                  "typed"]
 
 # Spark forms where the shared text would plan a join against a literal list: the three

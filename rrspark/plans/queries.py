@@ -32,7 +32,8 @@ from ..sinks.store import CellStore
 from ..sources.files import read_domains, read_ranges, read_records, read_responses
 from ..schema import IPV4_NAME_PATTERN as IPV4_NAME_RE
 from .pipeline import run_chain
-from .wire_fixtures import answers_with_wire, record_responses
+from .messages import answers_with_wire
+from .wire_fixtures import record_responses
 from .fixtures import fixture, stored, with_fixtures
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -505,15 +506,17 @@ def q45_decode_txt_rdata(spark, sf_dir):
 
 @register(
     "q21_messages",
-    """SELECT rcode, count(*) AS messages, CAST(count(*) AS BIGINT) AS question_records,
-  CAST(count(*) FILTER (WHERE rcode = 'NOERROR') AS BIGINT) AS answer_records,
-  CAST(count(*) FILTER (WHERE rcode = 'NOERROR' AND type IN ('MX', 'NS')) AS BIGINT) AS additional_records,
-  CAST(count(*) FILTER (WHERE rcode = 'NXDOMAIN') AS BIGINT) AS authority_records
-FROM answers WHERE outcome = 'ok' GROUP BY rcode""",
+    """SELECT a.rcode, count(*) AS messages, count(*) AS question_records,
+  CAST(coalesce(sum(n_answers), 0) AS BIGINT) AS answer_records, CAST(coalesce(sum(n_additional), 0) AS BIGINT) AS additional_records,
+  CAST(coalesce(sum(n_authority), 0) AS BIGINT) AS authority_records
+FROM answers a LEFT JOIN (SELECT q_name, q_type, q_dclass, count(*) FILTER (WHERE section = 'answers') AS n_answers,
+    count(*) FILTER (WHERE section = 'additional') AS n_additional, count(*) FILTER (WHERE section = 'authority') AS n_authority
+  FROM answer_records GROUP BY q_name, q_type, q_dclass) r ON a.name = q_name AND a.type = q_type AND a.dclass = q_dclass
+WHERE a.outcome = 'ok' GROUP BY a.rcode""",
 )
 def q21_messages(spark, sf_dir):
     """Message view of the recorded responses: messages and records per section, per rcode."""
-    ans = answers_with_wire(fixture(spark, sf_dir, "answers")).where("wire IS NOT NULL")
+    ans = answers_with_wire(spark, sf_dir).where("wire IS NOT NULL")
     msgs = decode_messages(ans.select(F.concat_ws("\t", "name", "dclass", "type").alias("question"), "wire"))
     return msgs.where("error IS NULL").groupBy("rcode").agg(
         F.count(F.lit(1)).alias("messages"),
@@ -574,26 +577,15 @@ DECODED_COLS = "dclass, name, type, addr, addrv6, target, priority, alias, host,
 @register(
     "q26_resolve_decode",
     f"""
-WITH ok AS (SELECT a.name, a.type, a.dclass, a.ms, a.rcode FROM requests r JOIN answers a
-            ON r.name = a.name AND r.type = a.type AND r.dclass = a.dclass
-            WHERE a.outcome = 'ok' AND {VALID_NAME_SQL}),
-recs AS (
-  SELECT dclass, name, type, '192.0.2.' || CAST(ms AS VARCHAR) AS addr, NULL AS target, NULL AS priority,
-         NULL AS host, NULL AS admin, NULL AS serial FROM ok WHERE rcode = 'NOERROR' AND type = 'A'
-  UNION ALL SELECT dclass, name, type, NULL, 'mail.' || name, CAST(ms AS INTEGER), NULL, NULL, NULL
-    FROM ok WHERE rcode = 'NOERROR' AND type = 'MX'
-  UNION ALL SELECT dclass, 'mail.' || name, 'A', '198.51.100.' || CAST(ms AS VARCHAR), NULL, NULL, NULL, NULL, NULL
-    FROM ok WHERE rcode = 'NOERROR' AND type = 'MX'
-  UNION ALL SELECT dclass, substr(name, strpos(name, '.') + 1), 'SOA', NULL, NULL, NULL,
-         'ns1.' || substr(name, strpos(name, '.') + 1), 'hostmaster.' || substr(name, strpos(name, '.') + 1), ms
-    FROM ok WHERE rcode = 'NXDOMAIN')
-SELECT DISTINCT dclass, name, type, addr, CAST(NULL AS VARCHAR) AS addrv6, target, CAST(priority AS INTEGER) AS priority,
-  CAST(NULL AS VARCHAR) AS alias, host, admin, CAST(serial AS BIGINT) AS serial FROM recs""",
+SELECT DISTINCT d.dclass, d.name, d.type, d.addr, d.addrv6, d.target, d.priority, d.alias, d.host,
+  CASE WHEN d.type = 'SOA' THEN '.' END AS admin, CAST(CASE WHEN d.type = 'SOA' THEN 0 END AS BIGINT) AS serial
+FROM answer_records d JOIN requests r ON d.q_name = r.name AND d.q_type = r.type AND d.q_dclass = r.dclass
+WHERE {VALID_NAME_SQL}""",
 )
 def q26_resolve_decode(spark, sf_dir):
     """Requests resolved against recorded responses, successful responses decoded, deduped."""
     reqs = fixture(spark, sf_dir, "requests")
-    attempts = resolve(reqs, answers_with_wire(spark.table("answers")), answers_unique=True)
+    attempts = resolve(reqs, answers_with_wire(spark, sf_dir), answers_unique=True)
     recs = decode_responses(responses(attempts))
     return distinct_records(recs.select(*DECODED_COLS.split(", ")))
 
@@ -601,34 +593,30 @@ def q26_resolve_decode(spark, sf_dir):
 # --- views, counters, sources and sinks of the remaining operator groups --------------------------
 
 def _q28_oracle() -> str:
-    def rec(n: str, t: str, ttl: str) -> str:
-        head = "'{" + '"dclass":"IN","name":"' + "' || "
-        return head + n + " || '" + '","type":"' + t + '","ttl":' + ttl + "'"
-
-    q = rec("name", "' || type || '", "0") + """ || ',"rdata":""}'"""
-    a_ans = rec("name", "A", "300") + """ || ',"addr":"192.0.2.' || CAST(ms AS VARCHAR) || '"}'"""
-    mx_ans = rec("name", "MX", "300") + """ || ',"target":"mail.' || name || '","priority":' || CAST(ms AS VARCHAR) || '}'"""
-    mx_add = rec("'mail.' || name", "A", "300") + """ || ',"addr":"198.51.100.' || CAST(ms AS VARCHAR) || '"}'"""
-    zone = "substr(name, strpos(name, '.') + 1)"
-    soa = rec(zone, "SOA", "60") + (
-        """ || ',"admin":"hostmaster.' || """ + zone + """ || '","host":"ns1.' || """ + zone
-        + """ || '","expire":86400,"min":60,"refresh":3600,"retry":600,"serial":' || CAST(ms AS VARCHAR) || '}'""")
-    head = """'{"opcode":"QUERY","rcode":"' || rcode || '","flags":' || CASE WHEN rcode = 'NXDOMAIN'
-        THEN '["qr","aa","rd","ra"]' ELSE '["qr","rd","ra"]' END || ',"id":' || CAST(ms AS VARCHAR)"""
-    body = f"""CASE WHEN rcode = 'NXDOMAIN' THEN ',"authority":[' || {soa} || ']'
-        WHEN type = 'A' THEN ',"answers":[' || {a_ans} || ']'
-        ELSE ',"answers":[' || {mx_ans} || '],"additional":[' || {mx_add} || ']' END"""
+    def shown(field: str, text: bool = True) -> str:
+        value = f"'\"' || {field} || '\"'" if text else f"CAST({field} AS VARCHAR)"
+        return f"coalesce(',\"{field}\":' || {value}, '')"
+
+    record = ("'{\"dclass\":\"IN\",\"name\":\"' || d.name || '\",\"type\":\"' || d.type || '\",\"ttl\":' || CAST(ttl AS VARCHAR) || "
+              + " || ".join([shown("addr"), shown("addrv6"), shown("target"), shown("alias"), shown("priority", False)])
+              + " || CASE WHEN d.type = 'SOA' THEN ',\"admin\":\".\"' ELSE '' END || " + shown("host")
+              + " || CASE WHEN d.type = 'SOA' THEN ',\"expire\":0,\"min\":0,\"refresh\":0,\"retry\":0,\"serial\":0' ELSE '' END || '}'")
+    sections = " || ".join(
+        f"coalesce(',\"{s}\":[' || string_agg({record}, ',' ORDER BY place) FILTER (WHERE section = '{s}') || ']', '')"
+        for s in ("answers", "additional", "authority"))
     return f"""
-SELECT name || chr(9) || dclass || chr(9) || type || ': ' || {head} || ',"question":[' || {q} || ']' || {body} || '}}' AS text
-FROM (SELECT a.name, a.type, a.dclass, a.ms, a.rcode FROM requests r JOIN answers a
-      ON r.name = a.name AND r.type = a.type AND r.dclass = a.dclass
-      WHERE a.outcome = 'ok' AND {VALID_NAME_SQL}) ok"""
+SELECT a.name || chr(9) || a.dclass || chr(9) || a.type || ': ' || '{{"opcode":"QUERY","rcode":"' || a.rcode || '","flags":'
+  || CASE WHEN a.rcode = 'NXDOMAIN' THEN '["qr","aa","rd","ra"]' ELSE '["qr","rd","ra"]' END || ',"id":' || CAST(a.ms AS VARCHAR)
+  || ',"question":[{{"dclass":"IN","name":"' || a.name || '","type":"' || a.type || '","ttl":0,"rdata":""}}]' || {sections} || '}}' AS text
+FROM requests r JOIN answers a ON r.name = a.name AND r.type = a.type AND r.dclass = a.dclass
+LEFT JOIN answer_records d ON a.name = q_name AND a.type = q_type AND a.dclass = q_dclass
+WHERE a.outcome = 'ok' AND {VALID_NAME_SQL} GROUP BY a.name, a.type, a.dclass, a.rcode, a.ms"""
 
 
 @register("q28_response_text", _q28_oracle())
 def q28_response_text(spark, sf_dir):
     """Dump view: ``key: message`` text of every response received for the requests."""
-    attempts = resolve(fixture(spark, sf_dir, "requests"), answers_with_wire(spark.table("answers")), answers_unique=True)
+    attempts = resolve(fixture(spark, sf_dir, "requests"), answers_with_wire(spark, sf_dir), answers_unique=True)
     return response_text(decode_messages(responses(attempts)))
 
 

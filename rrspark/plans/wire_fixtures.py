@@ -12,11 +12,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from ..schema import HEADER_FLAGS, RCODE_NAMES, class_code, type_code
+from ..schema import HEADER_FLAGS, class_code, type_code
 from ..session import ship_package
 
 RESPONSE_SCHEMA = T.StructType([T.StructField("question", T.StringType()), T.StructField("wire", T.BinaryType())])
-_RCODE = {v: k for k, v in RCODE_NAMES.items()}
 SECTION_CYCLE = ("answers", "additional", "authority")
 
 
@@ -83,74 +82,6 @@ def record_responses(records: DataFrame) -> DataFrame:
     return records.select(*cols).mapInArrow(run, RESPONSE_SCHEMA)
 
 
-def parent_zone(name: str) -> str:
-    return name.split(".", 1)[1] if "." in name.rstrip(".") else "."
-
-
-def answer_message(name: str, rtype: str, dclass: str, ms: int, rcode: str) -> bytes:
-    """The response a recorded answer stands for. NOERROR: one record of the asked type
-    (address, mail exchanger, ...) plus an address record for MX/NS targets in ADDITIONAL.
-    NXDOMAIN: no answer, the zone's SOA in AUTHORITY."""
-    code = _RCODE[rcode]
-    flags = header_flags(["qr", "aa", "rd", "ra"] if code == 3 else ["qr", "rd", "ra"], rcode=code)
-    q = [(name, type_code(rtype), class_code(dclass))]
-    base = {"name": name, "type": rtype, "dclass": dclass, "ttl": 300}
-    answers, additional, authority = [], [], []
-    if code == 3:
-        zone = parent_zone(name)
-        authority.append(_rec({"name": zone, "type": "SOA", "dclass": dclass, "ttl": 60,
-                               "host": "ns1." + zone, "admin": "hostmaster." + zone, "serial": ms,
-                               "refresh": 3600, "retry": 600, "expire": 86400, "min": 60}))
-    elif rtype == "A":
-        answers.append(_rec({**base, "addr": f"192.0.2.{ms}"}))
-    elif rtype == "AAAA":
-        answers.append(_rec({**base, "addrv6": f"2001:db8:0:0:0:0:0:{ms:x}"}))
-    elif rtype in ("MX", "NS"):
-        target = ("mail." if rtype == "MX" else "ns.") + name
-        extra = {"priority": ms} if rtype == "MX" else {}
-        answers.append(_rec({**base, "target": target, **extra}))
-        additional.append(_rec({"name": target, "type": "A", "dclass": dclass, "ttl": 300, "addr": f"198.51.100.{ms}"}))
-    elif rtype == "CNAME":
-        answers.append(_rec({**base, "alias": "www." + name}))
-    elif rtype == "SOA":
-        answers.append(_rec({**base, "host": "ns1." + name, "admin": "hostmaster." + name, "serial": ms}))
-    elif rtype == "TXT":
-        answers.append(_rec({**base, "text": f"v={ms}"}))
-    return encode_message(ms, flags, q, answers, authority, additional)
-
-
-ANSWER_WIRE_SCHEMA = T.StructType(
-    [
-        T.StructField("name", T.StringType()),
-        T.StructField("type", T.StringType()),
-        T.StructField("dclass", T.StringType()),
-        T.StructField("ms", T.LongType()),
-        T.StructField("outcome", T.StringType()),
-        T.StructField("rcode", T.StringType()),
-        T.StructField("wire", T.BinaryType()),
-    ]
-)
-
-
-def answers_with_wire(answers: DataFrame) -> DataFrame:
-    """Recorded answers plus the ``wire`` bytes of each successful one (NULL otherwise)."""
-
-    def run(batches):
-        for batch in batches:
-            d = batch.to_pydict()
-            wires = [
-                answer_message(n, t, c, int(ms), rc) if oc == "ok" else None
-                for n, t, c, ms, oc, rc in zip(d["name"], d["type"], d["dclass"], d["ms"], d["outcome"], d["rcode"])
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(x) for x in ("name", "type", "dclass", "ms", "outcome", "rcode")] + [pa.array(wires, pa.binary())],
-                names=[f.name for f in ANSWER_WIRE_SCHEMA.fields],
-            )
-
-    ship_package(answers.sparkSession)
-    return answers.select("name", "type", "dclass", "ms", "outcome", "rcode").mapInArrow(run, ANSWER_WIRE_SCHEMA)
-
-
 # --- encoding: test input only ---------------------------------------------------------------------
 
 T_A, T_NS, T_CNAME, T_SOA, T_PTR, T_MX, T_TXT, T_AAAA, T_SRV = 1, 2, 5, 6, 12, 15, 16, 28, 33

@@ -5,7 +5,7 @@ import json
 
 from rrspark.cli import main
 from rrspark.plans.fixtures import fixture
-from rrspark.plans.wire_fixtures import answers_with_wire
+from rrspark.plans.messages import answers_with_wire
 from rrspark.session import scratch_path
 
 
@@ -14,7 +14,7 @@ def test_stage_jobs_chain(spark, sf_dir, capsys):
     domains, answers, blocks = f"{base}/domains", f"{base}/answers", f"{base}/blocks"
     fixture(spark, sf_dir, "rr").selectExpr("regexp_replace(name, '\\\\.$', '') AS value").distinct() \
         .write.text(domains)
-    answers_with_wire(fixture(spark, sf_dir, "answers")).write.parquet(answers)
+    answers_with_wire(spark, sf_dir).write.parquet(answers)
     fixture(spark, sf_dir, "blocks").write.parquet(blocks)
 
     main(["collect", "A,MX,TXT", domains, f"{base}/raw", "--answers", answers], spark)
@@ -34,7 +34,7 @@ def test_stage_jobs_chain(spark, sf_dir, capsys):
     main(["extract", "CASE WHEN NOT (target rlike '^\\\\d{1,3}(\\\\.\\\\d{1,3}){3}\\\\.$') THEN lower(target) END",
           f"{base}/mx", f"{base}/mail"], spark)
     vals = {r.value for r in spark.read.parquet(f"{base}/mail").collect()}
-    assert vals and all(v.startswith("mail.") and v == v.lower() for v in vals)
+    assert vals and all(v.startswith("mx") and v == v.lower() for v in vals)
 
     main(["store", f"{base}/geo", f"{base}/cells", "--events", "ev:dns", "--edges", "eg:dns:name:addr"], spark)
     tables = {r.table_name for r in spark.read.parquet(f"{base}/cells").select("table_name").distinct().collect()}
