@@ -12,7 +12,8 @@ domain-mining workflow:
 
 geo, filter and extract take JSON records with any keys too (--in-format json or sequence); these stay one Variant
 column, and every key of theirs is still there after a stage. Expressions are Spark SQL. Every stage reads and writes Parquet unless told otherwise; all but geo
-and dump, which count nothing, print their counters as one JSON line.
+and dump, which count nothing, print their counters as one JSON line; parse, filter and extract also commit them
+with their output, store with its run.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ from .operators.requests import expand_requests
 from .operators.resolve import lookup_summary, rcode_counts, resolve, resolve_with, responses
 from .session import ensure_checkpoint_dir
 from .sinks.files import (
-    store, store_json, store_json_run, write_by_type, write_cells, write_records, write_responses,
+    store, store_json, store_json_run, write_by_type, write_cells, write_counted, write_records, write_responses,
 )
 from .sinks.hadoop import Folder
 from .sinks.store import BUCKETS, CellStore
@@ -71,8 +72,8 @@ def cmd_parse(spark: SparkSession, a) -> None:
     obs = Observation("parse")
     recs = decode_responses(read_responses(spark, a.input, a.in_format), ignore_ttl=not a.keep_ttl,
                             txt_mode=a.txt, observation=obs)
-    write_records(distinct_records(recs, ignore_ttl=not a.keep_ttl), a.out)
-    _emit(obs.get)
+    recs = distinct_records(recs, ignore_ttl=not a.keep_ttl)
+    _emit(write_counted(spark, a.out, lambda path: write_records(recs, path), lambda: obs.get))
 
 
 def _records(spark: SparkSession, a):
@@ -95,11 +96,8 @@ def cmd_filter(spark: SparkSession, a) -> None:
     kept, obs = observe_filter(with_keys(recs, a.expr, _key_types(a)) if recs.columns == [RECORD] else recs, a.expr)
     if recs.columns == [RECORD]:
         kept = kept.select(RECORD) if not a.by_type else kept.select(RECORD, key("type").alias("type"))
-    if a.by_type:
-        write_by_type(kept, a.out)
-    else:
-        write_records(kept, a.out)
-    _emit(obs.get)
+    write = write_by_type if a.by_type else write_records
+    _emit(write_counted(spark, a.out, lambda path: write(kept, path), lambda: obs.get))
 
 
 def cmd_extract(spark: SparkSession, a) -> None:
@@ -107,8 +105,8 @@ def cmd_extract(spark: SparkSession, a) -> None:
     recs = with_keys(recs, a.expr, _key_types(a)) if recs.columns == [RECORD] else recs
     obs = Observation("extract")
     counted = recs.observe(obs, *extract_count_columns(a.expr))
-    write_records(extract_values(counted, a.expr, strip_outer_quotes=not a.keep_quotes), a.out)
-    _emit(obs.get)
+    values = extract_values(counted, a.expr, strip_outer_quotes=not a.keep_quotes)
+    _emit(write_counted(spark, a.out, lambda path: write_records(values, path), lambda: obs.get))
 
 
 def _key_types(a) -> dict[str, str]:

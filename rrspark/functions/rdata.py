@@ -60,7 +60,12 @@ def presentation_line(name: Column, ttl: Column, dclass: Column, rtype: Column,
 
 
 def _time(data: Column, at: int) -> Column:
-    return F.date_format(F.timestamp_seconds(_number(data, at, 4)), "yyyyMMddHHmmss")
+    """Seconds since 1970 as yyyyMMddHHmmss in UTC, whatever the session's time zone."""
+    seconds = _number(data, at, 4)
+    day, rest = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(seconds / 86400).cast("int")), seconds % 86400
+    parts = [(F.year(day), 4), (F.month(day), 2), (F.dayofmonth(day), 2),
+             (F.floor(rest / 3600), 2), (F.floor(rest / 60) % 60, 2), (rest % 60, 2)]
+    return F.concat(*[F.lpad(x.cast("string"), n, "0") for x, n in parts])
 
 
 def _other_text(f: Column, names: Column, strings: Column) -> list[tuple[list[str], Column]]:

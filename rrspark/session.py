@@ -11,6 +11,7 @@ import shutil
 import tempfile
 import uuid
 import zipfile
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -92,6 +93,7 @@ _SHIPPED: set[tuple[str, str]] = set()
 PACKAGE_DIR = os.path.dirname(os.path.abspath(__file__))
 
 
+@lru_cache(maxsize=1)  # the code doesn't change while it runs
 def _package_zip() -> tuple[bytes, str]:
     buf = io.BytesIO()
     root = os.path.dirname(PACKAGE_DIR)

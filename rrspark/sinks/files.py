@@ -7,6 +7,8 @@ only re-runs its tasks; nothing is written from the driver.
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -15,6 +17,7 @@ from pyspark.sql import functions as F
 from ..operators.cells import Generator, generate_cells, map_cells
 from ..operators.records import fields_from_json
 from ..sources.sequence import write_sequence
+from .hadoop import Folder
 from .store import CellStore
 
 
@@ -33,6 +36,31 @@ def write_by_type(df: DataFrame, path: str, types: Sequence[str] | None = None,
     df.hint("rebalance", "type").write.mode(mode).partitionBy("type").parquet(path)
 
 
+COUNTERS = "_counters.json"
+
+
+def write_counted(spark: SparkSession, path: str, write: Callable[[str], None], counters: Callable[[], dict]) -> dict:
+    """A stage's output and the counters of the pass that made it, in one commit: ``write`` fills a folder beside
+    ``path``, the counters go into it, and one rename shows both. A job or driver that dies before leaves what was
+    there. The counters come from an ``Observation``, so from the tasks' own pass; Spark may count rows of a task
+    twice that it ran again after its executor was lost in a later stage."""
+    beside = f"{path.rstrip('/')}.{uuid.uuid4().hex}.staging"
+    write(beside)
+    found = dict(counters())
+    Folder(spark, beside).create(COUNTERS, json.dumps(found))
+    parent, _, name = path.rstrip("/").rpartition("/")
+    folder = Folder(spark, parent)
+    folder.delete(name)
+    if not folder.rename(beside.rpartition("/")[2], name):
+        raise OSError(f"could not move {beside} to {path}")
+    return found
+
+
+def read_counters(spark: SparkSession, path: str) -> dict:
+    """The counters that were committed with a stage's output."""
+    return json.loads(Folder(spark, path).read(COUNTERS))
+
+
 def write_responses(df: DataFrame, path: str, format: str = "parquet", mode: str = "overwrite") -> None:
     """Raw responses ``question, wire``. ``format="sequence"`` writes Hadoop SequenceFiles of
     (Text, BytesWritable) for tools that expect them."""

@@ -365,3 +365,21 @@ def test_packed_messages_roundtrip(spark, sf_dir):
     want = distinct_records(rr).select(*cols)
     assert got.count() == want.count() > 0
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_signature_times_are_utc_in_any_session(spark):
+    import datetime
+    import struct
+
+    from rrspark.functions.rdata import _time
+
+    seconds = [0, 1, 951782399, 951782400, 1709164800, 2**31, 2**32 - 1, 1711846800]
+    df = spark.createDataFrame([(i, bytearray(struct.pack("!I", s))) for i, s in enumerate(seconds)], "i int, data binary")
+    want = [datetime.datetime.fromtimestamp(s, datetime.timezone.utc).strftime("%Y%m%d%H%M%S") for s in seconds]
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/New_York", "Asia/Kathmandu"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            assert [r["t"] for r in df.orderBy("i").select(_time(F.col("data"), 0).alias("t")).collect()] == want
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)

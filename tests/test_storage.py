@@ -11,7 +11,10 @@ from rrspark.functions.wire import walk
 from rrspark.operators.cells import event_cells, event_generator, map_event_generator
 from rrspark.operators.resolve import resolve, resolve_with, valid_name
 from rrspark.session import ensure_checkpoint_dir, scratch_path
-from rrspark.sinks.files import store, store_json, write_by_type, write_cells, write_responses
+from rrspark.operators.filters import observe_filter
+from rrspark.sinks.files import (
+    read_counters, store, store_json, write_by_type, write_cells, write_counted, write_records, write_responses,
+)
 from rrspark.sources.files import read_records, read_responses
 
 
@@ -46,6 +49,23 @@ def test_json_in_sequence_files(spark):
     assert [(r["name"], r["type"]) for r in read_records(spark, path, "sequence").collect()] == [("a.", "A")]
 
 
+def test_counters_are_committed_with_the_output(spark):
+    path = scratch_path(spark, "counted")
+    df = spark.range(10).select(F.col("id").cast("string").alias("name"))
+    for n in (4, 7):  # the second replaces the first
+        kept, seen = observe_filter(df, f"name < {n}")
+        got = write_counted(spark, path, lambda p: write_records(kept, p), lambda: seen.get)
+        assert got == {"matched": n, "non_matched": 10 - n} == read_counters(spark, path)
+        assert spark.read.parquet(path).count() == n
+
+    def lost():
+        raise OSError("the driver goes before the commit")
+
+    with pytest.raises(OSError):
+        write_counted(spark, path, lambda p: write_records(df, p), lost)
+    assert spark.read.parquet(path).count() == 7 and read_counters(spark, path) == {"matched": 7, "non_matched": 3}
+
+
 def test_sequence_output_honours_its_mode(spark):
     path = scratch_path(spark, "seq-mode")
     df = spark.createDataFrame([("q", bytearray(b"abc")), ("n", None)], "question string, wire binary")
