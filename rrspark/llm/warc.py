@@ -5,8 +5,8 @@ in the archive folder (any store pyarrow knows), and returns an index row per re
 offset, length, URL, digest. The index is written as a table before anything is read. A retried task
 writes files of a new name, and the index only holds those of the attempt that counted.
 
-Reading: index rows are dealt out by file and stretch of ``STRETCH`` bytes, sorted by
-offset; neighbouring records no more than ``GAP`` bytes apart are read as one range of at most
+Reading: index rows are dealt out by file and stretch of ``STRETCH`` bytes, about ``TASK_BYTES`` of archive
+a task (a stated number of partitions: index rows are too narrow to tell Spark the work), sorted by offset; neighbouring records no more than ``GAP`` bytes apart are read as one range of at most
 ``RANGE`` bytes (a longer record alone).
 """
 
@@ -20,17 +20,16 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rrspark.llm.common import arrow_map, stage
-from rrspark.session import scratch_path
+from rrspark.llm.common import arrow_map, parallelism, scalar_int, stage
+from rrspark.session import arrow_filesystem, scratch_path
 
 MIN_REVISIT = 100
 FILE_BYTES = 1 << 30
-STRETCH = 64 << 20
+STRETCH, TASK_BYTES = 8 << 20, 64 << 20
 GAP, RANGE = 64 << 10, 8 << 20
 DATE = "2024-01-01T00:00:00Z"
 _CRLF = b"\r\n"
@@ -101,7 +100,7 @@ def write(pages: DataFrame, folder: str) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, base = pafs.FileSystem.from_uri(folder)
+        store, base = arrow_filesystem(folder)
         store.create_dir(base, recursive=True)
         out, name, offset, part = None, "", 0, TaskContext.get().partitionId()
         for b in batches:
@@ -147,7 +146,7 @@ def read(index: DataFrame, folder: str) -> DataFrame:
     differs from its header raises; a revisit has its header's digest and length and no payload."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, base = pafs.FileSystem.from_uri(folder)
+        store, base = arrow_filesystem(folder)
         name, source = None, None
         for b in batches:
             rows = list(zip(*(c.to_pylist() for c in b.columns)))
@@ -177,7 +176,8 @@ def read(index: DataFrame, folder: str) -> DataFrame:
         ("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()),
         ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("payload", pa.binary())])
     stretch = F.floor(F.col("offset") / STRETCH)
-    chosen = index.select("file", "offset", "length").repartition("file", stretch).sortWithinPartitions("file", "offset")
+    tasks = max(parallelism(index.sparkSession), scalar_int(index.agg(F.sum("length")).first()[0]) // TASK_BYTES + 1)
+    chosen = index.select("file", "offset", "length").repartition(tasks, "file", stretch).sortWithinPartitions("file", "offset")
     return arrow_map(chosen, run, "page_id long, url string, record_type string, refers_to long, payload_bytes long, "
                                   "payload_digest string, payload binary")
 
