@@ -34,10 +34,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rrspark.llm.common import arrow_map, stage
+from rrspark.llm.common import arrow_map, parallelism, scalar_int, stage
 
 SEED = 42
 RANDOM_PIVOTS = 15
+PAIRS_PER_TASK = 20_000_000
 BUCKET_ROWS = 4096
 PAIR_BLOCK = 1 << 18
 FLUSH_ROWS = 1 << 16
@@ -154,12 +155,12 @@ def _signed(mask: int) -> int:
     return mask - (1 << 64) if mask >> 63 else mask
 
 
-def _buckets(distinct: DataFrame, max_bits: int) -> DataFrame:
+def _buckets(distinct: DataFrame, max_bits: int) -> tuple[DataFrame, int]:
     """Rows ``mask, part, fp``: fingerprints that agree on the references in ``mask``; every
-    bucket has 2 to BUCKET_ROWS rows."""
+    bucket has 2 to BUCKET_ROWS rows. And how many pairs all buckets have."""
     spark = distinct.sparkSession
     level = distinct.select(F.lit(0).cast("long").alias("mask"), F.lit(0).cast("long").alias("part"), "fp")
-    masks, done = [0], None
+    masks, done, pairs = [0], None, 0
     while True:
         cuts = []
         for m in masks:
@@ -173,11 +174,13 @@ def _buckets(distinct: DataFrame, max_bits: int) -> DataFrame:
         cut = stage(cut, "simhash-buckets")
         sizes = cut.groupBy("mask", "part").agg(F.count("*").alias("n")).where("n > 1")
         sizes = stage(sizes, "simhash-sizes")
-        small = cut.join(sizes.where(F.col("n") <= BUCKET_ROWS).drop("n"), ["mask", "part"])
+        fit = sizes.where(F.col("n") <= BUCKET_ROWS)
+        pairs += scalar_int(fit.agg(F.sum(F.col("n") * F.col("n"))).first()[0])
+        small = cut.join(fit.drop("n"), ["mask", "part"])
         done = small if done is None else done.unionByName(small)
         hot = sizes.where(F.col("n") > BUCKET_ROWS).drop("n")
         if hot.isEmpty():
-            return done
+            return done, pairs
         level = cut.join(hot, ["mask", "part"])
 
 
@@ -219,7 +222,10 @@ def links(distinct: DataFrame, max_bits: int) -> DataFrame:
         if out_a:
             yield flush()
 
-    grouped = _buckets(distinct, max_bits).repartition("mask", "part").sortWithinPartitions("mask", "part")
+    buckets, pairs = _buckets(distinct, max_bits)
+    # the work is in the pairs, not in the bytes by which Spark would merge partitions
+    tasks = max(parallelism(distinct.sparkSession), pairs // PAIRS_PER_TASK + 1)
+    grouped = buckets.repartition(tasks, "mask", "part").sortWithinPartitions("mask", "part")
     return arrow_map(grouped, run, "a long, b long").distinct()
 
 
