@@ -126,13 +126,10 @@ class _Packed(dict):
         return packed
 
 
-_packed = _Packed()
-
-
-def row_of(text: str | None) -> np.ndarray:
-    """The distinct buckets of a text, sorted."""
+def row_of(text: str | None, packed: _Packed | None = None) -> np.ndarray:
+    """The distinct buckets of a text, sorted; a task hands in a cache of its own, which goes with it."""
     words = words_of(text)
-    found = np.frombuffer(b"".join(map(_packed.__getitem__, words)), dtype="<i4")
+    found = np.frombuffer(b"".join(map((_Packed() if packed is None else packed).__getitem__, words)), dtype="<i4")
     return np.unique(np.concatenate((found.astype(np.int64), inner_buckets(words))))
 
 
@@ -296,10 +293,10 @@ def _counts(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, int, int]:
     width = 1 << BITS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((2, width + 1), dtype=np.int64)  # the last place counts the rows
+        sums, packed = np.zeros((2, width + 1), dtype=np.int64), _Packed()  # the last place counts the rows
         for b in batches:
             for text, positive in zip(b.column(0), b.column(1).to_pylist()):
-                row = row_of(text.as_py())
+                row = row_of(text.as_py(), packed)
                 for k in range(1 + bool(positive)):
                     sums[k, row] += 1
                     sums[k, width] += 1
@@ -321,8 +318,9 @@ def _features(docs: DataFrame, kept: np.ndarray) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packed = _Packed()
         for b in batches:
-            found = [row_of(t.as_py()) for t in b.column(0)]
+            found = [row_of(t.as_py(), packed) for t in b.column(0)]
             rows = [r[shared.value[r]].astype("<i4").tobytes() for r in found]
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()), *b.columns[1:]], ["buckets", "positive", "place"])
 
