@@ -68,6 +68,32 @@ def _time(data: Column, at: int) -> Column:
     return F.concat(*[F.lpad(x.cast("string"), n, "0") for x, n in parts])
 
 
+def types_in_bitmap(data: Column) -> Column:
+    """Mnemonics of a type bitmap (RFC 4034): windows of 256 types, each its number, its length and its bits."""
+    def byte(at: Column) -> Column:
+        return F.conv(F.hex(F.substring(data, at + 1, F.lit(1))), 16, 10).cast("int")
+
+    def step(s: Column, _: Column) -> Column:
+        at = s["at"]
+        bits = F.filter(F.sequence(F.lit(0), byte(at + 1) * 8 - 1), lambda k: _bit(byte(at + 2 + F.floor(k / 8).cast("int")), k % 8))
+        found = F.transform(bits, lambda k: type_name_col(byte(at) * 256 + k))
+        return F.when((at + 2 < F.length(data)) & (byte(at + 1) > 0), F.struct(
+            (at + 2 + byte(at + 1)).alias("at"), F.concat(s["types"], found).alias("types"))).otherwise(s)
+
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("types"))
+    windows = F.sequence(F.lit(1), F.greatest(F.lit(1), F.floor(F.length(data) / 3).cast("int")))
+    return F.array_join(F.aggregate(windows, start, step)["types"], " ")
+
+
+def _bit(byte: Column, place: Column) -> Column:
+    """Whether the bit at a place, the first being the highest, is set."""
+    return F.floor(byte / F.pow(F.lit(2.0), F.lit(7) - place)).cast("int") % 2 == 1
+
+
+def _salt(data: Column) -> Column:
+    return F.when(F.length(data) == 0, F.lit("-")).otherwise(F.hex(data))
+
+
 def _other_text(f: Column, names: Column, strings: Column) -> list[tuple[list[str], Column]]:
     """Presentation text of the types without fields of their own."""
     def n(at: int, size: int) -> Column:
@@ -78,8 +104,13 @@ def _other_text(f: Column, names: Column, strings: Column) -> list[tuple[list[st
 
     first, second = F.get(names, 0), F.get(names, 1)
     return [
-        (["SPF", "HINFO"], strings_text(strings)),
-        (["MB", "MG", "MR", "DNAME"], first),
+        (["SPF", "HINFO", "X25", "ISDN", "GPOS"], strings_text(strings)),
+        (["MD", "MF", "MB", "MG", "MR", "DNAME"], first),
+        (["PX"], line(n(0, 2), first, second)),
+        (["NSEC"], line(first, F.when(F.length(f) > 2, types_in_bitmap(f)))),
+        (["NSEC3PARAM"], line(n(0, 1), n(1, 1), n(2, 2), _salt(_rest(f, 5)))),
+        (["CERT"], line(n(0, 2), n(2, 2), n(4, 1), F.base64(_rest(f, 5)))),
+        (["DHCID"], F.base64(f)),
         (["MINFO", "RP"], line(first, second)),
         (["AFSDB", "RT", "KX"], line(n(0, 2), first)),
         (["CAA"], line(n(0, 1), F.decode(_rest(f, 2), "US-ASCII"), quoted(F.get(strings, 0)))),

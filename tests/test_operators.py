@@ -383,3 +383,32 @@ def test_signature_times_are_utc_in_any_session(spark):
             assert [r["t"] for r in df.orderBy("i").select(_time(F.col("data"), 0).alias("t")).collect()] == want
     finally:
         spark.conf.set("spark.sql.session.timeZone", prev)
+
+
+def test_presentation_text_of_further_types(spark):
+    import base64
+    import struct
+
+    from rrspark.operators.decode import decode_responses
+
+    def name(text):
+        return b"".join(bytes([len(x)]) + x.encode() for x in text.split(".") if x) + b"\0"
+
+    def message(code, data):
+        head = struct.pack("!6H", 1, 0x8180, 0, 1, 0, 0)
+        return bytearray(head + name("alfa.example.com.") + struct.pack("!HHIH", code, 1, 60, len(data)) + data)
+
+    # the bitmap of RFC 4034, 4.3
+    bitmap = bytes([0, 6, 0x40, 1, 0, 0, 0, 3, 4, 0x1B]) + bytes(26) + b"\x20"
+    cases = {
+        47: (name("host.example.com.") + bitmap, "host.example.com. A MX RRSIG NSEC TYPE1234"),
+        51: (b"\x01\x00\x00\x0c\x04\xaa\xbb\xcc\xdd", "1 0 12 AABBCCDD"), 37: (struct.pack("!HHB", 1, 7, 5) + b"cert", "1 7 5 Y2VydA=="),
+        49: (b"\x00\x02\x01abc", base64.b64encode(b"\x00\x02\x01abc").decode()), 26: (b"\x00\x0a" + name("a.b.") + name("c."), "10 a.b. c."),
+        3: (name("m."), "m."), 4: (name("f."), "f."), 19: (b"\x03123", '"123"'), 20: (b"\x02ab\x01c", '"ab" "c"'),
+        27: (b"\x021.\x012\x013", '"1." "2" "3"'), 29: (b"\x00\x01", "\\# 2 0001")}
+    df = spark.createDataFrame([(str(c), message(c, d)) for c, (d, _) in cases.items()], "question string, wire binary")
+    got = {r["type"]: r["rdata"] for r in decode_responses(df).collect()}
+    from rrspark.schema import type_name
+    assert got == {type_name(c): text for c, (_, text) in cases.items()}
+    empty = spark.createDataFrame([("q", message(51, b"\x01\x00\x00\x01\x00")), ("q", message(47, name("n.")))], "question string, wire binary")
+    assert sorted(r["rdata"] for r in decode_responses(empty).collect()) == ["1 0 1 -", "n."]
