@@ -36,7 +36,7 @@ from .operators.open_records import RECORD, enrich_open, key, open_records, with
 from .operators.records import distinct_records
 from .operators.requests import expand_requests
 from .operators.resolve import lookup_summary, rcode_counts, resolve, resolve_with, responses
-from .session import ensure_checkpoint_dir
+from .session import ensure_checkpoint_dir, scratch_scope
 from .sinks.files import (
     store, store_json, store_json_run, write_by_type, write_cells, write_counted, write_records, write_responses,
 )
@@ -247,7 +247,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     args = parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName(f"rrspark-{args.cmd}").getOrCreate()
     ensure_checkpoint_dir(spark)
-    COMMANDS[args.cmd](spark, args)
+    with scratch_scope(spark):
+        COMMANDS[args.cmd](spark, args)
 
 
 if __name__ == "__main__":

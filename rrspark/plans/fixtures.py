@@ -39,10 +39,11 @@ FROM (SELECT *, (CAST(l_partkey AS BIGINT) * 7919 + l_suppkey) * 2654435761 % 42
       WHEN 5 THEN 'NS' WHEN 6 THEN 'CNAME' ELSE 'SOA' END AS t FROM lineitem) x
 """
 
-# Location and owner ranges: 25 blocks of four /8 and a half from nation, with gaps.
+# Location and owner ranges: 25 blocks of four /8 and a half from nation, with gaps; 10/8 lies in one, so the private rule
+# must win over it.
 BLOCKS_SQL = """
-SELECT CAST(n_nationkey * 10 + 1 AS BIGINT) * 16777216 AS start_ip,
-  CAST(n_nationkey * 10 + 5 AS BIGINT) * 16777216 + 8388607 AS end_ip,
+SELECT CAST(n_nationkey * 10 + 8 AS BIGINT) * 16777216 AS start_ip,
+  CAST(n_nationkey * 10 + 12 AS BIGINT) * 16777216 + 8388607 AS end_ip,
   CASE WHEN n_nationkey % 4 = 0 THEN NULL ELSE 'City ' || n_name END AS city,
   'c' || CAST(n_nationkey AS STRING) AS cc, n_name AS country,
   CASE n_nationkey % 3 WHEN 0 THEN 'AS' || CAST(64500 + n_nationkey AS STRING) || ' Org ' || n_name

@@ -11,6 +11,8 @@ import shutil
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -59,9 +61,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+_SCOPES: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared checkpoint dir for intermediate tables."""
-    return named_path(spark, f"{name}-{uuid.uuid4().hex}")
+    """A fresh, unique folder under the shared checkpoint dir for intermediate tables; it stays there unless
+    it was made in a ``scratch_scope``."""
+    path = named_path(spark, f"{name}-{uuid.uuid4().hex}")
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables made inside are deleted at the end, so write the result before. Scopes nest; DataFrames that
+    still read such a table can't be used any more."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def named_path(spark: SparkSession, name: str) -> str:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from rrspark.functions.wire import walk
 from rrspark.operators.cells import event_cells, event_generator, map_event_generator
 from rrspark.operators.resolve import resolve, resolve_with, valid_name
-from rrspark.session import ensure_checkpoint_dir, scratch_path
+from rrspark.session import ensure_checkpoint_dir, scratch_path, scratch_scope, staged
 from rrspark.operators.filters import observe_filter
 from rrspark.sinks.files import (
     read_counters, store, store_json, write_by_type, write_cells, write_counted, write_records, write_responses,
@@ -167,6 +167,21 @@ def test_names_behind_many_pointers_decode():
     assert answers[1][0] == "a." and answers[1][4] == b"\x01\x02\x03\x04"
 
 
+def test_scratch_tables_go_with_their_scope(spark):
+    local = lambda p: p.replace("file:", "")
+    kept = scratch_path(spark, "kept")
+    with pytest.raises(KeyError), scratch_scope(spark):
+        table = staged(spark.range(3), "inside")
+        inside = table.inputFiles()[0].replace("file://", "")
+        with scratch_scope(spark):
+            inner = scratch_path(spark, "inner")
+            spark.range(3).write.parquet(inner)
+        assert not os.path.exists(local(inner)) and os.path.exists(inside) and table.count() == 3
+        spark.range(3).write.parquet(kept)
+        raise KeyError
+    assert not os.path.exists(inside) and os.path.exists(local(kept))
+
+
 def test_a_cluster_needs_a_shared_checkpoint_folder():
     class Context:
         master = "spark://host:7077"
