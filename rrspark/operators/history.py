@@ -65,5 +65,6 @@ class RecordHistory:
         place = f"{self.path}/added/{uuid.uuid4().hex}"
         self.unseen(batch, ignore_ttl).write.option("compression", "zstd").parquet(place)
         added = self.spark.read.schema(T.StructType([*self.schema.fields, T.StructField(KEY, T.StringType())])).parquet(place)
-        added.write.mode("append").format("parquet").bucketBy(self.buckets, KEY).sortBy(KEY).saveAsTable(self.name)
+        placed = added.repartition(self.buckets, KEY)  # a task a bucket, so a batch adds a file a bucket
+        placed.write.mode("append").format("parquet").bucketBy(self.buckets, KEY).sortBy(KEY).saveAsTable(self.name)
         return added.drop(KEY)

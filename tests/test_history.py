@@ -43,6 +43,7 @@ def test_the_history_is_never_shuffled(spark):
                                      F.lit(1).alias("priority"))
     history = RecordHistory(spark, scratch_path(spark, "history"), batch.schema, buckets=8)
     history.add(batch)
+    assert len(history.records().inputFiles()) == 8  # a file a bucket and batch
     history.add(batch.withColumn("type", F.lit("NS")))
     prev = spark.conf.get("spark.sql.adaptive.enabled")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
