@@ -251,6 +251,7 @@ def aligned(docs: DataFrame, tokenizer: str | None = None, model: str | None = N
                     yield (out := results())
                     made, held = made + len(out), 0
         yield results()
+        al.a.clear()  # a worker that goes on to other stages keeps the tokenizers, not their words
 
     return arrow_map(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run,
                      "place long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "

@@ -29,7 +29,7 @@ OPEN_BINS = 1024
 TIGHT = 0.97
 PIECES_PER_TASK = 200_000
 END_ID = 2
-CACHE_WORDS = 400_000
+CACHE_WORDS, KEPT_CHARS = 400_000, 64
 
 # Texts of these code points only: there the pattern below splits as the tokenizer's own does.
 _PLAIN = re.compile("[\x00-\x1b\x20-\xb1\xb4-\xb8\xba\xbb\xbf-ɏ]*")
@@ -66,7 +66,9 @@ class Tokens(dict):
         if len(self) >= CACHE_WORDS:
             self.clear()
         letters = word.encode().decode("latin-1").translate(self.letters)
-        self[word] = ids = struct.pack(f"<{len(t)}I", *[x.id for x in t]) if (t := self.model.tokenize(letters)) else b""
+        ids = struct.pack(f"<{len(t)}I", *[x.id for x in t]) if (t := self.model.tokenize(letters)) else b""
+        if len(word) <= KEPT_CHARS:  # longer ones would fill the memory
+            self[word] = ids
         return ids
 
     def whole(self, text: str) -> bytes:
@@ -117,6 +119,7 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
                     [pa.array(doc, pa.int64()), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
                      pa.array(length, pa.int64()), pa.array(ids, pa.binary())],
                     ["doc_id", "piece", "start", "length", "ids"])
+        tokens.clear()  # a worker that goes on to other stages keeps the tokenizer, not its words
 
     return arrow_map(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run,
                      "doc_id long, piece int, start long, length long, ids binary")

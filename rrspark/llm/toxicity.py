@@ -40,7 +40,7 @@ from rrspark.llm.common import arrow_map, id_crc
 
 BITS = 18
 THRESHOLD = 0.7
-CACHE_WORDS = 200_000
+CACHE_WORDS = 100_000
 PREFIXES, SUFFIXES = (3, 4, 5, 6), (4, 5)
 
 LEAST_ROWS = 3  # positives, or others, with a selected bucket, at any size
