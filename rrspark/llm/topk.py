@@ -2,11 +2,14 @@
 
 Vectors are cut into blocks where they are read, without a shuffle; the queries are cut into blocks
 too and dealt to every group of shards. Each (query block, shard block) pair is one tile: a matrix
-product in numpy, the best k of each query in the tile, ties to the smaller id. The tiles' lists are
-merged ``FAN_IN`` at a time until one is left per query, so no task ever holds more than FAN_IN * k
-entries of a query. Every query meets every vector, in blocks.
-
-Only the queries are repeated, once per group of shards (``groups``, the shuffle parallelism).
+product in numpy, the best k of each query in the tile, ties to the smaller id. A task goes on with a
+query's best of its tiles so far, for up to ``HELD_ROWS`` queries; the tasks' lists are merged ``FAN_IN``
+at a time until one is left per query, so no task ever holds more than FAN_IN * k entries of a query.
+Every query meets every vector, in blocks.
+
+Only the queries are repeated, once per group of shards: no more groups than the shuffle parallelism, and
+so few (but ``MIN_GROUPS``) that the repeated queries are no more than the vectors. Both sides are shuffled
+by group; a broadcast would take all the repeated queries through the driver.
 """
 
 from __future__ import annotations
@@ -24,6 +27,7 @@ from rrspark.llm.common import arrow_map, parallelism, stage
 K = 10
 QUERY_ROWS, SHARD_ROWS = 512, 4096
 FAN_IN = 16
+MIN_GROUPS, HELD_ROWS = 16, 1 << 18
 EXACT = 2**53
 LONG = (1 << 63) - 1
 
@@ -95,28 +99,51 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 
 
 def _tiles(pairs: DataFrame, k: int) -> DataFrame:
+    """``query_id, query_row, tile, top``: each query's best of the tiles that a task took together, up to ``HELD_ROWS`` queries
+    at once; ``tile`` is the last of their blocks."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, tuple[int, np.ndarray, list[int], np.ndarray, np.ndarray]] = {}  # by query block
+        rows = 0
+
+        def taken() -> Iterator[pa.RecordBatch]:
+            for q_block, (block, q_ids, ends, v, s) in held.items():
+                top = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(
+                    [pa.array(-s), pa.array(v)], ["minus", "vec_id"]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(q_ids, pa.int64()), pa.array([(q_block << 10) + i for i in range(len(q_ids))], pa.int64()),
+                     pa.array([block] * len(q_ids), pa.int64()), top],
+                    ["query_id", "query_row", "tile", "top"])
+            held.clear()
+
         for b in batches:
             for r in range(len(b)):
                 row = {n: b.column(i)[r].as_py() for i, n in enumerate(b.schema.names)}
                 q_ids, ids = np.frombuffer(row["q_ids"], np.int64), np.frombuffer(row["ids"], np.int64)
                 scores = _scores(np.frombuffer(row["q_data"]).reshape(len(q_ids), row["dim"]),
                                  np.frombuffer(row["data"]).reshape(len(ids), row["dim"]))
-                out: list[tuple[int, int, np.ndarray, np.ndarray]] = []
+                before = held.pop(row["q_block"], None)
+                if before is None:
+                    rows += len(q_ids)
+                best: list[tuple[np.ndarray, np.ndarray]] = []
                 for i, query in enumerate(q_ids.tolist()):
                     other = np.flatnonzero(ids != query) if (ids == query).any() else slice(None)
                     s, v = scores[i][other], ids[other]
                     at = _best(s, v, k)
-                    out.append((query, i, v[at], s[at]))
-                ends = np.cumsum([0, *(len(v) for *_, v, _ in out)])
-                top = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(
-                    [pa.array(-np.concatenate([s for *_, s in out])), pa.array(np.concatenate([v for *_, v, _ in out]))],
-                    ["minus", "vec_id"]))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([q for q, *_ in out], pa.int64()),
-                     pa.array([(row["q_block"] << 10) + i for _, i, *_ in out], pa.int64()),
-                     pa.array([row["block"]] * len(out), pa.int64()), top],
-                    ["query_id", "query_row", "tile", "top"])
+                    s, v = s[at], v[at]
+                    if before is not None:
+                        kept = slice(before[2][i], before[2][i + 1])
+                        s, v = np.concatenate([before[4][kept], s]), np.concatenate([before[3][kept], v])
+                        at = _best(s, v, k)
+                        s, v = s[at], v[at]
+                    best.append((v, s))
+                ends = np.cumsum([0, *(len(v) for v, _ in best)]).tolist()
+                held[row["q_block"]] = (row["block"], q_ids, ends, np.concatenate([v for v, _ in best]),
+                                        np.concatenate([s for _, s in best]))
+                if rows >= HELD_ROWS:
+                    yield from taken()
+                    rows = 0
+        yield from taken()
 
     return arrow_map(pairs, run, "query_id long, query_row long, tile long, "
                                  "top array<struct<minus: long, vec_id: long>>")
@@ -132,17 +159,19 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, groups: int | None
     give no rows.
     """
     spark = vectors.sparkSession
-    groups = groups or parallelism(spark)
     pick = lambda df: df.where(usable("embedding") & F.col("vec_id").isNotNull()).select(
         F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>"))
     asked = pick(queries).distinct()
+    n_asked = asked.count()
+    groups = groups or min(parallelism(spark), max(MIN_GROUPS, vectors.count() // max(1, n_asked)))
     shards = _blocks(pick(vectors), SHARD_ROWS).withColumn("group", F.pmod(F.xxhash64("block"), F.lit(groups)).cast("int"))
-    n = asked.count() // QUERY_ROWS + 1
-    blocks = stage(_blocks(asked.repartition(n), QUERY_ROWS), "topk-queries")
+    blocks = stage(_blocks(asked.repartition(n_asked // QUERY_ROWS + 1), QUERY_ROWS), "topk-queries")
     dealt = blocks.select(
         F.col("block").alias("q_block"), "dim", F.col("ids").alias("q_ids"), F.col("data").alias("q_data"),
         F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"))
-    lists = stage(_tiles(shards.join(dealt, ["group", "dim"]), k), "topk-tiles")
+    # dealt by a stated number, which adaptive execution keeps: few bytes a task are much work here
+    shards, dealt = (df.repartition(2 * groups, "group", "dim") for df in (shards, dealt))
+    lists = stage(_tiles(shards.hint("merge").join(dealt.hint("merge"), ["group", "dim"]), k), "topk-tiles")
     return _merged(lists, k)
 
 

@@ -365,6 +365,23 @@ def test_topk_ties_nulls_lengths_and_large_values(spark):
     assert sorted(map(tuple, got.collect())) == brute_topk(rows, 10)
 
 
+def test_topk_queries_are_not_broadcast(spark, monkeypatch):
+    """The queries, repeated for every group, don't go through the driver; a task goes on with the best of its tiles."""
+    plans = []
+    arrow_map = topk.arrow_map
+    monkeypatch.setattr(topk, "arrow_map", lambda df, *a: plans.append(df) or arrow_map(df, *a))
+    monkeypatch.setattr(topk, "SHARD_ROWS", 7)
+    monkeypatch.setattr(topk, "QUERY_ROWS", 2)
+    rows = [(i, [float(i % 7), float(i % 5)]) for i in range(700)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    for held in (1, 5, 1 << 18):
+        monkeypatch.setattr(topk, "HELD_ROWS", held)
+        got = topk.top_k(df, topk.query_set(df), groups=4)
+        assert sorted(map(tuple, got.collect())) == brute_topk(rows, 10)
+    pairs = next(d for d in plans if "q_data" in d.columns)
+    assert "Broadcast" not in pairs._jdf.queryExecution().executedPlan().toString()
+
+
 def test_topk_tree_merge_and_edges(spark, monkeypatch):
     monkeypatch.setattr(topk, "FAN_IN", 2)
     rows = [(i, [(i * 37 % 101) / 50.0, (i * 11 % 17) / 8.0]) for i in range(700)]
