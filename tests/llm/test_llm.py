@@ -14,7 +14,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from rrspark.llm import langid, merkle, packing, pii, sentencepiece_dropout, sharding, simhash, topk, toxicity, warc
+from rrspark.llm import common, langid, merkle, packing, pii, sentencepiece_dropout, sharding, simhash, topk, toxicity, warc
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, bin long, shard int"
 LONG = "word " * 40_000
@@ -365,6 +365,19 @@ def test_topk_ties_nulls_lengths_and_large_values(spark):
     assert sorted(map(tuple, got.collect())) == brute_topk(rows, 10)
 
 
+def test_tasks_give_memory_back(monkeypatch):
+    """A worker keeps little of what a task freed, also where the task's rows aren't taken to the end."""
+    given = []
+    give_back = common.give_back
+    monkeypatch.setattr(common, "give_back", lambda: given.append(give_back()))
+    assert list(common.giving_back(lambda batches: (2 * b for b in batches))(iter([1, 2]))) == [2, 4]
+    assert len(given) == 1
+    cut = common.giving_back(lambda batches: batches)(iter([1, 2]))
+    assert next(cut) == 1
+    cut.close()
+    assert len(given) == 2
+
+
 def test_topk_queries_are_not_broadcast(spark, monkeypatch):
     """The queries, repeated for every group, don't go through the driver; a task goes on with the best of its tiles."""
     plans = []
