@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from rrspark.plans import fixtures
 from rrspark.plans.fixtures import FIXTURE_SQL, SPARK_FIXTURE_SQL
 
 M = 1 << 32
@@ -37,3 +38,17 @@ def test_small_keys_as_in_the_shared_text(spark):
         plain, whole = own.sql(FIXTURE_SQL[name]), own.sql(SPARK_FIXTURE_SQL[name])
         assert plain.schema == whole.schema
         assert plain.exceptAll(whole).count() == whole.exceptAll(plain).count() == 0
+
+
+def test_stored_rows_are_dealt_evenly_without_a_sort_of_each_task(spark, monkeypatch):
+    """``repartition(n)`` alone sorts a task's rows before it deals them, which fails in a small heap on millions of rows."""
+    made = []
+    monkeypatch.setattr(fixtures, "staged", lambda df, name: made.append(df) or df)
+    rows = spark.range(0, 40_000, 1, 3).select((F.col("id") % 2).alias("key"), F.lit("same").alias("text"))
+    found = fixtures.stored(spark, "a folder of this test", "dealt", lambda: rows)
+    assert found is made[0] and found.columns == ["key", "text"]
+    assert "RoundRobinPartitioning" not in found._jdf.queryExecution().toString()
+    assert {r.key: r["count"] for r in found.groupBy("key").count().collect()} == {0: 20_000, 1: 20_000}
+    n = spark.sparkContext.defaultParallelism
+    sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == n and max(sizes) < 1.2 * 40_000 / n
