@@ -46,7 +46,7 @@ def record_hex(field: Callable[[str], Column]) -> Column:
 def answers_with_wire(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The recorded answers (``name, type, dclass, ms, outcome, rcode``) with ``wire``, the message of each successful
     one; a stored table, made once per session."""
-    return stored(spark, sf_dir, "answer-messages", lambda: _answers_with_wire(spark, sf_dir))
+    return stored(spark, sf_dir, "answer-messages", lambda: _answers_with_wire(spark, sf_dir), by=["name", "type", "dclass"])
 
 
 def _answers_with_wire(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -52,3 +52,13 @@ def test_stored_rows_are_dealt_evenly_without_a_sort_of_each_task(spark, monkeyp
     n = spark.sparkContext.defaultParallelism
     sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
     assert len(sizes) == n and max(sizes) < 1.2 * 40_000 / n
+
+
+def test_stored_rows_behind_a_shuffle_are_dealt_by_their_key(spark, monkeypatch):
+    """Their order, and so a row's place, may differ when a task runs again."""
+    monkeypatch.setattr(fixtures, "staged", lambda df, name: df)
+    rows = spark.range(1_000).groupBy((F.col("id") % 100).alias("key")).count()
+    found = fixtures.stored(spark, "a folder of this test", "dealt by key", lambda: rows, by=["key"])
+    plan = found._jdf.queryExecution().toString()
+    assert "RoundRobinPartitioning" not in plan and "monotonically" not in plan
+    assert found.count() == 100
