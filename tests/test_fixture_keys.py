@@ -1,5 +1,6 @@
 """Fixtures over keys of any size: the hash of a key leaves no 64 bits, and small keys give the shared text's rows."""
 
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from rrspark.plans import fixtures
@@ -62,3 +63,13 @@ def test_stored_rows_behind_a_shuffle_are_dealt_by_their_key(spark, monkeypatch)
     plan = found._jdf.queryExecution().toString()
     assert "RoundRobinPartitioning" not in plan and "monotonically" not in plan
     assert found.count() == 100
+
+
+def test_row_groups_of_a_stored_table_are_small(spark, tmp_path):
+    """A task holds a whole row group; at Parquet's own size the eight tasks of a 1 GB heap filled it."""
+    rows = spark.range(0, 3_000_000, 1, 8).select(F.md5(F.col("id").cast("string")).alias("text"))
+    found = fixtures.stored(spark, str(tmp_path), "row-groups", lambda: rows)
+    files = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in found.inputFiles()]
+    groups = [m.row_group(i) for m in files for i in range(m.num_row_groups)]
+    assert max(g.total_byte_size for g in groups) < 10 << 20
+    assert sum(g.num_rows for g in groups) == 3_000_000
