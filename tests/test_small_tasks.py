@@ -44,3 +44,8 @@ def test_distinct_with_ttl_in_small_tasks(both):
     small, rows = both("q06_distinct_ttl", nulled)
     assert small.rdd.getNumPartitions() == 31
     assert max(rows.values()) == 1 and sum(r["type"] == "CNAME" for r in rows) == 1
+
+
+def test_event_ids_in_small_tasks(both):
+    small, rows = both("q15_event_ids", nulled)
+    assert small.rdd.getNumPartitions() == 31 and len({r["event_id"] for r in rows}) == sum(rows.values())
