@@ -49,3 +49,9 @@ def test_distinct_with_ttl_in_small_tasks(both):
 def test_event_ids_in_small_tasks(both):
     small, rows = both("q15_event_ids", nulled)
     assert small.rdd.getNumPartitions() == 31 and len({r["event_id"] for r in rows}) == sum(rows.values())
+
+
+def test_event_cells_in_small_tasks(both):
+    small, rows = both("q16_event_cells", nulled)
+    assert small.rdd.getNumPartitions() == 31
+    assert sum(n for r, n in rows.items() if r["value"] == "hot.example.com.") == 1
