@@ -55,3 +55,9 @@ def test_event_cells_in_small_tasks(both):
     small, rows = both("q16_event_cells", nulled)
     assert small.rdd.getNumPartitions() == 31
     assert sum(n for r, n in rows.items() if r["value"] == "hot.example.com.") == 1
+
+
+def test_edges_in_small_tasks(both):
+    small, rows = both("q17_edges", nulled)
+    assert small.rdd.getNumPartitions() == 31
+    assert sum(n for r, n in rows.items() if r["row"].startswith("hot.example.com.")) == 1
