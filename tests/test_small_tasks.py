@@ -61,3 +61,12 @@ def test_edges_in_small_tasks(both):
     small, rows = both("q17_edges", nulled)
     assert small.rdd.getNumPartitions() == 31
     assert sum(n for r, n in rows.items() if r["row"].startswith("hot.example.com.")) == 1
+
+
+def test_value_counts_in_small_tasks(both):
+    small, rows = both("q18_value_stats", nulled)
+    assert small.rdd.getNumPartitions() == 121
+    assert sum(r["n"] for r in rows if r["row"] == "in") == ROWS
+    assert [r["n"] for r in rows if r["row"] == "hot.example.com."] == [ROWS // 3]
+    plan = small._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(__part" in plan  # a value of a third of the records leaves each of these tasks as one row
