@@ -70,3 +70,9 @@ def test_value_counts_in_small_tasks(both):
     assert [r["n"] for r in rows if r["row"] == "hot.example.com."] == [ROWS // 3]
     plan = small._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(__part" in plan  # a value of a third of the records leaves each of these tasks as one row
+
+
+def test_edge_counts_in_small_tasks(both):
+    small, rows = both("q19_edge_counts", nulled)
+    assert small.rdd.getNumPartitions() == 121
+    assert {r["n"] for r in rows if "hot.example.com." in r["row"]} == {ROWS // 3}
