@@ -76,3 +76,8 @@ def test_edge_counts_in_small_tasks(both):
     small, rows = both("q19_edge_counts", nulled)
     assert small.rdd.getNumPartitions() == 121
     assert {r["n"] for r in rows if "hot.example.com." in r["row"]} == {ROWS // 3}
+
+
+def test_decoded_records_in_small_tasks(both):
+    small, rows = both("q20_decode_roundtrip")
+    assert small.rdd.getNumPartitions() == 30 and max(rows.values()) == 1
