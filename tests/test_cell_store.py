@@ -132,6 +132,36 @@ def test_a_hot_key_takes_one_row_a_task(spark):
     assert store.counts().where("row = 'hot'").first()["n"] == 30_000 and store.counts().count() == 60_001
 
 
+def test_a_large_store_shuffles_nothing_and_holds_the_same(spark):
+    def shuffles():
+        return spark.sparkContext._jsc.sc().newShuffleId()  # the next one's number
+
+    first = spark.range(3000, numPartitions=6).select(
+        F.lit("t.x/y").alias("table_name"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("row"),
+        F.lit("cf").alias("cf"), F.when(F.col("id") % 7 == 0, None).otherwise("cq").alias("cq"), (F.col("id") % 2).cast("string").alias("value"))
+    second = cells_of(spark, [("hot", "z"), ("new", None)]).unionByName(cells_of(spark, [("5", "x")], "other"))
+    stores = [CellStore(spark, scratch_path(spark, "store"), buckets=4, large=large) for large in (False, True)]
+
+    def rows(df):
+        return Counter(map(tuple, df.collect()))
+
+    for store in stores:
+        store.add(first, "a")
+    assert len(stores[1]._state()[1][0]["parts"]) == 4 and rows(stores[0].cells()) == rows(stores[1].cells())
+    for data, run in ((second, "b"), (first.limit(0), "none"), (second, "c"), (first, "a")):
+        before = shuffles()
+        changed = stores[1].compact(), stores[1].add(data, run)
+        assert run == "none" or shuffles() == before + 1  # but for limit's own
+        assert changed == (stores[0].compact(), stores[0].add(data, run)) and stores[1].clean(0) == stores[0].clean(0)
+        before = shuffles()
+        found = [(rows(stores[1].cells(t)), rows(stores[1].counts(t))) for t in (None, "other", "none")]
+        assert shuffles() == before + 1
+        assert found == [(rows(stores[0].cells(t)), rows(stores[0].counts(t))) for t in (None, "other", "none")]
+    assert held(stores[1])["t.x/y", "hot"] in ("1", "z") and stores[1].counts().where("row = 'hot'").count() == 2
+    files = stores[1].spark.read.parquet(f"{stores[1].path}/{next(iter(stores[1]._base()[1]['parts'].values()))}").collect()
+    assert [r["row"] for r in files] == sorted(r["row"] for r in files)
+
+
 def test_json_runs_commit_their_counters(spark):
     lines = spark.createDataFrame([(x,) for x in ['{"a":"1","a":"2"}', '{"c":null}', "junk", '{"d":"2"}']], "json string")
     store = CellStore(spark, scratch_path(spark, "store"))

@@ -81,3 +81,10 @@ def test_edge_counts_in_small_tasks(both):
 def test_decoded_records_in_small_tasks(both):
     small, rows = both("q20_decode_roundtrip")
     assert small.rdd.getNumPartitions() == 30 and max(rows.values()) == 1
+
+
+def test_cells_of_a_large_store(both):
+    small, rows = both("q48_cell_store", nulled)
+    assert max(rows.values()) == 1 and sum(r["value"] == "hot.example.com." and r["cq"] == "NAME" for r in rows) == 1
+    plan = small._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and small.rdd.getNumPartitions() > 32  # a task for each bucket of each table
