@@ -1,5 +1,6 @@
 """Aggregates of many records run in many small tasks, whatever partitions the session has, with the same results."""
 
+import os
 from collections import Counter
 
 import pytest
@@ -88,3 +89,11 @@ def test_cells_of_a_large_store(both):
     assert max(rows.values()) == 1 and sum(r["value"] == "hot.example.com." and r["cq"] == "NAME" for r in rows) == 1
     plan = small._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and small.rdd.getNumPartitions() > 32  # a task for each bucket of each table
+
+
+def test_counts_of_a_large_store(both):
+    small, rows = both("q49_cell_counts", nulled)
+    assert sum(r["n"] for r in rows if r["row"] == "in") == ROWS + 50  # MX is in both sets, CNAME in the second
+    held = {p.split("/data/")[1].split("/")[0] for p in small.inputFiles()}
+    data = small.inputFiles()[0].split("/data/")[0].removeprefix("file:") + "/data"
+    assert set(os.listdir(data)) == held and len(held) <= 2  # nothing is kept that a compaction replaced
