@@ -6,11 +6,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from rrspark.operators import geo_known
+from rrspark.operators import history as history_of
 from rrspark.operators.geo import enrich_geo
 from rrspark.operators.geo_known import KnownAddresses, enrich_geo_known, range_version
 from rrspark.operators.history import RecordHistory
 from rrspark.operators.records import partition_sorted
-from rrspark.session import scratch_path
+from rrspark.session import named_path, scratch_path
+from rrspark.sinks.hadoop import Folder
 
 RECORD = "name string, type string, priority int"
 
@@ -64,6 +66,28 @@ def test_a_hot_record_of_a_batch_is_one_row_before_the_join(spark):
     assert history.add(batch).count() == 0
 
 
+def test_a_large_batch_is_compared_in_ranges_of_keys(spark, monkeypatch):
+    monkeypatch.setattr(history_of, "SLICE_RECORDS", 150)
+    rows = spark.range(3000, numPartitions=6).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("name"), F.lit("A").alias("type"),
+        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 5).cast("int").alias("priority"))
+    more = rows.where("priority > 1").unionByName(spark.createDataFrame([("new", None, 1), (None, None, None)], RECORD))
+    path = scratch_path(spark, "history")
+    history = RecordHistory(spark, path, rows.schema, buckets=4)
+    scratch = Folder(spark, named_path(spark, ""))
+    before = scratch.names()
+    shuffled = spark.sparkContext._jsc.sc().newShuffleId()
+    added = [history.add(batch, large=True) for batch in (rows, more, rows)]
+    assert spark.sparkContext._jsc.sc().newShuffleId() <= shuffled + 4  # that of counting a batch only, whose one row a task is
+    assert [sorted(map(repr, a.collect())) for a in added] == [
+        sorted(map(repr, rows.distinct().collect())), sorted(map(repr, more.where("name = 'new' OR name IS NULL").collect())), []]
+    assert history.records().count() == 2003
+    # what a batch took is deleted with it, and each of its records is stored once
+    assert set(scratch.names()) - set(before) <= {path.split("/")[-1]} and history.folder.names("added") == []
+    assert history.add(more.unionByName(more)).count() == 0 and history.add(more.limit(0), large=True).count() == 0
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("rrspark_batch")]
+
+
 @pytest.fixture(scope="module")
 def blocks(spark):
     return spark.createDataFrame([(20 << 24, (20 << 24) + 65535, "c", "AS1 One"), ((20 << 24) + 256, (20 << 24) + 511, None, "Two")],

@@ -97,3 +97,9 @@ def test_counts_of_a_large_store(both):
     held = {p.split("/data/")[1].split("/")[0] for p in small.inputFiles()}
     data = small.inputFiles()[0].split("/data/")[0].removeprefix("file:") + "/data"
     assert set(os.listdir(data)) == held and len(held) <= 2  # nothing is kept that a compaction replaced
+
+
+def test_a_history_of_large_batches(both):
+    small, rows = both("q54_distinct_history")
+    assert max(rows.values()) == 1 and sum(r["type"] == "CNAME" for r in rows) == 1
+    assert all("/records/" in p for p in small.inputFiles())  # the added records are stored once only
